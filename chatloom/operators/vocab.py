@@ -100,15 +100,16 @@ def token_lookup(vocab: DataFrame, limit: int = MAX_LOOKUP) -> Callable[[Column]
 
 def encode(
     df: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | Callable[[Column], Column],
     text: str = "text",
     key: str = "doc_id",
     out: str = "ids",
     max_len: int | None = None,
     limit: int = MAX_LOOKUP,
 ) -> DataFrame:
-    """Add the token ids of ``text``; unknown tokens get the unknown id."""
-    lookup = token_lookup(vocab, limit)
+    """Add the token ids of ``text``; unknown tokens get the unknown id. ``vocab``
+    is a table, or a lookup made from one for use in several places."""
+    lookup = token_lookup(vocab, limit) if isinstance(vocab, DataFrame) else vocab
     if lookup is not None:
         ids = F.transform(tokens(F.col(text)), lookup)
     else:
