@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 IGNORED = -100  # label value that carries no loss
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body
+    reads it (lambda bodies are not searched for common subexpressions)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _repeat(value, times: Column) -> Column:
     value = value if isinstance(value, Column) else F.lit(value)
     return F.array_repeat(value, F.greatest(times, F.lit(0)).cast("int"))
@@ -145,22 +151,24 @@ def assistant_spans(ids: Column, bos_seq: list[int], eos_seq: list[int]) -> Colu
     of the row. The fold visits start markers only, not every position.
     """
     n = F.size(ids)
-    starts = _marker_positions(ids, bos_seq)
-    ends = _marker_positions(ids, eos_seq)
     nothing = F.array().cast("array<struct<lo:int,hi:int>>")
 
-    def step(state, s):
-        lo = s + len(bos_seq)
-        close = F.get(F.filter(ends, lambda e: e >= lo), F.lit(0))
-        hi = F.coalesce(close + len(eos_seq), n)
-        taken = F.struct(
-            hi.alias("free"),
-            F.concat(state["spans"], F.array(F.struct(lo.alias("lo"), hi.alias("hi")))).alias("spans"),
-        )
-        return F.when(s >= state["free"], taken).otherwise(state)
+    def spans(ends):
+        def step(state, s):
+            lo = s + len(bos_seq)
+            close = F.get(F.filter(ends, lambda e: e >= lo), F.lit(0))
+            hi = F.coalesce(close + len(eos_seq), n)
+            span = F.struct(lo.alias("lo"), hi.alias("hi"))
+            taken = F.struct(
+                hi.alias("free"), F.concat(state["spans"], F.array(span)).alias("spans")
+            )
+            return F.when(s >= state["free"], taken).otherwise(state)
 
-    start = F.struct(F.lit(0).alias("free"), nothing.alias("spans"))
-    return F.aggregate(starts, start, step, lambda state: state["spans"])
+        start = F.struct(F.lit(0).alias("free"), nothing.alias("spans"))
+        starts = _marker_positions(ids, bos_seq)
+        return F.aggregate(starts, start, step, lambda state: state["spans"])
+
+    return let(_marker_positions(ids, eos_seq), spans)
 
 
 def labels_from_spans(ids: Column, spans: Column) -> Column:
@@ -185,7 +193,9 @@ def assistant_labels(
     """Labels of a chat row. An unclosed span includes the padding after it, as
     the reference behaviour has it; pass the pad id as ``mask_padding`` to ignore
     padding instead."""
-    labels = labels_from_spans(ids, assistant_spans(ids, bos_seq, eos_seq))
+    labels = let(
+        assistant_spans(ids, bos_seq, eos_seq), lambda spans: labels_from_spans(ids, spans)
+    )
     if mask_padding is not None:
         labels = pad_to_ignored(labels, mask_padding)
     return labels

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chatloom.functions.arrays import let
 from chatloom.functions.text import (
     WORD,
     after_first,
@@ -76,8 +77,7 @@ def repetition_penalty(text: Column, n: int = 3, cap: float = 0.5) -> Column:
             count >= 1, F.least(F.lit(cap), repeated * F.lit(cap) * 2 / count)
         ).otherwise(F.lit(0.0))
 
-    # one-element transform: the token array is computed once and then bound
-    return F.element_at(F.transform(F.array(words(text)), from_tokens), 1)
+    return let(words(text), from_tokens)
 
 
 def strip_think(turn: Column) -> Column:
@@ -171,21 +171,21 @@ def free_numbers(text: Column) -> Column:
 
 def gt_found(text: Column, gt: Column) -> Column:
     """Distinct expected values present as text (any case) or as a number (1e-6)."""
-    lower = F.lower(text)
 
-    def found(nums):
+    def search(seen):
         def one(g):
             s = strip(g)
             bare = F.replace(s, F.lit(","), F.lit(""))
-            as_text = (s != "") & F.contains(lower, F.lower(s))
+            as_text = (s != "") & F.contains(seen["lower"], F.lower(s))
             as_number = bare.rlike(rf"\A{NUMBER}\z") & F.exists(
-                nums, lambda x: F.abs(_as_double(bare) - x) < 1e-6
+                seen["numbers"], lambda x: F.abs(_as_double(bare) - x) < 1e-6
             )
             return F.coalesce(as_text, F.lit(False)) | F.coalesce(as_number, F.lit(False))
 
         return F.filter(F.array_distinct(gt), one)
 
-    return F.element_at(F.transform(F.array(free_numbers(text)), found), 1)
+    seen = F.struct(F.lower(text).alias("lower"), free_numbers(text).alias("numbers"))
+    return let(seen, search)
 
 
 def gt_match(text: Column, gt: Column) -> Column:

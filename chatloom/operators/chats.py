@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import chat as C
 from chatloom.functions.text import uniform
+from chatloom.operators.groups import FLOOR, rank_in_group
 
 SEGMENT = 4096  # turns per row; at least the token limit of any sample
 
@@ -29,31 +30,48 @@ def _message(turns: DataFrame) -> Column:
     )
 
 
-def chats_from_turns(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
+def chats_from_turns(turns: DataFrame, segment: int = SEGMENT, floor: int = FLOOR) -> DataFrame:
     """Long form ``(conv_id, turn, role, text, …)`` to one ordered array per chat.
 
-    ``turn`` counts from 0 without gaps, so it alone tells the segment.
+    Counting turns per conversation comes first; it needs the id column only. If
+    none exceeds ``segment``, every array is bounded and one shuffle does it.
     """
-    part = F.floor(F.col("turn") / segment).cast("int")
     ordered = F.transform(
         F.array_sort(F.collect_list(F.struct(F.col("turn"), _message(turns).alias("m")))),
         lambda x: x["m"],
     ).alias("conversations")
-    # turns this late are rare: the filter reaches the scan
-    late = turns.where(F.col("turn") >= segment)
-    if late.isEmpty():
-        whole = turns.groupBy("conv_id").agg(ordered)
-        return whole.select(
+
+    def whole(rows):
+        return rows.groupBy("conv_id").agg(ordered).select(
             "conv_id", F.lit(0).alias("segment"), F.lit(True).alias("last"), "conversations"
         )
-    chats = turns.groupBy("conv_id", part.alias("segment")).agg(ordered)
-    # segment s is not the last when segment s + 1 has a row; one key per segment
-    followed = late.select("conv_id", (part - 1).alias("segment")).distinct()
-    return (
-        chats.join(followed.withColumn("more", F.lit(True)), ["conv_id", "segment"], "left")
-        .withColumn("last", F.col("more").isNull())
-        .select("conv_id", "segment", "last", "conversations")
+
+    long = (
+        turns.groupBy("conv_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > segment)
+        .select("conv_id")
+    )
+    if long.isEmpty():
+        return whole(turns)
+    # Long conversations: number their turns without gathering them, then cut.
+    placed = rank_in_group(
+        turns.join(long, "conv_id", "left_semi"),
+        ["conv_id"],
+        [F.col("turn"), F.col("role"), F.col("text")],
+        "_place",
+        floor,
+    )
+    placed = placed.withColumn("segment", F.floor(F.col("_place") / segment).cast("int"))
+    parts = placed.groupBy("conv_id", "segment").agg(ordered)
+    # segment s is not the last when segment s + 1 exists; one key per segment
+    more = placed.where((F.col("segment") > 0) & (F.col("_place") % segment == 0)).select(
+        "conv_id", (F.col("segment") - 1).alias("segment"), F.lit(True).alias("_more")
+    )
+    cut = parts.join(more, ["conv_id", "segment"], "left").select(
+        "conv_id", "segment", F.col("_more").isNull().alias("last"), "conversations"
     )
+    return whole(turns.join(long, "conv_id", "left_anti")).unionByName(cut)
 
 
 def _tool_flag(chats: DataFrame) -> tuple[DataFrame, Column]:

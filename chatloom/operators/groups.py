@@ -1,11 +1,17 @@
 """Group statistics and ranks that hold up when one group is a third of the table.
 
-An ordinary group is handled by a window after one shuffle. A hot group, one
-that exceeds what a single task should hold, never goes through a window:
-its statistics are pre-aggregated in every partition and its rank comes from a
-range partitioning over (group, order), which spreads it over many tasks.
+One counting pass over the key columns (combined map-side) tells the shape of the
+table, and the plan follows from it:
+
+* few groups, many rows: statistics are pre-aggregated and the small table of
+  them is broadcast; rows are not shuffled at all;
+* many groups: a window after one shuffle, except for the hot ones, those that
+  exceed what a single task should hold. Their statistics are pre-aggregated and
+  broadcast, their ranks come from a range partitioning over (group, order),
+  which spreads one group over many tasks.
 """
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -15,65 +21,82 @@ from chatloom.session import materialize
 
 SHARE = 4096  # a group is hot when it exceeds 1/SHARE of the rows ...
 FLOOR = 1_000_000  # ... and this many rows; at most SHARE groups can be hot
+SMALL = 50_000  # rows of a table that may be broadcast
 
 
-def hot_keys(df: DataFrame, keys: list[str], floor: int = FLOOR, share: int = SHARE):
-    """The hot groups as a small table (at most ``share`` rows), or None.
+@dataclass
+class Shape:
+    rows: int
+    groups: int
+    hot: DataFrame | None  # keys of the hot groups, at most SHARE rows
 
-    One pass over the key columns with map-side counts. Groups above 1/share of
-    the total cannot be more than ``share``, so the list is bounded whatever the
-    data.
+
+def shape_of(df: DataFrame, keys: list[str], floor: int = FLOOR, share: int = SHARE) -> Shape:
+    """Rows, groups and hot groups, from one pass over the key columns.
+
+    Groups above 1/share of all rows cannot be more than ``share``, so the list is
+    bounded whatever the data.
     """
-    spark = df.sparkSession
     seen = Observation()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(
-        seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("total")
+    counts = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .observe(
+            seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count("_n").alias("groups")
+        )
     )
     top = counts.where(F.col("_n") > floor).orderBy(F.desc("_n")).limit(share).collect()
-    if not top:
-        return None
-    limit = max(floor, seen.get["total"] / share)
+    limit = max(floor, seen.get["rows"] / share)
     hot = [tuple(r[k] for k in keys) for r in top if r["_n"] > limit]
-    return spark.createDataFrame(hot, df.select(*keys).schema) if hot else None
+    table = df.sparkSession.createDataFrame(hot, df.select(*keys).schema) if hot else None
+    return Shape(seen.get["rows"], seen.get["groups"], table)
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def _same(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "") -> Column:
+    return reduce(
+        lambda a, b: a & b, [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys]
+    )
 
 
-def split_hot(df: DataFrame, keys: list[str], floor: int = FLOOR):
-    """(ordinary rows, hot rows or None)."""
-    hot = hot_keys(df, keys, floor)
-    if hot is None:
-        return df, None
-    small = F.broadcast(hot)  # bounded by SHARE rows
-    return (
-        df.join(small, _same(df, hot, keys), "left_anti"),
-        df.join(small, _same(df, hot, keys), "left_semi"),
+def _split(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ordinary rows, hot rows); the key list is bounded by SHARE."""
+    small, cond = F.broadcast(hot), _same(df, hot, keys)
+    return df.join(small, cond, "left_anti"), df.join(small, cond, "left_semi")
+
+
+def _by_broadcast(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
+    table = (
+        df.groupBy(*keys)
+        .agg(*[c.alias(n) for n, c in stats.items()])
+        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], *stats)
     )
+    joined = df.join(F.broadcast(table), _same(df, table, keys, "_k_"))
+    return joined.select(*[df[c] for c in df.columns], *stats)
 
 
 def with_group_stats(
-    df: DataFrame, keys: list[str], stats: dict[str, Column], floor: int = FLOOR
+    df: DataFrame,
+    keys: list[str],
+    stats: dict[str, Column],
+    floor: int = FLOOR,
+    small: int = SMALL,
 ) -> DataFrame:
     """Repeat aggregates of each group on its rows."""
-    cold, hot = split_hot(df, keys, floor)
+    shape = shape_of(df, keys, floor)
+    if shape.rows > floor and shape.groups <= small:
+        return _by_broadcast(df, keys, stats)
+    cold, hot = (df, None) if shape.hot is None else _split(df, keys, shape.hot)
     within = Window.partitionBy(*keys)
     out = cold.select("*", *[c.over(within).alias(n) for n, c in stats.items()])
-    if hot is None:
-        return out
-    table = hot.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    renamed = table.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *stats)
-    cond = reduce(lambda a, b: a & b, [hot[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys])
-    heavy = hot.join(F.broadcast(renamed), cond).select(*out.columns)
-    return out.unionByName(heavy)
+    return out if hot is None else out.unionByName(_by_broadcast(hot, keys, stats))
 
 
 def rank_in_group(
     df: DataFrame, keys: list[str], order: list[Column], out: str = "rank", floor: int = FLOOR
 ) -> DataFrame:
     """Zero-based place of each row in its group. ``order`` must be total."""
-    cold, hot = split_hot(df, keys, floor)
+    shape = shape_of(df, keys, floor)
+    cold, hot = (df, None) if shape.hot is None else _split(df, keys, shape.hot)
     within = Window.partitionBy(*keys).orderBy(*order)
     ranked = cold.withColumn(out, F.row_number().over(within) - 1)
     if hot is None:
@@ -106,11 +129,7 @@ def _rank_spread(df: DataFrame, keys: list[str], order: list[Column], out: str)
         "_first",
         "_before",
     )
-    cond = reduce(
-        lambda a, b: a & b,
-        [rows["_part"] == renamed["_p"]]
-        + [rows[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys],
-    )
+    cond = (rows["_part"] == renamed["_p"]) & _same(rows, renamed, keys, "_k_")
     return rows.join(F.broadcast(renamed), cond).select(
         *df.columns, (F.col("_before") + F.col("_id") - F.col("_first")).cast("int").alias(out)
     )

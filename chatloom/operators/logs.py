@@ -7,7 +7,7 @@ character in the log; a stream adds ``arrived``.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.operators.groups import with_group_stats
+from chatloom.operators.groups import SMALL, with_group_stats
 
 # What a line may report, and under which name it is kept.
 _NUM = r"([-+]?(?:\d+\.?\d*(?:[eE][-+]?\d+)?|nan|inf))"
@@ -124,7 +124,12 @@ def log_tail(lines: DataFrame, n: int = 800, by: str = "run") -> DataFrame:
     """The last ``n`` characters of each log. Only lines that reach into them are
     collected, at most ``n`` for a log."""
     end = F.col("offset") + F.length("line") + 1
-    sized = with_group_stats(lines, [by], {"_size": F.max(end)})
+    sizes = lines.groupBy(by).agg(F.max(end).alias("_size"))
+    if sizes.limit(SMALL + 1).count() <= SMALL:
+        # few logs: their sizes travel, the lines stay where they are
+        sized = lines.join(F.broadcast(sizes), by)
+    else:
+        sized = with_group_stats(lines, [by], {"_size": F.max(end)})
     near = sized.where(end > F.col("_size") - n)
     text = F.array_join(
         F.transform(

@@ -110,11 +110,12 @@ def encode(
     """Add the token ids of ``text``; unknown tokens get the unknown id. ``vocab``
     is a table, or a lookup made from one for use in several places."""
     lookup = token_lookup(vocab, limit) if isinstance(vocab, DataFrame) else vocab
-    if lookup is not None:
-        ids = F.transform(tokens(F.col(text)), lookup)
-    else:
+    if lookup is None:
         return _encode_joined(df, vocab, text, key, out, max_len)
-    return df.withColumn(out, ids if max_len is None else F.slice(ids, 1, max_len))
+    toks = tokens(F.col(text))
+    if max_len is not None:
+        toks = F.slice(toks, 1, max_len)  # cut first: no lookups for dropped tokens
+    return df.withColumn(out, F.transform(toks, lookup))
 
 
 def _encode_joined(df, vocab, text, key, out, max_len) -> DataFrame:

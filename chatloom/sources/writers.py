@@ -1,13 +1,25 @@
 """Sample tables to Parquet, in reading order."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
-def write_samples(df: DataFrame, path: str, shards: int, order: str = "position") -> None:
-    """``shards`` range-cut files sets, each sorted by ``order``: a resumed run skips
-    whole files by their statistics instead of reading and discarding."""
+def write_samples(
+    df: DataFrame, path: str, shards: int, order: str = "position", total: Column | int | None = None
+) -> None:
+    """Cut positions ``0 … total - 1`` into ``shards`` even ranges, each sorted.
+
+    The range of a row follows from its position, so nothing is sampled and the
+    input is shuffled once. A resumed run skips whole files by their statistics
+    instead of reading and discarding. ``total`` defaults to the number of rows.
+    """
+    if total is None:
+        total = df.select(F.count(F.lit(1))).scalar()
+    elif isinstance(total, int):
+        total = F.lit(total)
+    place = F.floor(F.col(order) * shards / F.greatest(total, F.lit(1)))
     (
-        df.repartitionByRange(shards, order)
+        df.repartitionById(shards, F.least(place, F.lit(shards - 1)).cast("int"))
         .sortWithinPartitions(order)
         .write.mode("errorifexists")
         .parquet(path)
