@@ -123,6 +123,15 @@ def remap_special_ids(ids: Column, mapping: dict[int, int], vocab_size: int) ->
     )
 
 
+def remap_table(current: dict[str, int], saved: dict[str, int], vocab_size: int) -> dict[int, int]:
+    """Out-of-range id to saved id, for the special tokens that have both."""
+    return {
+        i: saved[t]
+        for t, i in current.items()
+        if i >= vocab_size and saved.get(t, vocab_size) < vocab_size
+    }
+
+
 def append_once(ids: Column, token: int) -> Column:
     """Add ``token`` unless the row already ends with it."""
     ends = F.coalesce(F.try_element_at(ids, F.lit(-1)) == token, F.lit(False))
@@ -190,9 +199,8 @@ def labels_from_spans(ids: Column, spans: Column) -> Column:
 def assistant_labels(
     ids: Column, bos_seq: list[int], eos_seq: list[int], mask_padding: int | None = None
 ) -> Column:
-    """Labels of a chat row. An unclosed span includes the padding after it, as
-    the reference behaviour has it; pass the pad id as ``mask_padding`` to ignore
-    padding instead."""
+    """Labels of a chat row. An unclosed span includes the padding after it;
+    pass the pad id as ``mask_padding`` to ignore padding instead."""
     labels = let(
         assistant_spans(ids, bos_seq, eos_seq), lambda spans: labels_from_spans(ids, spans)
     )

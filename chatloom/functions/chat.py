@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chatloom.functions.arrays import let
 from chatloom.functions.text import BLANK, strip, uniform
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -62,8 +63,11 @@ def with_system_prompt(
 
 def drop_empty_think(text: Column, key: Column, keep: float = 0.2, seed="think") -> Column:
     """Remove every empty think block from a share ``1 - keep`` of the texts."""
-    hit = F.contains(text, F.lit(EMPTY_THINK)) & (uniform(key, seed) > keep)
-    return F.when(hit, F.replace(text, F.lit(EMPTY_THINK), F.lit(""))).otherwise(text)
+    drawn = uniform(key, seed) > keep
+    block = F.lit(EMPTY_THINK)
+    return let(
+        text, lambda t: F.when(drawn & F.contains(t, block), F.replace(t, block, F.lit(""))).otherwise(t)
+    )
 
 
 def tool_schema(conv: Column) -> Column:

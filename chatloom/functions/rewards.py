@@ -68,13 +68,12 @@ def repetition_penalty(text: Column, n: int = 3, cap: float = 0.5) -> Column:
     blank, which no token holds, so equal strings are equal grams."""
     def from_tokens(ts):
         count = F.size(ts) - (n - 1)
-        joined = F.transform(
-            F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-            lambda i: F.array_join(F.slice(ts, i, n), " "),
+        grams = F.transform(
+            ts, lambda w, i: F.concat_ws(" ", w, *[F.get(ts, i + k) for k in range(1, n)])
         )
-        repeated = F.size(joined) - F.size(F.array_distinct(joined))
+        distinct = F.size(F.array_distinct(F.slice(grams, 1, F.greatest(count, F.lit(0)))))
         return F.when(
-            count >= 1, F.least(F.lit(cap), repeated * F.lit(cap) * 2 / count)
+            count >= 1, F.least(F.lit(cap), (count - distinct) * F.lit(cap) * 2 / count)
         ).otherwise(F.lit(0.0))
 
     return let(words(text), from_tokens)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import rewards as R
 from chatloom.functions.text import after_first, strip
+from chatloom.operators.groups import SMALL
 
 KEYS = ["prompt_id", "gen_id"]
 
@@ -152,17 +153,24 @@ def _number(x: Column) -> Column:
     return F.when(F.abs(x) < 1e16, exact).otherwise(x.cast("string"))
 
 
-def tool_lookup(calls: DataFrame, dims: dict[str, DataFrame], small: int = 10_000) -> DataFrame:
-    """Resolve lookup calls ``(name, arguments JSON)`` to ``result`` JSON.
+def tool_lookup(
+    calls: DataFrame, dims: dict[str, DataFrame] | None = None, small: int = SMALL
+) -> DataFrame:
+    """Resolve lookup calls ``(name, call)``, with the call as a variant, to
+    ``result`` JSON.
 
-    Left joins with defaults for what is not listed. Unknown tools give null. A
-    dimension of at most ``small`` rows is broadcast, a larger one is shuffled.
+    Left joins with defaults for what is not listed. Unknown tools give null. The
+    fixed tables are broadcast; one of the user's own only when it has at most
+    ``small`` rows, else it is shuffled.
     """
+    fixed = tool_dims(calls.sparkSession)
+    dims = dims or {}
 
     def side(name):
-        dim = dims[name]
-        few = dim.limit(small + 1).count() <= small
-        return F.broadcast(dim) if few else dim
+        if name not in dims:
+            return F.broadcast(fixed[name])
+        few = dims[name].limit(small + 1).count() <= small
+        return F.broadcast(dims[name]) if few else dims[name]
 
     arg = F.col("_args")
 

@@ -55,10 +55,12 @@ def chats_from_turns(turns: DataFrame, segment: int = SEGMENT, floor: int = FLOO
     if long.isEmpty():
         return whole(turns)
     # Long conversations: number their turns without gathering them, then cut.
+    # Copies of a turn are interchangeable; the row id lets them be spread, too.
+    marked = turns.withColumn("_row", F.monotonically_increasing_id())
     placed = rank_in_group(
-        turns.join(long, "conv_id", "left_semi"),
+        marked.join(long, "conv_id", "left_semi"),
         ["conv_id"],
-        [F.col("turn"), F.col("role"), F.col("text")],
+        [F.col("turn"), F.col("role"), F.col("text"), F.col("_row")],
         "_place",
         floor,
     )

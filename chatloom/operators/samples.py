@@ -27,6 +27,14 @@ def pretrain_samples(
     )
 
 
+def text_counts(docs: DataFrame) -> DataFrame:
+    """Documents, and those left out for having no text."""
+    return docs.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(F.col("text").isNull()).alias("without_text"),
+    )
+
+
 def chat_ids(
     texts: DataFrame, vocab: DataFrame, max_len: int, text: str, key: str, out: str
 ) -> DataFrame:

@@ -30,6 +30,13 @@ TOKEN = (
     + rf"| ?[{WORD}]+| ?[^{WORD}{BLANK}]|[{BLANK}]"
 )
 SIZE = 6400
+# Saved special ids and vocabulary size of the reward scorer.
+REWARD_IDS = {
+    "<unk>": 0, "<s>": 1, "</s>": 2, "<|reward|>": 92527, "<|plugin|>": 92538,
+    "<|interpreter|>": 92539, "<|action_end|>": 92540, "<|action_start|>": 92541,
+    "<|im_end|>": 92542, "<|im_start|>": 92543,
+}
+REWARD_VOCAB = 92544
 MAX_LOOKUP = 100_000  # entries a plan may carry; larger tables are joined
 BUCKETS = 8192
 
@@ -165,9 +172,13 @@ def decode(
         return df.withColumn(
             out, F.array_join(F.transform(F.col(ids), lambda i: F.get(constant, i)), "")
         )
+    # ids are made unique per row first, as tokens are when encoding
     named = (
         df.select(key, F.posexplode(ids).alias("_at", "id"))
+        .groupBy(key, "id")
+        .agg(F.collect_list("_at").alias("_places"))
         .join(vocab.select("token", "id").where(~F.col("token").isin(*skipped, "")), "id")
+        .select(key, F.explode("_places").alias("_at"), "token")
         .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct("_at", "token"))).alias("l"))
         .select(key, F.array_join(F.transform("l", lambda e: e["token"]), "").alias(out))

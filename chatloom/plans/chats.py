@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import chat as C
 from chatloom.functions.text import BLANK, uniform
 from chatloom.operators import chats as O
+from chatloom.operators.samples import text_counts
 from chatloom.plans.common import S_TURNS, query, r6, s_frame, s_r6, s_strip, s_u
 from chatloom.sources import tables as D
 
@@ -240,6 +241,11 @@ def c14(spark, sf):
     )
 
 
+@query("c15_text_counts", "SELECT count(*) AS documents, count(*) FILTER (text IS NULL) AS without_text FROM documents")
+def c15_texts(spark, sf):
+    return text_counts(D.table(spark, sf, "documents"))
+
+
 @query(
     "c15_validate_chats",
     f"""WITH t AS (SELECT conv_id, turn, {D.BROKEN_CALLS} AS tool_calls FROM conversations),

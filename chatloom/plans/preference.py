@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from chatloom.functions.text import uniform
 from chatloom.operators import answers as O
 from chatloom.operators import preference as P
 from chatloom.plans.common import query, r6, s_r6, s_u
 from chatloom.plans.rewards import S_ANSWERS
 from chatloom.plans.sources import S_PAIRS
-from chatloom.functions.text import uniform
 from chatloom.sources import tables as D
 
 # Coarse scores, so that ties occur.
@@ -47,6 +47,17 @@ def p01(spark, sf):
     )
 
 
+@query(
+    "p01_scorer_udf",
+    f"""WITH {S_ANSWERS} SELECT prompt_id, gen_id, {s_r6("(length(t) % 97) / 10.0")} AS score FROM answers""",
+)
+def p01_udf(spark, sf):
+    """A scorer of the user's own (here: by length) in place of a score table."""
+    run = O.scorer_udf(lambda: lambda texts: [len(t) % 97 / 10.0 for t in texts])
+    rows = D.answers(spark, sf).withColumn("score", run("completion"))
+    return rows.select("prompt_id", "gen_id", r6(F.col("score")).alias("score"))
+
+
 @query(
     "p02_compare",
     f"""WITH {S_PAIRS} SELECT pair_id, chosen_score > rejected_score AS better,

@@ -15,6 +15,7 @@ from chatloom.plans.common import (
     s_strip,
     s_u,
 )
+from chatloom.session import spread
 from chatloom.sources import tables as D
 
 S_ANSWERS = f"""answers AS (SELECT conv_id AS prompt_id, CAST(turn AS INTEGER) AS gen_id, {D.COMPLETION} AS t
@@ -96,7 +97,7 @@ def s_penalty(w: str) -> str:
     f"WITH w AS (SELECT doc_id, {s_words('text')} AS w FROM documents) SELECT doc_id, {s_r6(s_penalty('w'))} AS penalty FROM w",
 )
 def r06(spark, sf):
-    docs = D.table(spark, sf, "documents")
+    docs = D.documents(spark, sf)
     return docs.select("doc_id", r6(R.repetition_penalty(F.col("text"))).alias("penalty"))
 
 
@@ -347,7 +348,7 @@ def _pick(values, i):
 
 def lookup_calls(spark, sf):
     """A call per event: the tool by type, the arguments by id and value."""
-    e, i = D.table(spark, sf, "events"), F.col("event_id")
+    e, i = spread(D.table(spark, sf, "events"), "event_id"), F.col("event_id")
     kind = F.col("event_type")
     name = F.when(kind == "error", F.when(i % 2 == 0, F.lit("get_current_time")).otherwise(F.lit("no_such_tool")))
     for t, tool in _TOOLS.items():
@@ -403,7 +404,7 @@ j AS (SELECT event_id, CASE event_type
 
 @query("r18_tool_lookup", f"{S_LOOKUP} SELECT event_id, result FROM j")
 def r18(spark, sf):
-    out = O.tool_lookup(lookup_calls(spark, sf), O.tool_dims(spark))
+    out = O.tool_lookup(lookup_calls(spark, sf))
     return out.select("event_id", "result")
 
 
@@ -412,7 +413,7 @@ def r18(spark, sf):
     f"""{S_LOOKUP} SELECT event_id, left(coalesce(result || repeat(result, CAST(event_id % 60 AS INTEGER)), '{{"error": "tool not found"}}'), 2048) AS answer FROM j""",
 )
 def r19(spark, sf):
-    out = O.tool_lookup(lookup_calls(spark, sf), O.tool_dims(spark))
+    out = O.tool_lookup(lookup_calls(spark, sf))
     long = F.concat("result", F.repeat("result", (F.col("event_id") % 60).cast("int")))
     return out.select("event_id", R.tool_result_text(long).alias("answer"))
 

@@ -24,6 +24,7 @@ from chatloom.plans.common import (
     wsum,
 )
 from chatloom.plans.sources import S_PAIRS, preference_rows, s_pair_text
+from chatloom.session import materialize
 from chatloom.sources import tables as D
 
 CHAT_VOCAB = 2000
@@ -31,7 +32,7 @@ _EMPTY_INTS = "CAST([] AS INTEGER[])"
 
 
 def doc_vocab(spark, sf):
-    return V.build_vocab(D.table(spark, sf, "documents"))
+    return V.build_vocab(D.documents(spark, sf))
 
 
 def chat_vocab(spark, sf):
@@ -39,7 +40,7 @@ def chat_vocab(spark, sf):
 
 
 def doc_ids(spark, sf, max_len=None):
-    docs = D.table(spark, sf, "documents").select("doc_id", "text")
+    docs = D.documents(spark, sf).select("doc_id", "text")
     return V.encode(docs, V.token_lookup(doc_vocab(spark, sf)), max_len=max_len)
 
 
@@ -82,13 +83,42 @@ def t02(spark, sf):
 )
 def t02_joined(spark, sf):
     """The way taken when the vocabulary exceeds the lookup bound."""
-    docs = D.table(spark, sf, "documents").select("doc_id", "text")
+    docs = D.documents(spark, sf).select("doc_id", "text")
     ids = V.encode(docs, doc_vocab(spark, sf), limit=0)
     return ids.select(
         "doc_id", F.size("ids").cast("bigint").alias("tokens"), digest("ids").alias("ids_md5")
     )
 
 
+@query(
+    "t02_tokenizer_udf",
+    f"""WITH c AS (SELECT doc_id, list_transform(string_split(text, ''), lambda c: unicode(c)) AS ids FROM documents)
+SELECT doc_id, len(ids) AS tokens, {s_digest('ids')} AS ids_md5 FROM c""",
+)
+def t02_udf(spark, sf):
+    """A tokenizer of the user's own (here: code points) in place of the table."""
+    run = V.tokenizer_udf(lambda: lambda text: [ord(c) for c in text])
+    ids = D.documents(spark, sf).select("doc_id", run("text").alias("ids"))
+    return ids.select(
+        "doc_id", F.size("ids").cast("bigint").alias("tokens"), digest("ids").alias("ids_md5")
+    )
+
+
+@query(
+    "t03_decode_large_vocab",
+    f"""WITH {S_DOC_VOCAB}, {s_encode('documents', 'ids')},
+p AS (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM ids),
+d AS (SELECT doc_id, string_agg(token, '' ORDER BY pos) AS text FROM p JOIN vocab USING (id) GROUP BY doc_id)
+SELECT i.doc_id, md5(coalesce(d.text, '')) AS text_md5 FROM ids i LEFT JOIN d USING (doc_id)""",
+)
+def t03_joined(spark, sf):
+    """With special tokens kept, by the way taken beyond the lookup bound."""
+    vocab = materialize(doc_vocab(spark, sf))
+    ids = V.encode(D.documents(spark, sf).select("doc_id", "text"), vocab)
+    out = V.decode(ids, vocab, skip_special=False, limit=0)
+    return out.select("doc_id", F.md5("decoded").alias("text_md5"))
+
+
 @query(
     "t03_decode",
     f"""WITH {S_DOC_VOCAB}, {s_encode('documents', 'ids')},
@@ -98,8 +128,8 @@ d AS (SELECT doc_id, string_agg(token, '' ORDER BY pos) AS text FROM p JOIN voca
 SELECT i.doc_id, md5(coalesce(d.text, '')) AS text_md5 FROM ids i LEFT JOIN d USING (doc_id)""",
 )
 def t03(spark, sf):
-    docs = D.table(spark, sf, "documents").select("doc_id", "text")
-    vocab = doc_vocab(spark, sf)
+    docs = D.documents(spark, sf).select("doc_id", "text")
+    vocab = materialize(doc_vocab(spark, sf))  # read twice
     ids = V.encode(docs, vocab)
     return V.decode(ids, vocab).select("doc_id", F.md5("decoded").alias("text_md5"))
 
@@ -308,7 +338,7 @@ SELECT doc_id, {s_digest('ids')} AS ids_md5,
   CAST(list_sum(list_transform(ids, lambda v: CAST(v <> 0 AS INTEGER))) AS BIGINT) AS real_len FROM p""",
 )
 def t06(spark, sf):
-    docs = D.table(spark, sf, "documents")
+    docs = D.documents(spark, sf)
     rows = S.pretrain_samples(docs, V.token_lookup(doc_vocab(spark, sf)))
     return rows.select(
         "doc_id",

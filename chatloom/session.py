@@ -38,3 +38,14 @@ def materialize(df: DataFrame) -> DataFrame:
     path = fresh_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input of few files.
+
+    A scan with fewer splits than cores, as of one small file, would leave cores
+    idle under work that is heavy per row. A large input has more splits than
+    cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

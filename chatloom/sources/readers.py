@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatloom import schemas
+from chatloom.operators.groups import FLOOR, rank_in_group
 
 
 def _json(spark: SparkSession, path: str, schema, mode: str = "FAILFAST") -> DataFrame:
@@ -39,16 +40,24 @@ def read_agent_tasks(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select(messages.alias("conversations"), expected.alias("gt"), "task")
 
 
-def with_ids(df: DataFrame, key: str) -> DataFrame:
+def with_ids(df: DataFrame, key: str, floor: int = FLOOR) -> DataFrame:
     """Give rows an id. Fixed by content, so it survives recomputation; equal rows
     are told apart by a counter inside their group."""
-    from chatloom.operators.groups import rank_in_group
-
     digest = F.sha2(F.to_json(F.struct(*df.columns)), 256)
-    numbered = rank_in_group(df.withColumn("_d", digest), ["_d"], [F.col("_d")], "_c")
+    marked = df.withColumn("_d", digest).withColumn("_m", F.monotonically_increasing_id())
+    # equal rows are interchangeable: any order among them gives the same table
+    numbered = rank_in_group(marked, ["_d"], [F.col("_m")], "_c", floor)
     return numbered.select(F.concat_ws("-", "_d", F.col("_c").cast("string")).alias(key), *df.columns)
 
 
+def read_special_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Saved special tokens of a tokenizer configuration: ``(token, id)``."""
+    entry = "struct<added_tokens_decoder:map<string,struct<content:string>>>"
+    text = spark.read.text(path, wholetext=True)
+    saved = text.select(F.explode(F.from_json("value", entry)["added_tokens_decoder"]))
+    return saved.select(F.col("value.content").alias("token"), F.col("key").cast("int").alias("id"))
+
+
 def read_score_card(spark: SparkSession, path: str) -> DataFrame:
     """Flat JSON of subset and accuracy: ``(model, subset, accuracy)``. Keys with
     text values describe the model."""

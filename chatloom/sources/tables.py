@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import arrays as A
 from chatloom.functions.text import uniform
 from chatloom.operators.chats import chats_from_turns
+from chatloom.session import spread
 
 OFFERED = (
     '[{"type":"function","function":{"name":"get_current_weather"}},'
@@ -58,6 +59,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark, sf) -> DataFrame:
+    """Documents for work that is heavy per text."""
+    return spread(table(spark, sf, "documents"), "doc_id")
+
+
 def turns(spark, sf, calls: str = TOOL_CALLS, text: str = "text") -> DataFrame:
     return table(spark, sf, "conversations").select(
         "conv_id",
@@ -199,7 +205,7 @@ LOG_LINE = """CASE event_type
 
 def log_lines(spark, sf) -> DataFrame:
     """Events as log lines of one run per user; offsets only tell the order."""
-    return table(spark, sf, "events").select(
+    return spread(table(spark, sf, "events"), "event_id").select(
         F.concat(F.lit("run"), F.col("user_id").cast("string")).alias("run"),
         (F.col("event_id") * 1000).alias("offset"),
         F.col("ts").alias("arrived"),
