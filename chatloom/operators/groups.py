@@ -14,7 +14,7 @@ table, and the plan follows from it:
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.session import materialize
@@ -32,24 +32,21 @@ class Shape:
 
 
 def shape_of(df: DataFrame, keys: list[str], floor: int = FLOOR, share: int = SHARE) -> Shape:
-    """Rows, groups and hot groups, from one pass over the key columns.
+    """Rows, groups and hot groups, from a pass over the key columns (a second one
+    only if there are hot groups).
 
     Groups above 1/share of all rows cannot be more than ``share``, so the list is
     bounded whatever the data.
     """
-    seen = Observation()
-    counts = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .observe(
-            seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count("_n").alias("groups")
-        )
-    )
-    top = counts.where(F.col("_n") > floor).orderBy(F.desc("_n")).limit(share).collect()
-    limit = max(floor, seen.get["rows"] / share)
-    hot = [tuple(r[k] for k in keys) for r in top if r["_n"] > limit]
-    table = df.sparkSession.createDataFrame(hot, df.select(*keys).schema) if hot else None
-    return Shape(seen.get["rows"], seen.get["groups"], table)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows, groups, most = counts.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)), F.count("_n"), F.coalesce(F.max("_n"), F.lit(0))
+    ).first()
+    limit = max(floor, rows / share)
+    if most <= limit:
+        return Shape(rows, groups, None)
+    hot = counts.where(F.col("_n") > limit).drop("_n").collect()
+    return Shape(rows, groups, df.sparkSession.createDataFrame(hot, df.select(*keys).schema))
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "") -> Column:

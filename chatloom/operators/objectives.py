@@ -136,9 +136,11 @@ def rollout_stats(rows: DataFrame, by: str = "batch_id") -> DataFrame:
         (F.sum("g") / F.greatest(F.sum("t"), F.lit(1))).alias("kl_ref"),
         F.avg("spread").alias("group_reward_std"),
         mean.alias("advantages_mean"),
-        F.sqrt(
-            F.greatest(square - mean * mean * F.sum("an"), F.lit(0.0))
-            / F.nullif(F.sum("an") - 1, F.lit(0))
+        F.when(
+            F.sum("an") > 1,
+            F.sqrt(
+                F.greatest(square - mean * mean * F.sum("an"), F.lit(0.0)) / (F.sum("an") - 1)
+            ),
         ).alias("advantages_std"),
     )
     return out
