@@ -37,7 +37,7 @@ def chats_from_turns(turns: DataFrame, segment: int = SEGMENT, floor: int = FLOO
     none exceeds ``segment``, every array is bounded and one shuffle does it.
     """
     ordered = F.transform(
-        F.array_sort(F.collect_list(F.struct(F.col("turn"), _message(turns).alias("m")))),
+        F.sort_array(F.collect_list(F.struct(F.col("turn"), _message(turns).alias("m")))),
         lambda x: x["m"],
     ).alias("conversations")
 

@@ -9,24 +9,25 @@ from pyspark.sql import functions as F
 
 from chatloom.operators.groups import SMALL, with_group_stats
 
-# What a line may report, and under which name it is kept.
+# What a line may report, under which name it is kept, and in which
+# of the five formats it occurs.
 _NUM = r"([-+]?(?:\d+\.?\d*(?:[eE][-+]?\d+)?|nan|inf))"
 METRICS = {
-    "loss": rf"(?:\) loss:|, loss: |, Loss:){_NUM}",
-    "logits_loss": rf", logits_loss: {_NUM}",
-    "aux_loss": rf", aux_loss: {_NUM}",
-    "lr": rf"(?: lr:|, lr: |, LR: ?|Actor LR: ){_NUM}",
-    "critic_lr": rf"Critic LR: {_NUM}",
-    "epoch_minutes": rf"epoch_[Tt]ime: ?{_NUM}min",
-    "actor_loss": rf"Actor Loss: {_NUM}",
-    "critic_loss": rf"Critic Loss: {_NUM}",
-    "reward": rf", Reward: ?{_NUM}",
-    "kl": rf", KL: ?{_NUM}",
-    "kl_ref": rf", KL_ref: {_NUM}",
-    "avg_response_len": rf"(?:Avg Response Len: |AvgLen:){_NUM}",
-    "group_reward_std": rf"GrpStd:{_NUM}",
-    "advantages_std": rf"AdvStd:{_NUM}",
-    "advantages_mean": rf"AdvMean:{_NUM}",
+    "loss": (rf"(?:\) loss:|, loss: |, Loss:){_NUM}", "pretrain sft agent"),
+    "logits_loss": (rf", logits_loss: {_NUM}", "sft"),
+    "aux_loss": (rf", aux_loss: {_NUM}", "sft"),
+    "lr": (rf"(?: lr:|, lr: |, LR: ?|Actor LR: ){_NUM}", "pretrain sft ppo grpo agent"),
+    "critic_lr": (rf"Critic LR: {_NUM}", "ppo"),
+    "epoch_minutes": (rf"epoch_[Tt]ime: ?{_NUM}min", "pretrain sft"),
+    "actor_loss": (rf"Actor Loss: {_NUM}", "ppo grpo"),
+    "critic_loss": (rf"Critic Loss: {_NUM}", "ppo"),
+    "reward": (rf", Reward: ?{_NUM}", "ppo grpo agent"),
+    "kl": (rf", KL: ?{_NUM}", "ppo agent"),
+    "kl_ref": (rf", KL_ref: {_NUM}", "ppo"),
+    "avg_response_len": (rf"(?:Avg Response Len: |AvgLen:){_NUM}", "ppo grpo agent"),
+    "group_reward_std": (rf"GrpStd:{_NUM}", "agent"),
+    "advantages_std": (rf"AdvStd:{_NUM}", "agent"),
+    "advantages_mean": (rf"AdvMean:{_NUM}", "agent"),
 }
 _STEP = r"(?:\]\(|Step: )(\d+)/(\d+)"
 # Texts that tell how a run ended.
@@ -55,7 +56,11 @@ def parse_log(lines: DataFrame) -> DataFrame:
     """Typed columns of every step line; other lines are left out."""
     line = F.col("line")
     found = lines.withColumn("format", line_format(line)).where(F.col("format").isNotNull())
-    values = [_group(line, p).try_cast("double").alias(n) for n, p in METRICS.items()]
+    # a metric is only looked for in lines that can have it
+    values = [
+        F.when(F.col("format").isin(*formats.split()), _group(line, p)).try_cast("double").alias(n)
+        for n, (p, formats) in METRICS.items()
+    ]
     return found.select(
         *[c for c in lines.columns if c != "line"],
         "format",
@@ -133,7 +138,7 @@ def log_tail(lines: DataFrame, n: int = 800, by: str = "run") -> DataFrame:
     near = sized.where(end > F.col("_size") - n)
     text = F.array_join(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("offset", "line"))),
+            F.sort_array(F.collect_list(F.struct("offset", "line"))),
             lambda e: F.concat(e["line"], F.lit("\n")),
         ),
         "",
@@ -153,11 +158,15 @@ def metrics_long(parsed: DataFrame, keys=None) -> DataFrame:
 
 
 def latest_steps(parsed: DataFrame) -> DataFrame:
-    """One row per (run, epoch, step): a resumed run repeats steps, the latest wins."""
+    """One row per (run, epoch, step): a resumed run repeats steps, the latest wins.
+    ``arrivals`` tells how often the step was reported."""
     keys = ["run", "epoch", "step"]
     rest = [c for c in parsed.columns if c not in keys]
     return (
         parsed.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.col("arrived")).alias("r"))
-        .select(*keys, "r.*")
+        .agg(
+            F.max_by(F.struct(*rest), F.col("arrived")).alias("r"),
+            F.count(F.lit(1)).alias("arrivals"),
+        )
+        .select(*keys, "r.*", "arrivals")
     )

@@ -39,7 +39,7 @@ def trajectory(turns: DataFrame, pad: int, eos: int) -> DataFrame:
         logps.alias("logps"),
         F.transform(ids, lambda _: F.when(model, F.lit(1)).otherwise(F.lit(0))).alias("mask"),
     )
-    ordered = F.array_sort(
+    ordered = F.sort_array(
         F.collect_list(F.struct("turn", F.col("part"), "ids", "logps", "mask"))
     )
     rows = parts.groupBy(*KEYS).agg(ordered.alias("t"))

@@ -1,11 +1,10 @@
 """Vocabulary, token ids and text back from ids.
 
-Token pattern: special texts, words and marks with the blank in front of them,
+Token pattern: words and marks with the blank in front of them, special texts,
 single blanks. Joining the tokens of a text gives the text back.
 """
 
 import json
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -25,10 +24,9 @@ NEWLINE, ASSISTANT = SPECIALS.__len__(), len(SPECIALS) + 3
 ASSISTANT_OPEN = [BOS, ASSISTANT, NEWLINE]  # <|im_start|>assistant\n
 ASSISTANT_CLOSE = [EOS, NEWLINE]  # <|im_end|>\n
 
-TOKEN = (
-    "|".join(re.sub(r"([|])", r"\\\1", s) for s in SPECIALS)
-    + rf"| ?[{WORD}]+| ?[^{WORD}{BLANK}]|[{BLANK}]"
-)
+# A mark takes the blank before it, except "<", which may open a special token.
+_SPECIAL = "|".join(s[1:].replace("|", r"\|") for s in SPECIALS)
+TOKEN = rf" ?[{WORD}]+| ?[^{WORD}{BLANK}<]|<(?:{_SPECIAL})|<|[{BLANK}]"
 SIZE = 6400
 # Saved special ids and vocabulary size of the reward scorer.
 REWARD_IDS = {
@@ -63,7 +61,7 @@ def build_vocab(df: DataFrame, text: str = "text", size: int = SIZE) -> DataFram
     )
     # at most ``size`` rows from here on
     listed = top.agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("c"), "token"))).alias("l")
+        F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("c"), "token"))).alias("l")
     ).select(F.posexplode("l").alias("at", "e"))
     frequent = listed.select(
         F.col("e.token").alias("token"),
@@ -144,7 +142,7 @@ def _encode_joined(df, vocab, text, key, out, max_len) -> DataFrame:
     )
     rows = named.groupBy(key).agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("_at", "id"))), lambda e: e["id"]
+            F.sort_array(F.collect_list(F.struct("_at", "id"))), lambda e: e["id"]
         ).alias(out)
     )
     none = F.array().cast("array<int>")
@@ -180,7 +178,7 @@ def decode(
         .join(vocab.select("token", "id").where(~F.col("token").isin(*skipped, "")), "id")
         .select(key, F.explode("_places").alias("_at"), "token")
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("_at", "token"))).alias("l"))
+        .agg(F.sort_array(F.collect_list(F.struct("_at", "token"))).alias("l"))
         .select(key, F.array_join(F.transform("l", lambda e: e["token"]), "").alias(out))
     )
     return df.join(named, key, "left").withColumn(out, F.coalesce(out, F.lit("")))

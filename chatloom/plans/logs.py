@@ -101,14 +101,15 @@ SELECT run, epoch, step, arg_max(loss, arrived) AS loss, count(*) AS arrivals FR
 def l06_latest(spark, sf):
     """A resumed run reports its steps again an hour later: the latest line counts."""
     parsed = O.parse_log(D.log_lines(spark, sf)).where(F.col("loss").isNotNull())
-    again = parsed.withColumn("arrived", F.col("arrived") + F.expr("INTERVAL 1 HOUR")).withColumn(
-        "loss", F.col("loss") + 1
-    )
-    both = parsed.unionByName(again)
-    counted = both.groupBy("run", "epoch", "step").agg(F.count(F.lit(1)).alias("arrivals"))
-    return O.latest_steps(both).select("run", "epoch", "step", "loss").join(
-        counted, ["run", "epoch", "step"]
+    times = F.explode(F.array(F.lit(0), F.lit(1))).alias("again")
+    both = parsed.select("run", "epoch", "step", "arrived", "loss", times).select(
+        "run",
+        "epoch",
+        "step",
+        (F.col("arrived") + F.make_interval(hours=F.col("again"))).alias("arrived"),
+        (F.col("loss") + F.col("again")).alias("loss"),
     )
+    return O.latest_steps(both).select("run", "epoch", "step", "loss", "arrivals")
 
 
 _LATE = 30  # minutes a line may come late

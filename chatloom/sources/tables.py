@@ -122,7 +122,7 @@ def tool_turns(spark, sf) -> DataFrame:
 
 def tool_rollouts(spark, sf) -> DataFrame:
     pid, gen = F.col("prompt_id"), F.col("gen_id")
-    collected = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    collected = F.sort_array(F.collect_list(F.struct("turn", "text")))
     rows = tool_turns(spark, sf).groupBy("prompt_id", "gen_id").agg(
         F.transform(collected, lambda e: e["text"]).alias("turns")
     )

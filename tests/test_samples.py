@@ -26,6 +26,13 @@ def test_tokens_join_back(spark, docs):
     assert special == ["<|im_start|>", "user", "\n", "assistants", " assistant", "<|im_end|>", "\n"]
 
 
+def test_special_tokens_stay_whole(one):
+    text = F.lit("a <think>b</think> <x <|im_start|><|im_end|>1<2")
+    assert one(V.tokens(text)) == [
+        "a", " ", "<think>", "b", "</think>", " ", "<", "x", " ", "<|im_start|>", "<|im_end|>", "1", "<", "2",
+    ]
+
+
 def test_vocabulary_order_and_size(docs):
     size = len(V.SPECIALS + V.RESERVED) + 3
     rows = V.build_vocab(docs, size=size).orderBy("id").collect()
