@@ -92,11 +92,11 @@ def _tool_flag(chats: DataFrame) -> tuple[DataFrame, Column]:
 
 
 def inject_system(
-    chats: DataFrame, ratio: float = 0.2, seed="system", name: str = "Assistant", check_long=True
+    chats: DataFrame, ratio: float = 0.2, seed="system", name: str = "Assistant"
 ) -> DataFrame:
     """A system prompt in front of a share of the chats without one or tools."""
     conv = F.col("conversations")
-    joined, tool_chat = _tool_flag(chats) if check_long else (chats, C.is_tool_chat(conv))
+    joined, tool_chat = _tool_flag(chats)
     opened = C.with_system_prompt(conv, F.col("conv_id"), ratio, seed, name, tool_chat)
     return joined.select(
         *[

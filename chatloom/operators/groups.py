@@ -75,12 +75,13 @@ def with_group_stats(
     df: DataFrame,
     keys: list[str],
     stats: dict[str, Column],
-    floor: int = FLOOR,
+    floor: int | None = FLOOR,
     small: int = SMALL,
 ) -> DataFrame:
-    """Repeat aggregates of each group on its rows."""
-    shape = shape_of(df, keys, floor)
-    if shape.rows > floor and shape.groups <= small:
+    """Repeat aggregates of each group on its rows. ``floor=None`` says that groups
+    are bounded by construction, as batches of a plan are: no counting pass."""
+    shape = shape_of(df, keys, floor) if floor is not None else Shape(0, 0, None)
+    if floor is not None and shape.rows > floor and shape.groups <= small:
         return _by_broadcast(df, keys, stats)
     cold, hot = (df, None) if shape.hot is None else _split(df, keys, shape.hot)
     within = Window.partitionBy(*keys)

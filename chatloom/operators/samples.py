@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import arrays as A
 from chatloom.functions import chat as C
 from chatloom.operators import vocab as V
-from chatloom.operators.chats import inject_system, with_reasoning
+from chatloom.operators.chats import SEGMENT, inject_system, with_reasoning
 
 
 def pretrain_samples(
@@ -58,8 +58,10 @@ def sft_samples(
     A sample is its first ``max_len`` ids. Every turn makes at least one, so the
     opening row of a long conversation holds the whole sample.
     """
-    opening = chats.where(F.col("segment") == 0)
-    ready = inject_system(opening, ratio, f"{seed}/system", name, check_long=False)
+    if max_len > SEGMENT:
+        raise ValueError(f"max_len exceeds the {SEGMENT} turns of a chat row")
+    opened = inject_system(chats, ratio, f"{seed}/system", name)
+    ready = opened.where(F.col("segment") == 0)
     conv = with_reasoning(F.col("conversations")) if use_cot else F.col("conversations")
     text = C.drop_empty_think(
         C.render_chat(conv), F.col("conv_id"), keep_think, f"{seed}/think"
@@ -110,3 +112,13 @@ def preference_samples(
             A.attention_mask(F.slice(ids, 1, max_len - 1), V.PAD).alias(f"attention_mask_{side}"),
         ]
     return out.select(*columns)
+
+
+def stack_sides(samples: DataFrame, key: str = "pair_id") -> DataFrame:
+    """Preference samples in long form: a row per side, as one batch holds them."""
+    fields = ["x", "y", "mask", "attention_mask"]
+    sides = [
+        F.struct(F.lit(side).alias("side"), *[F.col(f"{f}_{side}").alias(f) for f in fields])
+        for side in ("chosen", "rejected")
+    ]
+    return samples.select(key, F.inline(F.array(*sides)))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions import arrays as A
-from chatloom.operators.groups import with_group_stats
+from chatloom.operators.groups import FLOOR, with_group_stats
 
 KEYS = ["prompt_id", "gen_id"]
 
@@ -81,10 +81,12 @@ def pack_trajectory(rows: DataFrame, max_total: int = 2500) -> DataFrame:
     ).withColumn("prompt_len", A.first_one(F.col("mask")))
 
 
-def pad_batch(rows: DataFrame, pads: dict, batch: str = "batch_id") -> DataFrame:
+def pad_batch(
+    rows: DataFrame, pads: dict, batch: str = "batch_id", floor: int | None = FLOOR
+) -> DataFrame:
     """Pad the named array columns to the longest row of each batch."""
     width = {f"_w_{c}": F.max(F.size(c)) for c in pads}
-    wide = with_group_stats(rows, [batch], width)
+    wide = with_group_stats(rows, [batch], width, floor)
     return wide.select(
         *[
             A.pad_right(F.col(c), F.col(f"_w_{c}"), pads[c]).alias(c) if c in pads else F.col(c)

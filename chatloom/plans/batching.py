@@ -138,5 +138,5 @@ def b10(spark, sf):
         .agg(F.sum(F.length("text")).alias("chars"))
     )
     plan = B.batch_plan(chats, "conv_id", size=8, world=4, skip=1, epoch=1)
-    wide = with_group_stats(plan, ["rank", "batch"], {"padded_to": F.max("chars")})
+    wide = with_group_stats(plan, ["rank", "batch"], {"padded_to": F.max("chars")}, floor=None)
     return wide.select("conv_id", "rank", "batch", "step", "chars", "padded_to")

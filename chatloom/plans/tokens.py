@@ -450,6 +450,23 @@ def t11(spark, sf):
     )
 
 
+@query(
+    "t11_stack_sides",
+    f"""WITH {S_PAIRS}, {S_DOC_VOCAB}, {s_side('chosen')}, {s_side('rejected')},
+u AS (SELECT pair_id, 'chosen' AS side, ids, mask FROM chosen_l UNION ALL SELECT pair_id, 'rejected', ids, mask FROM rejected_l)
+SELECT pair_id, side, {s_digest('ids[2:]')} AS y_md5, CAST(list_sum(mask[2:]) AS BIGINT) AS loss_tokens FROM u""",
+)
+def t11_stacked(spark, sf):
+    lookup = V.token_lookup(doc_vocab(spark, sf))
+    rows = S.stack_sides(S.preference_samples(preference_rows(spark, sf), lookup, _PAIR_LEN))
+    return rows.select(
+        "pair_id",
+        "side",
+        digest("y").alias("y_md5"),
+        A.mask_sum(F.col("mask")).cast("bigint").alias("loss_tokens"),
+    )
+
+
 # ---- trajectories -----------------------------------------------------------
 
 _PART = "CASE WHEN turn % 6 = 0 THEN 'prompt' WHEN turn % 2 = 1 THEN 'model' ELSE 'tool' END"
