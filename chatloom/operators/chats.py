@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import chat as C
 from chatloom.functions.text import uniform
-from chatloom.operators.groups import FLOOR, rank_in_group
+from chatloom.operators.groups import FLOOR, collect_in_order
 
 SEGMENT = 4096  # turns per row; at least the token limit of any sample
 
@@ -31,49 +31,11 @@ def _message(turns: DataFrame) -> Column:
 
 
 def chats_from_turns(turns: DataFrame, segment: int = SEGMENT, floor: int = FLOOR) -> DataFrame:
-    """Long form ``(conv_id, turn, role, text, …)`` to one ordered array per chat.
-
-    Counting turns per conversation comes first; it needs the id column only. If
-    none exceeds ``segment``, every array is bounded and one shuffle does it.
-    """
-    ordered = F.transform(
-        F.sort_array(F.collect_list(F.struct(F.col("turn"), _message(turns).alias("m")))),
-        lambda x: x["m"],
-    ).alias("conversations")
-
-    def whole(rows):
-        return rows.groupBy("conv_id").agg(ordered).select(
-            "conv_id", F.lit(0).alias("segment"), F.lit(True).alias("last"), "conversations"
-        )
-
-    long = (
-        turns.groupBy("conv_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > segment)
-        .select("conv_id")
+    """Long form ``(conv_id, turn, role, text, …)`` to one ordered array per chat."""
+    rows = collect_in_order(
+        turns, ["conv_id"], ["turn"], _message(turns), segment, floor
     )
-    if long.isEmpty():
-        return whole(turns)
-    # Long conversations: number their turns without gathering them, then cut.
-    # Copies of a turn are interchangeable; the row id lets them be spread, too.
-    marked = turns.withColumn("_row", F.monotonically_increasing_id())
-    placed = rank_in_group(
-        marked.join(long, "conv_id", "left_semi"),
-        ["conv_id"],
-        [F.col("turn"), F.col("role"), F.col("text"), F.col("_row")],
-        "_place",
-        floor,
-    )
-    placed = placed.withColumn("segment", F.floor(F.col("_place") / segment).cast("int"))
-    parts = placed.groupBy("conv_id", "segment").agg(ordered)
-    # segment s is not the last when segment s + 1 exists; one key per segment
-    more = placed.where((F.col("segment") > 0) & (F.col("_place") % segment == 0)).select(
-        "conv_id", (F.col("segment") - 1).alias("segment"), F.lit(True).alias("_more")
-    )
-    cut = parts.join(more, ["conv_id", "segment"], "left").select(
-        "conv_id", "segment", F.col("_more").isNull().alias("last"), "conversations"
-    )
-    return whole(turns.join(long, "conv_id", "left_anti")).unionByName(cut)
+    return rows.withColumnRenamed("items", "conversations")
 
 
 def _tool_flag(chats: DataFrame) -> tuple[DataFrame, Column]:

@@ -131,3 +131,53 @@ def _rank_spread(df: DataFrame, keys: list[str], order: list[Column], out: str)
     return rows.join(F.broadcast(renamed), cond).select(
         *df.columns, (F.col("_before") + F.col("_id") - F.col("_first")).cast("int").alias(out)
     )
+
+
+def collect_in_order(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: Column,
+    limit: int,
+    floor: int = FLOOR,
+) -> DataFrame:
+    """Each group's values in order: ``(keys, segment, last, items)``.
+
+    A group of at most ``limit`` rows is one array, after one shuffle. A longer
+    one comes as several rows: its members are numbered by ``rank_in_group``, which
+    gathers no group, and cut by their number. Counting first needs the keys only.
+    """
+    fields = F.struct(*order, value.alias("_v"))
+    items = F.transform(F.sort_array(F.collect_list(fields)), lambda e: e["_v"]).alias("items")
+
+    def whole(rows):
+        return rows.groupBy(*keys).agg(items).select(
+            *keys, F.lit(0).alias("segment"), F.lit(True).alias("last"), "items"
+        )
+
+    long = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > limit)
+        .select(*keys)
+    )
+    if long.isEmpty():
+        return whole(df)
+    # Copies are interchangeable; the row id lets them be spread, too.
+    marked = df.withColumn("_row", F.monotonically_increasing_id())
+    placed = rank_in_group(
+        marked.join(long, keys, "left_semi"),
+        keys,
+        [*map(F.col, order), F.col("_row")],
+        "_place",
+        floor,
+    ).withColumn("segment", F.floor(F.col("_place") / limit).cast("int"))
+    parts = placed.groupBy(*keys, "segment").agg(items)
+    # segment s is not the last when segment s + 1 exists; one key per segment
+    more = placed.where((F.col("segment") > 0) & (F.col("_place") % limit == 0)).select(
+        *keys, (F.col("segment") - 1).alias("segment"), F.lit(True).alias("_more")
+    )
+    cut = parts.join(more, [*keys, "segment"], "left").select(
+        *keys, "segment", F.col("_more").isNull().alias("last"), "items"
+    )
+    return whole(df.join(long, keys, "left_anti")).unionByName(cut)

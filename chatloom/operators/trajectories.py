@@ -1,10 +1,11 @@
 """Rollouts with tool turns: joining turns, packing, padding, repeating prompts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions import arrays as A
-from chatloom.operators.groups import FLOOR, with_group_stats
+from chatloom.operators.chats import SEGMENT
+from chatloom.operators.groups import FLOOR, collect_in_order, with_group_stats
 
 KEYS = ["prompt_id", "gen_id"]
 
@@ -14,13 +15,14 @@ def expand_generations(prompts: DataFrame, n: int) -> DataFrame:
     return prompts.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("gen_id"))
 
 
-def trajectory(turns: DataFrame, pad: int, eos: int) -> DataFrame:
+def trajectory(
+    turns: DataFrame, pad: int, eos: int, segment: int = SEGMENT, floor: int = FLOOR
+) -> DataFrame:
     """One row per rollout from its turns ``(turn, part, ids, logps)``.
 
     Model turns lose end and pad ids and keep their log-probs (mask 1); tool
-    turns are observed (mask 0, log-prob 0). A rollout is one model context, so
-    its few turns fit a row whatever the table's size; the key is the single
-    rollout, never the prompt.
+    turns are observed (mask 0, log-prob 0). A rollout of more than ``segment``
+    turns comes as several rows in order, as long conversations do.
     """
     model = F.col("part") == "model"
     kept = F.filter(
@@ -31,56 +33,99 @@ def trajectory(turns: DataFrame, pad: int, eos: int) -> DataFrame:
     logps = F.when(model, F.transform(kept, lambda e: e["l"])).otherwise(
         F.transform("ids", lambda _: F.lit(0.0))
     )
-    parts = turns.select(
+    mask = F.transform(ids, lambda _: F.when(model, F.lit(1)).otherwise(F.lit(0)))
+    turn = F.struct("part", ids.alias("ids"), logps.alias("logps"), mask.alias("mask"))
+    rows = collect_in_order(turns, KEYS, ["turn"], turn, segment, floor)
+    prompt = F.filter("items", lambda e: e["part"] == "prompt")
+    answer = F.filter("items", lambda e: e["part"] != "prompt")
+    return rows.select(
         *KEYS,
-        "turn",
-        "part",
-        ids.alias("ids"),
-        logps.alias("logps"),
-        F.transform(ids, lambda _: F.when(model, F.lit(1)).otherwise(F.lit(0))).alias("mask"),
-    )
-    ordered = F.sort_array(
-        F.collect_list(F.struct("turn", F.col("part"), "ids", "logps", "mask"))
+        "segment",
+        "last",
+        _joined(prompt, "ids").alias("prompt_ids"),
+        _joined(answer, "ids").alias("response_ids"),
+        _joined(answer, "mask").alias("response_mask"),
+        _joined(answer, "logps").alias("response_logps"),
     )
-    rows = parts.groupBy(*KEYS).agg(ordered.alias("t"))
-    prompt = F.filter("t", lambda e: e["part"] == "prompt")
-    answer = F.filter("t", lambda e: e["part"] != "prompt")
 
-    def joined(rows_, field):
-        return F.flatten(F.transform(rows_, lambda e: e[field]))
 
-    return rows.select(
-        *KEYS,
-        joined(prompt, "ids").alias("prompt_ids"),
-        joined(answer, "ids").alias("response_ids"),
-        joined(answer, "mask").alias("response_mask"),
-        joined(answer, "logps").alias("response_logps"),
-    )
+def _joined(parts, field: str) -> Column:
+    return F.flatten(F.transform(parts, lambda e: e[field]))
+
+
+def _zeros(like: str, value) -> Column:
+    return F.transform(like, lambda _: F.lit(value))
 
 
 def pack_trajectory(rows: DataFrame, max_total: int = 2500) -> DataFrame:
     """Prompt and response in one row; a row too long keeps its tail."""
-    p = F.size("prompt_ids")
-    ids = F.concat("prompt_ids", "response_ids")
-    zeros = F.transform("prompt_ids", lambda _: F.lit(0))
-    lead = F.array_repeat(F.lit(0.0), F.greatest(p - 1, F.lit(0)).cast("int"))
-    packed = rows.select(
+    if max_total < 2:
+        raise ValueError("max_total must leave room for a target")
+    flat = rows.select(
         *KEYS,
-        ids.alias("ids"),
-        F.concat(zeros, F.col("response_mask")).alias("mask"),
-        F.concat(lead, F.col("response_logps")).alias("old_logps"),
+        "segment",
+        F.concat("prompt_ids", "response_ids").alias("ids"),
+        F.concat(_zeros("prompt_ids", 0), F.col("response_mask")).alias("mask"),
+        # one per id here; the first of a row with a prompt goes away below
+        F.concat(_zeros("prompt_ids", 0.0), F.col("response_logps")).alias("logps"),
+        (F.size("prompt_ids") + F.size("response_ids")).cast("bigint").alias("total"),
+        (F.size("prompt_ids") > 0).alias("prompted"),
     )
-    cut = F.size("ids") > max_total
-    return packed.select(
+    long = flat.where(F.col("segment") > 0).select(*KEYS).distinct()
+    if not long.isEmpty():
+        tails = _join_tails(flat.join(long, KEYS, "left_semi"), max_total)
+        flat = flat.join(long, KEYS, "left_anti").drop("segment").unionByName(tails)
+    cut = F.col("total") > max_total
+    logps = (
+        F.when(cut, A.keep_tail(F.col("logps"), max_total - 1))
+        .when(F.col("prompted"), F.slice("logps", 2, F.greatest(F.size("logps") - 1, F.lit(0))))
+        .otherwise(F.col("logps"))
+    )
+    return flat.select(
         *KEYS,
-        F.when(cut, A.keep_tail(F.col("ids"), max_total)).otherwise(F.col("ids")).alias("ids"),
-        F.when(cut, A.keep_tail(F.col("mask"), max_total)).otherwise(F.col("mask")).alias("mask"),
-        F.when(cut, A.keep_tail(F.col("old_logps"), max_total - 1))
-        .otherwise(F.col("old_logps"))
-        .alias("old_logps"),
+        A.keep_tail(F.col("ids"), max_total).alias("ids"),
+        A.keep_tail(F.col("mask"), max_total).alias("mask"),
+        logps.alias("old_logps"),
     ).withColumn("prompt_len", A.first_one(F.col("mask")))
 
 
+def _join_tails(flat: DataFrame, max_total: int) -> DataFrame:
+    """Rows of several segments: what lies in the last ``max_total`` ids, joined up.
+
+    Places come from the segments' sizes alone; only segments that reach into the
+    tail are gathered, and those hold at most ``max_total`` ids.
+    """
+    later = Window.partitionBy(*KEYS).orderBy(F.desc("segment")).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    of = Window.partitionBy(*KEYS)
+    sizes = flat.select(*KEYS, "segment", "total", "prompted")
+    places = (
+        sizes.withColumn("room", max_total - F.coalesce(F.sum("total").over(later), F.lit(0)))
+        .withColumn("all", F.sum("total").over(of))
+        .withColumn("any_prompt", F.max("prompted").over(of))
+        .where((F.col("room") > 0) & (F.col("total") > 0))
+        .select(*KEYS, "segment", "room", "all", "any_prompt")
+    )
+    near = flat.drop("total", "prompted").join(places, [*KEYS, "segment"])
+    arrays = ["ids", "mask", "logps"]
+    room = F.least(F.col("room"), F.lit(max_total)).cast("int")
+    tails = near.select(
+        *KEYS, "segment", "all", "any_prompt", *[A.keep_tail(F.col(c), room).alias(c) for c in arrays]
+    )
+    grouped = tails.groupBy(*KEYS).agg(
+        F.sort_array(F.collect_list(F.struct("segment", *arrays))).alias("s"),
+        F.first("all").alias("total"),
+        F.first("any_prompt").alias("prompted"),
+    )
+    return grouped.select(
+        *KEYS,
+        *[_joined("s", c).alias(c) for c in arrays],
+        "total",
+        "prompted",
+    )
+
+
 def pad_batch(
     rows: DataFrame, pads: dict, batch: str = "batch_id", floor: int | None = FLOOR
 ) -> DataFrame:

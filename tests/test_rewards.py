@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,8 +43,9 @@ def test_extract_answer(one):
 
 def penalty(text, n=3, cap=0.5):
     words = re.findall(r"\w+|[^\w\s]", text.lower())
-    grams = list(zip(*(words[k:] for k in range(n))))
-    return min(cap, (len(grams) - len({*grams})) * cap * 2 / len(grams)) if grams else 0.0
+    seen = Counter(zip(*(words[k:] for k in range(n))))
+    repeats = sum(times - 1 for times in seen.values())
+    return min(cap, 2 * cap * repeats / seen.total()) if seen else 0.0
 
 
 @pytest.mark.parametrize(

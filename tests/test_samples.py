@@ -149,6 +149,24 @@ def test_trajectory_and_packing(spark):
     assert cut[1].ids == [21, 40, 41, 22] and cut[1].old_logps == [0.0, 0.0, -0.5] and cut[1].prompt_len == 0
 
 
+@pytest.mark.parametrize("max_total", [2, 7, 30, 60, 500])
+@pytest.mark.parametrize("prompt", [True, False])
+def test_long_rollouts_pack_alike(spark, max_total, prompt):
+    i = F.col("id")
+    turns = spark.range(40).select(
+        F.lit(1).cast("long").alias("prompt_id"),
+        F.lit(0).alias("gen_id"),
+        (i * 2).cast("int").alias("turn"),
+        F.when((i == 0) & F.lit(prompt), "prompt").when(i % 3 == 0, "tool").otherwise("model").alias("part"),
+        F.transform(F.sequence(F.lit(0), i % 4), lambda k: (i * 10 + k + 5).cast("int")).alias("ids"),
+        F.transform(F.sequence(F.lit(0), i % 4), lambda k: -(i * 10 + k) / 7.0).alias("logps"),
+    ).repartition(5)
+    whole = TR.trajectory(turns, 0, 3)
+    parts = TR.trajectory(turns, 0, 3, segment=6, floor=10)
+    assert whole.count() == 1 and parts.count() == 7
+    assert TR.pack_trajectory(parts, max_total).collect() == TR.pack_trajectory(whole, max_total).collect()
+
+
 def test_padding_to_the_longest(spark):
     rows = spark.createDataFrame(
         [(0, [1], [-1.0]), (0, [1, 2, 3], [-1.0, -2.0]), (1, [4], [])],
