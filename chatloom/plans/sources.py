@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import chat as C
 from chatloom.operators.batching import shuffle_epoch
+from chatloom.operators.chats import chats_from_turns as build_chats
 from chatloom.plans.common import S_TURNS, query, r6, s_frame, s_r6, s_u
 from chatloom.session import fresh_path
 from chatloom.sources import readers, tables as D
@@ -131,6 +132,26 @@ def chats_from_turns(spark, sf):
     )
 
 
+@query(
+    "s06_long_conversations",
+    """WITH p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations),
+n AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id)
+SELECT conv_id, CAST(place // 3 AS INTEGER) AS segment, (max(place) + 1) = max(n) AS last, count(*) AS messages,
+  md5(string_agg(text, '|' ORDER BY turn)) AS text_md5 FROM p JOIN n USING (conv_id) GROUP BY conv_id, place // 3""",
+)
+def long_conversations(spark, sf):
+    """The way taken for conversations longer than a row may be."""
+    rows = build_chats(D.turns(spark, sf), segment=3, floor=5)
+    conv = F.col("conversations")
+    return rows.select(
+        "conv_id",
+        "segment",
+        "last",
+        F.size(conv).cast("bigint").alias("messages"),
+        F.md5(F.array_join(F.transform(conv, lambda m: m["content"]), "|")).alias("text_md5"),
+    )
+
+
 @query(
     "s07_read_score_card",
     f"""WITH {S_PAIRS} SELECT 'seeded' AS model, subset,

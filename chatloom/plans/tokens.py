@@ -518,19 +518,30 @@ def t20(spark, sf):
 _MAX = 200
 
 
-@query(
-    "t21_pack_trajectory",
-    f"""WITH {S_AGENT}, k AS (SELECT prompt_id, gen_id, list_concat(p, r) AS ids,
+S_PACKED = f"""WITH {S_AGENT}, k AS (SELECT prompt_id, gen_id, list_concat(p, r) AS ids,
   list_concat(list_transform(p, lambda i: 0), m) AS mask,
   list_concat(list_transform(range(greatest(len(p) - 1, 0)), lambda i: CAST(0 AS DOUBLE)), lp) AS lps FROM tr),
 c AS (SELECT prompt_id, gen_id, CASE WHEN len(ids) > {_MAX} THEN ids[len(ids) - {_MAX} + 1:] ELSE ids END AS a,
   CASE WHEN len(ids) > {_MAX} THEN mask[len(ids) - {_MAX} + 1:] ELSE mask END AS m,
   CASE WHEN len(ids) > {_MAX} THEN lps[greatest(len(lps) - {_MAX - 1} + 1, 1):] ELSE lps END AS l FROM k)
 SELECT prompt_id, gen_id, {s_digest('a')} AS ids_md5, {s_digest('m')} AS mask_md5, {s_wsum('l')} AS logps,
-  CAST(coalesce(nullif(list_position(m, 1) - 1, -1), len(m)) AS BIGINT) AS prompt_len FROM c""",
-)
+  CAST(coalesce(nullif(list_position(m, 1) - 1, -1), len(m)) AS BIGINT) AS prompt_len FROM c"""
+
+
+@query("t21_pack_trajectory", S_PACKED)
 def t21(spark, sf):
-    rows = TR.pack_trajectory(TR.trajectory(agent_turns(spark, sf), V.PAD, V.EOS), _MAX)
+    rows = TR.trajectory(agent_turns(spark, sf), V.PAD, V.EOS)
+    return _packed(TR.pack_trajectory(rows, _MAX))
+
+
+@query("t21_pack_long_rollouts", S_PACKED)
+def t21_long(spark, sf):
+    """The way taken for rollouts of more turns than a row may hold."""
+    rows = TR.trajectory(agent_turns(spark, sf), V.PAD, V.EOS, segment=2)
+    return _packed(TR.pack_trajectory(rows, _MAX))
+
+
+def _packed(rows):
     return rows.select(
         "prompt_id",
         "gen_id",
