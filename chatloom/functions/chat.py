@@ -114,13 +114,25 @@ def drop_last(conv: Column) -> Column:
 
 
 def parse_rendered(prompt: Column) -> Column:
-    """Rendered text back to closed messages; an open last turn does not match."""
-    pattern = F.lit(
-        r"(?s)<\|im_start\|>(system|user|assistant)[" + BLANK + r"]+(.*?)<\|im_end\|>"
-    )
-    roles = F.regexp_extract_all(prompt, pattern, F.lit(1))
-    bodies = F.regexp_extract_all(prompt, pattern, F.lit(2))
-    return F.zip_with(roles, bodies, lambda r, b: message(r, strip(b)))
+    """Rendered text back to closed messages; an open last turn does not match.
+
+    The text is searched once; role and content are cut out of each match.
+    """
+    pattern = r"(?s)<\|im_start\|>(?:system|user|assistant)[" + BLANK + r"]+.*?<\|im_end\|>"
+    found = F.regexp_extract_all(prompt, F.lit(pattern), F.lit(0))
+
+    def cut(match):
+        inner = F.substring(match, F.lit(len(START) + 1), F.length(match) - len(START) - len(END))
+        role = F.element_at(
+            F.filter(
+                F.array(*map(F.lit, ("system", "user", "assistant"))),
+                lambda r: F.startswith(inner, r),
+            ),
+            1,
+        )
+        return message(role, strip(F.substring(inner, F.length(role) + 1, F.length(inner))))
+
+    return F.transform(found, cut)
 
 
 def append_answer(conv: Column, text: Column) -> Column:

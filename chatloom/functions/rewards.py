@@ -121,12 +121,16 @@ def offered_names(tools: Column) -> Column:
 def valid_call(call: Column, offered: Column, rules=None) -> Column:
     """Offered, known, and all required arguments given."""
     rules = TOOL_RULES if rules is None else rules
-    name, args = call_name(call), call_arguments(call)
-    check = F.lit(False)
-    for tool, needs in rules.items():
-        ok = reduce(lambda a, b: a & b, [_passes(args, a, t) for a, t in needs], F.lit(True))
-        check = F.when(name == tool, ok).otherwise(check)
-    return F.coalesce(F.array_contains(offered, F.coalesce(name, F.lit(""))) & check, F.lit(False))
+
+    def judge(c):
+        check = F.lit(False)
+        for tool, needs in rules.items():
+            ok = reduce(lambda a, b: a & b, [_passes(c["args"], a, t) for a, t in needs], F.lit(True))
+            check = F.when(c["name"] == tool, ok).otherwise(check)
+        return F.coalesce(F.array_contains(offered, c["name"]) & check, F.lit(False))
+
+    name = F.coalesce(call_name(call), F.lit(""))
+    return let(F.struct(name.alias("name"), call_arguments(call).alias("args")), judge)
 
 
 def tag_imbalance(turns: Column) -> Column:

@@ -1,5 +1,8 @@
 """Rewards of whole rollouts: reasoning answers, tool-using answers, tool lookups."""
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +22,6 @@ def attach_scores(rows: DataFrame, scores: DataFrame, keys=None) -> DataFrame:
 def scorer_udf(load):
     """A scorer of the user's own: ``load()`` runs once per Python worker and
     returns ``list of texts -> list of scores``; rows come in Arrow batches."""
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         run = load()

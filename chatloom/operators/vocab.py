@@ -20,7 +20,7 @@ SPECIALS = [
 ]
 RESERVED = ["\n", "system", "user", "assistant", "tool"]
 PAD, UNK, BOS, EOS = 0, 1, 2, 3
-NEWLINE, ASSISTANT = SPECIALS.__len__(), len(SPECIALS) + 3
+NEWLINE, ASSISTANT = len(SPECIALS), len(SPECIALS) + 3
 ASSISTANT_OPEN = [BOS, ASSISTANT, NEWLINE]  # <|im_start|>assistant\n
 ASSISTANT_CLOSE = [EOS, NEWLINE]  # <|im_end|>\n
 

@@ -9,13 +9,11 @@ from chatloom.operators import trajectories as TR
 from chatloom.operators import vocab as V
 from chatloom.plans.chats import s_body, s_injected
 from chatloom.plans.common import (
-    S_TURNS,
     digest,
     query,
     r6,
     s_digest,
     s_encode,
-    s_frame,
     s_pad,
     s_r6,
     s_u,

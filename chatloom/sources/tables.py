@@ -193,7 +193,6 @@ def doc_pairs(spark, sf) -> DataFrame:
 
 
 # Log lines in the five formats, by event type; the value is the metric reported.
-_V = "value"
 LOG_LINE = """CASE event_type
   WHEN 'view' THEN {f}('Epoch:[1/2](%d/200000) loss:%.6f lr:0.000500000000 epoch_Time:12.0min:', event_id, value)
   WHEN 'purchase' THEN {f}('Epoch:[2/2](%d/200000), loss: %.4f, logits_loss: %.4f, aux_loss: 0.0000, lr: 0.00050000, epoch_time: 3.5min', event_id, value, value)

@@ -99,11 +99,12 @@ def test_lonely_rollout_has_no_group_advantage(spark):
 
 def test_outlier_is_held_at_ten(spark):
     rows = [(1, g, g % 2, 0.0) for g in range(200)] + [(1, 200, 0, 1000.0)]
-    raw = (1000.0 - 1000 / 201) / (math.sqrt((1000 - 1000 / 201) ** 2 / 200 + 200 * (1000 / 201) ** 2 / 200) + 1e-4)
-    assert raw > 10
+    average = 1000 / 201
+    deviation = math.sqrt(((1000 - average) ** 2 + 200 * average**2) / 200)
+    assert (1000 - average) / deviation > 10
     got = O.group_advantage(rollouts(spark, rows)).where("gen_id = 200").first().advantage
-    others = [(-1000 / 201) / (raw and (1000.0 - 1000 / 201) / raw)] * 100
-    values = [10.0, *others]
+    # the outlier's batch: itself, held, and the even half of the others
+    values = [10.0] + [-average / (deviation + 1e-4)] * 100
     mean = sum(values) / 101
     spread = math.sqrt(sum((v - mean) ** 2 for v in values) / 100)
     assert got == pytest.approx((10 - mean) / spread, rel=1e-4)

@@ -71,10 +71,7 @@ def test_eta(one):
 
 
 def test_log_file_offsets(spark, tmp_path):
-    body = "première ligne\nEpoch 2\r\nbad \xff byte\n\n日本\nlast"
-    data = body.encode("latin-1", "ignore") if False else (
-        "première ligne\nEpoch 2\r\nbad ".encode() + b"\xff" + " byte\n\n日本\nlast".encode()
-    )
+    data = "première ligne\nEpoch 2\r\nbad ".encode() + b"\xff" + " byte\n\n日本\nlast".encode()
     path = tmp_path / "train.log"
     path.write_bytes(data)
     content = data.decode("utf-8", errors="replace").replace("\r\n", "\n")
