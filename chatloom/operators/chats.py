@@ -140,6 +140,7 @@ def reject_reason(conv: Column) -> Column:
     )
     return (
         F.when(conv.isNull() | (F.size(conv) == 0), F.lit("empty conversation"))
+        .when(F.exists(conv, lambda m: m["role"].isNull()), F.lit("missing role"))
         .when(bad_tools, F.lit("bad tools json"))
         .when(bad_calls, F.lit("bad tool call json"))
         .when(F.size(conv) == 1, F.lit("empty prompt"))

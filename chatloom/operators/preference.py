@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.operators.groups import rank_in_group
+from chatloom.operators.groups import collect_in_order, rank_in_group
 
 
 def compare(pairs: DataFrame, scores: DataFrame, with_scores: bool = False) -> DataFrame:
@@ -39,6 +39,24 @@ def rank_order(candidates: DataFrame, floor: int | None = None) -> DataFrame:
     )
 
 
+def rank_lists(candidates: DataFrame, limit: int = 4096) -> DataFrame:
+    """The same as arrays, best first: ``(prompt_id, segment, last, candidates,
+    scores)``. A prompt of more than ``limit`` candidates comes as several rows."""
+    rows = candidates.select(
+        "prompt_id", "gen_id", "score", F.col("score").isNull().alias("_none"), (-F.col("score")).alias("_by")
+    )
+    lists = collect_in_order(
+        rows, ["prompt_id"], ["_none", "_by", "gen_id"], F.struct("gen_id", "score"), limit
+    )
+    return lists.select(
+        "prompt_id",
+        "segment",
+        "last",
+        F.transform("items", lambda e: e["gen_id"]).alias("candidates"),
+        F.transform("items", lambda e: e["score"]).alias("scores"),
+    )
+
+
 def best_of_n(candidates: DataFrame) -> DataFrame:
     """Top candidate of each prompt. One pass, combined before the shuffle."""
     keep = [c for c in candidates.columns if c != "prompt_id"]

@@ -85,6 +85,22 @@ def p03(spark, sf):
     return P.rank_order(candidates(spark, sf))
 
 
+@query(
+    "p03_rank_lists",
+    f"""{_RANKED} SELECT prompt_id, 0 AS segment, TRUE AS last, string_agg(gen_id, ' ' ORDER BY rank) AS candidates,
+  string_agg(CAST(score AS INTEGER), ' ' ORDER BY rank) AS scores FROM k GROUP BY prompt_id""",
+)
+def p03_lists(spark, sf):
+    rows = P.rank_lists(candidates(spark, sf))
+    return rows.select(
+        "prompt_id",
+        "segment",
+        "last",
+        F.array_join(F.col("candidates").cast("array<string>"), " ").alias("candidates"),
+        F.array_join(F.col("scores").cast("array<int>").cast("array<string>"), " ").alias("scores"),
+    )
+
+
 @query("p04_rank", f"{_RANKED} SELECT prompt_id, gen_id, score, rank FROM k")
 def p04(spark, sf):
     return P.rank(candidates(spark, sf)).select("prompt_id", "gen_id", "score", "rank")

@@ -22,3 +22,32 @@ RL_PROMPT = SFT
 AGENT_TASK = T.StructType(
     [T.StructField("conversations", CONVERSATION), T.StructField("gt", T.ArrayType(T.StringType()))]
 )
+
+# Tables that come from elsewhere: rollouts and scores from inference, headers and
+# lines from training runs.
+_LONG, _INT, _TEXT, _REAL = T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType()
+_INTS, _REALS = T.ArrayType(_INT), T.ArrayType(_REAL)
+
+
+def _table(**fields) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+ROLLOUT = _table(
+    prompt_id=_LONG,
+    gen_id=_INT,
+    batch_id=_LONG,
+    completion=_TEXT,
+    ids=_INTS,
+    new_logps=_REALS,
+    old_logps=_REALS,
+    ref_logps=_REALS,
+    prompt_len=_INT,
+)
+AGENT_TURN = _table(
+    prompt_id=_LONG, gen_id=_INT, turn=_INT, part=_TEXT, ids=_INTS, logps=_REALS
+)
+MODEL_SCORE = _table(prompt_id=_LONG, gen_id=_INT, part=_TEXT, score=_REAL)
+CHECKPOINT = _table(run=_TEXT, epoch=_INT, step=_LONG, world_size=_INT)
+LOG_LINE = _table(run=_TEXT, offset=_LONG, arrived=T.TimestampType(), line=_TEXT)
+SCORE_CARD = _table(model=_TEXT, subset=_TEXT, accuracy=_REAL)

@@ -8,36 +8,41 @@ from chatloom import schemas
 from chatloom.operators.groups import FLOOR, rank_in_group
 
 
-def _json(spark: SparkSession, path: str, schema, mode: str = "FAILFAST") -> DataFrame:
-    return spark.read.schema(schema).option("mode", mode).json(path)
-
-
-def read_pretrain(spark: SparkSession, path: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType, extras: bool) -> DataFrame:
+    """Declared columns of JSON lines; a line that is not JSON raises. With
+    ``extras`` the whole line comes along as the variant ``row``, so that fields
+    nobody declared are not lost."""
+    if not extras:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    parsed = spark.read.text(path).select(F.parse_json(F.trim("value")).alias("row"))
+    declared = [
+        F.try_variant_get("row", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+        for f in schema
+    ]
+    return parsed.select(*declared, "row")
+
+
+def read_pretrain(spark: SparkSession, path: str, extras: bool = False) -> DataFrame:
     """One document per line; numbers and other values become text."""
-    return _json(spark, path, schemas.PRETRAIN)
+    return _read(spark, path, schemas.PRETRAIN, extras)
 
 
-def read_sft(spark: SparkSession, path: str) -> DataFrame:
+def read_sft(spark: SparkSession, path: str, extras: bool = False) -> DataFrame:
     """One conversation per line; message fields a line lacks are null."""
-    return _json(spark, path, schemas.SFT)
+    return _read(spark, path, schemas.SFT, extras)
 
 
-def read_preference(spark: SparkSession, path: str) -> DataFrame:
-    return _json(spark, path, schemas.PREFERENCE)
+def read_preference(spark: SparkSession, path: str, extras: bool = False) -> DataFrame:
+    return _read(spark, path, schemas.PREFERENCE, extras)
 
 
-def read_rl_prompts(spark: SparkSession, path: str) -> DataFrame:
-    return _json(spark, path, schemas.RL_PROMPT)
+def read_rl_prompts(spark: SparkSession, path: str, extras: bool = False) -> DataFrame:
+    return _read(spark, path, schemas.RL_PROMPT, extras)
 
 
 def read_agent_tasks(spark: SparkSession, path: str) -> DataFrame:
-    """One task per line: the declared columns and the whole line as a variant.
-    A line that is not JSON raises."""
-    line = F.trim(F.col("value"))
-    parsed = spark.read.text(path).select(F.parse_json(line).alias("task"))
-    messages = F.try_variant_get("task", "$.conversations", schemas.CONVERSATION.simpleString())
-    expected = F.try_variant_get("task", "$.gt", "array<string>")
-    return parsed.select(messages.alias("conversations"), expected.alias("gt"), "task")
+    """One task per line, with the whole line as the variant ``row``."""
+    return _read(spark, path, schemas.AGENT_TASK, extras=True)
 
 
 def with_ids(df: DataFrame, key: str, floor: int = FLOOR) -> DataFrame:

@@ -120,11 +120,12 @@ def test_rejects(spark):
         [msg("system", "", tools="{"), msg("user", "x")],
         [msg("user", "x"), msg("assistant", "", calls="[")],
         [msg("user", "x"), msg("assistant", "y")],
+        [msg(None, "x"), msg("assistant", "y")],
     )
     good, bad = O.validate_chats(df)
     assert [r.conv_id for r in good.collect()] == [4]
     assert dict(bad.collect()) == {
-        "empty conversation": 1, "empty prompt": 1, "bad tools json": 1, "bad tool call json": 1,
+        "empty conversation": 1, "empty prompt": 1, "bad tools json": 1, "bad tool call json": 1, "missing role": 1,
     }
 
 

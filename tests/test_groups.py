@@ -140,6 +140,10 @@ def test_ties_go_to_the_first(spark):
     )
     assert [r.candidate for r in P.rank_order(cand).where("prompt_id = 1").orderBy("place").collect()] == [0, 1, 2, 3]
     assert {r.prompt_id: r.gen_id for r in P.best_of_n(cand).collect()} == {1: 0, 2: 1}
+    lists = {r.prompt_id: (r.candidates, r.scores) for r in P.rank_lists(cand).collect()}
+    assert lists == {1: ([0, 1, 2, 3], [2.0] * 4), 2: ([1, 0], [-5.0, None])}
+    cut = P.rank_lists(cand, limit=3).where("prompt_id = 1").orderBy("segment").collect()
+    assert [(r.candidates, r.last) for r in cut] == [([0, 1, 2], False), ([3], True)]
 
 
 def test_accuracy(spark):

@@ -37,10 +37,23 @@ def test_preference_and_prompts(spark, tmp_path):
 def test_agent_tasks(spark, tmp_path):
     task = {"conversations": [{"role": "system", "content": "", "tools": "[1]"}], "gt": ["7.21", "x"], "more": {"a": 1}}
     rows = readers.read_agent_tasks(spark, write(tmp_path, [task]))
-    row = rows.select("conversations", "gt", F.try_variant_get("task", "$.more.a", "int").alias("a")).first()
+    row = rows.select("conversations", "gt", F.try_variant_get("row", "$.more.a", "int").alias("a")).first()
     assert (row.conversations[0].tools, row.gt, row.a) == ("[1]", ["7.21", "x"], 1)
 
 
+def test_undeclared_fields_come_along(spark, tmp_path):
+    line = {"conversations": [{"role": "user", "content": "hi", "lang": "en"}], "id": 7}
+    path = write(tmp_path, [line])
+    row = readers.read_sft(spark, path, extras=True)
+    got = row.select(
+        "conversations",
+        F.variant_get("row", "$.id", "int").alias("id"),
+        F.variant_get("row", "$.conversations[0].lang", "string").alias("lang"),
+    ).first()
+    assert got.conversations == readers.read_sft(spark, path).first().conversations
+    assert (got.id, got.lang) == (7, "en")
+
+
 @pytest.mark.parametrize("reader", [readers.read_sft, readers.read_agent_tasks, readers.read_pretrain])
 def test_bad_lines_raise(spark, tmp_path, reader):
     path = write(tmp_path, [{"conversations": []}, "{broken"])
