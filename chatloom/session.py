@@ -17,11 +17,11 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named
     sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    here = tempfile.mkdtemp(prefix="chatloom-")
-    spark.conf.set("spark.checkpoint.dir", here)
-    return here
+    if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="chatloom-"))
+    return sc.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -1,4 +1,5 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,9 +77,33 @@ def test_special_ids(spark, tmp_path):
     assert dict(readers.read_special_ids(spark, str(path)).collect()) == V.REWARD_IDS
 
 
+class Context:
+    def __init__(self, master):
+        self.master, self.dir = master, None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, path):
+        self.dir = path
+
+
+def session_with(master, named=None):
+    conf = SimpleNamespace(get=lambda key, default=None: named or default)
+    return SimpleNamespace(conf=conf, sparkContext=Context(master))
+
+
+def test_a_named_folder_is_used_and_a_cluster_must_name_one():
+    assert session.shared_dir(session_with("yarn", "hdfs:/shared")) == "hdfs:/shared"
+    with pytest.raises(RuntimeError):
+        session.shared_dir(session_with("yarn"))
+    local = session_with("local[2]")
+    assert session.shared_dir(local) == session.shared_dir(local) != session.shared_dir(session_with("local[2]"))
+
+
 def test_shared_folder_is_the_sessions(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
-    assert session.shared_dir(spark) == (named or spark.conf.get("spark.checkpoint.dir"))
+    assert session.shared_dir(spark) == (named or spark.sparkContext.getCheckpointDir())
     a, b = session.fresh_path(spark, "t"), session.fresh_path(spark, "t")
     assert a != b and a.startswith(session.shared_dir(spark).rstrip("/"))
 
