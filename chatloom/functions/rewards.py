@@ -118,8 +118,8 @@ def offered_names(tools: Column) -> Column:
     )
 
 
-def valid_call(call: Column, offered: Column, rules=None) -> Column:
-    """Offered, known, and all required arguments given."""
+def passes_rules(call: Column, rules=None) -> Column:
+    """Known, and all required arguments given."""
     rules = TOOL_RULES if rules is None else rules
 
     def judge(c):
@@ -127,18 +127,26 @@ def valid_call(call: Column, offered: Column, rules=None) -> Column:
         for tool, needs in rules.items():
             ok = reduce(lambda a, b: a & b, [_passes(c["args"], a, t) for a, t in needs], F.lit(True))
             check = F.when(c["name"] == tool, ok).otherwise(check)
-        return F.coalesce(F.array_contains(offered, c["name"]) & check, F.lit(False))
+        return F.coalesce(check, F.lit(False))
 
     name = F.coalesce(call_name(call), F.lit(""))
     return let(F.struct(name.alias("name"), call_arguments(call).alias("args")), judge)
 
 
+def valid_call(call: Column, offered: Column, rules=None) -> Column:
+    """Offered, known, and all required arguments given."""
+    name = F.coalesce(call_name(call), F.lit(""))
+    return F.array_contains(offered, name) & passes_rules(call, rules)
+
+
+def unpaired_tags(turn: Column) -> Column:
+    return F.abs(count_of(turn, "<tool_call>") - count_of(turn, "</tool_call>"))
+
+
 def tag_imbalance(turns: Column) -> Column:
     """-0.5 for every unpaired tool-call tag, turn by turn (turns think-stripped)."""
-    gap = F.transform(
-        turns, lambda t: F.abs(count_of(t, "<tool_call>") - count_of(t, "</tool_call>"))
-    )
-    return F.aggregate(gap, F.lit(0), lambda a, x: a + x) * F.lit(-0.5)
+    gaps = F.transform(turns, unpaired_tags)
+    return F.aggregate(gaps, F.lit(0), lambda a, x: a + x) * F.lit(-0.5)
 
 
 def length_reward(text: Column) -> Column:

@@ -50,49 +50,91 @@ def reasoning_reward(rollouts: DataFrame, scores: DataFrame, reasoning: bool = T
     return scored.withColumn("reward", total).drop("score", "answer_score")
 
 
+def _agent_total(calls: Column, valid: Column, tags: Column, answer: Column) -> Column:
+    """Reward of a rollout from what its turns add up to and its last answer."""
+    response = F.col("response")
+    spoken = F.when(
+        F.contains(response, F.lit("</think>")), strip(after_first(response, "</think>"))
+    ).otherwise(answer)
+    plain = (
+        R.length_reward(response)
+        + R.think_reward(response)
+        + F.coalesce(F.col("score"), F.lit(0.0))
+        - R.repetition_penalty(spoken)
+    )
+    last = R.final_text(answer, F.col("unfinished"))
+    tooled = (
+        R.tool_gap_reward(calls, valid, F.size("gt"))
+        + R.gt_match(last, F.col("gt"))
+        - F.when(F.col("unfinished"), F.lit(0.5)).otherwise(F.lit(0.0))
+        - R.repetition_penalty(F.when(last != "", last).otherwise(answer))
+    )
+    return R.clip(tags + F.when(calls == 0, plain).otherwise(tooled))
+
+
 def agent_reward(rollouts: DataFrame) -> DataFrame:
     """Reward of a tool-using rollout ``(turns, response, unfinished, tools, gt, score)``.
 
     ``turns`` are the model's texts, ``response`` the last of them, ``tools`` the
     tools JSON, ``score`` a model score of the no-call answer (null: none).
     """
-    answers = F.transform("turns", R.strip_think)
-    read = rollouts.withColumn("_answers", answers)
+    read = rollouts.withColumn("_answers", F.transform("turns", R.strip_think))
     read = read.withColumn(
         "_answer",
         F.coalesce(F.try_element_at("_answers", F.lit(-1)), strip(F.col("response"))),
     ).withColumn("_names", R.offered_names(F.col("tools")))
     calls = F.flatten(F.transform("_answers", R.parse_tool_calls))
-    checked = F.transform(calls, lambda c: R.valid_call(c, F.col("_names")))
     # one flag per call: its size and its true entries are all the rules need
-    read = read.withColumn("_valid", checked)
+    read = read.withColumn("_valid", F.transform(calls, lambda c: R.valid_call(c, F.col("_names"))))
     n_calls = F.size("_valid")
     n_valid = F.size(F.filter("_valid", lambda v: v))
-
-    response = F.col("response")
-    spoken = F.when(
-        F.contains(response, F.lit("</think>")), strip(after_first(response, "</think>"))
-    ).otherwise(F.col("_answer"))
-    plain = (
-        R.length_reward(response)
-        + R.think_reward(response)
-        + F.coalesce(F.col("score"), F.lit(0.0))
-        - R.repetition_penalty(spoken)
-    )
-    last = R.final_text(F.col("_answer"), F.col("unfinished"))
-    tooled = (
-        R.tool_gap_reward(n_calls, n_valid, F.size("gt"))
-        + R.gt_match(last, F.col("gt"))
-        - F.when(F.col("unfinished"), F.lit(0.5)).otherwise(F.lit(0.0))
-        - R.repetition_penalty(F.when(last != "", last).otherwise(F.col("_answer")))
-    )
-    total = R.tag_imbalance(F.col("_answers")) + F.when(n_calls == 0, plain).otherwise(tooled)
+    total = _agent_total(n_calls, n_valid, R.tag_imbalance(F.col("_answers")), F.col("_answer"))
     return read.select(
         *rollouts.columns,
         n_calls.alias("calls"),
         n_valid.alias("valid_calls"),
-        R.clip(total).alias("reward"),
+        total.alias("reward"),
+    )
+
+
+def agent_reward_from_turns(turns: DataFrame, rollouts: DataFrame) -> DataFrame:
+    """The same from long form: ``turns`` are ``(keys, turn, text)``, ``rollouts`` are
+    ``(keys, unfinished, tools, gt, score)``.
+
+    Turns are never gathered. Calls and tags add up by partial aggregation, calls by
+    name first, so that the tools on offer meet a count and not every call.
+    """
+    read = turns.select(*KEYS, "turn", "text", R.strip_think(F.col("text")).alias("answer"))
+    judged = F.transform(
+        R.parse_tool_calls(F.col("answer")),
+        lambda c: F.struct(
+            F.coalesce(R.call_name(c), F.lit("")).alias("name"), R.passes_rules(c).alias("ok")
+        ),
+    )
+    read = read.withColumn("calls", judged)
+    sums = read.groupBy(*KEYS).agg(
+        F.sum(F.size("calls")).alias("calls"),
+        (F.sum(R.unpaired_tags(F.col("answer"))) * F.lit(-0.5)).alias("_tags"),
+        F.max_by(F.struct("text", "answer"), F.col("turn")).alias("_last"),
+    )
+    passed = (
+        read.select(*KEYS, F.inline("calls"))
+        .where("ok")
+        .groupBy(*KEYS, "name")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    offered = rollouts.select(*KEYS, F.explode(R.offered_names(F.col("tools"))).alias("name"))
+    valid = (
+        passed.join(offered, [*KEYS, "name"]).groupBy(*KEYS).agg(F.sum("n").alias("valid_calls"))
+    )
+    rows = (
+        rollouts.join(sums, KEYS)
+        .join(valid, KEYS, "left")
+        .withColumn("response", F.col("_last.text"))
+        .fillna(0, ["valid_calls"])
     )
+    total = _agent_total(F.col("calls"), F.col("valid_calls"), F.col("_tags"), F.col("_last.answer"))
+    return rows.select(*rollouts.columns, "calls", "valid_calls", total.alias("reward"))
 
 
 # The lookup tables behind the five lookup tools.

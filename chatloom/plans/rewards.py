@@ -309,15 +309,13 @@ _PLAIN = f"({s_length('response')} + {s_think('response')} + coalesce(score, 0)
 _TOOLED = f"({_GAP_REWARD} + {_MATCH} - CASE WHEN unfinished THEN 0.5 ELSE 0 END - {s_penalty('last_w')})"
 
 
-@query(
-    "r17_agent_reward",
-    f"""WITH {_PER_ROLLOUT}, w AS (SELECT *, {s_words(_SPOKEN)} AS spoken_w,
+S_AGENT_REWARD = f"""WITH {_PER_ROLLOUT}, w AS (SELECT *, {s_words(_SPOKEN)} AS spoken_w,
   {s_words("CASE WHEN last <> '' THEN last ELSE answer END")} AS last_w FROM full_ro)
 SELECT prompt_id, gen_id, calls, valid AS valid_calls,
-  {s_r6(s_clip(f"(tags + CASE WHEN calls = 0 THEN {_PLAIN} ELSE {_TOOLED} END)"))} AS reward FROM w""",
-)
-def r17(spark, sf):
-    rows = O.agent_reward(D.tool_rollouts(spark, sf))
+  {s_r6(s_clip(f"(tags + CASE WHEN calls = 0 THEN {_PLAIN} ELSE {_TOOLED} END)"))} AS reward FROM w"""
+
+
+def _rewarded(rows):
     return rows.select(
         "prompt_id",
         "gen_id",
@@ -327,6 +325,17 @@ def r17(spark, sf):
     )
 
 
+@query("r17_agent_reward", S_AGENT_REWARD)
+def r17(spark, sf):
+    return _rewarded(O.agent_reward(D.tool_rollouts(spark, sf)))
+
+
+@query("r17_agent_reward_from_turns", S_AGENT_REWARD)
+def r17_turns(spark, sf):
+    """From turns in long form: none are gathered."""
+    return _rewarded(O.agent_reward_from_turns(D.tool_turns(spark, sf), D.tool_tasks(spark, sf)))
+
+
 # ---- lookups ------------------------------------------------------------------
 
 _CITIES = ["Paris", "北京", "Nowhere", "New York", "Sydney"]

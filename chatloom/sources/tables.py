@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import arrays as A
 from chatloom.functions.text import uniform
-from chatloom.operators.chats import chats_from_turns
+from chatloom.operators.chats import SEGMENT, chats_from_turns
+from chatloom.operators.groups import collect_in_order
 from chatloom.session import spread
 
 OFFERED = (
@@ -120,12 +121,10 @@ def tool_turns(spark, sf) -> DataFrame:
     )
 
 
-def tool_rollouts(spark, sf) -> DataFrame:
+def tool_tasks(spark, sf) -> DataFrame:
+    """What a rollout with tools is judged by, one row per rollout."""
     pid, gen = F.col("prompt_id"), F.col("gen_id")
-    collected = F.sort_array(F.collect_list(F.struct("turn", "text")))
-    rows = tool_turns(spark, sf).groupBy("prompt_id", "gen_id").agg(
-        F.transform(collected, lambda e: e["text"]).alias("turns")
-    )
+    rows = tool_turns(spark, sf).select("prompt_id", "gen_id").distinct()
     number = pid.cast("string")
     gt = (
         F.when(pid % 4 == 0, F.array().cast("array<string>"))
@@ -136,8 +135,6 @@ def tool_rollouts(spark, sf) -> DataFrame:
     return rows.select(
         "prompt_id",
         "gen_id",
-        "turns",
-        F.element_at("turns", -1).alias("response"),
         ((pid + gen) % 5 == 0).alias("unfinished"),
         F.when(pid % 6 != 5, F.lit(OFFERED)).alias("tools"),
         gt.alias("gt"),
@@ -147,6 +144,17 @@ def tool_rollouts(spark, sf) -> DataFrame:
     )
 
 
+def tool_rollouts(spark, sf) -> DataFrame:
+    """The same with the rollout's turns as an array (several rows, each with a part
+    of the turns, should a rollout be longer than a row may be)."""
+    keys = ["prompt_id", "gen_id"]
+    rows = collect_in_order(tool_turns(spark, sf), keys, ["turn"], F.col("text"), SEGMENT)
+    turns = rows.select(
+        *keys, F.col("items").alias("turns"), F.element_at("items", -1).alias("response")
+    )
+    return turns.join(tool_tasks(spark, sf), keys)
+
+
 def logged_rollouts(spark, sf) -> DataFrame:
     """Rollouts with log-probs from the number rows: eight to a prompt, eight
     prompts to a batch."""

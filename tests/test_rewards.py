@@ -182,6 +182,26 @@ def test_agent_with_calls(spark):
     assert (r.valid_calls, r.reward) == (0, -0.5 * 2 + 2.5)
 
 
+def test_agent_from_turns_agrees(spark):
+    call = '<tool_call>{"name":"get_current_weather","arguments":{"location":"Paris"}}</tool_call>'
+    cases = [
+        [call, "it is 10°C there"],
+        [call + call, "<think>hm</think> 10°C <tool_call>"],
+        ["<think>" + "because " * 5 + "</think>the answer"],
+        ["<tool_call>{}</tool_call>"],
+        ["plain"],
+    ]
+    whole = spark.createDataFrame(
+        [(i, 0, t, t[-1], i == 1, OFFER if i != 3 else None, ["10°C"], 0.5) for i, t in enumerate(cases)],
+        ROLLOUT,
+    )
+    turns = whole.select("prompt_id", "gen_id", F.posexplode("turns").alias("turn", "text"))
+    long = O.agent_reward_from_turns(turns.repartition(3), whole.drop("turns", "response"))
+    columns = ["prompt_id", "calls", "valid_calls", "reward"]
+    want = [tuple(r) for r in O.agent_reward(whole).select(*columns).orderBy("prompt_id").collect()]
+    assert [tuple(r) for r in long.select(*columns).orderBy("prompt_id").collect()] == want
+
+
 def test_reasoning_reward(spark):
     full = "<think>\na\n</think>\n<answer>\nb\n</answer>"
     rows = spark.createDataFrame([(1, 0, full), (1, 1, "plain"), (1, 2, "x")], "prompt_id long, gen_id int, completion string")
