@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import arrays as A
 from chatloom.operators.chats import SEGMENT
 from chatloom.operators.groups import FLOOR, collect_in_order, with_group_stats
+from chatloom.session import materialize
 
 KEYS = ["prompt_id", "gen_id"]
 
@@ -71,8 +72,9 @@ def pack_trajectory(rows: DataFrame, max_total: int = 2500) -> DataFrame:
         (F.size("prompt_ids") + F.size("response_ids")).cast("bigint").alias("total"),
         (F.size("prompt_ids") > 0).alias("prompted"),
     )
-    long = flat.where(F.col("segment") > 0).select(*KEYS).distinct()
-    if not long.isEmpty():
+    if not flat.where(F.col("segment") > 0).isEmpty():
+        flat = materialize(flat)  # read several times from here
+        long = flat.where(F.col("segment") > 0).select(*KEYS).distinct()
         tails = _join_tails(flat.join(long, KEYS, "left_semi"), max_total)
         flat = flat.join(long, KEYS, "left_anti").drop("segment").unionByName(tails)
     cut = F.col("total") > max_total
