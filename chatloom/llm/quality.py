@@ -167,18 +167,20 @@ def as_case(rules: list[list[Term]]) -> str:
 
 
 def learn_rules(labelled: DataFrame, label: str = "quality", key: str = "doc_id") -> list[list[Term]]:
-    """Ordered rules that find rows of ``label`` 0.
+    """Ordered rules that find rows of ``label`` 0 among those that pass the base rules.
 
     ``labelled`` holds the features, ``key`` and ``label``. Growing and pruning rows are
     told apart by crc32 of the key. The driver gets counts by (feature, bin, label), some
     hundreds of rows in a step.
     """
-    rows = labelled.where(F.col(label).isin(0, 1)).select(
+    rows = labelled.select(
         *FEATURES,
+        base_failed().alias("failed"),
         (F.col(label) == 0).alias("bad"),
         (F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 3 == 0).alias("prune"),
     )
-    rows = materialize(rows)
+    # Filtered after it is written: a filter before would pull all expressions into itself.
+    rows = materialize(rows).where(~F.col("failed") & F.col("bad").isNotNull())
     cuts = {}
     shares = [(k + 1) / (BINS + 1) for k in range(BINS)]
     # Quantiles of each class, so that a rare class gets thresholds of its own.
@@ -286,5 +288,11 @@ def train(docs: DataFrame, labels: DataFrame) -> list[list[Term]]:
     rows = docs.select("doc_id", "text").join(
         F.broadcast(marks), F.col("doc_id") == F.col("_id")
     )
-    stats = with_stats(rows.select("doc_id", "text", "_label")).where(~base_failed())
-    return learn_rules(stats, label="_label")
+    return learn_rules(with_stats(rows.select("doc_id", "text", "_label")), label="_label")
+
+
+def kept_rows(judged: DataFrame, row: str = "_row") -> DataFrame:
+    """The rows in struct ``row`` that are kept. The condition stands in a generator, since
+    a filter would be pushed down and take the statistics' expressions with it."""
+    kind = judged.schema[row].dataType.simpleString()
+    return judged.select(F.inline(F.when(F.col("kept"), F.array(row)).otherwise(F.array().cast(f"array<{kind}>"))))

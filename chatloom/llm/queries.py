@@ -3,14 +3,20 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from chatloom.llm import common, decontaminate, pii, quality, secrets
+from chatloom.llm import common, decontaminate, packing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -74,3 +80,9 @@ SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN cover USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+
+@query
+def op5_pack(spark, sf):
+    docs = common.table(spark, sf, "documents").select("doc_id", "text")
+    return packing.best_fit_packing(docs, vocabulary("byte_bpe_50k.json"))

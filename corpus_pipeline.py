@@ -15,7 +15,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the base rules or the learned list reject go."""
     rules = quality.train(docs, common.table(spark, sf_dir, "labels"))
     rows = docs.select(F.struct("*").alias("_row"), "doc_id", "text")
-    return quality.judge(rows, rules).where("kept").select("_row.*")
+    return quality.kept_rows(quality.judge(rows, rules))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
