@@ -71,16 +71,14 @@ def _cut_all(enc, keys, texts, capacity):
     )
 
 
-def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
-    """The best bound that two families of dual-feasible functions give.
+def lower_bound(hist: np.ndarray, capacity: int = CAPACITY) -> int:
+    """The best bound on sequences that two families of dual-feasible functions give, from
+    the number of pieces of each length.
 
     ``U(e)`` counts lengths above C-e as C, those below e as 0; ``u(k)`` rounds the
     result to multiples of C/k where it isn't one of C/(k+1). Each is summed over the
-    histogram of lengths.
+    lengths.
     """
-    if not len(lengths):
-        return 0
-    hist = np.bincount(lengths, minlength=capacity + 1)
     size = np.arange(capacity + 1)
     cuts = np.unique(np.concatenate([[0], size[1 : capacity // 2 + 1][hist[1 : capacity // 2 + 1] > 0]]))
     best = 0
@@ -127,7 +125,7 @@ def pack_pool(rows: pd.DataFrame, pool: int, last: bool, capacity: int = CAPACIT
     )
     lengths = rows["length"].to_numpy(np.int64)
     where, offset, left = best_fit(lengths, capacity)
-    certified = len(left) == lower_bound(lengths, capacity)
+    certified = len(left) == lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
     free = np.zeros(len(left), bool)
     if not last:
         if certified:
@@ -190,9 +188,10 @@ def _packer(last: bool, capacity: int):
 
 def certificate(packed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
     """(sequences, lower bound for all pieces), from counts by length and by sequence."""
-    hist = packed.groupBy("length").count().collect()  # at most ``capacity`` rows
-    lengths = np.repeat([r["length"] for r in hist], [r["count"] for r in hist])
-    return packed.where("offset = 0").count(), lower_bound(lengths.astype(np.int64), capacity)
+    hist = np.zeros(capacity + 1, np.int64)
+    for r in packed.groupBy("length").count().collect():  # at most ``capacity`` rows
+        hist[r["length"]] = r["count"]
+    return packed.where("offset = 0").count(), lower_bound(hist, capacity)
 
 
 def best_fit_packing(df: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

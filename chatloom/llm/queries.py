@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import common, decontaminate, packing, pii, quality, secrets
+from chatloom.llm import common, decontaminate, ngram_join, packing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,3 +86,9 @@ FROM dw LEFT JOIN cover USING (doc_id) LEFT JOIN found USING (doc_id)
 def op5_pack(spark, sf):
     docs = common.table(spark, sf, "documents").select("doc_id", "text")
     return packing.best_fit_packing(docs, vocabulary("byte_bpe_50k.json"))
+
+
+@query
+def op9_ngram_join(spark, sf):
+    docs = common.table(spark, sf, "documents").select("doc_id", "text")
+    return ngram_join.join(docs).select("doc_id", "n_shingles", "component_id")

@@ -153,6 +153,11 @@ def segments(k: int) -> int:
     return int(band_bounds()[k + 1]) // 2 + 16
 
 
+def by_deletion(k: int) -> bool:
+    """Whether window k indexes one-deletion neighbourhoods."""
+    return int(band_bounds()[k + 1]) // 3 <= 1
+
+
 def signatures(s: np.ndarray, k: int) -> np.ndarray:
     """Signatures of a sorted set in window k; equal in two sets where a segment is.
 
@@ -164,7 +169,7 @@ def signatures(s: np.ndarray, k: int) -> np.ndarray:
     """
     salt = mix(np.array([k + 7], np.uint64))[0]
     most = most_difference(len(s), k)
-    if int(band_bounds()[k + 1]) // 3 <= 1:
+    if by_deletion(k):
         total = mix(s).sum(dtype=np.uint64)
         return mix(np.concatenate([[total], total - mix(s)]) ^ salt)
     m = np.uint64(segments(k))

@@ -7,7 +7,8 @@ and read again as the next one's docs. All but the last return the columns of do
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import common, decontaminate, quality, secrets
+from chatloom.llm import common, decontaminate, ngram_join, packing, quality, secrets
+from chatloom.llm.queries import vocabulary
 from chatloom.session import materialize
 
 
@@ -18,6 +19,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept_rows(quality.judge(rows, rules))
 
 
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one of the smallest id."""
+    return ngram_join.one_of_each(docs)
+
+
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
     found = decontaminate.contamination(docs, common.table(spark, sf_dir, "benchmark"))
@@ -36,10 +42,17 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return rows.select(*[changed.get(c, F.col(f"_row.{c}")).alias(c) for c in docs.columns])
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces and their places in sequences."""
+    return packing.best_fit_packing(docs, vocabulary("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", drop_copies),
     ("benchmark decontamination", drop_benchmark),
     ("secret scans", mask_secrets),
+    ("best-fit packing", pack),
 ]
 
 ORACLE_SQL = None
