@@ -4,7 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import common, decontaminate, ngram_join, packing, pii, quality, secrets
+from chatloom.llm import (
+    common,
+    decontaminate,
+    html_text,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    secrets,
+    urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,3 +102,13 @@ def op5_pack(spark, sf):
 def op9_ngram_join(spark, sf):
     docs = common.table(spark, sf, "documents").select("doc_id", "text")
     return ngram_join.join(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op7_main_text(spark, sf):
+    return html_text.main_text(common.table(spark, sf, "pages"))
+
+
+@query
+def op8_url_filter(spark, sf):
+    return urls.judge(common.table(spark, sf, "pages").select("page_id", "url"))
