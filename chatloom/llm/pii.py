@@ -114,10 +114,12 @@ def candidates(text: Column) -> Column:
 def scan(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """``key``, a digest of the text, ``n_<kind>``, base spans, candidates and seeds."""
     t = whole(text)
-    found = {k: matches_ for k, matches_ in base(t).items()}
+    found = base(t)
     none = empty("array<struct<start:bigint,end:bigint,s:string>>")
     guard = t.rlike(r"[0-9]")
-    out = df.withColumns({f"_{k}": F.when(guard, c).otherwise(none) for k, c in found.items()})
+    out = df.withColumns(
+        {f"_{k}": c if k == "email" else F.when(guard, c).otherwise(none) for k, c in found.items()}
+    )
     return out.select(
         *key,
         F.xxhash64(t).alias("_digest"),

@@ -13,7 +13,9 @@ from chatloom.llm import (
     pii,
     quality,
     secrets,
+    toxicity,
     urls,
+    wavelet,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +106,27 @@ def op9_ngram_join(spark, sf):
     return ngram_join.join(docs).select("doc_id", "n_shingles", "component_id")
 
 
+ORACLE["op9_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS sh
+  FROM w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS g(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(root) AS component_id
+FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+"""
+
+
 @query
 def op7_main_text(spark, sf):
     return html_text.main_text(common.table(spark, sf, "pages"))
@@ -112,3 +135,16 @@ def op7_main_text(spark, sf):
 @query
 def op8_url_filter(spark, sf):
     return urls.judge(common.table(spark, sf, "pages").select("page_id", "url"))
+
+
+@query
+def op1_wavelet_tokens(spark, sf):
+    docs = common.table(spark, sf, "documents").select("doc_id", "text")
+    return wavelet.encode_corpus(docs, vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op4_toxicity(spark, sf):
+    docs = common.table(spark, sf, "documents").select("doc_id", "text")
+    lexicon, weights = toxicity.learn(docs, common.table(spark, sf, "labels"))
+    return toxicity.score(docs, lexicon, weights)

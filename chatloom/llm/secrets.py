@@ -71,27 +71,29 @@ def entropy_windows(s: Column, most: Column, window: int = WINDOW) -> Column:
     numbers, so that no error gathers over a long run.
     """
     chars = F.transform(F.filter(F.split(s, ""), lambda c: c != ""), F.ascii)
-    steps = F.transform(
-        chars, lambda c, i: F.struct(c.alias("come"), F.get(chars, i - window).alias("go"), i.alias("i"))
+    steps = _then(
+        chars,
+        lambda all_: F.transform(
+            all_, lambda c, i: F.struct(c.alias("come"), F.get(all_, i - window).alias("go"), i.alias("i"))
+        ),
     )
     gain = F.lit([round(c * math.log2(c) * SCALE) if c else 0 for c in range(window + 2)])
 
     def bump(counts, code, by):
-        value = F.element_at(counts, code + 1) + by
+        value = F.get(counts, code) + by
         return F.concat(
             F.slice(counts, F.lit(1), code), F.array(value), F.slice(counts, code + 2, F.lit(128))
         )
 
     def step(acc, x):
-        gone = F.element_at(acc["counts"], x["go"] + 1)  # null while the window fills
+        gone = F.get(acc["counts"], x["go"])  # null while the window fills
         left = F.when(x["go"].isNull(), acc["counts"]).otherwise(bump(acc["counts"], x["go"], -1))
-        total = acc["total"] + F.coalesce(
-            F.element_at(gain, gone) - F.element_at(gain, gone + 1), F.lit(0)
-        )
-        n = F.element_at(left, x["come"] + 1)
+        less = F.coalesce(F.get(gain, gone) - F.get(gain, gone - 1), F.lit(0))
+        n = F.get(left, x["come"])
+        more = F.get(gain, n + 1) - F.get(gain, n)
         return F.struct(
             bump(left, x["come"], 1).alias("counts"),
-            (total + F.element_at(gain, n + 2) - F.element_at(gain, n + 1)).alias("total"),
+            (acc["total"] - less + more).alias("total"),
             acc["from"].alias("from"),
             acc["to"].alias("to"),
             acc["out"].alias("out"),
