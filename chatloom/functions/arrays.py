@@ -138,46 +138,55 @@ def append_once(ids: Column, token: int) -> Column:
     return F.when(ends, ids).otherwise(F.concat(ids, F.array(F.lit(token))))
 
 
-def _marker_positions(ids: Column, marker: list[int]) -> Column:
-    """Zero-based places where ``marker`` occurs whole."""
-    k = len(marker)
-    whole = F.array(*[F.lit(m) for m in marker])
-    last = F.size(ids) - k
-    places = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(
-        F.array().cast("array<int>")
-    )
-    # the cheap first-id test runs before the slice
+def _firsts(ids: Column, firsts: list[int]) -> Column:
+    """Zero-based places of ids that begin a marker: one cheap pass over the row."""
     return F.filter(
-        places, lambda i: (F.get(ids, i) == marker[0]) & (F.slice(ids, i + 1, k) == whole)
+        F.sequence(F.lit(0), F.greatest(F.size(ids) - 1, F.lit(0))),
+        lambda i: F.coalesce(F.get(ids, i).isin(*firsts), F.lit(False)),
     )
 
 
+def _marked(ids: Column, places: Column, marker: list[int]) -> Column:
+    """Those of ``places`` where ``marker`` stands whole."""
+    whole = F.array(*[F.lit(m) for m in marker])
+    return F.filter(places, lambda i: F.slice(ids, i + 1, len(marker)) == whole)
+
+
 def assistant_spans(ids: Column, bos_seq: list[int], eos_seq: list[int]) -> Column:
-    """Spans ``(lo, hi)``, end exclusive, that carry loss.
+    """Spans ``(lo, hi, open)``, end exclusive, that carry loss.
 
     A span opens after ``bos_seq`` and runs through ``eos_seq``. Start markers
     inside an open span do not count; a span with no end marker runs to the end
-    of the row. The fold visits start markers only, not every position.
+    of the row and is ``open``. The fold visits start markers only, not every position.
     """
     n = F.size(ids)
-    nothing = F.array().cast("array<struct<lo:int,hi:int>>")
+    nothing = F.array().cast("array<struct<lo:int,hi:int,open:boolean>>")
+
+    def spans(found):
+        ends = found["ends"]
 
-    def spans(ends):
         def step(state, s):
             lo = s + len(bos_seq)
             close = F.get(F.filter(ends, lambda e: e >= lo), F.lit(0))
             hi = F.coalesce(close + len(eos_seq), n)
-            span = F.struct(lo.alias("lo"), hi.alias("hi"))
+            span = F.struct(lo.alias("lo"), hi.alias("hi"), close.isNull().alias("open"))
             taken = F.struct(
                 hi.alias("free"), F.concat(state["spans"], F.array(span)).alias("spans")
             )
-            return F.when(s >= state["free"], taken).otherwise(state)
+            # after an open span nothing is free, not even the row's end
+            last = F.get(state["spans"], F.size(state["spans"]) - 1)["open"]
+            free = (s >= state["free"]) & ~F.coalesce(last, F.lit(False))
+            return F.when(free, taken).otherwise(state)
 
         start = F.struct(F.lit(0).alias("free"), nothing.alias("spans"))
-        starts = _marker_positions(ids, bos_seq)
-        return F.aggregate(starts, start, step, lambda state: state["spans"])
+        return F.aggregate(found["starts"], start, step, lambda state: state["spans"])
+
+    def markers(places):
+        return F.struct(
+            _marked(ids, places, bos_seq).alias("starts"), _marked(ids, places, eos_seq).alias("ends")
+        )
 
-    return let(_marker_positions(ids, eos_seq), spans)
+    return let(let(_firsts(ids, [bos_seq[0], eos_seq[0]]), markers), spans)
 
 
 def labels_from_spans(ids: Column, spans: Column) -> Column:
@@ -209,5 +218,22 @@ def assistant_labels(
     return labels
 
 
+def padded_labels(
+    ids: Column, width: int, pad: int, bos_seq: list[int], eos_seq: list[int], mask_padding: bool = False
+) -> Column:
+    """Labels of a chat row of ``width`` from its unpadded ids. Spans are looked for in
+    the ids alone; padding takes the label of the span that it follows, the ignored value
+    if there is none or with ``mask_padding``."""
+
+    def labels(spans):
+        rest = F.lit(width) - F.size(ids)
+        open_ = F.coalesce(F.try_element_at(spans, F.lit(-1))["open"], F.lit(False))
+        filling = F.when(open_, F.lit(pad)).otherwise(F.lit(IGNORED))
+        return F.concat(labels_from_spans(ids, spans), _repeat(filling, rest))
+
+    out = let(assistant_spans(ids, bos_seq, eos_seq), labels)
+    return pad_to_ignored(out, pad) if mask_padding else out
+
+
 def label_mask(labels: Column) -> Column:
     return F.transform(labels, lambda x: (x != IGNORED).cast("tinyint"))

@@ -45,15 +45,13 @@ def is_tool_chat(conv: Column) -> Column:
     return F.exists(conv, lambda m: F.coalesce(m["tools"], F.lit("")) != "")
 
 
-def with_system_prompt(
-    conv: Column, key: Column, ratio: float, seed, name: str, tool_chat: Column | None = None
-) -> Column:
+def with_system_prompt(conv: Column, key: Column, ratio: float, seed, name: str) -> Column:
     """Put one of the ten prompts in front of a share of the chats that lack one."""
     prompts = F.array(*[F.lit(p) for p in system_prompts(name)])
     pick = F.element_at(prompts, (F.floor(uniform(key, f"{seed}/prompt") * 10) + 1).cast("int"))
     opens_with = F.get(conv, F.lit(0))["role"]
     wanted = (
-        ~(is_tool_chat(conv) if tool_chat is None else tool_chat)
+        ~is_tool_chat(conv)
         & (F.size(conv) > 0)
         & (F.coalesce(opens_with, F.lit("")) != "system")
         & (uniform(key, seed) < ratio)
@@ -104,6 +102,33 @@ def render_chat(
     return F.concat(text, F.lit(f"{start}assistant\n")) if generation_prompt else text
 
 
+def render_tool_chat(
+    conv: Column, generation_prompt: bool = False, start: str = START, end: str = END
+) -> Column:
+    """As ``render_chat``, with what tools add: a system message is followed by the tools it
+    offers, and an answer by its calls, each as the JSON text that it is."""
+
+    def tagged(tag, text):
+        block = F.concat(F.lit(f"\n<{tag}>\n"), text, F.lit(f"\n</{tag}>"))
+        return F.when(F.coalesce(text, F.lit("")) != "", block).otherwise(F.lit(""))
+
+    def content(m):
+        tools = F.when(m["role"] == "system", m["tools"])
+        return F.concat(
+            F.coalesce(m["content"], F.lit("")), tagged("tools", tools), tagged("tool_call", m["tool_calls"])
+        )
+
+    whole = F.transform(conv, lambda m: m.withField("content", content(m)))
+    return render_chat(whole, generation_prompt, start, end)
+
+
+def tool_calls(conv: Column) -> Column:
+    """The calls of each message as JSON text, null for messages without; null for chats
+    without any."""
+    calls = F.transform(conv, lambda m: F.nullif(m["tool_calls"], F.lit("")))
+    return F.when(F.exists(calls, lambda c: c.isNotNull()), calls)
+
+
 def render_reward_chat(conv: Column) -> Column:
     """The form the reward scorer reads: ``<s>`` in front, ``<|reward|>`` behind."""
     return F.concat(F.lit("<s>"), render_chat(conv), F.lit("<|reward|>"))

@@ -1,5 +1,7 @@
 """Rule rewards over generated answers, and tool calls read out of them."""
 
+import sys
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
@@ -84,11 +86,57 @@ def strip_think(turn: Column) -> Column:
     return strip(after_first(turn, "</think>"))
 
 
+def _wrapped(text: Column, kind: str) -> Column:
+    """JSON ``text`` as ``kind``, read the way writers of NaN and Infinity mean it (they come as
+    text), and with repeated keys in a map's entries; null if it isn't that."""
+    options = {"allowNonNumericNumbers": "true"}
+    return F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"struct<v:{kind}>", options)["v"]
+
+
+def _last_wins(entries: Column) -> Column:
+    """A map of variants as a variant object; of repeated keys the last one counts."""
+
+    def later(e, i):
+        rest = F.slice(listed, i + 2, F.size(listed))
+        return ~F.exists(rest, lambda f: f["key"] == e["key"])
+
+    listed = F.map_entries(entries)
+    return F.when(entries.isNotNull(), F.to_variant_object(F.map_from_entries(F.filter(listed, later))))
+
+
+def lenient_object(text: Column) -> Column:
+    """A JSON object as a variant, also one that repeats a key (the last one counts) or holds
+    NaN or Infinity (which become text); null for anything else."""
+    return F.coalesce(F.try_parse_json(text), _last_wins(_wrapped(text, "map<string,variant>")))
+
+
+def lenient_call(text: Column) -> Column:
+    """As ``lenient_object``, with repeated keys inside ``arguments``, too."""
+
+    def call(c):
+        args = _last_wins(c["arguments"])
+        whole = F.to_variant_object(F.struct(c["name"].alias("name"), args.alias("arguments")))
+        return F.when(c["name"].isNotNull() | c["arguments"].isNotNull(), whole)
+
+    parts = _wrapped(text, "struct<name:string,arguments:map<string,variant>>")
+    return F.coalesce(lenient_object(text), let(parts, call))
+
+
+def is_json(text: Column) -> Column:
+    """Whether a lenient reader takes ``text``: repeated keys, NaN and Infinity are allowed."""
+    return (
+        F.try_parse_json(text).isNotNull()
+        | _wrapped(text, "variant").isNotNull()
+        | _wrapped(text, "map<string,variant>").isNotNull()
+        | _wrapped(text, "array<map<string,variant>>").isNotNull()
+    )
+
+
 def parse_tool_calls(text: Column) -> Column:
-    """Bodies of all tool calls that are valid JSON, as variants."""
+    """Bodies of all tool calls that are JSON, as variants."""
     bodies = F.regexp_extract_all(text, F.lit(TOOL_CALL), F.lit(1))
     return F.filter(
-        F.transform(bodies, lambda b: F.try_parse_json(strip(b))), lambda c: c.isNotNull()
+        F.transform(bodies, lambda b: lenient_call(strip(b))), lambda c: c.isNotNull()
     )
 
 
@@ -99,7 +147,7 @@ def call_name(call: Column) -> Column:
 def call_arguments(call: Column) -> Column:
     """Arguments object; a JSON string is decoded once more, failure gives ``{}``."""
     raw = F.try_variant_get(call, "$.arguments", "string")
-    return F.coalesce(F.try_parse_json(raw), F.parse_json(F.lit("{}")))
+    return F.coalesce(lenient_object(raw), F.parse_json(F.lit("{}")))
 
 
 def _passes(args: Column, arg: str, test: str) -> Column:
@@ -169,9 +217,18 @@ def tool_gap_reward(calls: Column, valid: Column, wanted: Column) -> Column:
     return F.when(gap == 0, F.lit(0.5)).otherwise(gap * F.lit(-0.5))
 
 
+def _other_digits() -> tuple[str, str]:
+    """Decimal digits of all scripts but ASCII, and what they read as."""
+    found = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
+    return "".join(found), "".join(str(unicodedata.digit(c)) for c in found)
+
+
+OTHER_DIGITS = _other_digits()
+
+
 def _as_double(number: Column) -> Column:
-    # full-width digits read as ASCII digits
-    return F.translate(number, "０１２３４５６７８９", "0123456789").try_cast("double")
+    plain = F.when(number.rlike(r"^[\x00-\x7F]*$"), number).otherwise(F.translate(number, *OTHER_DIGITS))
+    return plain.try_cast("double")
 
 
 def free_numbers(text: Column) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions import rewards as R
+from chatloom.functions.arrays import let
 from chatloom.functions.text import after_first, strip
-from chatloom.operators.groups import SMALL
 
 KEYS = ["prompt_id", "gen_id"]
 
@@ -189,20 +189,52 @@ def _quoted(text: Column) -> Column:
 
 
 def _number(x: Column) -> Column:
-    """A double the way JSON writers print it: no exponent below 1e16."""
-    exact = F.regexp_replace(x.cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when(F.abs(x) < 1e16, exact).otherwise(x.cast("string"))
+    """A double the way a JSON writer prints it: its shortest digits, plain from 1e-4 up to
+    1e16 and with an exponent of at least two digits outside."""
+
+    def parts(short):
+        """Digits and exponent of the shortest text, as of ``-1.25E-7``."""
+        mantissa = F.regexp_extract(short, r"^-?([0-9.]+)", 1)
+        whole = F.regexp_extract(mantissa, r"^([0-9]+)", 1)
+        fraction = F.regexp_replace(F.regexp_extract(mantissa, r"\.([0-9]*)", 1), "0+$", "")
+        power = F.coalesce(F.regexp_extract(short, r"E(-?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+        sign = F.when(F.startswith(short, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+        return F.struct(
+            sign.alias("sign"), whole.alias("whole"), fraction.alias("fraction"), power.alias("power")
+        )
+
+    def shifted(p):
+        digits = F.concat(p["whole"], p["fraction"])
+        point = F.length(p["whole"]) + p["power"]  # digits before the point
+        left = F.when(point <= 0, F.lit("0")).otherwise(F.rpad(F.substring(digits, F.lit(1), point), point, "0"))
+        right = F.when(
+            point <= 0, F.concat(F.repeat(F.lit("0"), -point), F.regexp_replace(digits, "0+$", ""))
+        ).otherwise(F.regexp_replace(F.substring(digits, point + 1, F.length(digits)), "0+$", ""))
+        return F.concat(p["sign"], left, F.lit("."), F.when(right == "", F.lit("0")).otherwise(right))
+
+    def scientific(p):
+        mantissa = F.when(p["fraction"] == "", p["whole"]).otherwise(
+            F.concat(p["whole"], F.lit("."), p["fraction"])
+        )
+        mark = F.when(p["power"] < 0, F.lit("e-")).otherwise(F.lit("e+"))
+        return F.concat(p["sign"], mantissa, mark, F.when(F.abs(p["power"]) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(p["power"]).cast("string"))
+
+    def text(p):
+        plain = (x == 0) | ((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16))
+        return F.when(plain, shifted(p)).otherwise(scientific(p))
+
+    return let(parts(x.cast("string")), text)
 
 
 def tool_lookup(
-    calls: DataFrame, dims: dict[str, DataFrame] | None = None, small: int = SMALL
+    calls: DataFrame, dims: dict[str, DataFrame] | None = None
 ) -> DataFrame:
     """Resolve lookup calls ``(name, call)``, with the call as a variant, to
     ``result`` JSON.
 
     Left joins with defaults for what is not listed. Unknown tools give null. The
-    fixed tables are broadcast; one of the user's own only when it has at most
-    ``small`` rows, else it is shuffled.
+    fixed tables are broadcast; how one of the user's own is joined is left to Spark,
+    which knows its bytes.
     """
     fixed = tool_dims(calls.sparkSession)
     dims = dims or {}
@@ -210,8 +242,7 @@ def tool_lookup(
     def side(name):
         if name not in dims:
             return F.broadcast(fixed[name])
-        few = dims[name].limit(small + 1).count() <= small
-        return F.broadcast(dims[name]) if few else dims[name]
+        return dims[name]
 
     arg = F.col("_args")
 

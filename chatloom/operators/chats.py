@@ -1,20 +1,18 @@
 """Conversation tables: building, prompting, rejecting.
 
-A chat row is ``(conv_id, segment, last, conversations)``. Practically every chat
-is one row, ``segment = 0`` and ``last = true``. A conversation longer than
-``SEGMENT`` turns is delivered as several rows in order, so that no single task
-ever collects an unbounded conversation; text rendered from its segments joins
-up to the text of the whole.
+A chat row is ``(conv_id, conversations)``: a conversation is one record, whatever its
+length, and has to fit a Spark row. ``chat_pieces`` cuts longer ones for those who ask;
+``chat_stats`` gives what can be aggregated from turns without making rows of them.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions import chat as C
+from chatloom.functions.rewards import is_json
 from chatloom.functions.text import uniform
-from chatloom.operators.groups import FLOOR, collect_in_order
-
-SEGMENT = 4096  # turns per row; at least the token limit of any sample
+from chatloom.operators.groups import collect_in_order, collect_pieces
+from chatloom.session import materialize
 
 
 def _message(turns: DataFrame) -> Column:
@@ -30,44 +28,39 @@ def _message(turns: DataFrame) -> Column:
     )
 
 
-def chats_from_turns(turns: DataFrame, segment: int = SEGMENT, floor: int = FLOOR) -> DataFrame:
+def chats_from_turns(turns: DataFrame) -> DataFrame:
     """Long form ``(conv_id, turn, role, text, …)`` to one ordered array per chat."""
-    rows = collect_in_order(
-        turns, ["conv_id"], ["turn"], _message(turns), segment, floor
-    )
+    rows = collect_in_order(turns, ["conv_id"], ["turn"], _message(turns))
     return rows.withColumnRenamed("items", "conversations")
 
 
-def _tool_flag(chats: DataFrame) -> tuple[DataFrame, Column]:
-    """Whether any message of the conversation offers tools, on every row of it."""
-    own = C.is_tool_chat(F.col("conversations"))
-    if chats.where(F.col("segment") > 0).isEmpty():
-        return chats, own
-    # Only opening rows use the flag, so the join has one row per conversation.
-    later = (
-        chats.where((F.col("segment") > 0) & own)
-        .select("conv_id", F.lit(0).alias("segment"), F.lit(True).alias("_later"))
-        .distinct()
+def chat_pieces(turns: DataFrame, size: int) -> DataFrame:
+    """Conversations cut into ordered pieces of ``size`` turns, for those too long for a row:
+    ``(conv_id, segment, last, conversations)``. A piece is no chat; the operators below
+    take whole ones."""
+    rows = collect_pieces(turns, ["conv_id"], ["turn"], _message(turns), size)
+    return rows.withColumnRenamed("items", "conversations")
+
+
+def chat_stats(turns: DataFrame) -> DataFrame:
+    """What aggregates over turns, from long form: messages, characters, whether tools are on
+    offer, and the tools JSON of the last system message that has one."""
+    message = _message(turns)
+    offers = F.coalesce(message["tools"], F.lit("")) != ""
+    return turns.groupBy("conv_id").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.sum(F.coalesce(F.length("text"), F.lit(0))).cast("bigint").alias("chars"),
+        F.coalesce(F.bool_or(offers), F.lit(False)).alias("tool_chat"),
+        F.max_by(message["tools"], F.when(offers & (F.col("role") == "system"), F.col("turn"))).alias("tools"),
     )
-    joined = chats.join(later, ["conv_id", "segment"], "left")
-    return joined, own | F.coalesce("_later", F.lit(False))
 
 
 def inject_system(
     chats: DataFrame, ratio: float = 0.2, seed="system", name: str = "Assistant"
 ) -> DataFrame:
     """A system prompt in front of a share of the chats without one or tools."""
-    conv = F.col("conversations")
-    joined, tool_chat = _tool_flag(chats)
-    opened = C.with_system_prompt(conv, F.col("conv_id"), ratio, seed, name, tool_chat)
-    return joined.select(
-        *[
-            F.when(F.col("segment") == 0, opened).otherwise(conv).alias(c)
-            if c == "conversations"
-            else F.col(c)
-            for c in chats.columns
-        ]
-    )
+    opened = C.with_system_prompt(F.col("conversations"), F.col("conv_id"), ratio, seed, name)
+    return chats.withColumn("conversations", opened)
 
 
 def with_reasoning(conv: Column) -> Column:
@@ -89,26 +82,25 @@ def with_reasoning(conv: Column) -> Column:
     )
 
 
-def _without_last(chats: DataFrame) -> Column:
-    conv = F.col("conversations")
-    return F.when(F.col("last"), C.drop_last(conv)).otherwise(conv)
-
-
 def rl_prompts(
-    chats: DataFrame, thinking_ratio: float = 0.5, ratio: float = 0.2, seed="rl", name="Assistant"
+    chats: DataFrame,
+    thinking_ratio: float = 0.5,
+    ratio: float = 0.2,
+    seed="rl",
+    name="Assistant",
+    render=C.render_chat,
 ) -> DataFrame:
-    """Prompt text up to the last message, with a drawn thinking switch."""
+    """Prompt text up to the last message, the tools on offer, and a drawn thinking switch.
+
+    ``render`` makes the text from the messages, as ``render(conv, generation_prompt=True)``.
+    """
     ready = inject_system(chats, ratio, f"{seed}/system", name)
-    conv = _without_last(ready)
-    prompt = F.when(F.col("last"), C.render_chat(conv, generation_prompt=True)).otherwise(
-        C.render_chat(conv)
-    )
+    conv = F.col("conversations")
     return ready.select(
         "conv_id",
-        "segment",
-        "last",
-        prompt.alias("prompt"),
+        render(C.drop_last(conv), generation_prompt=True).alias("prompt"),
         F.lit("").alias("answer"),
+        C.tool_schema(conv).alias("tools"),
         (uniform(F.col("conv_id"), f"{seed}/thinking") < thinking_ratio).alias("open_thinking"),
     )
 
@@ -118,9 +110,7 @@ def agent_tasks(chats: DataFrame) -> DataFrame:
     extra = ["gt"] if "gt" in chats.columns else []
     return chats.select(
         "conv_id",
-        "segment",
-        "last",
-        _without_last(chats).alias("messages"),
+        C.drop_last(F.col("conversations")).alias("messages"),
         C.tool_schema(F.col("conversations")).alias("tools"),
         *extra,
     )
@@ -131,12 +121,12 @@ def reject_reason(conv: Column) -> Column:
     bad_tools = F.exists(
         conv,
         lambda m: (F.coalesce(m["tools"], F.lit("")) != "")
-        & F.try_parse_json(m["tools"]).isNull(),
+        & ~is_json(m["tools"]),
     )
     bad_calls = F.exists(
         conv,
         lambda m: (F.coalesce(m["tool_calls"], F.lit("")) != "")
-        & F.try_parse_json(m["tool_calls"]).isNull(),
+        & ~is_json(m["tool_calls"]),
     )
     return (
         F.when(conv.isNull() | (F.size(conv) == 0), F.lit("empty conversation"))
@@ -148,8 +138,9 @@ def reject_reason(conv: Column) -> Column:
 
 
 def validate_chats(chats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(usable chats, reject counts by reason)."""
-    marked = chats.withColumn("reason", reject_reason(F.col("conversations")))
+    """(usable chats, reject counts by reason). Chats are judged once and written, as both
+    tables read them."""
+    marked = materialize(chats.withColumn("reason", reject_reason(F.col("conversations"))))
     good = marked.where(F.col("reason").isNull()).drop("reason")
     bad = (
         marked.where(F.col("reason").isNotNull())

@@ -1,17 +1,10 @@
-"""Group statistics and ranks that hold up when one group is a third of the table.
+"""Group statistics, ranks and ordered collection, one plan each.
 
-One counting pass over the key columns (combined map-side) tells the shape of the
-table, and the plan follows from it:
-
-* few groups, many rows: statistics are pre-aggregated and the small table of
-  them is broadcast; rows are not shuffled at all;
-* many groups: a window after one shuffle, except for the hot ones, those that
-  exceed what a single task should hold. Their statistics are pre-aggregated and
-  broadcast, their ranks come from a range partitioning over (group, order),
-  which spreads one group over many tasks.
+Statistics are aggregated, combined before the shuffle, and joined back on the keys;
+adaptive execution broadcasts the aggregate where it is small and splits a hot key
+where it isn't. Nothing is counted beforehand, and no size decides on the plan.
 """
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,87 +12,40 @@ from pyspark.sql import functions as F
 
 from chatloom.session import materialize
 
-SHARE = 4096  # a group is hot when it exceeds 1/SHARE of the rows ...
-FLOOR = 1_000_000  # ... and this many rows; at most SHARE groups can be hot
-SMALL = 50_000  # rows of a table that may be broadcast
-
-
-@dataclass
-class Shape:
-    rows: int
-    groups: int
-    hot: DataFrame | None  # keys of the hot groups, at most SHARE rows
-
-
-def shape_of(df: DataFrame, keys: list[str], floor: int = FLOOR, share: int = SHARE) -> Shape:
-    """Rows, groups and hot groups, from a pass over the key columns (a second one
-    only if there are hot groups).
-
-    Groups above 1/share of all rows cannot be more than ``share``, so the list is
-    bounded whatever the data.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows, groups, most = counts.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)), F.count("_n"), F.coalesce(F.max("_n"), F.lit(0))
-    ).first()
-    limit = max(floor, rows / share)
-    if most <= limit:
-        return Shape(rows, groups, None)
-    hot = counts.where(F.col("_n") > limit).drop("_n").collect()
-    return Shape(rows, groups, df.sparkSession.createDataFrame(hot, df.select(*keys).schema))
-
-
-def _same(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "") -> Column:
-    return reduce(
-        lambda a, b: a & b, [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys]
-    )
 
+def same(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "") -> Column:
+    """Equal keys, null being equal to null; ``prefix`` stands before the right side's names."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys])
 
-def _split(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(ordinary rows, hot rows); the key list is bounded by SHARE."""
-    small, cond = F.broadcast(hot), _same(df, hot, keys)
-    return df.join(small, cond, "left_anti"), df.join(small, cond, "left_semi")
 
-
-def _by_broadcast(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
-    table = (
-        df.groupBy(*keys)
-        .agg(*[c.alias(n) for n, c in stats.items()])
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], *stats)
-    )
-    joined = df.join(F.broadcast(table), _same(df, table, keys, "_k_"))
+def join_stats(df: DataFrame, table: DataFrame, keys: list[str], stats: list[str]) -> DataFrame:
+    """Repeat the columns ``stats`` of ``table``, unique by ``keys``, on the rows of ``df``."""
+    renamed = table.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *stats)
+    joined = df.join(renamed, same(df, renamed, keys, "_k_"))
     return joined.select(*[df[c] for c in df.columns], *stats)
 
 
-def with_group_stats(
-    df: DataFrame,
-    keys: list[str],
-    stats: dict[str, Column],
-    floor: int | None = FLOOR,
-    small: int = SMALL,
-) -> DataFrame:
-    """Repeat aggregates of each group on its rows. ``floor=None`` says that groups
-    are bounded by construction, as batches of a plan are: no counting pass."""
-    shape = shape_of(df, keys, floor) if floor is not None else Shape(0, 0, None)
-    if floor is not None and shape.rows > floor and shape.groups <= small:
-        return _by_broadcast(df, keys, stats)
-    cold, hot = (df, None) if shape.hot is None else _split(df, keys, shape.hot)
-    within = Window.partitionBy(*keys)
-    out = cold.select("*", *[c.over(within).alias(n) for n, c in stats.items()])
-    return out if hot is None else out.unionByName(_by_broadcast(hot, keys, stats))
+def with_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
+    """Repeat aggregates of each group on its rows."""
+    table = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    return join_stats(df, table, keys, list(stats))
 
 
 def rank_in_group(
-    df: DataFrame, keys: list[str], order: list[Column], out: str = "rank", floor: int = FLOOR
+    df: DataFrame, keys: list[str], order: list[Column], out: str = "rank", how: str = "window"
 ) -> DataFrame:
-    """Zero-based place of each row in its group. ``order`` must be total."""
-    shape = shape_of(df, keys, floor)
-    cold, hot = (df, None) if shape.hot is None else _split(df, keys, shape.hot)
+    """Zero-based place of each row in its group, a bigint. ``order`` must be total.
+
+    ``how="window"`` sorts each group in one task. ``how="spread"`` is for groups that
+    no task should hold: rows are dealt by ranges of (group, order), written once, and
+    numbered by what lies before them.
+    """
+    if how == "spread":
+        return _rank_spread(df, keys, order, out)
+    if how != "window":
+        raise ValueError(f"how must be window or spread, not {how}")
     within = Window.partitionBy(*keys).orderBy(*order)
-    ranked = cold.withColumn(out, F.row_number().over(within) - 1)
-    if hot is None:
-        return ranked
-    return ranked.unionByName(_rank_spread(hot, keys, order, out))
+    return df.withColumn(out, (F.row_number().over(within) - 1).cast("bigint"))
 
 
 def _rank_spread(df: DataFrame, keys: list[str], order: list[Column], out: str) -> DataFrame:
@@ -113,7 +59,7 @@ def _rank_spread(df: DataFrame, keys: list[str], order: list[Column], out: str)
         .withColumn("_id", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_id", 33))
     )
-    # one row per (partition, group): partitions + hot groups, a bounded count
+    # one row per (partition, group)
     pieces = rows.groupBy("_part", *keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first")
     )
@@ -121,63 +67,40 @@ def _rank_spread(df: DataFrame, keys: list[str], order: list[Column], out: str)
         Window.unboundedPreceding, -1
     )
     pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    renamed = pieces.select(
-        F.col("_part").alias("_p"),
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        "_first",
-        "_before",
-    )
-    cond = (rows["_part"] == renamed["_p"]) & _same(rows, renamed, keys, "_k_")
-    return rows.join(F.broadcast(renamed), cond).select(
-        *df.columns, (F.col("_before") + F.col("_id") - F.col("_first")).cast("int").alias(out)
+    ranked = join_stats(rows, pieces, ["_part", *keys], ["_first", "_before"])
+    return ranked.select(
+        *df.columns, (F.col("_before") + F.col("_id") - F.col("_first")).alias(out)
     )
 
 
-def collect_in_order(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    limit: int,
-    floor: int = FLOOR,
+def collect_in_order(df: DataFrame, keys: list[str], order: list[str], value: Column) -> DataFrame:
+    """Each group's values in order, ``(keys, items)``: one row, which a group has to fit."""
+    fields = F.struct(*order, value.alias("_v"))
+    items = F.transform(F.sort_array(F.collect_list(fields)), lambda e: e["_v"])
+    return df.groupBy(*keys).agg(items.alias("items"))
+
+
+def collect_pieces(
+    df: DataFrame, keys: list[str], order: list[str], value: Column, size: int
 ) -> DataFrame:
-    """Each group's values in order: ``(keys, segment, last, items)``.
+    """Each group's values in order, cut into pieces of ``size``: ``(keys, segment, last, items)``.
 
-    A group of at most ``limit`` rows is one array, after one shuffle. A longer
-    one comes as several rows: its members are numbered by ``rank_in_group``, which
-    gathers no group, and cut by their number. Counting first needs the keys only.
+    For groups that no row should hold; none is ever gathered. Copies of a value are
+    interchangeable.
     """
-    fields = F.struct(*order, value.alias("_v"))
-    items = F.transform(F.sort_array(F.collect_list(fields)), lambda e: e["_v"]).alias("items")
-
-    def whole(rows):
-        return rows.groupBy(*keys).agg(items).select(
-            *keys, F.lit(0).alias("segment"), F.lit(True).alias("last"), "items"
-        )
-
-    long = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > limit)
-        .select(*keys)
-    )
-    if long.isEmpty():
-        return whole(df)
-    # Copies are interchangeable; the row id lets them be spread, too.
     marked = df.withColumn("_row", F.monotonically_increasing_id())
     placed = rank_in_group(
-        marked.join(long, keys, "left_semi"),
-        keys,
-        [*map(F.col, order), F.col("_row")],
-        "_place",
-        floor,
-    ).withColumn("segment", F.floor(F.col("_place") / limit).cast("int"))
-    parts = placed.groupBy(*keys, "segment").agg(items)
-    # segment s is not the last when segment s + 1 exists; one key per segment
-    more = placed.where((F.col("segment") > 0) & (F.col("_place") % limit == 0)).select(
+        marked, keys, [*map(F.col, order), F.col("_row")], "_place", how="spread"
+    ).withColumn("segment", F.floor(F.col("_place") / size).cast("int"))
+    parts = collect_in_order(placed, [*keys, "segment"], order, value)
+    # a segment is the last unless the next one has a first row
+    more = placed.where((F.col("segment") > 0) & (F.col("_place") % size == 0)).select(
         *keys, (F.col("segment") - 1).alias("segment"), F.lit(True).alias("_more")
     )
-    cut = parts.join(more, [*keys, "segment"], "left").select(
-        *keys, "segment", F.col("_more").isNull().alias("last"), "items"
+    by = [*keys, "segment"]
+    flagged = parts.join(
+        more.select(*[F.col(k).alias(f"_k_{k}") for k in by], "_more").alias("m"),
+        reduce(lambda a, b: a & b, [parts[k].eqNullSafe(F.col(f"m._k_{k}")) for k in by]),
+        "left",
     )
-    return whole(df.join(long, keys, "left_anti")).unionByName(cut)
+    return flagged.select(*[parts[k] for k in by], F.col("_more").isNull().alias("last"), "items")

@@ -4,35 +4,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions import logps as L
-from chatloom.operators.groups import FLOOR, with_group_stats
+from chatloom.operators.groups import join_stats, with_group_stats
 
 
-def group_advantage(rows: DataFrame, floor: int = FLOOR) -> DataFrame:
+def group_advantage(rows: DataFrame) -> DataFrame:
     """Reward against its prompt's mean and sample deviation, clamped to ±10, then
     standardised over the batch. A prompt with one rollout has no sample
-    deviation and gives null."""
-    grouped = with_group_stats(
-        rows,
-        ["prompt_id"],
-        {"_m": F.avg("reward"), "_s": F.stddev_samp("reward")},
-        floor,
+    deviation and gives null.
+
+    Statistics of prompts and of batches come from the narrow columns; whole rows only
+    meet the two tables of them.
+    """
+    narrow = rows.select("prompt_id", "batch_id", "reward")
+    prompts = narrow.groupBy("prompt_id").agg(
+        F.avg("reward").alias("_m"), F.stddev_samp("reward").alias("_s")
     )
     raw = (F.col("reward") - F.col("_m")) / (F.col("_s") + 1e-4)
     # least/greatest skip nulls: keep an undefined advantage undefined
     held = F.when(raw.isNotNull(), F.greatest(F.least(raw, F.lit(10.0)), F.lit(-10.0)))
-    clamped = grouped.withColumn("_a", held)
-    batch = with_group_stats(
-        clamped, ["batch_id"], {"_bm": F.avg("_a"), "_bs": F.stddev_samp("_a")}, floor
+    batches = (
+        join_stats(narrow, prompts, ["prompt_id"], ["_m", "_s"])
+        .groupBy("batch_id")
+        .agg(F.avg(held).alias("_bm"), F.stddev_samp(held).alias("_bs"))
+    )
+    joined = join_stats(
+        join_stats(rows, prompts, ["prompt_id"], ["_m", "_s"]), batches, ["batch_id"], ["_bm", "_bs"]
     )
-    return batch.withColumn(
-        "advantage", (F.col("_a") - F.col("_bm")) / (F.col("_bs") + 1e-8)
+    return joined.withColumn(
+        "advantage", (held - F.col("_bm")) / (F.col("_bs") + 1e-8)
     ).select(*rows.columns, "advantage")
 
 
-def agent_advantage(rows: DataFrame, floor: int = FLOOR) -> DataFrame:
+def agent_advantage(rows: DataFrame) -> DataFrame:
     """Reward against its prompt's mean and population deviation."""
     grouped = with_group_stats(
-        rows, ["prompt_id"], {"_m": F.avg("reward"), "_s": F.stddev_pop("reward")}, floor
+        rows, ["prompt_id"], {"_m": F.avg("reward"), "_s": F.stddev_pop("reward")}
     )
     return grouped.withColumn(
         "advantage", (F.col("reward") - F.col("_m")) / (F.col("_s") + 1e-4)

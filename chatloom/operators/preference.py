@@ -22,36 +22,33 @@ def _best_first() -> list[Column]:
     return [F.desc("score"), F.asc("gen_id")]
 
 
-def rank(candidates: DataFrame, floor: int | None = None) -> DataFrame:
-    """Each candidate's rank within its prompt, best = 0, earlier wins a tie."""
-    extra = {} if floor is None else {"floor": floor}
-    return rank_in_group(candidates, ["prompt_id"], _best_first(), "rank", **extra)
+def rank(candidates: DataFrame, how: str = "window") -> DataFrame:
+    """Each candidate's rank within its prompt, best = 0, earlier wins a tie.
+    ``how="spread"`` is for prompts of more candidates than a task should hold."""
+    return rank_in_group(candidates, ["prompt_id"], _best_first(), "rank", how)
 
 
-def rank_order(candidates: DataFrame, floor: int | None = None) -> DataFrame:
+def rank_order(candidates: DataFrame, how: str = "window") -> DataFrame:
     """Candidate indices from best to worst: row ``place`` holds ``candidate``.
 
     The index list of a prompt in long form, so a prompt with very many
     candidates is never one value. It is the inverse of ``rank``.
     """
-    return rank(candidates, floor).select(
+    return rank(candidates, how).select(
         "prompt_id", F.col("rank").alias("place"), F.col("gen_id").alias("candidate"), "score"
     )
 
 
-def rank_lists(candidates: DataFrame, limit: int = 4096) -> DataFrame:
-    """The same as arrays, best first: ``(prompt_id, segment, last, candidates,
-    scores)``. A prompt of more than ``limit`` candidates comes as several rows."""
+def rank_lists(candidates: DataFrame) -> DataFrame:
+    """The same as arrays, best first: ``(prompt_id, candidates, scores)``, a row per prompt."""
     rows = candidates.select(
         "prompt_id", "gen_id", "score", F.col("score").isNull().alias("_none"), (-F.col("score")).alias("_by")
     )
     lists = collect_in_order(
-        rows, ["prompt_id"], ["_none", "_by", "gen_id"], F.struct("gen_id", "score"), limit
+        rows, ["prompt_id"], ["_none", "_by", "gen_id"], F.struct("gen_id", "score")
     )
     return lists.select(
         "prompt_id",
-        "segment",
-        "last",
         F.transform("items", lambda e: e["gen_id"]).alias("candidates"),
         F.transform("items", lambda e: e["score"]).alias("scores"),
     )
@@ -70,9 +67,13 @@ def best_of_n(candidates: DataFrame) -> DataFrame:
 
 
 def preference_accuracy(pairs: DataFrame, by: str = "subset") -> DataFrame:
-    """Share of pairs whose chosen side scores higher: per subset and overall
-    (the row with a null subset)."""
-    win = (F.col("chosen_score") > F.col("rejected_score")).cast("int")
+    """Share of pairs whose chosen side scores higher: per subset (a null one is a subset,
+    too), and overall, where ``overall`` is true. Pairs without both scores are counted in
+    ``unscored`` and have no part in ``pairs`` and ``accuracy``."""
+    win = F.col("chosen_score") > F.col("rejected_score")
     return pairs.rollup(by).agg(
-        F.count(F.lit(1)).alias("pairs"), F.avg(win).alias("accuracy")
+        (F.grouping(by) == 1).alias("overall"),
+        F.count(win).alias("pairs"),
+        F.count_if(win.isNull()).alias("unscored"),
+        F.avg(win.cast("int")).alias("accuracy"),
     )

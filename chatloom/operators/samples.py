@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chatloom.functions import arrays as A
 from chatloom.functions import chat as C
 from chatloom.operators import vocab as V
-from chatloom.operators.chats import SEGMENT, inject_system, with_reasoning
+from chatloom.operators.chats import inject_system, with_reasoning
 
 
 def pretrain_samples(
@@ -35,6 +35,20 @@ def text_counts(docs: DataFrame) -> DataFrame:
     )
 
 
+def chat_columns(ids, max_len: int, mask_padding: bool = False) -> dict:
+    """Padded ids, labels and attention mask of a chat row, from its real ids."""
+    rest = F.greatest(F.lit(max_len) - F.size(ids), F.lit(0))
+    return {
+        "input_ids": A.pad_right(ids, max_len, V.PAD),
+        "labels": A.padded_labels(
+            ids, max_len, V.PAD, V.ASSISTANT_OPEN, V.ASSISTANT_CLOSE, mask_padding
+        ),
+        "attention_mask": F.concat(
+            A.attention_mask(ids, V.PAD), F.array_repeat(F.lit(0).cast("tinyint"), rest)
+        ),
+    }
+
+
 def chat_ids(
     texts: DataFrame, vocab: DataFrame, max_len: int, text: str, key: str, out: str
 ) -> DataFrame:
@@ -52,33 +66,24 @@ def sft_samples(
     seed="sft",
     name: str = "Assistant",
     mask_padding: bool = False,
+    render=C.render_chat,
 ) -> DataFrame:
-    """Chat samples with loss on the assistant's spans only.
+    """Chat samples with loss on the assistant's spans only; tools and calls come along.
 
-    A sample is its first ``max_len`` ids. Every turn makes at least one, so the
-    opening row of a long conversation holds the whole sample.
+    A sample is its first ``max_len`` ids. ``render`` makes the text from the messages;
+    ``chat.render_tool_chat`` puts tools and calls into it.
     """
-    if max_len > SEGMENT:
-        raise ValueError(f"max_len exceeds the {SEGMENT} turns of a chat row")
-    opened = inject_system(chats, ratio, f"{seed}/system", name)
-    ready = opened.where(F.col("segment") == 0)
-    conv = with_reasoning(F.col("conversations")) if use_cot else F.col("conversations")
-    text = C.drop_empty_think(
-        C.render_chat(conv), F.col("conv_id"), keep_think, f"{seed}/think"
-    )
-    texts = ready.select("conv_id", text.alias("text"))
-    rows = chat_ids(texts, vocab, max_len, "text", "conv_id", "input_ids")
-    labels = A.assistant_labels(
-        F.col("input_ids"),
-        V.ASSISTANT_OPEN,
-        V.ASSISTANT_CLOSE,
-        V.PAD if mask_padding else None,
+    ready = inject_system(chats, ratio, f"{seed}/system", name)
+    conv = F.col("conversations")
+    said = with_reasoning(conv) if use_cot else conv
+    text = C.drop_empty_think(render(said), F.col("conv_id"), keep_think, f"{seed}/think")
+    texts = ready.select(
+        "conv_id", text.alias("text"), C.tool_schema(conv).alias("tools"), C.tool_calls(conv).alias("tool_calls")
     )
-    return rows.select(
-        "conv_id",
-        "input_ids",
-        labels.alias("labels"),
-        A.attention_mask(F.col("input_ids"), V.PAD).alias("attention_mask"),
+    ids = V.encode(texts, vocab, text="text", key="conv_id", out="_ids", max_len=max_len)
+    padded = chat_columns(F.col("_ids"), max_len, mask_padding)
+    return ids.select(
+        "conv_id", *[padded[c].alias(c) for c in ("input_ids", "labels", "attention_mask")], "tools", "tool_calls"
     )
 
 
@@ -89,27 +94,27 @@ def preference_samples(
     keep_think: float = 0.2,
     seed="pair",
     key: str = "pair_id",
+    render=C.render_chat,
 ) -> DataFrame:
     """Both sides of each pair in next-token form with assistant loss masks. The
     two sides draw the empty-think removal independently."""
     out = pairs
     for side in ("chosen", "rejected"):
         text = C.drop_empty_think(
-            C.render_chat(F.col(side)), F.col(key), keep_think, f"{seed}/{side}"
+            render(F.col(side)), F.col(key), keep_think, f"{seed}/{side}"
         )
-        out = chat_ids(
-            out.withColumn("_text", text), vocab, max_len, "_text", key, f"_{side}"
+        out = V.encode(
+            out.withColumn("_text", text), vocab, text="_text", key=key, out=f"_{side}", max_len=max_len
         ).drop("_text")
     columns = [F.col(key)]
     for side in ("chosen", "rejected"):
-        ids = F.col(f"_{side}")
-        mask = A.label_mask(A.assistant_labels(ids, V.ASSISTANT_OPEN, V.ASSISTANT_CLOSE))
-        moved = A.shift(ids, mask)
+        padded = chat_columns(F.col(f"_{side}"), max_len)
+        moved = A.shift(padded["input_ids"], A.label_mask(padded["labels"]))
         columns += [
             moved["x"].alias(f"x_{side}"),
             moved["y"].alias(f"y_{side}"),
             moved["m"].alias(f"mask_{side}"),
-            A.attention_mask(F.slice(ids, 1, max_len - 1), V.PAD).alias(f"attention_mask_{side}"),
+            F.slice(padded["attention_mask"], 1, max_len - 1).alias(f"attention_mask_{side}"),
         ]
     return out.select(*columns)
 

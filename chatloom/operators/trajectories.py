@@ -1,12 +1,10 @@
 """Rollouts with tool turns: joining turns, packing, padding, repeating prompts."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions import arrays as A
-from chatloom.operators.chats import SEGMENT
-from chatloom.operators.groups import FLOOR, collect_in_order, with_group_stats
-from chatloom.session import materialize
+from chatloom.operators.groups import collect_in_order, with_group_stats
 
 KEYS = ["prompt_id", "gen_id"]
 
@@ -16,14 +14,11 @@ def expand_generations(prompts: DataFrame, n: int) -> DataFrame:
     return prompts.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("gen_id"))
 
 
-def trajectory(
-    turns: DataFrame, pad: int, eos: int, segment: int = SEGMENT, floor: int = FLOOR
-) -> DataFrame:
+def trajectory(turns: DataFrame, pad: int, eos: int) -> DataFrame:
     """One row per rollout from its turns ``(turn, part, ids, logps)``.
 
     Model turns lose end and pad ids and keep their log-probs (mask 1); tool
-    turns are observed (mask 0, log-prob 0). A rollout of more than ``segment``
-    turns comes as several rows in order, as long conversations do.
+    turns are observed (mask 0, log-prob 0).
     """
     model = F.col("part") == "model"
     kept = F.filter(
@@ -36,13 +31,11 @@ def trajectory(
     )
     mask = F.transform(ids, lambda _: F.when(model, F.lit(1)).otherwise(F.lit(0)))
     turn = F.struct("part", ids.alias("ids"), logps.alias("logps"), mask.alias("mask"))
-    rows = collect_in_order(turns, KEYS, ["turn"], turn, segment, floor)
+    rows = collect_in_order(turns, KEYS, ["turn"], turn)
     prompt = F.filter("items", lambda e: e["part"] == "prompt")
     answer = F.filter("items", lambda e: e["part"] != "prompt")
     return rows.select(
         *KEYS,
-        "segment",
-        "last",
         _joined(prompt, "ids").alias("prompt_ids"),
         _joined(answer, "ids").alias("response_ids"),
         _joined(answer, "mask").alias("response_mask"),
@@ -64,7 +57,6 @@ def pack_trajectory(rows: DataFrame, max_total: int = 2500) -> DataFrame:
         raise ValueError("max_total must leave room for a target")
     flat = rows.select(
         *KEYS,
-        "segment",
         F.concat("prompt_ids", "response_ids").alias("ids"),
         F.concat(_zeros("prompt_ids", 0), F.col("response_mask")).alias("mask"),
         # one per id here; the first of a row with a prompt goes away below
@@ -72,11 +64,6 @@ def pack_trajectory(rows: DataFrame, max_total: int = 2500) -> DataFrame:
         (F.size("prompt_ids") + F.size("response_ids")).cast("bigint").alias("total"),
         (F.size("prompt_ids") > 0).alias("prompted"),
     )
-    if not flat.where(F.col("segment") > 0).isEmpty():
-        flat = materialize(flat)  # read several times from here
-        long = flat.where(F.col("segment") > 0).select(*KEYS).distinct()
-        tails = _join_tails(flat.join(long, KEYS, "left_semi"), max_total)
-        flat = flat.join(long, KEYS, "left_anti").drop("segment").unionByName(tails)
     cut = F.col("total") > max_total
     logps = (
         F.when(cut, A.keep_tail(F.col("logps"), max_total - 1))
@@ -91,49 +78,10 @@ def pack_trajectory(rows: DataFrame, max_total: int = 2500) -> DataFrame:
     ).withColumn("prompt_len", A.first_one(F.col("mask")))
 
 
-def _join_tails(flat: DataFrame, max_total: int) -> DataFrame:
-    """Rows of several segments: what lies in the last ``max_total`` ids, joined up.
-
-    Places come from the segments' sizes alone; only segments that reach into the
-    tail are gathered, and those hold at most ``max_total`` ids.
-    """
-    later = Window.partitionBy(*KEYS).orderBy(F.desc("segment")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    of = Window.partitionBy(*KEYS)
-    sizes = flat.select(*KEYS, "segment", "total", "prompted")
-    places = (
-        sizes.withColumn("room", max_total - F.coalesce(F.sum("total").over(later), F.lit(0)))
-        .withColumn("all", F.sum("total").over(of))
-        .withColumn("any_prompt", F.max("prompted").over(of))
-        .where((F.col("room") > 0) & (F.col("total") > 0))
-        .select(*KEYS, "segment", "room", "all", "any_prompt")
-    )
-    near = flat.drop("total", "prompted").join(places, [*KEYS, "segment"])
-    arrays = ["ids", "mask", "logps"]
-    room = F.least(F.col("room"), F.lit(max_total)).cast("int")
-    tails = near.select(
-        *KEYS, "segment", "all", "any_prompt", *[A.keep_tail(F.col(c), room).alias(c) for c in arrays]
-    )
-    grouped = tails.groupBy(*KEYS).agg(
-        F.sort_array(F.collect_list(F.struct("segment", *arrays))).alias("s"),
-        F.first("all").alias("total"),
-        F.first("any_prompt").alias("prompted"),
-    )
-    return grouped.select(
-        *KEYS,
-        *[_joined("s", c).alias(c) for c in arrays],
-        "total",
-        "prompted",
-    )
-
-
-def pad_batch(
-    rows: DataFrame, pads: dict, batch: str = "batch_id", floor: int | None = FLOOR
-) -> DataFrame:
+def pad_batch(rows: DataFrame, pads: dict, batch: str = "batch_id") -> DataFrame:
     """Pad the named array columns to the longest row of each batch."""
     width = {f"_w_{c}": F.max(F.size(c)) for c in pads}
-    wide = with_group_stats(rows, [batch], width, floor)
+    wide = with_group_stats(rows, [batch], width)
     return wide.select(
         *[
             A.pad_right(F.col(c), F.col(f"_w_{c}"), pads[c]).alias(c) if c in pads else F.col(c)

@@ -101,6 +101,16 @@ def c05(spark, sf):
     )
 
 
+@query(
+    "c04_chat_stats",
+    f"""WITH {S_TURNS} SELECT conv_id, count(*) AS messages, CAST(sum(length(text)) AS BIGINT) AS chars,
+  coalesce(bool_or(tools <> ''), FALSE) AS tool_chat,
+  arg_max(tools, turn) FILTER (role = 'system' AND tools <> '') AS tools FROM turns GROUP BY conv_id""",
+)
+def c04_stats(spark, sf):
+    return O.chat_stats(D.turns(spark, sf))
+
+
 _PLAIN = s_body("conversations")
 
 
@@ -154,11 +164,12 @@ _LAST = "last AS (SELECT conv_id, max(turn) AS last FROM conversations GROUP BY
     f"""WITH {S_TURNS}, {s_injected(0.2, 'rl/system')}, {_LAST},
 b AS ({s_body('(SELECT r.* FROM ready r JOIN last USING (conv_id) WHERE turn < last)')})
 SELECT conv_id, md5(coalesce(body, '') || '<|im_start|>assistant' || chr(10)) AS prompt_md5, '' AS answer,
-  {s_u('conv_id', 'rl/thinking')} < 0.5 AS open_thinking FROM last LEFT JOIN b USING (conv_id)""",
+  {s_u('conv_id', 'rl/thinking')} < 0.5 AS open_thinking, t.tools FROM last LEFT JOIN b USING (conv_id)
+  LEFT JOIN (SELECT conv_id, arg_max(tools, turn) FILTER (role = 'system' AND tools <> '') AS tools FROM turns GROUP BY conv_id) t USING (conv_id)""",
 )
 def c09(spark, sf):
     return O.rl_prompts(D.chats(spark, sf)).select(
-        "conv_id", F.md5("prompt").alias("prompt_md5"), "answer", "open_thinking"
+        "conv_id", F.md5("prompt").alias("prompt_md5"), "answer", "open_thinking", "tools"
     )
 
 

@@ -35,6 +35,38 @@ def l01(spark, sf):
     )
 
 
+_MORE = {
+    "logits_loss": "logits_loss: ([-0-9.]+)",
+    "aux_loss": "aux_loss: ([-0-9.]+)",
+    "critic_lr": "Critic LR: ([-+0-9.e]+)",
+    "epoch_minutes": "epoch_[Tt]ime: ?([0-9.]+)min",
+    "critic_loss": "Critic Loss: ([-0-9.]+)",
+    "kl": ", KL: ?([-0-9.]+)",
+    "kl_ref": "KL_ref: ([-0-9.]+)",
+    "group_reward_std": "GrpStd:([-0-9.]+)",
+    "advantages_std": "AdvStd:([-0-9.]+)",
+    "advantages_mean": "AdvMean:([-0-9.]+)",
+}
+S_ALL = f"""{S_PARSED}, whole AS (SELECT p.*, {', '.join(f'{s_field(p)} AS {n}' for n, p in _MORE.items())}
+  FROM parsed p JOIN lines USING (event_id))"""
+_ALL = ["loss", "reward", "lr", "actor_loss", "avg_response_len", *_MORE]
+
+
+@query("l01_all_metrics", f"WITH {S_LINES}, {S_ALL} SELECT event_id, {', '.join(_ALL)} FROM whole")
+def l01_all(spark, sf):
+    rows = O.parse_log(D.log_lines(spark, sf))
+    return rows.select((F.col("offset") / 1000).cast("bigint").alias("event_id"), *_ALL)
+
+
+@query(
+    "l06_all_metrics",
+    f"""WITH {S_LINES}, {S_ALL} SELECT run, epoch, step, metric, value FROM (
+  UNPIVOT (SELECT run, epoch, step, {', '.join(_ALL)} FROM whole) ON {', '.join(_ALL)} INTO NAME metric VALUE value)""",
+)
+def l06_all(spark, sf):
+    return O.metrics_long(O.parse_log(D.log_lines(spark, sf)))
+
+
 @query(
     "l02_log_progress",
     f"""WITH {S_LINES}, {S_PARSED} SELECT l.run, max(step) AS max_step, count(step) AS step_lines, max(total_steps) AS total_steps,

@@ -110,7 +110,7 @@ def a05(spark, sf):
 def a05_hot(spark, sf):
     """The way taken for groups too large for one task."""
     rows = D.logged_rollouts(spark, sf).select("vec_id", "prompt_id", "batch_id", "reward")
-    return O.group_advantage(rows, floor=7).select(
+    return O.group_advantage(rows).select(
         "vec_id", r6(F.col("advantage")).alias("advantage")
     )
 

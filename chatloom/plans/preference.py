@@ -77,7 +77,7 @@ def p02(spark, sf):
     )
 
 
-_RANKED = f"WITH {S_CAND}, k AS (SELECT *, CAST(row_number() OVER (PARTITION BY prompt_id ORDER BY score DESC, gen_id) - 1 AS INTEGER) AS rank FROM cand)"
+_RANKED = f"WITH {S_CAND}, k AS (SELECT *, CAST(row_number() OVER (PARTITION BY prompt_id ORDER BY score DESC, gen_id) - 1 AS BIGINT) AS rank FROM cand)"
 
 
 @query("p03_rank_order", f"{_RANKED} SELECT prompt_id, rank AS place, gen_id AS candidate, score FROM k")
@@ -87,15 +87,13 @@ def p03(spark, sf):
 
 @query(
     "p03_rank_lists",
-    f"""{_RANKED} SELECT prompt_id, 0 AS segment, TRUE AS last, string_agg(gen_id, ' ' ORDER BY rank) AS candidates,
+    f"""{_RANKED} SELECT prompt_id, string_agg(gen_id, ' ' ORDER BY rank) AS candidates,
   string_agg(CAST(score AS INTEGER), ' ' ORDER BY rank) AS scores FROM k GROUP BY prompt_id""",
 )
 def p03_lists(spark, sf):
     rows = P.rank_lists(candidates(spark, sf))
     return rows.select(
         "prompt_id",
-        "segment",
-        "last",
         F.array_join(F.col("candidates").cast("array<string>"), " ").alias("candidates"),
         F.array_join(F.col("scores").cast("array<int>").cast("array<string>"), " ").alias("scores"),
     )
@@ -109,7 +107,7 @@ def p04(spark, sf):
 @query(
     "p04_rank_hot_groups",
     f"""WITH r AS (SELECT doc_id, source, {s_u('doc_id', 'hot')} AS score FROM documents)
-SELECT source, doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) - 1 AS INTEGER) AS rank FROM r""",
+SELECT source, doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) - 1 AS BIGINT) AS rank FROM r""",
 )
 def p04_hot(spark, sf):
     """Ranks inside a few very large groups, none of which goes to one task."""
@@ -118,7 +116,7 @@ def p04_hot(spark, sf):
         F.col("doc_id").alias("gen_id"),
         uniform(F.col("doc_id"), "hot").alias("score"),
     )
-    return P.rank(rows, floor=10).select(
+    return P.rank(rows, how="spread").select(
         F.col("prompt_id").alias("source"), F.col("gen_id").alias("doc_id"), "rank"
     )
 
@@ -132,8 +130,17 @@ def p05(spark, sf):
 
 @query(
     "p06_preference_accuracy",
-    f"""WITH {S_PAIRS} SELECT subset, count(*) AS pairs,
-  {s_r6('avg(CASE WHEN chosen_score > rejected_score THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM pairs GROUP BY ROLLUP (subset)""",
+    f"""WITH {S_PAIRS}, q AS (SELECT nullif(subset, 'src3') AS subset,
+  CASE WHEN pair_id % 9 <> 4 THEN chosen_score END AS c, rejected_score AS r FROM pairs)
+SELECT subset, grouping(subset) = 1 AS overall, count(c) AS pairs, count(*) - count(c) AS unscored,
+  {s_r6('avg(CASE WHEN c > r THEN 1.0 WHEN c <= r THEN 0.0 END)')} AS accuracy FROM q GROUP BY ROLLUP (subset)""",
 )
 def p06(spark, sf):
-    return P.preference_accuracy(D.doc_pairs(spark, sf)).withColumn("accuracy", r6(F.col("accuracy")))
+    """With pairs of no subset, and pairs without a score."""
+    pairs = D.doc_pairs(spark, sf).withColumns(
+        {
+            "subset": F.nullif("subset", F.lit("src3")),
+            "chosen_score": F.when(F.col("pair_id") % 9 != 4, F.col("chosen_score")),
+        }
+    )
+    return P.preference_accuracy(pairs).withColumn("accuracy", r6(F.col("accuracy")))

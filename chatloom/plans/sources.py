@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import chat as C
 from chatloom.operators.batching import shuffle_epoch
-from chatloom.operators.chats import chats_from_turns as build_chats
+from chatloom.operators.chats import chat_pieces
 from chatloom.operators.preference import preference_accuracy
 from chatloom.plans.common import S_TURNS, query, r6, s_frame, s_r6, s_u
 from chatloom.session import fresh_path
@@ -141,8 +141,8 @@ SELECT conv_id, CAST(place // 3 AS INTEGER) AS segment, (max(place) + 1) = max(n
   md5(string_agg(text, '|' ORDER BY turn)) AS text_md5 FROM p JOIN n USING (conv_id) GROUP BY conv_id, place // 3""",
 )
 def long_conversations(spark, sf):
-    """The way taken for conversations longer than a row may be."""
-    rows = build_chats(D.turns(spark, sf), segment=3, floor=5)
+    """Conversations in pieces, for those longer than a row may be."""
+    rows = chat_pieces(D.turns(spark, sf), 3)
     conv = F.col("conversations")
     return rows.select(
         "conv_id",
@@ -160,7 +160,7 @@ def long_conversations(spark, sf):
 )
 def read_score_card(spark, sf):
     path = fresh_path(spark, "card")
-    cells = preference_accuracy(D.doc_pairs(spark, sf)).where(F.col("subset").isNotNull())
+    cells = preference_accuracy(D.doc_pairs(spark, sf)).where(~F.col("overall"))
     # one flat object, as score cards are: its size is the number of subsets
     card = cells.agg(
         F.concat(
@@ -195,6 +195,37 @@ def read_log(spark, sf):
     )
 
 
+@query(
+    "s08_log_offsets",
+    f"""WITH l AS (SELECT event_id, {S_LINE} AS line FROM events)
+SELECT event_id % 8 AS log, md5(line) AS line_md5, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY event_id % 8
+  ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM l""",
+)
+def log_offsets(spark, sf):
+    path = fresh_path(spark, "log")
+    lines = D.log_lines(spark, sf).select(
+        "line", (F.col("offset") / 1000).cast("bigint").alias("event_id")
+    ).withColumn("log", F.col("event_id") % 8)
+    ordered = lines.repartition(8, "log").sortWithinPartitions("log", "event_id")
+    ordered.select("line", "log").write.partitionBy("log").text(path)  # a file for each log
+    rows = readers.read_log(spark, path)
+    log = F.regexp_extract("run", r"log=(\d+)", 1).cast("bigint")
+    return rows.select(log.alias("log"), F.md5("line").alias("line_md5"), "offset")
+
+
+@query(
+    "s10_with_ids",
+    """SELECT lang, source, count(*) AS rows, count(*) AS ids, count(*) - 1 AS highest
+  FROM documents GROUP BY lang, source""",
+)
+def ids_by_content(spark, sf):
+    rows = readers.with_ids(D.table(spark, sf, "documents").select("lang", "source"), "id")
+    number = F.regexp_extract("id", r"-(\d+)$", 1).cast("bigint")
+    return rows.groupBy("lang", "source").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.max(number).alias("highest")
+    )
+
+
 @query(
     "s09_write_samples",
     """SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS position,

@@ -9,6 +9,7 @@ from chatloom.operators import trajectories as TR
 from chatloom.operators import vocab as V
 from chatloom.plans.chats import s_body, s_injected
 from chatloom.plans.common import (
+    S_TURNS,
     digest,
     query,
     r6,
@@ -22,8 +23,9 @@ from chatloom.plans.common import (
     wsum,
 )
 from chatloom.plans.sources import S_PAIRS, preference_rows, s_pair_text
-from chatloom.session import materialize
+from chatloom.session import fresh_path, materialize
 from chatloom.sources import tables as D
+from chatloom.sources.readers import read_special_ids
 
 CHAT_VOCAB = 2000
 _EMPTY_INTS = "CAST([] AS INTEGER[])"
@@ -206,6 +208,21 @@ _array_query(
     "list_transform(ids, lambda v: CASE v WHEN 10 THEN 2 WHEN 11 THEN 3 ELSE v END)",
     lambda: A.remap_special_ids(_ids(), {10: 2, 11: 3, 4: 1}, 10),
 )
+@query(
+    "t24_remap_saved_ids",
+    f"""WITH {S_ROLL} SELECT vec_id, {s_digest('list_transform(ids, lambda v: CASE v WHEN 10 THEN 2 WHEN 12 THEN 5 ELSE v END)')} AS ids_md5 FROM roll""",
+)
+def t24_saved(spark, sf):
+    """Ids moved to the places that a saved tokenizer configuration gives them."""
+    path = fresh_path(spark, "tokenizer")
+    saved = '{"added_tokens_decoder": {"2": {"content": "<a>"}, "5": {"content": "<c>"}, "40": {"content": "<b>"}}}'
+    spark.range(1).select(F.lit(saved).alias("value")).write.text(path)
+    known = {r.token: r.id for r in read_special_ids(spark, path).collect()}
+    table = A.remap_table({"<a>": 10, "<b>": 11, "<c>": 12, "<d>": 9}, known, 10)
+    rows = _ints(spark, sf).select("vec_id", A.remap_special_ids(F.col("ids"), table, 10).alias("ids"))
+    return rows.select("vec_id", digest("ids").alias("ids_md5"))
+
+
 _array_query(
     "t17_response_mask",
     "list_transform(ids[2:], lambda v, i: CAST(i - 1 >= 20 + label AND v <> 0 AS INTEGER))",
@@ -418,6 +435,53 @@ def t08(spark, sf):
     )
 
 
+def s_sft(text: str, max_len: int) -> str:
+    """CTEs up to ``l(conv_id, ids, labels, mask)`` of chats whose turns read ``text``."""
+    return f"""{S_CHAT_VOCAB}, {S_TURNS.replace('turns AS', 'told AS')},
+turns AS (SELECT conv_id, turn, role, {text} AS text, tools FROM told),
+{s_injected(0.2, 'sft/system')}, b AS ({s_body()}),
+r AS (SELECT conv_id, CASE WHEN {s_u('conv_id', 'sft/think')} > 0.2 THEN replace(body, {D.EMPTY_THINK}, '') ELSE body END AS text FROM b),
+{s_encode('r', 'e', key='conv_id', max_len=max_len)}, p AS (SELECT conv_id, {s_pad('ids', max_len, 0)} AS ids FROM e),
+{s_spans('p', 'conv_id', 'l')}"""
+
+
+def _sft(spark, sf, **options):
+    lookup = V.token_lookup(chat_vocab(spark, sf))
+    rows = S.sft_samples(D.chats(spark, sf), lookup, **options)
+    return rows.select(
+        "conv_id",
+        digest("input_ids").alias("ids_md5"),
+        digest("labels").alias("labels_md5"),
+        A.mask_sum(F.col("attention_mask")).cast("bigint").alias("real_len"),
+        F.md5(F.coalesce("tools", F.lit(""))).alias("tools_md5"),
+        F.size(F.filter(F.coalesce("tool_calls", F.array()), lambda c: c.isNotNull())).cast("bigint").alias("calls"),
+    )
+
+
+_S_SFT_OUT = f"""SELECT l.conv_id, {s_digest('ids')} AS ids_md5, {s_digest('labels')} AS labels_md5,
+  len(list_filter(ids, lambda v: v <> 0)) AS real_len, t.tools_md5, t.calls FROM l JOIN (SELECT conv_id,
+  md5(coalesce(arg_max(tools, turn) FILTER (role = 'system' AND tools <> ''), '')) AS tools_md5, count(tool_calls) AS calls
+  FROM told GROUP BY conv_id) t USING (conv_id)"""
+_S_COT = "CASE WHEN reasoning_content <> '' THEN '<think>' || chr(10) || reasoning_content || chr(10) || '</think>' || chr(10) || chr(10) || text ELSE text END"
+_S_TOOLS = """text || CASE WHEN role = 'system' AND tools <> '' THEN chr(10) || '<tools>' || chr(10) || tools || chr(10) || '</tools>' ELSE '' END
+  || CASE WHEN tool_calls <> '' THEN chr(10) || '<tool_call>' || chr(10) || tool_calls || chr(10) || '</tool_call>' ELSE '' END"""
+
+
+@query("t08_sft_reasoning", f"WITH {s_sft(_S_COT, 1024)} {_S_SFT_OUT}")
+def t08_cot(spark, sf):
+    return _sft(spark, sf, use_cot=True)
+
+
+@query("t08_sft_tool_chats", f"WITH {s_sft(_S_TOOLS, 1024)} {_S_SFT_OUT}")
+def t08_tools(spark, sf):
+    return _sft(spark, sf, render=C.render_tool_chat)
+
+
+@query("t08_sft_long_context", f"WITH {s_sft('text', 32768)} {_S_SFT_OUT}")
+def t08_long(spark, sf):
+    return _sft(spark, sf, max_len=32768)
+
+
 _PAIR_LEN = 4096
 
 
@@ -433,7 +497,9 @@ def s_side(side: str) -> str:
     f"""WITH {S_PAIRS}, {S_DOC_VOCAB}, {s_side('chosen')}, {s_side('rejected')}
 SELECT c.pair_id, {s_digest(f'c.ids[1:{_PAIR_LEN - 1}]')} AS x_chosen_md5, {s_digest('c.ids[2:]')} AS y_chosen_md5,
   CAST(list_sum(c.mask[2:]) AS BIGINT) AS loss_chosen, {s_digest('r.ids[2:]')} AS y_rejected_md5,
-  CAST(list_sum(r.mask[2:]) AS BIGINT) AS loss_rejected FROM chosen_l c JOIN rejected_l r USING (pair_id)""",
+  CAST(list_sum(r.mask[2:]) AS BIGINT) AS loss_rejected, {s_digest(f'r.ids[1:{_PAIR_LEN - 1}]')} AS x_rejected_md5,
+  len(list_filter(c.ids[1:{_PAIR_LEN - 1}], lambda v: v <> 0)) AS real_chosen,
+  len(list_filter(r.ids[1:{_PAIR_LEN - 1}], lambda v: v <> 0)) AS real_rejected FROM chosen_l c JOIN rejected_l r USING (pair_id)""",
 )
 def t11(spark, sf):
     lookup = V.token_lookup(doc_vocab(spark, sf))
@@ -445,6 +511,9 @@ def t11(spark, sf):
         A.mask_sum(F.col("mask_chosen")).cast("bigint").alias("loss_chosen"),
         digest("y_rejected").alias("y_rejected_md5"),
         A.mask_sum(F.col("mask_rejected")).cast("bigint").alias("loss_rejected"),
+        digest("x_rejected").alias("x_rejected_md5"),
+        A.mask_sum(F.col("attention_mask_chosen")).cast("bigint").alias("real_chosen"),
+        A.mask_sum(F.col("attention_mask_rejected")).cast("bigint").alias("real_rejected"),
     )
 
 
@@ -486,7 +555,7 @@ def agent_turns(spark, sf):
     )
 
 
-S_AGENT = f"""{S_CHAT_VOCAB}, ct AS (SELECT conv_id * 1000 + turn AS k, conv_id, CAST(turn // 6 AS INTEGER) AS gen_id, turn, {_PART} AS part, text FROM conversations),
+S_AGENT = f"""{S_CHAT_VOCAB}, ct AS (SELECT conv_id || '-' || turn AS k, conv_id, CAST(turn // 6 AS INTEGER) AS gen_id, turn, {_PART} AS part, text FROM conversations),
 {s_encode('ct', 'e', key='k')}, aturn AS (SELECT conv_id AS prompt_id, gen_id, turn, part,
   CASE WHEN part = 'model' THEN list_filter(ids, lambda i: i NOT IN (0, 3)) ELSE ids END AS ids FROM ct JOIN e USING (k)),
 tr AS (SELECT prompt_id, gen_id, coalesce(flatten(list(ids ORDER BY turn) FILTER (part = 'prompt')), {_EMPTY_INTS}) AS p,
@@ -534,8 +603,8 @@ def t21(spark, sf):
 
 @query("t21_pack_long_rollouts", S_PACKED)
 def t21_long(spark, sf):
-    """The way taken for rollouts of more turns than a row may hold."""
-    rows = TR.trajectory(agent_turns(spark, sf), V.PAD, V.EOS, segment=2)
+    """From turns that arrive in any order, dealt over many partitions."""
+    rows = TR.trajectory(agent_turns(spark, sf).repartition(13, "turn"), V.PAD, V.EOS)
     return _packed(TR.pack_trajectory(rows, _MAX))
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatloom import schemas
-from chatloom.operators.groups import FLOOR, rank_in_group
+from chatloom.operators.groups import rank_in_group
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, extras: bool) -> DataFrame:
@@ -45,14 +45,21 @@ def read_agent_tasks(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, schemas.AGENT_TASK, extras=True)
 
 
-def with_ids(df: DataFrame, key: str, floor: int = FLOOR) -> DataFrame:
+def with_ids(df: DataFrame, key: str) -> DataFrame:
     """Give rows an id. Fixed by content, so it survives recomputation; equal rows
-    are told apart by a counter inside their group."""
+    are told apart by a counter.
+
+    Only rows that occur more than once are numbered; all others get 0.
+    """
     digest = F.sha2(F.to_json(F.struct(*df.columns)), 256)
-    marked = df.withColumn("_d", digest).withColumn("_m", F.monotonically_increasing_id())
+    marked = df.withColumn("_d", digest)
+    times = marked.groupBy("_d").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_d")
+    single = marked.join(times, "_d", "left_anti").withColumn("_c", F.lit(0).cast("bigint"))
     # equal rows are interchangeable: any order among them gives the same table
-    numbered = rank_in_group(marked, ["_d"], [F.col("_m")], "_c", floor)
-    return numbered.select(F.concat_ws("-", "_d", F.col("_c").cast("string")).alias(key), *df.columns)
+    several = marked.join(times, "_d", "left_semi").withColumn("_m", F.monotonically_increasing_id())
+    numbered = rank_in_group(several, ["_d"], [F.col("_m")], "_c", how="spread").drop("_m")
+    rows = single.unionByName(numbered)
+    return rows.select(F.concat_ws("-", "_d", F.col("_c").cast("string")).alias(key), *df.columns)
 
 
 def read_special_ids(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import arrays as A
 from chatloom.functions.text import uniform
-from chatloom.operators.chats import SEGMENT, chats_from_turns
+from chatloom.operators.chats import chats_from_turns
 from chatloom.operators.groups import collect_in_order
 from chatloom.session import spread
 
@@ -145,10 +145,9 @@ def tool_tasks(spark, sf) -> DataFrame:
 
 
 def tool_rollouts(spark, sf) -> DataFrame:
-    """The same with the rollout's turns as an array (several rows, each with a part
-    of the turns, should a rollout be longer than a row may be)."""
+    """The same with the rollout's turns as an array."""
     keys = ["prompt_id", "gen_id"]
-    rows = collect_in_order(tool_turns(spark, sf), keys, ["turn"], F.col("text"), SEGMENT)
+    rows = collect_in_order(tool_turns(spark, sf), keys, ["turn"], F.col("text"))
     turns = rows.select(
         *keys, F.col("items").alias("turns"), F.element_at("items", -1).alias("response")
     )

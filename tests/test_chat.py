@@ -14,7 +14,7 @@ def msg(role, content, reasoning=None, tools=None, calls=None):
 
 def chat(spark, *convs):
     rows = spark.createDataFrame(list(enumerate(convs)), CONV)
-    return rows.select("conv_id", F.lit(0).alias("segment"), F.lit(True).alias("last"), "conversations")
+    return rows.select("conv_id", "conversations")
 
 
 def test_rendered_forms(spark):
@@ -55,8 +55,6 @@ def test_system_prompt_goes_where_it_may(spark):
 def test_prompt_share_and_choice(spark):
     df = spark.range(4000).select(
         F.col("id").alias("conv_id"),
-        F.lit(0).alias("segment"),
-        F.lit(True).alias("last"),
         F.array(C.message("user", F.lit("x"))).alias("conversations"),
     )
     got = O.inject_system(df, name="Loom").where(F.size("conversations") == 2)
@@ -147,11 +145,14 @@ def long_turns(spark, n=100):
     )
 
 
-@pytest.mark.parametrize("floor", [10, 1_000_000])
-def test_long_conversations_come_in_segments(spark, floor):
-    turns = long_turns(spark)
-    cut = O.chats_from_turns(turns, segment=16, floor=floor)
-    rows = cut.orderBy("conv_id", "segment").collect()
+def test_long_conversations_are_one_row(spark):
+    rows = {r.conv_id: r.conversations for r in O.chats_from_turns(long_turns(spark)).collect()}
+    assert len(rows) == 2 and len(rows[1]) == 2
+    assert [m.content for m in rows[7]] == [f"t{i}" for i in range(100)]
+
+
+def test_conversations_in_pieces(spark):
+    rows = O.chat_pieces(long_turns(spark), 16).orderBy("conv_id", "segment").collect()
     assert [(r.conv_id, r.segment, r.last) for r in rows] == [(1, 0, True)] + [
         (7, s, s == 6) for s in range(7)
     ]
@@ -160,30 +161,14 @@ def test_long_conversations_come_in_segments(spark, floor):
     assert texts == [f"t{i}" for i in range(100)]
 
 
-def joined(prompts):
-    out = {}
-    for r in prompts.orderBy("conv_id", "segment").collect():
-        out[r.conv_id] = out.get(r.conv_id, "") + r.prompt
-    return out
-
-
-def test_segments_render_like_the_whole(spark):
-    turns = long_turns(spark)
-    whole = joined(O.rl_prompts(O.chats_from_turns(turns), ratio=1.0))
-    parts = joined(O.rl_prompts(O.chats_from_turns(turns, segment=16, floor=10), ratio=1.0))
-    assert whole == parts
-    assert whole[7].endswith("t98<|im_end|>\n<|im_start|>assistant\n")
-    assert whole[7].startswith("<|im_start|>system\n")
-
-
-def test_copies_of_a_turn_spread(spark):
+def test_copies_of_a_turn_in_pieces(spark):
     same = spark.range(60).select(
         F.lit(3).cast("long").alias("conv_id"),
         F.lit(0).cast("long").alias("turn"),
         F.lit("user").alias("role"),
         F.lit("x").alias("text"),
     )
-    rows = O.chats_from_turns(same, segment=8, floor=10).collect()
+    rows = O.chat_pieces(same, 8).collect()
     assert sum(len(r.conversations) for r in rows) == 60 and len(rows) == 8
     assert sum(r.last for r in rows) == 1
 
@@ -192,9 +177,38 @@ def test_late_tools_keep_the_system_prompt_out(spark):
     turns = long_turns(spark).withColumn(
         "tools", F.when(F.col("text") == "t90", F.lit("[1]"))
     )
-    cut = O.inject_system(O.chats_from_turns(turns, segment=16), ratio=1.0)
-    opening = {r.conv_id: r.conversations[0].role for r in cut.where("segment = 0").collect()}
+    opened = O.inject_system(O.chats_from_turns(turns), ratio=1.0)
+    opening = {r.conv_id: r.conversations[0].role for r in opened.collect()}
     assert opening == {1: "system", 7: "user"}
+    stats = {r.conv_id: (r.messages, r.tool_chat, r.tools) for r in O.chat_stats(turns).collect()}
+    assert stats == {1: (2, False, None), 7: (100, True, None)}
+
+
+def test_tools_are_rendered_and_carried(spark):
+    df = chat(
+        spark,
+        [msg("system", "s", tools='[{"x":1}]'), msg("user", "u"), msg("assistant", None, calls='[{"name":"f"}]'), msg("assistant", "a")],
+    )
+    conv = F.col("conversations")
+    text = df.select(C.render_tool_chat(conv)).first()[0]
+    assert text == (
+        '<|im_start|>system\ns\n<tools>\n[{"x":1}]\n</tools><|im_end|>\n<|im_start|>user\nu<|im_end|>\n'
+        '<|im_start|>assistant\n\n<tool_call>\n[{"name":"f"}]\n</tool_call><|im_end|>\n<|im_start|>assistant\na<|im_end|>\n'
+    )
+    prompt = O.rl_prompts(df, render=C.render_tool_chat).first()
+    assert prompt.tools == '[{"x":1}]' and "</tool_call>" in prompt.prompt and prompt.prompt.endswith("<|im_start|>assistant\n")
+    assert df.select(C.tool_calls(conv)).first()[0] == [None, None, '[{"name":"f"}]', None]
+
+
+def test_lenient_json_is_no_reject(spark):
+    df = chat(
+        spark,
+        [msg("user", "a"), msg("assistant", "b", calls='[{"name":"f","name":"g","v":NaN}]')],
+        [msg("user", "a"), msg("assistant", "b", calls='[{"name":')],
+    )
+    good, bad = O.validate_chats(df)
+    assert [r.conv_id for r in good.collect()] == [0]
+    assert [tuple(r) for r in bad.collect()] == [("bad tool call json", 1)]
 
 
 def test_schema_matches_the_declared_one(spark):

@@ -1,3 +1,4 @@
+import json
 import re
 from collections import Counter
 
@@ -257,6 +258,32 @@ def test_own_dimension(spark):
     df = spark.createDataFrame([("get_current_weather", '{"arguments":{"location":"Oslo"}}')], "name string, c string")
     df = df.withColumn("call", F.parse_json("c")).drop("c")
     own = spark.createDataFrame([("Oslo", "1°C", "snow")], "location string, temp string, cond string")
-    for small in (0, 10):  # shuffled, broadcast
-        got = O.tool_lookup(df, {"weather": own}, small=small).first().result
-        assert '"condition": "snow"' in got
+    got = O.tool_lookup(df, {"weather": own}).first().result
+    assert '"condition": "snow"' in got
+
+
+def test_calls_that_a_lenient_reader_takes(one):
+    text = F.lit(
+        '<tool_call>{"name":"a","name":"unit_converter","arguments":{"value":0,"from_unit":"km","to_unit":"","to_unit":"m"}}</tool_call>'
+        '<tool_call>{"name":"unit_converter","arguments":{"value":NaN,"from_unit":"a","to_unit":"b"}}</tool_call>'
+        '<tool_call>{"name":"translate_text","arguments":"{\\"text\\":\\"\\",\\"text\\":\\"x\\",\\"target_language\\":\\"e\\"}"}</tool_call>'
+        "<tool_call>{bad</tool_call>"
+    )
+    calls = R.parse_tool_calls(text)
+    names = one(F.transform(calls, R.call_name))
+    assert names == ["unit_converter", "unit_converter", "translate_text"]
+    offered = F.array(F.lit("unit_converter"), F.lit("translate_text"))
+    assert one(F.transform(calls, lambda c: R.valid_call(c, offered))) == [True, True, True]
+
+
+def test_digits_of_all_scripts(one):
+    gt = F.array(F.lit("3"), F.lit("12.5"))
+    assert one(R.gt_match(F.lit("it is ٣ and १२.५ now"), gt)) == 2.5
+    assert one(R.gt_match(F.lit("it is ٤"), gt)) == 0.0
+
+
+def test_numbers_as_json_writes_them(spark):
+    values = [0.0, -0.0, 1.0, -2.5, 0.1, 1e-4, 0.00012, 1.2e-7, 123456.789, 1e15, 1234567890123456.0, 1e16, 1.5e17]
+    values += [-3e-300, 1.7976931348623157e308, 7.21, 1 / 3, 100.0]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", O._number(F.col("x")).alias("n"))
+    assert [r.n for r in rows.collect()] == [json.dumps(v) for v in values]
