@@ -1,9 +1,9 @@
 """Epoch order, worker shards, batches and resume points, as tables.
 
 The order of an epoch is the order of a hash of (seed + epoch, id). Hash values
-are uniform, so cutting their range into fixed buckets cuts the table into even
-pieces: one counting pass gives each bucket its offset, and positions inside a
-bucket come from a window over that bucket alone. No task sorts the whole table
+are uniform, so cutting their range into equal buckets cuts the table into even
+pieces, as many as the rows ask for: one counting pass gives each bucket its offset, and
+positions inside a bucket come from a window over that bucket alone. No task sorts the whole table
 and nothing is sampled, so a lost task recomputes the same positions.
 """
 
@@ -11,19 +11,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEED = 42
-BUCKETS = 4096  # three hex digits of the hash
+BUCKET_ROWS = 250_000  # rows of a bucket, about
 
 
-def shuffle_epoch(df: DataFrame, key: str, seed: int = SEED, epoch: int = 0) -> DataFrame:
-    """Add ``position``, the zero-based place in this epoch's permutation."""
+def digits_for(rows: int, bucket: int = BUCKET_ROWS) -> int:
+    """Hex digits of the hash that cut ``rows`` into buckets of about ``bucket`` rows; two at
+    least, so that a small table is spread, too."""
+    digits = 2
+    while rows > bucket * 16**digits:
+        digits += 1
+    return digits
+
+
+def epoch_buckets(
+    df: DataFrame, key: str, seed: int = SEED, epoch: int = 0, bucket: int = BUCKET_ROWS
+) -> tuple[DataFrame, DataFrame, int]:
+    """Rows with their hash ``_h`` and bucket ``_b``, the place ``_o`` of each bucket's first row, and
+    the number of rows. There is a bucket for some ``bucket`` rows, so the table of buckets
+    is the rows' number by 15,000 or more, 12 bytes each."""
+    n = df.count()
     digest = F.md5(F.concat(F.lit(f"{seed + epoch}:"), F.col(key).cast("string")))
     keyed = df.withColumn("_h", digest).withColumn(
-        "_b", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int")
+        "_b", F.conv(F.substring("_h", 1, digits_for(n, bucket)), 16, 10).cast("int")
     )
     sizes = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # at most BUCKETS rows
     offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    return keyed, offsets, n
+
+
+def shuffle_epoch(
+    df: DataFrame, key: str, seed: int = SEED, epoch: int = 0, bucket: int = BUCKET_ROWS
+) -> DataFrame:
+    """Add ``position``, the zero-based place in this epoch's permutation."""
+    keyed, offsets, _ = epoch_buckets(df, key, seed, epoch, bucket)
     local = Window.partitionBy("_b").orderBy("_h", key)
     return (
         keyed.join(F.broadcast(offsets), "_b")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import BLANK, WORD
+from chatloom.operators.groups import rank_in_group
 
 # Reserved tokens, in id order from 0.
 SPECIALS = [
@@ -59,15 +60,18 @@ def build_vocab(df: DataFrame, text: str = "text", size: int = SIZE) -> DataFram
         .orderBy(F.desc("count"), "token")
         .limit(size - len(fixed))
     )
-    # at most ``size`` rows from here on
-    listed = top.agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("c"), "token"))).alias("l")
-    ).select(F.posexplode("l").alias("at", "e"))
-    frequent = listed.select(
-        F.col("e.token").alias("token"),
-        (F.col("at") + len(fixed)).cast("int").alias("id"),
-        (-F.col("e.c")).alias("count"),
-    )
+    if size <= MAX_LOOKUP:
+        listed = top.agg(
+            F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("c"), "token"))).alias("l")
+        ).select(F.posexplode("l").alias("at", "e"))
+        frequent = listed.select(
+            F.col("e.token").alias("token"),
+            (F.col("at") + len(fixed)).cast("int").alias("id"),
+            (-F.col("e.c")).alias("count"),
+        )
+    else:  # numbered by ranges, never in one array
+        placed = rank_in_group(top, [], [F.desc("count"), F.asc("token")], "at", how="spread")
+        frequent = placed.select("token", (F.col("at") + len(fixed)).cast("int").alias("id"), "count")
     reserved = df.sparkSession.createDataFrame(
         [(t, i) for i, t in enumerate(fixed)], "token string, id int"
     )
@@ -78,24 +82,24 @@ def _bucket(token: Column) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
 
 
-def _small(vocab: DataFrame, columns: list, limit: int):
-    """The table's rows when they number at most ``limit``, else None."""
-    rows = vocab.select(*columns).limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+def _rows(vocab: DataFrame, columns: list) -> list:
+    """The rows of a table that a plan may carry."""
+    rows = vocab.select(*columns).limit(MAX_LOOKUP + 1).collect()
+    if len(rows) > MAX_LOOKUP:
+        raise ValueError(f'the vocabulary has more than {MAX_LOOKUP} entries: use how="join"')
+    return rows
 
 
-def token_lookup(vocab: DataFrame, limit: int = MAX_LOOKUP) -> Callable[[Column], Column] | None:
-    """``token -> id`` as a column function, or None when the table is too large.
+def token_lookup(vocab: DataFrame) -> Callable[[Column], Column]:
+    """``token -> id`` as a column function; a table of more than ``MAX_LOOKUP`` entries is
+    refused.
 
     The bounded table becomes a constant: an array of small maps, one per hash
     bucket, so a lookup costs one array access and a map of a few entries. No
     shuffle, no join, no exploded tokens.
     """
-    rows = _small(vocab, ["token", "id", _bucket(F.col("token")).alias("b")], limit)
-    if rows is None:
-        return None
     table = [{} for _ in range(BUCKETS)]
-    for r in rows:
+    for r in _rows(vocab, ["token", "id", _bucket(F.col("token")).alias("b")]):
         table[r["b"]][r["token"]] = r["id"]
     constant = F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "array<map<string,int>>")
     return lambda t: F.coalesce(
@@ -103,6 +107,12 @@ def token_lookup(vocab: DataFrame, limit: int = MAX_LOOKUP) -> Callable[[Column]
     )
 
 
+def _way(how: str) -> bool:
+    if how not in ("lookup", "join"):
+        raise ValueError(f"how must be lookup or join, not {how}")
+    return how == "join"
+
+
 def encode(
     df: DataFrame,
     vocab: DataFrame | Callable[[Column], Column],
@@ -110,43 +120,49 @@ def encode(
     key: str = "doc_id",
     out: str = "ids",
     max_len: int | None = None,
-    limit: int = MAX_LOOKUP,
+    how: str = "lookup",
 ) -> DataFrame:
-    """Add the token ids of ``text``; unknown tokens get the unknown id. ``vocab``
-    is a table, or a lookup made from one for use in several places."""
-    lookup = token_lookup(vocab, limit) if isinstance(vocab, DataFrame) else vocab
-    if lookup is None:
-        return _encode_joined(df, vocab, text, key, out, max_len)
+    """Add the token ids of ``text``; unknown tokens get the unknown id, a null text has null
+    ids. ``vocab`` is a table, or a lookup made from one for use in several places.
+
+    ``how="lookup"`` carries the table in the plan, ``how="join"`` joins tables of any size;
+    both give the same ids, whatever ``key`` says of the rows.
+    """
     toks = tokens(F.col(text))
     if max_len is not None:
         toks = F.slice(toks, 1, max_len)  # cut first: no lookups for dropped tokens
+    if _way(how):
+        return _by_join(df, toks, vocab.select(F.col("token").alias("_x"), F.col("id").alias("_y")), out, F.lit(UNK))
+    lookup = token_lookup(vocab) if isinstance(vocab, DataFrame) else vocab
     return df.withColumn(out, F.transform(toks, lookup))
 
 
-def _encode_joined(df, vocab, text, key, out, max_len) -> DataFrame:
-    """For tables beyond the lookup bound: shuffle join on the token.
+def _by_join(df: DataFrame, items: Column, table: DataFrame, out: str, default: Column) -> DataFrame:
+    """``items``, an array, with each item ``_x`` replaced by its ``_y`` of ``table``, or the default.
 
-    Tokens are made unique per row first, so a token that is everywhere meets the
-    table once per row and not once per use.
+    Equal arrays are looked up once, and an item once for each array. Rows meet their
+    result by the array's digest, so keys of rows play no part and a null stays null.
     """
-    toks = tokens(F.col(text))
-    if max_len is not None:
-        toks = F.slice(toks, 1, max_len)
+    digest = F.sha2(F.to_json(F.struct(F.col("_items"))), 256)
+    rows = df.withColumn("_items", items).withColumn("_d", F.when(F.col("_items").isNotNull(), digest))
     uses = (
-        df.select(key, F.posexplode(toks).alias("_at", "token"))
-        .groupBy(key, "token")
+        rows.where(F.col("_d").isNotNull())
+        .groupBy("_d")
+        .agg(F.any_value("_items").alias("_items"))
+        .select("_d", F.posexplode("_items").alias("_at", "_x"))
+        .groupBy("_d", "_x")
         .agg(F.collect_list("_at").alias("_places"))
     )
-    named = uses.join(vocab.select("token", "id"), "token", "left").select(
-        key, F.explode("_places").alias("_at"), F.coalesce("id", F.lit(UNK)).alias("id")
+    named = uses.join(table, "_x", "left").select(
+        "_d", F.explode("_places").alias("_at"), F.coalesce("_y", default).alias("_y")
     )
-    rows = named.groupBy(key).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("_at", "id"))), lambda e: e["id"]
-        ).alias(out)
+    found = named.groupBy("_d").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("_at", "_y"))), lambda e: e["_y"]).alias("_found")
     )
-    none = F.array().cast("array<int>")
-    return df.join(rows, key, "left").withColumn(out, F.coalesce(out, none))
+    kind = found.schema["_found"].dataType
+    whole = F.when(F.col("_items").isNotNull(), F.coalesce("_found", F.array().cast(kind)))
+    joined = rows.join(found, "_d", "left").withColumn("_out", whole)
+    return joined.select(*[c for c in df.columns if c != out], F.col("_out").alias(out))
 
 
 def decode(
@@ -156,32 +172,30 @@ def decode(
     key: str = "doc_id",
     out: str = "decoded",
     skip_special: bool = True,
-    limit: int = MAX_LOOKUP,
+    how: str = "lookup",
 ) -> DataFrame:
-    """Text of the ids; special tokens are left out on request."""
+    """Text of the ids; special tokens are left out on request, unknown ids always. Null ids
+    have a null text. ``how`` as in ``encode``."""
     skipped = SPECIALS if skip_special else []
-    rows = _small(vocab, ["token", "id"], limit)
-    if rows is not None and max((r["id"] for r in rows), default=0) < 10 * limit:
-        texts = [None] * (1 + max((r["id"] for r in rows), default=0))
-        for r in rows:
-            texts[r["id"]] = None if r["token"] in skipped else r["token"]
-        constant = F.from_json(F.lit(json.dumps(texts, ensure_ascii=False)), "array<string>")
+    if _way(how):
+        table = vocab.where(~F.col("token").isin(*skipped, "")).select(
+            F.col("id").alias("_x"), F.col("token").alias("_y")
+        )
+        named = _by_join(df, F.col(ids), table, "_texts", F.lit(None).cast("string"))
         # array_join leaves nulls out
-        return df.withColumn(
-            out, F.array_join(F.transform(F.col(ids), lambda i: F.get(constant, i)), "")
+        return named.withColumn(out, F.array_join("_texts", "")).select(
+            *[c for c in df.columns if c != out], out
         )
-    # ids are made unique per row first, as tokens are when encoding
-    named = (
-        df.select(key, F.posexplode(ids).alias("_at", "id"))
-        .groupBy(key, "id")
-        .agg(F.collect_list("_at").alias("_places"))
-        .join(vocab.select("token", "id").where(~F.col("token").isin(*skipped, "")), "id")
-        .select(key, F.explode("_places").alias("_at"), "token")
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(F.struct("_at", "token"))).alias("l"))
-        .select(key, F.array_join(F.transform("l", lambda e: e["token"]), "").alias(out))
+    table = [{} for _ in range(BUCKETS)]
+    for r in _rows(vocab, ["token", "id"]):
+        if r["token"] not in skipped:
+            table[r["id"] % BUCKETS][str(r["id"])] = r["token"]
+    constant = F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "array<map<string,string>>")
+    texts = F.transform(
+        F.col(ids),
+        lambda i: F.try_element_at(F.get(constant, F.pmod(i, F.lit(BUCKETS))), i.cast("string")),
     )
-    return df.join(named, key, "left").withColumn(out, F.coalesce(out, F.lit("")))
+    return df.withColumn(out, F.array_join(texts, ""))
 
 
 def tokenizer_udf(load: Callable[[], Callable[[str], list[int]]]):

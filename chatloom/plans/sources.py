@@ -9,7 +9,7 @@ from chatloom.operators.preference import preference_accuracy
 from chatloom.plans.common import S_TURNS, query, r6, s_frame, s_r6, s_u
 from chatloom.session import fresh_path
 from chatloom.sources import readers, tables as D
-from chatloom.sources.writers import write_samples
+from chatloom.sources.writers import write_epoch, write_samples
 
 
 def _roundtrip(spark, df, reader, label):
@@ -226,6 +226,19 @@ def ids_by_content(spark, sf):
     )
 
 
+@query(
+    "s09_write_epoch",
+    """SELECT doc_id, row_number() OVER (ORDER BY md5('43:' || doc_id), doc_id) - 1 AS position,
+  md5(text) AS text_md5 FROM documents""",
+)
+def epoch_written(spark, sf):
+    """An epoch's order and its files from one shuffle."""
+    path = fresh_path(spark, "epoch")
+    write_epoch(D.table(spark, sf, "documents").select("doc_id", "text"), "doc_id", path, shards=8, epoch=1)
+    back = spark.read.parquet(path)
+    return back.select("doc_id", "position", F.md5("text").alias("text_md5"))
+
+
 @query(
     "s09_write_samples",
     """SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS position,

@@ -84,7 +84,7 @@ def t02(spark, sf):
 def t02_joined(spark, sf):
     """The way taken when the vocabulary exceeds the lookup bound."""
     docs = D.documents(spark, sf).select("doc_id", "text")
-    ids = V.encode(docs, doc_vocab(spark, sf), limit=0)
+    ids = V.encode(docs, doc_vocab(spark, sf), how="join")
     return ids.select(
         "doc_id", F.size("ids").cast("bigint").alias("tokens"), digest("ids").alias("ids_md5")
     )
@@ -115,7 +115,7 @@ def t03_joined(spark, sf):
     """With special tokens kept, by the way taken beyond the lookup bound."""
     vocab = materialize(doc_vocab(spark, sf))
     ids = V.encode(D.documents(spark, sf).select("doc_id", "text"), vocab)
-    out = V.decode(ids, vocab, skip_special=False, limit=0)
+    out = V.decode(ids, vocab, skip_special=False, how="join")
     return out.select("doc_id", F.md5("decoded").alias("text_md5"))
 
 

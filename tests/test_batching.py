@@ -88,3 +88,27 @@ def test_written_shards_are_even_and_sorted(spark, tmp_path):
     for r in back.collect():
         by_file.setdefault(r.f, []).append(r.position)
     assert sorted(map(tuple, by_file.values())) == [tuple(range(k, k + 25)) for k in (0, 25, 50, 75)]
+
+
+def test_buckets_follow_the_rows(spark):
+    assert [B.digits_for(n, 100) for n in (0, 25_600, 25_601, 409_600, 409_601)] == [2, 2, 3, 3, 4]
+    rows = spark.range(3000).withColumnRenamed("id", "k")
+    order = {tuple(r) for r in B.shuffle_epoch(rows, "k").collect()}
+    assert order == {tuple(r) for r in B.shuffle_epoch(rows, "k", bucket=1).collect()}
+
+
+def test_epoch_files(spark, tmp_path):
+    from chatloom.sources.writers import write_epoch
+
+    rows = spark.range(2000).withColumnRenamed("id", "k")
+    write_epoch(rows, "k", f"{tmp_path}/e", shards=5, epoch=3)
+    files = spark.read.parquet(f"{tmp_path}/e")
+    want = {tuple(r) for r in B.shuffle_epoch(rows, "k", epoch=3).collect()}
+    assert {tuple(r) for r in files.collect()} == want
+    parts = files.groupBy(F.input_file_name().alias("f")).agg(
+        F.min("position").alias("a"), F.max("position").alias("b"), F.count("*").alias("n")
+    )
+    spans = sorted((r.a, r.b, r.n) for r in parts.collect())
+    assert len(spans) == 5 and all(b - a + 1 == n for a, b, n in spans) and spans[0][0] == 0
+    write_epoch(rows.limit(0), "k", f"{tmp_path}/none", shards=2)
+    assert spark.read.parquet(f"{tmp_path}/none").count() == 0

@@ -44,28 +44,65 @@ def test_vocabulary_order_and_size(docs):
     assert (checks.tokens, checks.distinct_ids, checks.beyond_size) == (size, size, False)
 
 
-@pytest.mark.parametrize("limit", [V.MAX_LOOKUP, 0])
+@pytest.mark.parametrize("how", ["lookup", "join"])
 @pytest.mark.parametrize("max_len", [None, 4])
-def test_encoding_ways_agree(docs, limit, max_len):
+def test_encoding_ways_agree(docs, how, max_len):
     vocab = V.build_vocab(docs, size=30).cache()
     ids = {t: i for t, i in vocab.select("token", "id").collect()}
-    got = V.encode(docs, vocab, max_len=max_len, limit=limit)
+    got = V.encode(docs, vocab, max_len=max_len, how=how)
     pairs = got.select("doc_id", V.tokens(F.col("text")).alias("t"), "ids").collect()
     assert len(pairs) == len(TEXTS)
     for r in pairs:
         assert r.ids == [ids.get(t, V.UNK) for t in r.t][:max_len]
 
 
-@pytest.mark.parametrize("limit", [V.MAX_LOOKUP, 0])
-def test_decoding(docs, limit):
+@pytest.mark.parametrize("how", ["lookup", "join"])
+def test_decoding(docs, how):
     vocab = V.build_vocab(docs).cache()
     ids = V.encode(docs, vocab)
-    whole = V.decode(ids, vocab, skip_special=False, limit=limit)
+    whole = V.decode(ids, vocab, skip_special=False, how=how)
     assert {r.doc_id: r.decoded for r in whole.collect()} == dict(TEXTS)
-    bare = V.decode(ids, vocab, limit=limit).where("doc_id = 3").first().decoded
+    bare = V.decode(ids, vocab, how=how).where("doc_id = 3").first().decoded
     assert bare == "user\nassistants assistant\n"
 
 
+@pytest.mark.parametrize("how", ["lookup", "join"])
+def test_nulls_empty_texts_and_repeated_keys(spark, docs, how):
+    vocab = V.build_vocab(docs, size=30).cache()
+    rows = spark.createDataFrame(
+        [(1, "the cat"), (1, "a dog"), (1, "the cat"), (2, ""), (3, None), (None, "cat")], "doc_id long, text string"
+    )
+    ids = {t: i for t, i in vocab.select("token", "id").collect()}
+    got = V.encode(rows, vocab, how=how)
+    assert got.columns == ["doc_id", "text", "ids"]
+    want = {t: [ids.get(x, V.UNK) for x in x] for t, x in (("", []),)} | {
+        r.text: [ids.get(t, V.UNK) for t in r.t]
+        for r in rows.where("text is not null").select("text", V.tokens(F.col("text")).alias("t")).collect()
+    }
+    seen = got.collect()
+    assert len(seen) == 6 and all(r.ids == want.get(r.text) for r in seen)
+    back = V.decode(got, vocab, skip_special=False, how=how).collect()
+    names = {i: t for t, i in ids.items()}
+    assert len(back) == 6
+    for r in back:
+        assert r.decoded == (None if r.ids is None else "".join(names[i] for i in r.ids))
+    odd = spark.createDataFrame([(1, [0, 999, -1, 14])], "doc_id long, ids array<int>")
+    assert V.decode(odd, vocab, how=how).first().decoded == "tool"
+
+
+def test_large_tables_are_refused_by_lookup(spark, docs, monkeypatch):
+    monkeypatch.setattr(V, "MAX_LOOKUP", 20)
+    small = V.build_vocab(docs, size=20)
+    assert V.token_lookup(small) is not None
+    large = V.build_vocab(docs, size=24)
+    assert [r.id for r in large.orderBy("id").collect()] == list(range(24))
+    assert small.exceptAll(large).count() == 0
+    with pytest.raises(ValueError, match="how="):
+        V.encode(docs, large)
+    with pytest.raises(ValueError, match="how="):
+        V.decode(docs.select("doc_id", F.array().cast("array<int>").alias("ids")), large)
+
+
 def test_pretrain_rows(spark, docs):
     with_null = docs.unionByName(spark.createDataFrame([(9, None)], "doc_id long, text string"))
     rows = S.pretrain_samples(with_null, V.build_vocab(docs), max_len=8).orderBy("doc_id").collect()
