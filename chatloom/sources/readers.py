@@ -1,6 +1,6 @@
 """Corpora, score cards and logs. Every schema is declared; nothing is inferred."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,17 +9,33 @@ from chatloom.operators.groups import rank_in_group
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, extras: bool) -> DataFrame:
-    """Declared columns of JSON lines; a line that is not JSON raises. With
-    ``extras`` the whole line comes along as the variant ``row``, so that fields
+    """Declared columns of JSON lines; a line that is not JSON, or of another shape, raises.
+    With ``extras`` the whole line comes along as the variant ``row``, so that fields
     nobody declared are not lost."""
     if not extras:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     parsed = spark.read.text(path).select(F.parse_json(F.trim("value")).alias("row"))
-    declared = [
-        F.try_variant_get("row", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
-        for f in schema
-    ]
-    return parsed.select(*declared, "row")
+    return parsed.select(*[_declared(f) for f in schema], "row")
+
+
+def _declared(field: T.StructField) -> Column:
+    """A field of the variant ``row``: null where the line has none, an error where the line is
+    no object or its value isn't of the declared type."""
+    path = f"$.{field.name}"
+    there = F.try_variant_get("row", path, "variant")
+    value = F.try_variant_get("row", path, field.dataType.simpleString())
+    shape = F.schema_of_variant("row")
+
+    def wrong(what):
+        return F.raise_error(F.concat(F.lit(f"{what}: "), F.left(F.to_json("row"), F.lit(200))))
+
+    return (
+        F.when(~F.startswith(shape, F.lit("OBJECT")), wrong("line is no object"))
+        .when(there.isNull() | F.is_variant_null(there), F.lit(None))
+        .when(value.isNull(), wrong(f"{field.name} is of another type"))
+        .otherwise(value)
+        .alias(field.name)
+    )
 
 
 def read_pretrain(spark: SparkSession, path: str, extras: bool = False) -> DataFrame:

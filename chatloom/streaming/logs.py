@@ -6,19 +6,40 @@ from pyspark.sql import functions as F
 from chatloom.operators.logs import parse_log
 
 
-def read_log_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None):
-    """Lines ``arrived <tab> run <tab> line`` from a growing folder."""
+def _stream(spark: SparkSession, path: str, files_per_trigger: int | None) -> DataFrame:
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return split_lines(reader.load(path))
+
+
+def split_lines(raw: DataFrame) -> DataFrame:
+    """``value`` lines as ``arrived``, ``run``, ``line``, and why a line is ``bad`` (null if it isn't)."""
     parts = F.split("value", "\t", 3)
-    return reader.load(path).select(
-        F.get(parts, F.lit(0)).try_cast("timestamp").alias("arrived"),
+    arrived = F.get(parts, F.lit(0)).try_cast("timestamp")
+    bad = F.when(F.size(parts) < 3, F.lit("too few fields")).when(arrived.isNull(), F.lit("bad time"))
+    return raw.select(
+        arrived.alias("arrived"),
         F.get(parts, F.lit(1)).alias("run"),
         F.get(parts, F.lit(2)).alias("line"),
+        bad.alias("bad"),
+        "value",
     )
 
 
+def read_log_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None):
+    """Lines ``arrived <tab> run <tab> line`` from a growing folder; bad ones are left to
+    ``bad_lines``."""
+    rows = _stream(spark, path, files_per_trigger)
+    return rows.where(F.col("bad").isNull()).select("arrived", "run", "line")
+
+
+def bad_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None):
+    """The lines that ``read_log_stream`` leaves out, counted by reason, as a stream."""
+    rows = _stream(spark, path, files_per_trigger)
+    return rows.where(F.col("bad").isNotNull()).groupBy("bad").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def window_metrics(
     lines: DataFrame, width: str = "10 minutes", late: str = "30 minutes", metric: str = "loss"
 ) -> DataFrame:

@@ -136,8 +136,6 @@ def test_latest_wins_in_batch(spark):
     assert got == {1: 3.0, 2: 2.0}
 
 
-@pytest.mark.parametrize("small", [0, 50_000])
-def test_tail_of_many_logs(spark, small, monkeypatch):
-    monkeypatch.setattr(L, "SMALL", small)
+def test_tail_of_many_logs(spark):
     log = lines(spark, ["aa", "bb"], "x").unionByName(lines(spark, ["cc"], "y"))
     assert {r.run: r.tail for r in L.log_tail(log, 4).collect()} == {"x": "\nbb\n", "y": "cc\n"}

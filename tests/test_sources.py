@@ -62,6 +62,29 @@ def test_bad_lines_raise(spark, tmp_path, reader):
         reader(spark, path).collect()
 
 
+@pytest.mark.parametrize("line", [{"conversations": "text", "gt": []}, {"conversations": [], "gt": {"a": 1}}, [1, 2], "7"])
+def test_lines_of_another_shape_raise(spark, tmp_path, line):
+    good = {"conversations": [], "gt": None}
+    assert readers.read_agent_tasks(spark, write(tmp_path, [good])).first().gt is None
+    (tmp_path / "more").mkdir()
+    with pytest.raises(Exception, match="another type|no object"):
+        readers.read_agent_tasks(spark, write(tmp_path / "more", [good, line])).collect()
+
+
+def test_bad_stream_lines_are_counted(spark, tmp_path):
+    from chatloom.streaming import logs
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("2024-01-01 00:00:00\tr\tx\nnever\tr\tx\nonly\ttwo\n\n")
+    done = (
+        logs.bad_lines(spark, str(tmp_path / "in"))
+        .writeStream.format("memory").queryName("bad_lines").outputMode("complete").trigger(availableNow=True)
+        .start()
+    )
+    done.awaitTermination()
+    assert {tuple(r) for r in spark.table("bad_lines").collect()} == {("bad time", 1), ("too few fields", 2)}
+
+
 def test_score_card(spark, tmp_path):
     card = {"model": "m", "model_type": "Seq. Classifier", "chat_template": "tokenizer", "a-b": 0.5, "c": 1}
     path = tmp_path / "card.json"
