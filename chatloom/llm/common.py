@@ -5,9 +5,13 @@ back to its document by a join, the key is (id, digest of the text): rows that s
 an id but not the text stay apart, repeated rows get the same result.
 """
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.session import materialize
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANK = r"[\x20\x09-\x0D]+"
 NOT_ITEM_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -22,6 +26,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def _batches(spark: SparkSession, rows: int):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def written(df: DataFrame, rows: int = 500) -> DataFrame:
+    """``df`` written and read again, with at most ``rows`` rows in an Arrow batch: for tasks
+    whose rows may be texts, sets or files of megabytes."""
+    with _batches(df.sparkSession, rows):
+        return materialize(df)
+
+
 def whole(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

@@ -11,10 +11,11 @@ with a difference of one index the set and its one-deletion neighbourhood instea
 2. Active sets are written. Allocation by cost: each keeps its rarest shared signatures, as
    many as remain of the largest difference plus one after its unshared segments, which
    no partner can have. The rarest signature two partners share is among those of both.
-3. Among the sets of a signature the one with the fewest unshared segments leads; each is
-   verified with its leader, exactly. Sets that a verified link connects needn't be
-   compared again; what is left apart within a signature is compared pair by pair, where
-   sizes and exact distances to the leader leave a link possible.
+3. Among the sets of a signature the most central one leads; each is verified with its
+   leader, exactly. Sets that a verified link connects needn't be compared again; what is
+   left apart is compared with the leader's other members, pair by pair, where sizes,
+   covers (the shingles that any other active set has) and what each has in common with
+   the leader leave a link possible.
 4. Links join components (alternating large and small stars).
 
 Equal sets are one class from the start, so copies are never expanded into pairs.
@@ -34,10 +35,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm import shingles as sh
+from chatloom.llm.common import written
 from chatloom.session import materialize
 
-SLICE = 6_000_000  # signatures of a slice, about: some 200 MB in its task
-EMIT = 1_500_000  # signatures a task gathers before it hands them on
+SLICE = 2_500_000  # signatures of a slice, about: some 100 MB in its task
+EMIT = 600_000  # signatures a task gathers before it hands them on
 BROADCAST_ROWS = 500_000  # ids of 8 bytes
 OVERLAP, OF = 75, 100
 
@@ -238,44 +240,83 @@ def active_sets(df: DataFrame, own: DataFrame, refs: DataFrame) -> DataFrame:
     return sets.join(wanted, "ref", "left_semi").dropDuplicates(["ref"])
 
 
+def covered_sets(sets: DataFrame) -> DataFrame:
+    """Add ``cover``, the shingles of a set that another active set has, too; sets go whose
+    cover is too small for any partner.
+
+    A partner shares no shingle beyond the cover of either side, which bounds a pair's
+    intersection before anything of it is read.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for ref, blob in zip(batch.column("ref").to_pylist(), batch.column("s").to_pylist(), strict=True):
+                s = np.frombuffer(blob, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s), pa.array(np.full(len(s), ref, np.int64))], names=["h", "ref"]
+                )
+
+    single = (
+        sets.select("ref", "s")
+        .mapInArrow(run, "h long, ref long")
+        .groupBy("h")
+        .agg(F.count(F.lit(1)).alias("times"), F.min("ref").alias("ref"))
+        .where("times = 1")
+        .groupBy("ref")
+        .agg(F.count(F.lit(1)).alias("own"))
+    )
+    out = sets.join(single, "ref", "left").withColumn("cover", F.col("n") - F.coalesce("own", F.lit(0)))
+    return out.where(OF * F.col("cover") >= OVERLAP * F.col("n")).drop("own")
+
+
+def possible(n, cover, other_n, other_cover) -> Column:
+    """Whether sizes and covers of two sets leave a link possible."""
+    most = F.least(F.col(cover), F.col(other_cover))
+    return OF * most >= OVERLAP * (F.col(n) + F.col(other_n) - most)
+
+
 def kept_signatures(sets: DataFrame) -> DataFrame:
-    """(``sig``, ``ref``, ``win``, ``n``, ``alone``): the signatures that allocation keeps.
+    """(``sig``, ``ref``, ``n``, ``cover``, ``central``): the signatures that allocation keeps.
 
-    ``alone`` counts the segments of the set that no other active set has.
+    Segments that no other active set has come first and cost nothing. ``central`` sums the
+    frequencies of a set's signatures: the set that most others were made from has the
+    largest.
     """
 
     def run(batches):
         for batch in batches:
             out = []
-            for ref, blob in zip(batch.column("ref").to_pylist(), batch.column("s").to_pylist(), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("ref", "s", "cover"))
+            for ref, blob, cover in zip(*columns, strict=True):
                 s = np.frombuffer(blob, np.uint64)
                 for k, most in sh.windows_of(len(s)):
                     sigs = sh.signatures(s, k)
                     budget = len(sigs) if sh.by_deletion(k) else most + 1
-                    out.append((sigs.view(np.int64), ref, k, len(s), len(sigs), budget))
+                    out.append((sigs.view(np.int64), ref, k, len(s), len(sigs), budget, cover))
                     if sum(len(x[0]) for x in out[-64:]) > EMIT // 4:
                         yield _rows(out)
                         out = []
             if out:
                 yield _rows(out)
 
-    rows = sets.select("ref", "s").mapInArrow(
-        run, "sig long, ref long, win short, n int, total int, budget int"
+    rows = sets.select("ref", "s", "cover").mapInArrow(
+        run, "sig long, ref long, win short, n int, total int, budget int, cover int"
     )
-    rows = materialize(rows)
+    rows = written(rows)
     freq = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1")
     shared = rows.join(freq, "sig")
     member = Window.partitionBy("ref", "win")
     order = member.orderBy("freq", "sig")
     return (
         shared.withColumn("alone", F.col("total") - F.count(F.lit(1)).over(member))
+        .withColumn("central", F.sum("freq").over(member))
         .withColumn("place", F.row_number().over(order))
         .where(
             F.when(F.col("budget") == F.col("total"), True).otherwise(
                 F.col("place") + F.col("alone") <= F.col("budget")
             )
         )
-        .select("sig", "ref", "win", "n", "alone")
+        .select("sig", "ref", "n", "cover", "central")
     )
 
 
@@ -290,8 +331,9 @@ def _rows(out):
             each(3, np.int32),
             each(4, np.int32),
             each(5, np.int32),
+            each(6, np.int32),
         ],
-        names=["sig", "ref", "win", "n", "total", "budget"],
+        names=["sig", "ref", "win", "n", "total", "budget", "cover"],
     )
 
 
@@ -356,50 +398,66 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 def all_links(sets: DataFrame) -> DataFrame:
     """(``a``, ``b``) that join all sets of a similarity of at least 0.75 into components."""
     kept = materialize(kept_signatures(sets))
-    lead = kept.groupBy("sig").agg(
-        F.min(F.struct("alone", "ref", "n")).alias("l"), F.count(F.lit(1)).alias("size")
-    ).where("size > 1").select("sig", F.col("l.ref").alias("lead"), F.col("l.n").alias("ln"))
-    fits = lambda x, y: 4 * F.least(x, y) >= 3 * F.greatest(x, y)
-    runs = materialize(kept.join(lead, "sig").select("sig", "ref", "n", "lead", "ln"))
-    star = runs.where((F.col("ref") != F.col("lead")) & fits(F.col("n"), F.col("ln"))).select(
-        F.least("ref", "lead").alias("a"), F.greatest("ref", "lead").alias("b")
-    ).distinct()
-    first = materialize(verify(star, sets))
+    lead = (
+        kept.groupBy("sig")
+        .agg(F.min(F.struct((-F.col("central")).alias("c"), "ref", "n", "cover")).alias("l"), F.count(F.lit(1)).alias("size"))
+        .where("size > 1")
+        .select("sig", F.col("l.ref").alias("lead"), F.col("l.n").alias("ln"), F.col("l.cover").alias("lc"))
+    )
+    # Members of a leader, once for all the signatures that they have in common with it.
+    runs = materialize(kept.join(lead, "sig").select("lead", "ln", "lc", "ref", "n", "cover").distinct())
+    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    star = runs.where((F.col("ref") != F.col("lead")) & possible("n", "cover", "ln", "lc"))
+    first = written(verify(star.select(*pair("ref", "lead")).distinct(), sets))
     links = first.where(linked()).select("a", "b")
     comp = components(links)
-    # What a signature leaves apart: members of another component than its leader's.
-    place = runs.join(comp, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
+
+    # What is left apart: members of another component than their leader's.
     lead_root = comp.select(F.col("ref").alias("lead"), F.col("root").alias("lead_root"))
-    place = place.join(lead_root, "lead", "left").withColumn("lead_root", F.coalesce("lead_root", "lead"))
-    far = first.select(
-        F.col("a"), F.col("b"), (F.col("na") + F.col("nb") - 2 * F.col("common")).alias("apart")
+    known = first.select("a", "b", "common")
+    both = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "common"))
+    place = materialize(
+        runs.join(comp, "ref", "left")
+        .join(lead_root, "lead", "left")
+        .join(both.select(F.col("a").alias("ref"), F.col("b").alias("lead"), "common"), ["ref", "lead"], "left")
+        .select(
+            "lead",
+            "ref",
+            "n",
+            "cover",
+            F.coalesce("root", "ref").alias("root"),
+            F.coalesce("lead_root", "lead").alias("lead_root"),
+            # shingles in common with the leader, and those beyond it that another set may have
+            F.when(F.col("ref") == F.col("lead"), F.col("n")).otherwise(F.col("common")).alias("inside"),
+            F.when(F.col("ref") == F.col("lead"), 0)
+            .otherwise(F.col("cover") - F.col("common"))
+            .alias("beyond"),
+        )
     )
-    far = far.unionByName(far.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
-    far = far.select(F.col("a").alias("ref"), F.col("b").alias("lead"), "apart")
-    place = materialize(place.join(far, ["ref", "lead"], "left").select(
-        "sig", "ref", "n", "root", F.when(F.col("ref") == F.col("lead"), 0).otherwise(F.col("apart")).alias("apart"), "lead_root"
-    ))
-    left = place.where("root <> lead_root").select(
-        "sig", F.col("ref").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("apart").alias("xa")
+    side = lambda c: [F.col(x).alias(f"{c}_{x}") for x in ("ref", "n", "cover", "root", "inside", "beyond")]
+    away = F.col("root") != F.col("lead_root")
+    left = place.where(away).select("lead", *side("x"))
+    # what two sets share lies in the leader or beyond it
+    most = F.least("x_inside", "y_inside") + F.least("x_beyond", "y_beyond")
+    near = OF * most >= OVERLAP * (F.col("x_n") + F.col("y_n") - most)
+    pairs = left.join(place.select("lead", *side("y"), away.alias("y_away")), "lead").where(
+        (F.col("x_root") != F.col("y_root"))
+        & (~F.col("y_away") | (F.col("x_ref") < F.col("y_ref")))
+        & possible("x_n", "x_cover", "y_n", "y_cover")
+        & F.coalesce(near, F.lit(True))
     )
-    others = place.select("sig", F.col("ref").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("apart").alias("ya"))
-    pairs = left.join(others, "sig").where(
-        (F.col("xr") != F.col("yr"))
-        & fits(F.col("xn"), F.col("yn"))
-        # the triangle inequality, by way of the leader
-        & F.coalesce(7 * F.abs(F.col("xa") - F.col("ya")) <= F.col("xn") + F.col("yn"), F.lit(True))
-    ).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    second = materialize(verify(pairs.join(far.select(F.col("ref").alias("a"), F.col("lead").alias("b")), ["a", "b"], "left_anti"), sets))
+    pairs = pairs.select(*pair("x_ref", "y_ref")).distinct().join(known, ["a", "b"], "left_anti")
+    second = written(verify(pairs, sets))
     return links.unionByName(second.where(linked()).select("a", "b"))
 
 
 def join(df: DataFrame) -> DataFrame:
     """(``doc_id``, ``h``, ``n_shingles``, ``root``, ``component_id``) of each row; ``root`` numbers
     components and is null for an empty set."""
-    own = materialize(classes(df))
+    own = written(classes(df))
     total = own.agg(F.sum("n")).first()[0] or 0
-    refs = materialize(active(df, max(1, -(-total // SLICE))))
-    sets = materialize(active_sets(df, own, refs))
+    refs = written(active(df, max(1, -(-total // SLICE))))
+    sets = written(covered_sets(written(active_sets(df, own, refs))))
     roots = components(all_links(sets))
     named = own.where("ref is not null").groupBy("ref", "d2").agg(F.min("doc_id").alias("first"))
     # a class outside all links is its own root
