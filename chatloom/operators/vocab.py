@@ -8,7 +8,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import BLANK, WORD
@@ -78,6 +78,15 @@ def build_vocab(df: DataFrame, text: str = "text", size: int = SIZE) -> DataFram
     return reserved.withColumn("count", F.lit(None).cast("bigint")).unionByName(frequent)
 
 
+def write_vocab(vocab: DataFrame, path: str) -> None:
+    """Keep a vocabulary: counting a corpus once serves every job that encodes with it."""
+    vocab.select("token", "id", "count").write.mode("errorifexists").parquet(path)
+
+
+def read_vocab(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("token string, id int, count bigint").parquet(path)
+
+
 def _bucket(token: Column) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
 

@@ -90,6 +90,37 @@ def t02_joined(spark, sf):
     )
 
 
+@query(
+    "t02_encode_both_ways",
+    f"""WITH {S_DOC_VOCAB}, odd AS (SELECT doc_id % 50 AS k, CASE WHEN doc_id % 7 = 3 THEN NULL WHEN doc_id % 7 = 5 THEN '' ELSE text END AS text,
+  doc_id FROM documents), full_rows AS (SELECT doc_id, text FROM odd WHERE text IS NOT NULL),
+{s_encode('full_rows', 'ids')}, way AS (SELECT unnest(['join', 'lookup']) AS how)
+SELECT how, k, count(*) AS rows, count(ids) AS encoded, CAST(coalesce(sum(len(ids)), 0) AS BIGINT) AS tokens,
+  CAST(coalesce(sum(list_sum(ids)), 0) AS BIGINT) AS id_sum FROM odd LEFT JOIN ids USING (doc_id), way GROUP BY how, k""",
+)
+def t02_both(spark, sf):
+    """From a stored vocabulary, over null and empty texts and keys that repeat."""
+    path = fresh_path(spark, "vocab")
+    V.write_vocab(doc_vocab(spark, sf), path)
+    vocab = V.read_vocab(spark, path)
+    d = F.col("doc_id")
+    text = F.when(d % 7 == 3, F.lit(None)).when(d % 7 == 5, F.lit("")).otherwise(F.col("text"))
+    rows = D.documents(spark, sf).select((d % 50).alias("k"), text.alias("text"))
+    total = F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, i: a + i)
+    out = [
+        V.encode(rows, vocab, key="k", how=how)
+        .groupBy(F.lit(how).alias("how"), "k")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count("ids").alias("encoded"),
+            F.coalesce(F.sum(F.size("ids")), F.lit(0)).cast("bigint").alias("tokens"),
+            F.coalesce(F.sum(total), F.lit(0)).alias("id_sum"),
+        )
+        for how in ("lookup", "join")
+    ]
+    return out[0].unionByName(out[1])
+
+
 @query(
     "t02_tokenizer_udf",
     f"""WITH c AS (SELECT doc_id, list_transform(string_split(text, ''), lambda c: unicode(c)) AS ids FROM documents)
