@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.llm.common import written
 from chatloom.llm.tokens import encoder, slices
 from chatloom.session import materialize
 
@@ -144,7 +145,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, pool: int = POOL, rounds: i
 
     A pool number is (round, pool); a pool holds far less than 2**24 pieces.
     """
-    parts = materialize(parts)
+    parts = written(parts)
     # Full pieces are sequences of their own; negative numbers can't meet a pool's.
     done = [
         parts.where(F.col("length") == capacity).select(
