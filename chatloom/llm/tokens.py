@@ -6,16 +6,36 @@ in a bounded cache. The results are those of ``Tokenizer.encode`` on the whole t
 """
 
 import re
+from itertools import chain
 
 import numpy as np
 
-CACHE = 600_000  # chunks kept by a Python worker, some 120 MB
+CACHE = {"words": 1_000_000, "bytes": 500_000}  # chunks a Python worker keeps, 350 MB at most
 ASCII_SPACES = [a + " " for a in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]
 NOT_SPLIT_BY_TOKENIZER = "\x1c\x1d\x1e\x1f"  # white space to Python alone
 WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 BEFORE_SPACE = re.compile(r"\s ")
 CUT = re.compile(r"(?<=\S)(?= )")
-PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?|]*)(?:\n([A-Za-z]+)([.,;:!?|]*))?")
+_LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"  # composed letters that fold one by one
+PLAIN = re.compile(rf"({_LETTERS})([.,;:!?|]*)(?:\n({_LETTERS})([.,;:!?|]*))?")
+
+
+def _byte_signs() -> dict[int, str]:
+    """How byte-level vocabularies write a byte: itself if it prints, else a sign from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+SIGNS = _byte_signs()
+
+
+def _is_latin(text: str) -> bool:
+    """Whether all letters fold one by one, whatever stands around them."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
 
 
 class _Cache(dict):
@@ -49,7 +69,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (uint16), and the number of ids of each text."""
-        if len(self.cache) > CACHE:
+        if len(self.cache) > CACHE[self.kind]:
             self._reset()
         chunks: list[str] = []
         counts = np.empty(len(texts), np.int64)
@@ -58,7 +78,7 @@ class Encoder:
             counts[i] = len(parts)
             chunks += parts
         first = np.concatenate([[0], np.cumsum(counts)])
-        codes = np.fromiter(map(self.cache.__getitem__, chunks), np.int64, len(chunks))
+        codes = np.fromiter(map(self.cache.__getitem__, chunks), np.int32, len(chunks))
         self._fill(self.cache, self.tables[0], " " if self.kind == "bytes" else "")
         rows = self.tables[0]
         if self.kind == "bytes":  # the first chunk of a text has no space before it
@@ -67,24 +87,29 @@ class Encoder:
             self._fill(self.firsts, self.tables[1], "")
             keep = np.ones(len(chunks), bool)
             keep[begins] = False
-            sizes = np.zeros(len(chunks), np.int64)
+            sizes = np.zeros(len(chunks), np.int32)
             sizes[keep] = rows.sizes()[codes[keep]]
             own = self.tables[1]
             sizes[begins] = own.sizes()[heads]
-            at = np.zeros(len(chunks), np.int64)
+            at = np.zeros(len(chunks), np.int32)
             at[keep] = rows.starts()[codes[keep]]
             at[begins] = own.starts()[heads] + rows.n
             flat = np.concatenate([rows.flat(), own.flat()])
         else:
             sizes, at, flat = rows.sizes()[codes], rows.starts()[codes], rows.flat()
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(sizes, dtype=np.int32)  # of a run of texts, far below 2**31
         total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(at - (ends - sizes), sizes) + np.arange(total)]
+        places = np.repeat(at - (ends - sizes), sizes)
+        places += np.arange(total, dtype=np.int32)
+        ids = flat[places]
         edge = np.concatenate([[0], ends])
         return ids, edge[first[1:]] - edge[first[:-1]]
 
     def _chunks(self, text: str) -> list[str]:
         if self.kind == "words":
+            # the vocabulary lower-cases; done before, more chunks are equal
+            if "<|" not in text and _is_latin(text):
+                text = text.lower()
             if any(c in text for c in NOT_SPLIT_BY_TOKENIZER):
                 return [c for c in WHITE.split(text) if c]
             return text.split()
@@ -99,13 +124,26 @@ class Encoder:
     def _fill(self, cache: _Cache, table: "_Ragged", before: str):
         if not cache.new:
             return
-        out, slow = [None] * len(cache.new), []
-        for i, chunk in enumerate(cache.new):
-            m = PLAIN.fullmatch(chunk)
-            if m is None or (m[3] and self.kind == "words"):
-                slow.append(i)
-            else:
-                out[i] = self._plain(before, m)
+        match, piece, mark = PLAIN.fullmatch, self._piece, "Ġ" if before else ""
+        known, lower = self.pieces, self.kind == "words"
+        out, slow = [], []
+        for chunk in cache.new:
+            m = match(chunk)
+            if m is None or (m[3] and lower):
+                slow.append(len(out))
+                out.append(None)
+                continue
+            # the tokenizer's own words are the groups
+            word, marks, next_word, next_marks = m.groups()
+            word = word.lower() if lower else mark + word
+            ids = known.get(word) or piece(word)
+            if marks:
+                ids = ids + (known.get(marks) or piece(marks))
+            if next_word:
+                ids = ids + piece("Ċ") + piece(next_word)
+                if next_marks:
+                    ids = ids + piece(next_marks)
+            out.append(ids)
         if slow:
             texts = [before + cache.new[i] for i in slow]
             for i, e in zip(
@@ -115,23 +153,15 @@ class Encoder:
         table.add(out)
         cache.new.clear()
 
-    def _plain(self, before: str, m: re.Match) -> list[int]:
-        """ASCII letters and marks: the tokenizer's words are the groups."""
-        ids = self._piece(("Ġ" if before else "") + m[1])
-        if m[2]:
-            ids = ids + self._piece(m[2])
-        if m[3]:
-            ids = ids + self._piece("Ċ") + self._piece(m[3])
-            if m[4]:
-                ids = ids + self._piece(m[4])
-        return ids
-
     def _piece(self, piece: str) -> list[int]:
-        if self.kind == "words":
-            piece = piece.lower()
+        """Ids of one of the tokenizer's words."""
         got = self.pieces.get(piece)
         if got is None:
-            got = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(piece)]
+            signs = piece
+            if not piece.isascii():
+                head, rest = ("Ġ", piece[1:]) if piece[0] == "Ġ" else ("", piece)
+                signs = head + rest if rest == "Ċ" else head + rest.encode().decode("latin-1").translate(SIGNS)
+            got = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(signs)]
         return got
 
 
@@ -141,12 +171,12 @@ class _Ragged:
     def __init__(self):
         self.n, self.rows = 0, 0
         self._flat = np.empty(1 << 16, np.uint16)
-        self._starts = np.empty(1 << 14, np.int64)
-        self._sizes = np.empty(1 << 14, np.int64)
+        self._starts = np.empty(1 << 14, np.int32)
+        self._sizes = np.empty(1 << 14, np.int32)
 
     def add(self, lists: list[list[int]]):
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), np.uint16, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(lists), np.uint16, int(sizes.sum()))
         self._flat = _room(self._flat, self.n + len(flat))
         self._starts = _room(self._starts, self.rows + len(sizes))
         self._sizes = _room(self._sizes, self.rows + len(sizes))

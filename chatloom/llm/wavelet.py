@@ -31,12 +31,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chatloom.llm.common import written
 from chatloom.llm.tokens import encoder, slices
-from chatloom.session import fresh_path, materialize
+from chatloom.session import fresh_path
 
 END_ID = 1
 SHARD_TOKENS = 1 << 21  # tokens of a shard, about
-PARTITION_CHARS = 12_000_000
+PARTITION_ROWS = 4_000  # documents dealt to a task, about; it cuts shards by their tokens
 BLOCK = 512
 MAGIC = b"WVM1"
 NULL_ID = -(1 << 63)
@@ -45,11 +46,15 @@ NULL_ID = -(1 << 63)
 def _planes(codes: np.ndarray, levels: int) -> tuple[list[bytes], list[int]]:
     planes, zeros = [], []
     for level in range(levels - 1, -1, -1):
-        bits = (codes >> level) & 1 == 1
+        bits = (codes & np.uint16(1 << level)) != 0
         planes.append(np.packbits(bits, bitorder="little").tobytes())
-        rest = codes[~bits]
-        zeros.append(len(rest))
-        codes = np.concatenate([rest, codes[bits]])
+        ones = codes[bits]
+        zeros.append(len(codes) - len(ones))
+        if level:
+            below = np.empty_like(codes)
+            below[: zeros[-1]] = codes[~bits]
+            below[zeros[-1] :] = ones
+            codes = below
     return planes, zeros
 
 
@@ -208,12 +213,12 @@ def _put(uri: str, data: bytes) -> None:
 
 def write_shards(df: DataFrame, vocabulary: str, folder: str) -> DataFrame:
     """Encode (``doc_id``, ``text``) and write shards; a row (``part``, ``seq``, ``tokens``, ``docs``) for each."""
-    size = df.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    size = df.count()
     digest = F.xxhash64(F.coalesce("text", F.lit("")))
     order = [F.col("doc_id").asc_nulls_first(), F.col("digest")]
     rows = (
         df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", digest.alias("digest"))
-        .repartitionByRange(max(1, -(-size // PARTITION_CHARS)), *order)
+        .repartitionByRange(max(1, -(-size // PARTITION_ROWS)), *order)
         .sortWithinPartitions(*order)
         .select("doc_id", "text")
     )
@@ -237,7 +242,7 @@ def write_shards(df: DataFrame, vocabulary: str, folder: str) -> DataFrame:
         if held:
             yield _shard(folder, part, seq, held)
 
-    return materialize(rows.mapInPandas(run, "part int, seq int, tokens long, docs long"))
+    return written(rows.mapInPandas(run, "part int, seq int, tokens long, docs long"))
 
 
 def _shard(folder, part, seq, held):
@@ -315,7 +320,7 @@ def encode_corpus(df: DataFrame, vocabulary: str) -> DataFrame:
     running = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     bases = made.select("part", "seq", F.coalesce(F.sum("tokens").over(running), F.lit(0)).alias("base"))
     return (
-        read_documents(spark, folder)
+        written(read_documents(spark, folder), rows=4)
         .join(bases, ["part", "seq"])
         .select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
     )

@@ -77,7 +77,7 @@ def crc(ids):
 
 def test_shards_of_a_corpus(spark, docs, monkeypatch):
     monkeypatch.setattr(wavelet, "SHARD_TOKENS", 40)
-    monkeypatch.setattr(wavelet, "PARTITION_CHARS", 300)
+    monkeypatch.setattr(wavelet, "PARTITION_ROWS", 15)
     rows = [(i * 7 % 101, t) for i, t in enumerate(odd_texts(80))] + [(None, "null id"), (5000, None), (3, "again")]
     rows += [(3, "again"), (9999, "word " * 3000)]
     got = wavelet.encode_corpus(docs(rows), WORDS).collect()
