@@ -5,8 +5,9 @@ candidate runs of token characters. A window slides over a run; counts of its
 characters are kept up by one addition and one removal a step, and Shannon entropy
 follows from them (``log2(w) - sum(c * log2(c)) / w``). A window whose entropy reaches
 the threshold of its character class belongs to a secret; windows that overlap or
-touch make one span. Runs of letters alone, of digits alone, and runs on the allow
-list are left out, as are spans that a base span overlaps.
+touch make one span. What the allow list matches in a run (runs of letters alone and of
+digits alone as a whole) and what base spans cover is blanked out first; a window holds
+no blank, so the rest of the run is still scanned.
 
 All of it happens in the row of the text, in expressions; nothing is shuffled.
 
@@ -15,7 +16,6 @@ repeated rows give repeated results; other columns stay.
 """
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +40,8 @@ BITS = {"hex": 2.9, "alnum": 3.6, "marked": 3.9}
 #: runs that look random and aren't secret
 ALLOW = [
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",  # UUID
-    r"(?i)abcdefghij|0123456789|qwertyuiop",  # keyboard and alphabet rows
+    # keyboard and alphabet rows, to their ends
+    r"(?i)abcdefghij(?:klmnopqrstuvwxyz)?|0123456789|qwertyuiop(?:asdfghjkl(?:zxcvbnm)?)?",
     r"^[A-Za-z]+(?:[-_/][A-Za-z]+)*+[-_/]?[0-9]{0,4}$",  # compound words
     r"^[0-9_/+-]+$",  # dates, phone and card numbers
 ]
@@ -65,7 +66,8 @@ def base(text: Column) -> dict[str, Column]:
 
 def entropy_windows(s: Column, most: Column, window: int = WINDOW) -> Column:
     """Spans of an ASCII text where windows overlap or touch whose ``sum(c * log2(c))`` is
-    at most ``most``, in 2**-20 bits: ``array<struct<start, end>>``.
+    at most ``most``, in 2**-20 bits: ``array<struct<start, end>>``. Windows that hold a
+    blank don't count.
 
     Counts are kept up incrementally, one addition and one removal a step, in whole
     numbers, so that no error gathers over a long run.
@@ -94,6 +96,7 @@ def entropy_windows(s: Column, most: Column, window: int = WINDOW) -> Column:
         return F.struct(
             bump(left, x["come"], 1).alias("counts"),
             (acc["total"] - less + more).alias("total"),
+            F.when(x["come"] == 32, x["i"]).otherwise(acc["blank"]).alias("blank"),
             acc["from"].alias("from"),
             acc["to"].alias("to"),
             acc["out"].alias("out"),
@@ -103,12 +106,13 @@ def entropy_windows(s: Column, most: Column, window: int = WINDOW) -> Column:
     def note(acc):
         """Extend the open span by a window that qualifies, or close it and open another."""
         start, end = acc["i"] - (window - 1), acc["i"] + 1
-        hit = (start >= 0) & (acc["total"] <= most)
+        hit = (start > acc["blank"]) & (acc["total"] <= most)
         apart = hit & (start > acc["to"])
         closed = F.array(F.struct(acc["from"].alias("start"), acc["to"].alias("end")))
         return F.struct(
             acc["counts"].alias("counts"),
             acc["total"].alias("total"),
+            acc["blank"].alias("blank"),
             F.when(apart, start).otherwise(acc["from"]).alias("from"),
             F.when(hit, end).otherwise(acc["to"]).alias("to"),
             F.when(apart & (acc["to"] > 0), F.concat(acc["out"], closed))
@@ -120,6 +124,7 @@ def entropy_windows(s: Column, most: Column, window: int = WINDOW) -> Column:
     zero = F.struct(
         F.array_repeat(F.lit(0), 128).alias("counts"),
         F.lit(0).cast("long").alias("total"),
+        F.lit(-1).alias("blank"),
         F.lit(0).alias("from"),
         F.lit(-1).alias("to"),
         F.array().cast("array<struct<start:int,end:int>>").alias("out"),
@@ -140,13 +145,41 @@ def _then(value: Column, fn) -> Column:
     return F.transform(F.array(value), fn)[0]
 
 
+def blanked(s: Column, spans: Column) -> Column:
+    """``s`` with what spans (``start``, ``end``) cover put as blanks."""
+    n = lambda x: (x["end"] - x["start"]).cast("int")
+    return F.aggregate(
+        spans,
+        s,
+        lambda acc, x: F.overlay(acc, F.repeat(F.lit(" "), n(x)), (x["start"] + 1).cast("int"), n(x)),
+    )
+
+
 def entropy_spans(text: Column, taken: Column, allow: list[str] | None = None) -> Column:
-    """Spans of high entropy that no span of ``taken`` overlaps."""
+    """Spans of high entropy outside the spans of ``taken`` and outside what ``allow`` matches."""
     allowed = ALLOW if allow is None else allow
-    runs = F.filter(
-        matches(text, RUN, RUN),
-        lambda x: ~reduce(lambda a, p: a | x["s"].rlike(p), allowed, F.lit(False)),
-    )
+
+    def open_part(x):
+        """The run with allowed pieces and its part of ``taken`` blanked."""
+        over = F.filter(taken, lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"]))
+        covers = [
+            F.transform(
+                over,
+                lambda b: F.struct(
+                    F.greatest(b["start"] - x["start"], F.lit(0)).alias("start"),
+                    (F.least(b["end"], x["end"]) - x["start"]).alias("end"),
+                ),
+            )
+        ]
+        covers += [
+            F.transform(matches(x["s"], p, p), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")))
+            for p in allowed
+        ]
+        return F.struct(
+            x["start"].alias("start"), x["s"].alias("s"), blanked(x["s"], F.concat(*covers)).alias("left")
+        )
+
+    runs = F.filter(F.transform(matches(text, RUN, RUN), open_part), lambda x: x["left"].rlike(RUN))
 
     def most(s):
         bits = (
@@ -156,11 +189,11 @@ def entropy_spans(text: Column, taken: Column, allow: list[str] | None = None) -
         )
         return ((math.log2(WINDOW) - bits) * WINDOW * SCALE).cast("long")
 
-    found = F.flatten(
+    return F.flatten(
         F.transform(
             runs,
             lambda x: F.transform(
-                entropy_windows(x["s"], most(x["s"])),
+                entropy_windows(x["left"], most(x["s"])),
                 lambda w: F.struct(
                     (x["start"] + w["start"]).alias("start"),
                     F.lit(KINDS.index("entropy")).alias("rank"),
@@ -170,10 +203,6 @@ def entropy_spans(text: Column, taken: Column, allow: list[str] | None = None) -
             ),
         )
     )
-    return F.filter(
-        found,
-        lambda a: ~F.exists(taken, lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])),
-    )
 
 
 def scan(df: DataFrame, text: str = "text", allow: list[str] | None = None) -> DataFrame:
