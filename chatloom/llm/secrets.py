@@ -4,7 +4,8 @@ Base kinds are patterns whose matches are checked afterwards. The method looks a
 candidate runs of token characters. A window slides over a run; counts of its
 characters are kept up by one addition and one removal a step, and Shannon entropy
 follows from them (``log2(w) - sum(c * log2(c)) / w``). A window whose entropy reaches
-the threshold of its character class belongs to a secret; windows that overlap or
+the threshold of its run's character class, or of its own, belongs to a secret (its own
+counts if it holds letters and digits, no mark, and lies in no plain word); windows that overlap or
 touch make one span. What the allow list matches in a run (runs of letters alone and of
 digits alone as a whole) and what base spans cover is blanked out first; a window holds
 no blank, so the rest of the run is still scanned.
@@ -46,6 +47,18 @@ ALLOW = [
     r"^[0-9_/+-]+$",  # dates, phone and card numbers
 ]
 
+#: characters of the parts of a run that are a word with a number, such as a path's
+PLAIN = r"(?:\G(?!^)|(?<![A-Za-z0-9])(?=[A-Za-z]++[0-9]{0,4}(?![A-Za-z0-9])))[A-Za-z0-9]"
+#: what a character adds to the signs of its window: digits, letters, letters beyond hex, others
+DIGIT, LETTER, BEYOND, OTHER = 1, 1 << 8, 1 << 16, 1 << 24
+SIGNS = [
+    DIGIT if c in "0123456789"
+    else LETTER if c in "abcdefABCDEF"
+    else LETTER + BEYOND if c.isalpha()
+    else OTHER
+    for c in map(chr, range(128))
+]
+
 
 def base(text: Column) -> dict[str, Column]:
     """Matches of each base kind, checked."""
@@ -64,19 +77,36 @@ def base(text: Column) -> dict[str, Column]:
     }
 
 
-def entropy_windows(s: Column, most: Column, window: int = WINDOW) -> Column:
+def most_of(bits: float) -> int:
+    """Most ``sum(c * log2(c))`` of a window with so many bits, in 2**-20 bits."""
+    return int((math.log2(WINDOW) - bits) * WINDOW * SCALE)
+
+
+def entropy_windows(s: Column, most: Column, window: int = WINDOW, own: Column | None = None) -> Column:
     """Spans of an ASCII text where windows overlap or touch whose ``sum(c * log2(c))`` is
     at most ``most``, in 2**-20 bits: ``array<struct<start, end>>``. Windows that hold a
-    blank don't count.
+    blank don't count. With ``own``, a text of the same length, windows that hold letters
+    and digits of it and nothing else are also held against the bits of their own class.
 
     Counts are kept up incrementally, one addition and one removal a step, in whole
     numbers, so that no error gathers over a long run.
     """
     chars = F.transform(F.filter(F.split(s, ""), lambda c: c != ""), F.ascii)
+    signs = F.lit(SIGNS)
+    if own is None:
+        kinds = F.transform(chars, lambda c: F.lit(OTHER))
+    else:
+        kinds = F.transform(F.filter(F.split(own, ""), lambda c: c != ""), lambda c: F.get(signs, F.ascii(c)))
     steps = _then(
-        chars,
+        F.struct(chars.alias("c"), kinds.alias("k")),
         lambda all_: F.transform(
-            all_, lambda c, i: F.struct(c.alias("come"), F.get(all_, i - window).alias("go"), i.alias("i"))
+            all_["c"],
+            lambda c, i: F.struct(
+                c.alias("come"),
+                F.get(all_["c"], i - window).alias("go"),
+                (F.get(all_["k"], i) - F.coalesce(F.get(all_["k"], i - window), F.lit(0))).alias("signs"),
+                i.alias("i"),
+            ),
         ),
     )
     gain = F.lit([round(c * math.log2(c) * SCALE) if c else 0 for c in range(window + 2)])
@@ -97,22 +127,30 @@ def entropy_windows(s: Column, most: Column, window: int = WINDOW) -> Column:
             bump(left, x["come"], 1).alias("counts"),
             (acc["total"] - less + more).alias("total"),
             F.when(x["come"] == 32, x["i"]).otherwise(acc["blank"]).alias("blank"),
+            (acc["signs"] + x["signs"]).alias("signs"),
             acc["from"].alias("from"),
             acc["to"].alias("to"),
             acc["out"].alias("out"),
             x["i"].alias("i"),
         )
 
+    def by_own_class(acc):
+        x = acc["signs"]
+        mixed = (x < OTHER) & (x.bitwiseAND(BEYOND - LETTER) > 0) & (x.bitwiseAND(LETTER - DIGIT) > 0)
+        least = F.when(x < BEYOND, most_of(BITS["hex"])).otherwise(most_of(BITS["alnum"]))
+        return mixed & (acc["total"] <= least)
+
     def note(acc):
         """Extend the open span by a window that qualifies, or close it and open another."""
         start, end = acc["i"] - (window - 1), acc["i"] + 1
-        hit = (start > acc["blank"]) & (acc["total"] <= most)
+        hit = (start > acc["blank"]) & ((acc["total"] <= most) | by_own_class(acc))
         apart = hit & (start > acc["to"])
         closed = F.array(F.struct(acc["from"].alias("start"), acc["to"].alias("end")))
         return F.struct(
             acc["counts"].alias("counts"),
             acc["total"].alias("total"),
             acc["blank"].alias("blank"),
+            acc["signs"].alias("signs"),
             F.when(apart, start).otherwise(acc["from"]).alias("from"),
             F.when(hit, end).otherwise(acc["to"]).alias("to"),
             F.when(apart & (acc["to"] > 0), F.concat(acc["out"], closed))
@@ -125,6 +163,7 @@ def entropy_windows(s: Column, most: Column, window: int = WINDOW) -> Column:
         F.array_repeat(F.lit(0), 128).alias("counts"),
         F.lit(0).cast("long").alias("total"),
         F.lit(-1).alias("blank"),
+        F.lit(0).alias("signs"),
         F.lit(0).alias("from"),
         F.lit(-1).alias("to"),
         F.array().cast("array<struct<start:int,end:int>>").alias("out"),
@@ -182,18 +221,17 @@ def entropy_spans(text: Column, taken: Column, allow: list[str] | None = None) -
     runs = F.filter(F.transform(matches(text, RUN, RUN), open_part), lambda x: x["left"].rlike(RUN))
 
     def most(s):
-        bits = (
-            F.when(s.rlike("^[0-9A-Fa-f]+$"), BITS["hex"])
-            .when(s.rlike("^[0-9A-Za-z]+$"), BITS["alnum"])
-            .otherwise(BITS["marked"])
+        return (
+            F.when(s.rlike("^[0-9A-Fa-f]+$"), most_of(BITS["hex"]))
+            .when(s.rlike("^[0-9A-Za-z]+$"), most_of(BITS["alnum"]))
+            .otherwise(most_of(BITS["marked"]))
         )
-        return ((math.log2(WINDOW) - bits) * WINDOW * SCALE).cast("long")
 
     return F.flatten(
         F.transform(
             runs,
             lambda x: F.transform(
-                entropy_windows(x["left"], most(x["s"])),
+                entropy_windows(x["left"], most(x["s"]), own=F.regexp_replace(x["left"], PLAIN, ".")),
                 lambda w: F.struct(
                     (x["start"] + w["start"]).alias("start"),
                     F.lit(KINDS.index("entropy")).alias("rank"),
