@@ -6,7 +6,8 @@ the number of nodes. Both ratios are smoothed with those of the paths beside it
 the same parent, and fused as a product. The container whose paths weigh most holds the
 article; its paths are content, as are others that come near its best one. Paths that
 pass through an element for navigation, notices, adverts, forms or comments, by tag,
-role or class, have no ratio.
+role or class, have no ratio, unless hardly any text is left outside such elements: the
+largest whose text reads as prose is then judged by its ratios.
 
 Each page is work of its own, in batches by Arrow; nothing is shuffled.
 
@@ -50,18 +51,27 @@ AWAY_NAME = re.compile(
     r"subscribe|newsletter|login|search)(?:$|[\s_-])",
     re.I,
 )
+#: of names that tell what a page or an element has, not what it is
+STATE = re.compile(
+    r"^(?:has|no|not|with|without|is)[_-]|[_-](?:open|opened|closed|enabled|disabled|on|off|active|visible|hidden|"
+    r"collapsed|expanded)$",
+    re.I,
+)
+PAGE = frozenset("html body main article".split())  # never away by name
 NAMES = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 AWAY_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
+NEARLY = 0.9  # of a page's text, for elements that aren't content to be judged by their ratios
+PROSE = 80  # characters of a block with punctuation that is content by itself
 NEAR = 0.5  # of the best path's weight, for paths outside the container
 
 
 def nodes(page: str):
-    """(block number, path, raw text) of each text node; a path is a tuple of tags, ``None`` if it
-    passes through an element that isn't content."""
-    stack: list[tuple[str, bool]] = []
+    """(block number, path, away, raw text) of each text node; a path is a tuple of tags, ``away`` the
+    numbers of the elements that aren't content and that it passes through, outermost first."""
+    stack: list[tuple[str, int]] = []  # tag, and a number above 0 if it isn't content
     at = block = 0
     n = len(page)
     while at < n:
@@ -69,7 +79,7 @@ def nodes(page: str):
         if lt < 0:
             lt = n
         if lt > at:
-            yield block, _path(stack), page[at:lt]
+            yield block, *_path(stack), page[at:lt]
         if lt >= n:
             return
         if page.startswith("<!--", lt):
@@ -84,13 +94,13 @@ def nodes(page: str):
         if m is None:
             if re.match(r"</?[A-Za-z]", page[lt : lt + 3]):
                 return  # the page breaks off in a tag
-            yield block, _path(stack), "<"
+            yield block, *_path(stack), "<"
             at = lt + 1
             continue
         at, tag = m.end(), m[2].lower()
         if m[1]:
             if tag == "br":
-                yield block, _path(stack), " "
+                yield block, *_path(stack), " "
             elif tag not in INLINE:
                 block += 1
                 for k in range(len(stack) - 1, -1, -1):
@@ -107,12 +117,13 @@ def nodes(page: str):
             continue
         if tag in INLINE:
             if tag == "br":
-                yield block, _path(stack), " "
+                yield block, *_path(stack), " "
             continue
         block += 1
         _close_for(stack, tag)
         if tag not in VOID and not m[3].rstrip().endswith("/"):
-            stack.append((tag, tag in AWAY or _away(m[3])))
+            away = tag in AWAY or tag not in PAGE and _away(m[3])
+            stack.append((tag, block if away else 0))
 
 
 def _close_for(stack, tag):
@@ -126,13 +137,40 @@ def _close_for(stack, tag):
 
 
 def _away(attributes: str) -> bool:
-    return any(
-        AWAY_NAME.search(v := value.strip("\"'")) or v.lower() in AWAY_ROLE for value in NAMES.findall(attributes)
-    )
+    for value in NAMES.findall(attributes):
+        names = value.strip("\"'").split()
+        if any(n.lower() in AWAY_ROLE or AWAY_NAME.search(n) and not STATE.search(n) for n in names):
+            return True
+    return False
 
 
 def _path(stack):
-    return None if any(away for _, away in stack) else tuple(tag for tag, _ in stack)
+    return tuple(tag for tag, _ in stack), tuple(away for _, away in stack if away)
+
+
+def content_blocks(found: list[tuple[tuple, tuple, str]]) -> list[tuple[tuple, str]]:
+    """(path, text) of the blocks outside elements that aren't content, from (path, away, text)."""
+    marked = {n for _, away, _ in found for n in away}
+    if any(not away and not {"article", "main"}.isdisjoint(path) for path, away, _ in found):
+        return [(path, text) for path, away, text in found if not away]
+    total = sum(len(text) for *_, text in found)
+    while marked:
+        held, free = defaultdict(list), []
+        for _, away, text in found:
+            first = next((n for n in away if n in marked), 0)
+            (held[first] if first else free).append(text)
+        if sum(map(len, free)) > (1 - NEARLY) * total or any(len(t) >= PROSE and PUNCTUATION.search(t) for t in free):
+            break
+        prose = [
+            (sum(map(len, texts)), -n)
+            for n, texts in held.items()
+            if sum(len(PUNCTUATION.findall(t)) for t in texts) >= len(texts)
+            or any(len(t) >= PROSE and PUNCTUATION.search(t) for t in texts)
+        ]
+        if not prose:
+            break
+        marked.discard(-max(prose)[1])
+    return [(path, text) for path, away, text in found if not marked.intersection(away)]
 
 
 def content_paths(found: list[tuple[tuple, str]]) -> set[tuple]:
@@ -167,15 +205,15 @@ def content_paths(found: list[tuple[tuple, str]]) -> set[tuple]:
 
 def extract(page: str) -> str:
     """Blocks of the article in page order, joined by an empty line."""
-    blocks: dict[tuple[int, tuple], list[str]] = {}
-    for block, path, text in nodes(page):
-        if path is not None:
-            blocks.setdefault((block, path), []).append(text)
+    blocks: dict[tuple[int, tuple, tuple], list[str]] = {}
+    for block, path, away, text in nodes(page):
+        blocks.setdefault((block, path, away), []).append(text)
     found = []
-    for (_, path), parts in blocks.items():
+    for (_, path, away), parts in blocks.items():
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            found.append((path, text))
+            found.append((path, away, text))
+    found = content_blocks(found)
     keep = content_paths(found)
     return "\n\n".join(text for path, text in found if path in keep)
 

@@ -40,6 +40,29 @@ def test_extract(page, want):
     assert html_text.extract(page) == want
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='single has-sidebar'><div><p>{}</p></div>",
+        "<html class='nav-open'><body class=no-sidebar><main class='content with-sidebar'><p>{}</p></main>",
+        "<body><article class='post comments-open'><p>{}</p></article>",
+        "<body><div class='post comments-open'><p>{}</p></div>",
+        "<body><form id=aspnetForm><nav><a>Home</a></nav><div><p>{}</p></div><footer>Me.</footer></form>",
+        "<body><div class='social'><ul class=menu><li>a<li>b</ul><p>{}</p></div><p>Imprint</p>",
+    ],
+)
+def test_wrappers_are_not_away(page):
+    got = html_text.extract(page.format(LONG))
+    assert LONG.strip() in got and not any(x in got for x in ("Home", "Me.", "a\n"))
+
+
+def test_away_elements_stay_away():
+    links = "<ul><li>Home<li>About us</ul>"
+    assert html_text.extract(f"<body><nav>{links}</nav><div class=menu>{links}</div>") == ""
+    page = f"<body><article><p>Short.</p></article><div class='left-sidebar'><p>{LONG}</p></div><footer>{LONG}</footer>"
+    assert html_text.extract(page) == "Short."
+
+
 def test_extract_survives_any_page():
     rng = random.Random(2)
     parts = ["<p>", "</p>", "<div class=ad>", "</div>", "<article>", "<", ">", "&amp", "text, ", "<!--", "-->", "<script>"]
