@@ -12,7 +12,8 @@ largest whose text reads as prose is then judged by its ratios.
 Each page is work of its own, in batches by Arrow; nothing is shuffled.
 
 Defined results: null and empty pages, and pages without content, give an empty text; a
-page that breaks off in a tag ends there; repeated rows repeat.
+page that breaks off in a tag, a script or a style ends there; another raw element that is never
+closed counts as its tag alone, and so does a self-closed svg or math; repeated rows repeat.
 """
 
 import html as entities
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp".split())
+FOREIGN = frozenset(["svg", "math"])  # may close themselves
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s "
     "samp small span strike strong sub sup time tt u var wbr".split()
@@ -72,6 +74,7 @@ def nodes(page: str):
     """(block number, path, away, raw text) of each text node; a path is a tuple of tags, ``away`` the
     numbers of the elements that aren't content and that it passes through, outermost first."""
     stack: list[tuple[str, int]] = []  # tag, and a number above 0 if it isn't content
+    open_ended = set()  # raw tags without a closing one in the rest of the page
     at = block = 0
     n = len(page)
     while at < n:
@@ -109,9 +112,14 @@ def nodes(page: str):
                         break
             continue
         if tag in RAW:
+            if tag in open_ended or tag in FOREIGN and m[3].rstrip().endswith("/"):
+                continue
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
             if end is None:
-                return
+                if tag in ("script", "style"):
+                    return
+                open_ended.add(tag)
+                continue
             at = page.find(">", end.end())
             at = n if at < 0 else at + 1
             continue

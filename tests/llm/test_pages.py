@@ -56,6 +56,14 @@ def test_wrappers_are_not_away(page):
     assert LONG.strip() in got and not any(x in got for x in ("Home", "Me.", "a\n"))
 
 
+@pytest.mark.parametrize("icon", ["<svg class='icon'/>", "<math />", "<svg><path d='M0'>", "<iframe src=x>", "<textarea>"])
+def test_raw_tags_without_an_end(icon):
+    later = "<svg><text>no</text></svg>" if icon.endswith("/>") else ""
+    got = html_text.extract(f"<body>{icon}<article><p>{LONG}</p>{later}<p>after</p></article>")
+    assert got == f"{LONG.strip()}\n\nafter"
+    assert html_text.extract(f"<article><p>{LONG}</p><script>var a = 1; <p>no") == LONG.strip()
+
+
 def test_away_elements_stay_away():
     links = "<ul><li>Home<li>About us</ul>"
     assert html_text.extract(f"<body><nav>{links}</nav><div class=menu>{links}</div>") == ""
