@@ -4,7 +4,9 @@ A page is read as text nodes, each with its path of tags from the root; inline t
 aren't part of a path. Per path, text length and punctuation are summed and divided by
 the number of nodes. Both ratios are smoothed with those of the paths beside it under
 the same parent, and fused as a product. The container whose paths weigh most holds the
-article; its paths are content, as are others that come near its best one. Paths that
+article; its paths are content, as are others that come near its best one, and the headings,
+lists, quotations and paragraphs that stand between content blocks or directly before them.
+Paths that
 pass through an element for navigation, notices, adverts, forms or comments, by tag,
 role or class, have no ratio, unless hardly any text is left outside such elements: the
 largest whose text reads as prose is then judged by its ratios.
@@ -65,6 +67,8 @@ AWAY_ROLE = frozenset("navigation banner contentinfo complementary search form d
 TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FLOW = HEADINGS | frozenset("p ul ol dl blockquote pre".split())  # what goes with content around it
 NEARLY = 0.9  # of a page's text, for elements that aren't content to be judged by their ratios
 PROSE = 80  # characters of a block with punctuation that is content by itself
 NEAR = 0.5  # of the best path's weight, for paths outside the container
@@ -181,15 +185,54 @@ def content_blocks(found: list[tuple[tuple, tuple, str]]) -> list[tuple[tuple, s
     return [(path, text) for path, away, text in found if not marked.intersection(away)]
 
 
-def content_paths(found: list[tuple[tuple, str]]) -> set[tuple]:
-    """Paths of the article, from (path, text) of the blocks."""
+def content(found: list[tuple[tuple, str]]) -> list[str]:
+    """Texts of the article, from (path, text) of the blocks in page order."""
+    paths, best = content_paths(found)
+    taken = [k for k, (path, _) in enumerate(found) if path in paths]
+    if not taken:
+        return []
+    whole = best  # the lowest container of all content
+    for path in paths:
+        while path[: len(whole)] != whole:
+            whole = whole[:-1]
+    first, last = taken[0], taken[-1]
+    keep = set(taken)
+    keep.update(k for k in range(first, last) if _flow(found[k][0], whole) is not None)
+    # Before the content: what leads up to it in its container or one around it. Lists
+    # only after a heading; before it they are mostly menus.
+    lists = []
+    for k in range(first - 1, -1, -1):
+        path = found[k][0]
+        depth = next((n for n, tag in enumerate(path) if tag in FLOW), None)
+        kind = path[depth] if depth is not None and path[:depth] == best[:depth] else None
+        if kind is None:
+            break
+        if kind in ("ul", "ol", "dl"):
+            lists.append(k)
+            continue
+        keep.update(lists if kind in HEADINGS else [], [k])
+        if kind not in HEADINGS and lists:
+            break
+        lists = []
+    return [found[k][1] for k in sorted(keep)]
+
+
+def _flow(path: tuple, container: tuple) -> str | None:
+    """First tag of ``FLOW`` on a path below ``container``."""
+    if path[: len(container)] != container:
+        return None
+    return next((tag for tag in path[len(container) :] if tag in FLOW), None)
+
+
+def content_paths(found: list[tuple[tuple, str]]) -> tuple[set[tuple], tuple]:
+    """Paths of the article and the container of most weight, from (path, text) of the blocks."""
     length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
     for path, text in found:
         length[path] += len(text)
         marks[path] += len(PUNCTUATION.findall(text))
         count[path] += 1
     if not count:
-        return set()
+        return set(), ()
     beside = defaultdict(list)
     for path in count:
         beside[path[:-1]].append(path)
@@ -208,7 +251,7 @@ def content_paths(found: list[tuple[tuple, str]]) -> set[tuple]:
             best = best[:k]
             break
     top = max(weight[p] for p in count if p[: len(best)] == best)
-    return {p for p in count if p[: len(best)] == best or weight[p] >= NEAR * top and length[p] >= NEAR * max(length.values())}
+    return {p for p in count if p[: len(best)] == best or weight[p] >= NEAR * top}, best
 
 
 def extract(page: str) -> str:
@@ -221,9 +264,7 @@ def extract(page: str) -> str:
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
             found.append((path, away, text))
-    found = content_blocks(found)
-    keep = content_paths(found)
-    return "\n\n".join(text for path, text in found if path in keep)
+    return "\n\n".join(content(content_blocks(found)))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

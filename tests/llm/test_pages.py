@@ -64,6 +64,25 @@ def test_raw_tags_without_an_end(icon):
     assert html_text.extract(f"<article><p>{LONG}</p><script>var a = 1; <p>no") == LONG.strip()
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<body><div><h1>Title</h1><p>Lead.</p><div><p>{}</p><p>{}</p></div></div>", ["Title", "Lead.", 0, 0]),
+        (
+            "<body><div><h1>T</h1><div><p>{}</p></div><h2>S</h2><ul><li>a<li>b</ul><blockquote>Q.</blockquote>"
+            "<section><p>{}</p></section></div>",
+            ["T", 0, "S", "a", "b", "Q.", 0],
+        ),
+        ("<body><div><ul><li>Home<li>News</ul><h1>T</h1><ul><li>a</ul><div><p>{}</p></div></div>", ["T", "a", 0]),
+        ("<body><div><div><p>{0}</p><p>{0}</p><p>{0}</p></div><section><p>{0}</p></section></div>", [0, 0, 0, 0]),
+        ("<body><h1>T</h1><article><p>{}</p></article><ul><li>More</ul>", ["T", 0]),
+    ],
+)
+def test_blocks_around_the_best_container(page, want):
+    got = html_text.extract(page.format(LONG, LONG))
+    assert got.split("\n\n") == [LONG.strip() if w == 0 else w for w in want]
+
+
 def test_away_elements_stay_away():
     links = "<ul><li>Home<li>About us</ul>"
     assert html_text.extract(f"<body><nav>{links}</nav><div class=menu>{links}</div>") == ""
