@@ -35,8 +35,9 @@ from chatloom.session import materialize
 SAMPLE = 8_000  # labelled documents of each class
 LEXICON = 2_000
 PREFIXES = (4, 5, 6)
-MIN_DOCS, MIN_SHARE = 6, 0.03  # toxic documents an entry must be in, at least, and of all
+MIN_DOCS = 3  # toxic documents an entry must be in, at least
 MIN_PURITY = 0.95
+CHANCE = 1.0  # entries, at most, that may be expected to pass by chance
 SAME = 0.9  # of a shorter entry's texts, for a longer one to stand for it
 PRIOR = 0.1
 THRESHOLD = 0.7
@@ -153,6 +154,9 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     """Weights of words and beginnings of words from (``text``, ``_label``): the logarithm of their odds
     in toxic texts.
 
+    An entry has to be met in toxic texts more often than chance allows, by a bound on the
+    binomial tail for as many units as are tested: counts decide, not shares of all toxic
+    texts, so that the words of a small language have their place.
     Of texts that agree in the least digest of their long words, mostly copies, one counts.
     """
     words = F.array_distinct(F.filter(F.split(F.lower(whole("text")), r"[^\p{L}']+"), lambda w: F.char_length(w) > 2))
@@ -166,10 +170,19 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         .groupBy("unit")
         .agg(F.count_if(F.col("_label") == 1).alias("toxic"), F.count_if(F.col("_label") == 0).alias("clean"))
     )
-    purity = (F.col("toxic") + 0.5) / (F.col("toxic") + F.col("clean") + 1)
-    least = max(MIN_DOCS, MIN_SHARE * single.where("_label = 1").count())
-    best = counts.where((F.col("toxic") >= least) & (purity >= MIN_PURITY))
-    best = best.orderBy(F.desc("toxic"), F.length("unit"), "unit").limit(LEXICON).collect()
+    counts = materialize(counts.where(F.col("toxic") + F.col("clean") >= MIN_DOCS))
+    sizes = {r["_label"]: r["count"] for r in single.groupBy("_label").count().collect()}
+    if len(sizes) < 2:
+        return {}
+    base = sizes[1] / (sizes[0] + sizes[1])
+    n = F.col("toxic") + F.col("clean")
+    share = F.col("toxic") / n
+    rest = F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - share) / (1 - base))).otherwise(F.lit(0.0))
+    surprise = F.col("toxic") * F.log(share / base) + rest  # Chernoff: at least -log of the tail
+    passing = (F.col("toxic") >= MIN_DOCS) & (share >= MIN_PURITY) & (share > base)
+    best = counts.where(passing).withColumn("surprise", surprise)
+    best = best.where(F.col("surprise") >= float(np.log(max(counts.count(), 1) / CHANCE)))
+    best = best.orderBy(F.desc("surprise"), F.length("unit"), "unit").limit(LEXICON).collect()
     return choose({r["unit"]: (r["toxic"], r["clean"]) for r in best})
 
 

@@ -227,5 +227,26 @@ def test_learning_on_held_out(spark, docs):
     assert {r.score for r in toxicity.score(df, lexicon, weights).collect()} == {toxicity.PRIOR}
 
 
+def test_small_language_is_learned(spark, docs):
+    """Recall on held-out rows, by language; the small one has a fortieth of the toxic texts."""
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(3, 11)))
+    rows, marks = [], []
+    for i in range(4800):
+        toxic, small = i % 2 == 0, i % 80 < 2
+        w = [word("opqrstuv" if small else "abcdefgh") for _ in range(12)]
+        if toxic:
+            w[rng.randrange(12)] = "xuxozzo" if small else rng.choice(["zzogger", "qumbler"])
+        rows.append((i, " ".join(w)))
+        marks.append((i, int(toxic)))
+    lexicon, weights = toxicity.learn(docs(rows), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    got = [r for r in toxicity.score(docs(rows), lexicon, weights).collect() if r.held_out]
+    for small in (True, False):
+        toxic = [r.predicted for r in got if r.doc_id % 2 == 0 and (r.doc_id % 80 < 2) == small]
+        assert len(toxic) >= 10 and sum(toxic) >= 0.9 * len(toxic), (small, sum(toxic), len(toxic))
+    clean = [r.predicted for r in got if r.doc_id % 2]
+    assert sum(clean) <= 0.03 * len(clean)
+
+
 def test_entities():
     assert html_text.extract("<p>&quot;a&#233;&am &amp</p>") == html.unescape("&quot;a&#233;&am &amp")
