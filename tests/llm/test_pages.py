@@ -193,6 +193,32 @@ def test_grammar_scores_clauses():
     assert toxicity.Grammar({}).clauses("scum") == []
 
 
+def test_grammar_scores_threats():
+    g = toxicity.Grammar({"idiot*": 4.0})
+    threat = 4 * toxicity.TARGETED
+    for t in ("I will find you and hurt you", "I'll kill them", "ich werde dich töten", "je vais te tuer", "voy a matar a ella"):
+        assert g.matched(t) == [(threat, threat)], t
+        assert g.features(t)[3] == pytest.approx(math.log1p(threat))
+    assert g.matched("I will not hurt you") == [(pytest.approx(threat * toxicity.NEGATED),) * 2]
+    assert g.matched("he said I will hurt you") == [(pytest.approx(threat * toxicity.REPORTED),) * 2]
+    for t in ("did it hurt you", "you will kill time", "the frost will kill the crop. you know", "I will find you"):
+        assert g.matched(t) == [] and g.features(t) == [0, 0, 0, 0], t
+    assert g.matched("you idiot") == [(threat, 0)]
+
+
+def test_threats_score_above_no_match(spark, docs):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("opqrstuv") for _ in range(8))
+    rows = [(i, " ".join([word() for _ in range(9)] + ["zzogger" if i % 2 else word()])) for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    df = docs([*rows, (900, "I will find you and hurt you"), (901, "I will find you and help you")])
+    lexicon, weights = toxicity.learn(df, labels)
+    assert "zzogger" in lexicon or any(w.startswith("zzog") for w in lexicon)
+    got = {r.doc_id: r for r in toxicity.score(df, lexicon, weights).collect() if r.doc_id >= 900}
+    assert got[900].predicted == 1 and got[900].n_clauses == 1
+    assert got[901].predicted == 0 and got[901].n_clauses == 0
+
+
 def test_choose_entries():
     got = toxicity.choose(
         {"worthless": (90, 0), "wort*": (91, 1), "worthl*": (90, 0), "lowei*": (50, 0), "loweisch": (9, 0), "lowe*": (50, 0),
