@@ -1,12 +1,14 @@
 """Personal data: checked base patterns, and identifiers found by bootstrapped context.
 
 Base kinds are patterns whose matches are checked afterwards. What they match seeds the
-bootstrap: candidate identifiers are tokens with a digit; a lexical pattern is the two
-words before a candidate together with the candidate's shape. Patterns and candidates
-form a graph. Scores go back and forth on it: a pattern is as good as the mean score
-of its identifiers (smoothed), an identifier as good as its patterns taken together
-(noisy or), seeds stay at 1. Identifiers that good patterns with enough seeds reach are
-added as spans of kind ``found``.
+bootstrap: candidate identifiers are tokens with a digit that no base span overlaps, and the
+base spans themselves, whatever their characters. A lexical pattern is the two words before
+an instance; a second, narrower one is these words together with the instance's shape.
+Patterns and instances form a graph. Scores go back and forth on it: a pattern is as good
+as the mean score of its identifiers (smoothed), an identifier as good as its patterns taken
+together (noisy or), seeds stay at 1. After each round, identifiers that were accepted
+support patterns as seeds do, and patterns need enough support to score. Identifiers that
+good patterns reach are added as spans of kind ``found``.
 
 The scan is done once, in the row of the text, and written; the graph is made of distinct
 (pattern, identifier) pairs, so copies of a document count once, and each round is two
@@ -35,7 +37,7 @@ KINDS = ["email", "ip", "card", "phone", "found"]
 
 TOKEN = r"(?<![A-Za-z0-9@._+/-])(?=[A-Za-z@._+/-]*+[0-9])[A-Za-z0-9@._+/-]{5,}"
 ROUNDS = 3
-MIN_SEEDS = 3  # distinct seeds a pattern must have
+MIN_SEEDS = 3  # distinct seeds, or identifiers accepted before, a pattern must have
 MIN_SCORE = 0.8  # of a pattern, and of an identifier
 CONTEXT = 80  # code points before a candidate in which its two words are looked for
 
@@ -86,8 +88,9 @@ def base(text: Column) -> dict[str, Column]:
     }
 
 
-def candidates(text: Column) -> Column:
-    """``array<struct<start, end, id, pattern>>`` of tokens with a digit."""
+def instances(text: Column, spans: Column) -> Column:
+    """``array<struct<start, end, id, words, shape>>`` of (start, end, s) ``spans``: the two words
+    before each, null if there aren't any, and its shape."""
 
     def one(x):
         before = F.substr(
@@ -103,19 +106,21 @@ def candidates(text: Column) -> Column:
             x["start"].alias("start"),
             x["end"].alias("end"),
             F.rtrim(x["s"], F.lit("./-+_")).alias("id"),
-            F.when(pair != "", F.concat_ws("\t", F.regexp_replace(pair, r"[\x20\x09-\x0D]+", " "), shape)).alias(
-                "pattern"
-            ),
+            F.when(pair != "", F.regexp_replace(pair, r"[\x20\x09-\x0D]+", " ")).alias("words"),
+            shape.alias("shape"),
         )
 
-    return F.transform(matches(text, TOKEN, TOKEN), one)
+    return F.transform(spans, one)
 
 
 def scan(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """``key``, a digest of the text, ``n_<kind>``, base spans, candidates and seeds."""
+    """``key``, a digest of the text, ``n_<kind>``, base spans, candidates outside them, and
+    seeds: the instances of the base spans."""
     t = whole(text)
     found = base(t)
     none = empty("array<struct<start:bigint,end:bigint,s:string>>")
+    taken = F.concat(*[F.col(f"_{k}") for k in found])
+    free = lambda a: ~F.exists(taken, lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"]))
     guard = t.rlike(r"[0-9]")
     out = df.withColumns(
         {f"_{k}": c if k == "email" else F.when(guard, c).otherwise(none) for k, c in found.items()}
@@ -125,9 +130,9 @@ def scan(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
         F.xxhash64(t).alias("_digest"),
         *[F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in found],
         F.concat(*[as_spans(F.col(f"_{k}"), k, i) for i, k in enumerate(found)]).alias("base"),
-        F.flatten(F.array(*[F.transform(f"_{k}", lambda x: x["s"]) for k in found])).alias("seeds"),
-        F.when(guard, candidates(t))
-        .otherwise(empty("array<struct<start:bigint,end:bigint,id:string,pattern:string>>"))
+        instances(t, taken).alias("seeds"),
+        F.when(guard, instances(t, F.filter(matches(t, TOKEN, TOKEN), free)))
+        .otherwise(empty("array<struct<start:bigint,end:bigint,id:string,words:string,shape:string>>"))
         .alias("cands"),
     )
 
@@ -146,24 +151,26 @@ def bootstrap(
         .join(seeds, "id", "left")
         .withColumn("seed", F.col("seed").isNotNull())
     )
-    # A pattern that no seed ever has scores nothing in any round.
-    good = edges.groupBy("pattern").agg(F.count_if("seed").alias("n")).where(F.col("n") >= min_seeds)
-    edges = materialize(edges.join(good.select("pattern"), "pattern", "left_semi"))
-    scored = edges.withColumn("score", F.col("seed").cast("double"))
+    scored = edges.select("pattern", "id", F.col("seed").cast("double").alias("score"), "seed")
     for _ in range(rounds):
+        # what was accepted in the round before supports a pattern as a seed does
         patterns = scored.groupBy("pattern").agg(
-            (F.sum("score") / (F.count("id") + 1)).alias("p_score")
+            (F.sum("score") / (F.count("id") + 1)).alias("p_score"), F.count_if("seed").alias("support")
         )
         ids = (
             edges.where(~F.col("seed"))
-            .join(patterns, "pattern")
+            .join(patterns.where(F.col("support") >= min_seeds).drop("support"), "pattern")
             .groupBy("id")
             .agg((1 - F.exp(F.sum(F.log(1 - F.least("p_score", F.lit(0.999)))))).alias("score"),
                  F.max("p_score").alias("best"))
         )
         ids = materialize(ids)
+        good = (F.col("score") >= MIN_SCORE) & (F.col("best") >= MIN_SCORE)
         scored = edges.join(ids, "id", "left").select(
-            "pattern", "id", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score")
+            "pattern",
+            "id",
+            F.when(F.col("seed") | good, 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score"),
+            (F.col("seed") | F.coalesce(good, F.lit(False))).alias("seed"),
         )
     return ids.where((F.col("score") >= MIN_SCORE) & (F.col("best") >= MIN_SCORE)).select("id", "score")
 
@@ -174,8 +181,11 @@ def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     use = rows.where(F.size("cands") > 0).select(
         key, "_digest", F.explode("cands").alias("c")
     ).select(key, "_digest", "c.*")
-    seeds = rows.where(F.size("seeds") > 0).select(F.explode("seeds").alias("id"))
-    ids = bootstrap(use.select("pattern", "id"), seeds).select("id")
+    known = rows.where(F.size("seeds") > 0).select(F.explode("seeds").alias("c")).select("c.*")
+    seen = use.select("id", "words", "shape").unionByName(known.select("id", "words", "shape")).where("words IS NOT NULL")
+    both = F.array("words", F.concat_ws("\t", "words", "shape"))
+    edges = seen.select(F.explode(both).alias("pattern"), "id")
+    ids = bootstrap(edges, known.select("id")).select("id")
     extra = (
         use.join(ids, "id")
         .groupBy(key, "_digest")

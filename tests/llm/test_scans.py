@@ -190,6 +190,30 @@ def test_bootstrap_finds_unseen_identifiers(docs):
     assert got[3].startswith("ip:")
 
 
+def test_bootstrap_from_spans_and_over_rounds(docs):
+    phones = [f"please call mobile +1 ({i:03d}) 555-77{i:02d} today" for i in range(12)]
+    mails = [f"just write to {'abcdefghijkl'[i]}x@example.org today" for i in range(12)]
+    # only the words are shared with the seeds; what they find then carries words of its own
+    codes = [f"please call mobile 030/55{i:02d}12 today" for i in range(2)]
+    codes += ["just write to jane77 today"]
+    ids = [f"QX-{i}77{i}" for i in range(3)]
+    chain = [f"some account number {x} today" for x in ids] + [f"please call mobile {x} today" for x in ids]
+    rows = phones + mails + codes + chain + ["in the year 2024-10 happened"]
+    got = {r.doc_id: r.all for r in pii.find(docs(enumerate(rows))).collect()}
+    found = lambda t: [t[s["start"] : s["end"]] for s in got[rows.index(t)] if s["kind"] == "found"]
+    assert found(codes[0]) == ["030/550012"] and found(codes[2]) == ["jane77"]
+    assert found(chain[0]) == [ids[0]] and found(rows[-1]) == []
+
+
+def test_accepted_identifiers_support_patterns(spark):
+    seeds = [f"s{i}" for i in range(30)]
+    new = [f"n{i}" for i in range(6)]
+    edges = [("first", x) for x in seeds + new] + [("second", x) for x in [*new, "far"]]  # far: from new alone
+    df = spark.createDataFrame(edges, "pattern string, id string")
+    got = pii.bootstrap(df, spark.createDataFrame([(x,) for x in seeds], "id string"))
+    assert {r.id for r in got.collect()} == {*new, "far"}
+
+
 def brute_quality(t):
     w = WORDS.findall(t or "")
     tri = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
