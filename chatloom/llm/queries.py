@@ -13,6 +13,7 @@ from chatloom.llm import (
     pii,
     quality,
     secrets,
+    simhash,
     toxicity,
     urls,
     wavelet,
@@ -148,3 +149,9 @@ def op4_toxicity(spark, sf):
     docs = common.table(spark, sf, "documents").select("doc_id", "text")
     lexicon, weights = toxicity.learn(docs, common.table(spark, sf, "labels"))
     return toxicity.score(docs, lexicon, weights)
+
+
+@query
+def op11_simhash(spark, sf):
+    docs = common.table(spark, sf, "documents").select("doc_id", "text")
+    return simhash.report(simhash.near_duplicates(docs))
