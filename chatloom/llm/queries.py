@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chatloom.llm import (
+    align,
     common,
     decontaminate,
     html_text,
@@ -155,3 +156,9 @@ def op4_toxicity(spark, sf):
 def op11_simhash(spark, sf):
     docs = common.table(spark, sf, "documents").select("doc_id", "text")
     return simhash.report(simhash.near_duplicates(docs))
+
+
+@query
+def op12_align(spark, sf):
+    docs = common.table(spark, sf, "documents").select("doc_id", "text")
+    return align.alignment(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
