@@ -9,6 +9,7 @@ from chatloom.llm import (
     common,
     decontaminate,
     html_text,
+    negatives,
     ngram_join,
     packing,
     pii,
@@ -162,3 +163,30 @@ def op11_simhash(spark, sf):
 def op12_align(spark, sf):
     docs = common.table(spark, sf, "documents").select("doc_id", "text")
     return align.alignment(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op13_hard_negatives(spark, sf):
+    return negatives.mine(common.table(spark, sf, "embeddings"))
+
+
+ORACLE["op13_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.own
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
