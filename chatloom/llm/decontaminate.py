@@ -3,17 +3,21 @@
 A window is 13 consecutive words of a benchmark item, or all of a shorter item. Its set
 is made of word shingles. A document holds a window only if it holds all of its shingles,
 so for containment 1 the necessary prefix of a window, its shingles by rarity, is the
-rarest one. Rarity is counted over all documents. Places of prefix shingles in documents
-are joined with windows; a positional bound (the window must begin and end inside the
-document) comes first, then the words at the place are compared with the window's.
+rarest one. Rarity is counted over all documents.
 
-Documents are never shuffled: shingles are made in the row and looked up in a table of
-the benchmark's shingles, which is broadcast while it has at most ``BROADCAST_ROWS`` rows
-and joined by shuffle beyond; only hits go on.
+1. One pass over the documents cuts them into words and keeps the places of shingles that
+   some window has, and a row with each document's number of words. Shingles are made in the
+   row and looked up in a table of digests; neither words nor texts go on.
+2. Rarity and prefixes come from that table. Places of prefix shingles give candidates; a
+   positional bound (the window must begin and end inside the document) comes first.
+3. Documents with a candidate are read again, and the words at its place are compared
+   with the window's, as text.
+
+The work is linear in the length of a text.
 
 Defined results: null and empty texts have no words and no hits; items without words
 have no windows; null item ids count as no item; repeated documents get equal results,
-repeated items count once; other columns stay.
+repeated items count once; other columns stay out of the way.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +28,8 @@ from chatloom.session import materialize
 
 WINDOW = 13
 SHINGLE = 5  # words; a shorter window is its own shingle
-BROADCAST_ROWS = 500_000  # rows of at most some 300 bytes
+BROADCAST_ROWS = 500_000  # rows of at most 40 bytes
+LAST = 0  # stands behind a document's shingles; its row keeps the number of words
 
 
 def item_words(text: str) -> Column:
@@ -43,7 +48,7 @@ def shingles(w: Column, n: int) -> Column:
 
 
 def windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Distinct windows: (``wid``, ``w``, ``len``) and the items that hold them, (``wid``, ``item``)."""
+    """Distinct windows of each item: (``item``, ``w``, ``len``)."""
     rows = items.select(
         F.col("item_id").cast("string").alias("item"), item_words("text").alias("iw")
     ).where((F.size("iw") > 0) & F.col("item").isNotNull())
@@ -61,81 +66,86 @@ def windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows; else as it is."""
+    """``df``, whose rows have a greatest size, marked for broadcast if it has at most ``rows`` rows."""
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(``doc_id``, ``_digest``, ``start``, ``len``, ``item``) for each window that a document holds.
-
-    ``docs`` has ``doc_id``, ``_digest`` and the words ``w``.
-    """
-    held = materialize(windows(items, window))
-    one = held.select("w", "len").distinct()
-    sizes = sorted({min(SHINGLE, r["len"]) for r in one.select("len").distinct().collect()})
-    n = F.least(F.lit(SHINGLE), F.col("len"))
-    hashes = F.coalesce(
-        *[F.when(n == k, shingles(F.col("w"), k)) for k in sizes or [SHINGLE]]
-    )
-    tokens = one.select("w", "len", F.posexplode(hashes).alias("offset", "h"))
-
-    def found(lookup, keep):
-        parts = [
-            docs.select("doc_id", "_digest", "w", F.posexplode(shingles(F.col("w"), k)).alias("at", "h"))
-            .join(lookup, "h")
-            .select(*keep)
-            for k in sizes or [SHINGLE]
-        ]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    rarity = (
-        found(small(tokens.select("h").distinct()), ["h"])
-        .groupBy("h")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+def text_digest(text: str = "text") -> Column:
+    return F.xxhash64(whole(text))
+
+
+def _before(n: Column, sizes: list[int], k: Column) -> Column:
+    """How many shingles of a text of ``n`` words stand before those of ``k`` words."""
+    less = [F.when(k > size, F.greatest(n - (size - 1), F.lit(0))).otherwise(0) for size in sizes]
+    return sum(less, F.lit(0))
+
+
+def places(docs: DataFrame, known: DataFrame, sizes: list[int], text: str) -> DataFrame:
+    """(``doc_id``, ``_digest``, ``n``, ``pos``, ``h``) of shingles in ``known`` (``h``), and a row of each
+    document, behind its shingles. The one pass over all texts; written."""
+    own = docs.select("doc_id", text_digest(text).alias("_digest"), item_words(text).alias("w"))
+    hashes = F.concat(*[shingles(F.col("w"), k) for k in sizes], F.array(F.lit(LAST).cast("long")))
+    rows = own.select("doc_id", "_digest", F.size("w").alias("n"), F.posexplode(hashes).alias("pos", "h"))
+    last = docs.sparkSession.range(1).select(F.lit(LAST).cast("long").alias("h"))
+    return materialize(rows.join(small(materialize(known.unionByName(last).distinct())), "h"))
+
+
+def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, text: str = "text"):
+    """(``doc_id``, ``_digest``, ``n``) of each document, and (``doc_id``, ``_digest``, ``start``, ``len``, ``item``) for each
+    window that it holds; two tables."""
+    held = windows(items, window).select("item", "len", "w", F.array_join("w", " ").alias("s"))
+    held = materialize(held)
+    one = held.select("s", "w", "len").dropDuplicates(["s", "len"])
+    sizes = sorted({min(SHINGLE, r["len"]) for r in one.select("len").distinct().collect()}) or [SHINGLE]
+    k = F.least(F.lit(SHINGLE), F.col("len"))
+    hashes = F.coalesce(*[F.when(k == size, shingles(F.col("w"), size)) for size in sizes])
+    tokens = materialize(one.select("s", "len", F.posexplode(hashes).alias("offset", "h")))
+    found = places(docs, tokens.select("h"), sizes, text)
+    n = F.col("n")
+    behind = _before(n, sizes, F.lit(SHINGLE + 1))
+    every = found.where(F.col("pos") == behind).select("doc_id", "_digest", "n")
+    found = found.where(F.col("pos") < behind)
+    rarity = found.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     # The rarest shingle of each window; a window with a shingle that no document has can't occur.
     prefix = materialize(
         tokens.join(rarity, "h", "left")
-        .groupBy("w", "len")
-        .agg(
-            F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "h")).alias("p")
-        )
-        .where(F.col("p.df") > 0)
-        .select(F.col("p.h").alias("h"), F.col("p.offset").alias("offset"), F.col("w").alias("want"), "len")
+        .groupBy("s", "len")
+        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "h")).alias("p"))
+        .where("p.df > 0")
+        .select(F.col("p.h").alias("h"), F.col("p.offset").alias("offset"), "len")
+        .distinct()
     )
-    start = F.col("at") - F.col("offset")
-    occurring = (
-        found(
-            small(prefix),
-            [
-                "doc_id",
-                "_digest",
-                start.alias("start"),
-                "len",
-                "want",
-                (
-                    (start >= 0)
-                    & (start + F.col("len") <= F.size("w"))
-                    & (F.slice("w", start + 1, F.col("len")) == F.col("want"))
-                ).alias("_same"),
-            ],
-        )
-        .where("_same")
-        .drop("_same")
+    start = F.col("pos") - _before(n, sizes, k) - F.col("offset")
+    candidates = (
+        found.join(small(prefix), "h")
+        .select("doc_id", "_digest", "n", start.alias("start"), "len")
+        .where((F.col("start") >= 0) & (F.col("start") + F.col("len") <= n))
+        .groupBy(F.col("doc_id").alias("_id"), F.col("_digest").alias("_d"))
+        .agg(F.collect_set(F.struct("start", "len")).alias("at"))
+    )
+    candidates = materialize(candidates)
+    # The keys are looked up before any text is moved.
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d"))
+    named = docs.select("doc_id", text_digest(text).alias("_digest"), F.col(text).alias("text"))
+    again = named.join(small(candidates.select("_id", "_d")), same, "left_semi").dropDuplicates(["doc_id", "_digest"])
+    cut = F.transform(
+        "at", lambda c: F.struct(c["start"].alias("start"), c["len"].alias("len"), F.array_join(F.slice("w", c["start"] + 1, c["len"]), " ").alias("s"))
+    )
+    texts = (
+        again.join(candidates, same)
+        .select("doc_id", "_digest", "at", item_words("text").alias("w"))
+        .select("doc_id", "_digest", F.explode(cut).alias("c"))
+        .select("doc_id", "_digest", "c.*")
+    )
+    return every, texts.join(held.select("s", "len", "item"), ["s", "len"]).select(
+        "doc_id", "_digest", "start", "len", "item"
     )
-    return occurring.join(
-        small(held.select(F.col("w").alias("want"), "item")), "want"
-    ).select("doc_id", "_digest", "start", "len", "item")
 
 
 def contamination(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """Per document: ``doc_id``, ``_digest``, ``n_words``, ``n_hit``, ``items`` (sorted ids as strings) and
-    ``contaminated``. ``_digest`` is that of the words and tells documents of one id apart."""
-    own = docs.select("doc_id", item_words(text).alias("w")).withColumn("_digest", F.xxhash64("w"))
-    all_hits = hits(own, items)
+    ``contaminated``. ``_digest`` is that of the text and tells documents of one id apart."""
+    every, all_hits = hits(docs, items, text=text)
     per = all_hits.groupBy("doc_id", "_digest").agg(
         F.sort_array(F.collect_set(F.struct("start", "len"))).alias("spans"),
         F.sort_array(F.collect_set("item")).alias("items"),
@@ -149,15 +159,17 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text") -> Data
         ),
         lambda a: a["n"],
     )
-    per = per.select(
-        F.col("doc_id").alias("_id"),
-        F.col("_digest").alias("_d"),
-        covered.cast("long").alias("_hit"),
-        F.col("items").alias("_items"),
+    per = materialize(
+        per.select(
+            F.col("doc_id").alias("_id"),
+            F.col("_digest").alias("_d"),
+            covered.cast("long").alias("_hit"),
+            F.col("items").alias("_items"),
+        )
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d"))
     return (
-        own.select("doc_id", "_digest", F.size("w").cast("long").alias("n_words"))
+        every.select("doc_id", "_digest", F.col("n").cast("long").alias("n_words"))
         .join(per, same, "left")
         .select(
             "doc_id",

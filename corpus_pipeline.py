@@ -27,10 +27,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
     found = decontaminate.contamination(docs, common.table(spark, sf_dir, "benchmark"))
-    bad = found.where("contaminated").select(F.col("doc_id").alias("_id"), "_digest").distinct()
-    own = docs.withColumn("_d", F.xxhash64(decontaminate.item_words("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("_digest"))
-    return own.join(bad, same, "left_anti").select(*docs.columns)
+    bad = materialize(found.where("contaminated").select(F.col("doc_id").alias("_id"), "_digest").distinct())
+    rows = docs.select(
+        F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), decontaminate.text_digest().alias("_text")
+    )
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_digest"))
+    return rows.join(decontaminate.small(bad), same, "left_anti").select("_row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= {*__spark_entry__.queries()}
     assert {*ORACLE} <= {*__spark_entry__.oracle_sql()}
     assert [n for n, _ in corpus_pipeline.STAGES] == [
