@@ -22,7 +22,7 @@ import html as entities
 import re
 from collections import defaultdict
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -271,13 +271,15 @@ def main_text(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars``."""
 
     def run(batches):
-        for b in batches:
-            texts = [extract(h) for h in b["html"].fillna("")]
-            yield pd.DataFrame(
-                {"page_id": b["page_id"], "url": b["url"], "text": texts, "n_chars": [len(t) for t in texts]}
+        for b in batches:  # Arrow alone: pandas would turn long ids with a null into doubles
+            texts = [extract(h or "") for h in b.column("html").to_pylist()]
+            sizes = pa.array([len(t) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), sizes],
+                names=["page_id", "url", "text", "n_chars"],
             )
 
     kind = dict(pages.dtypes)["page_id"]
-    return pages.select("page_id", "url", "html").mapInPandas(
+    return pages.select("page_id", "url", "html").mapInArrow(
         run, f"page_id {kind}, url string, text string, n_chars long"
     )

@@ -19,7 +19,7 @@ interchangeable); null ids are packed like others; an empty table gives no rows.
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,27 +48,29 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 
     def run(batches):
         enc = encoder(path, "bytes")
-        for batch in batches:
-            keys, texts = batch["doc_id"], batch["text"].fillna("").tolist()
+        for batch in batches:  # Arrow alone: pandas would turn long ids with a null into doubles
+            texts = batch.column("text").fill_null("").to_pylist()
             for a, b in slices(texts):
-                yield _cut_all(enc, keys.iloc[a:b].tolist(), texts[a:b], capacity)
+                yield _cut_all(enc, batch.column("doc_id").slice(a, b - a), texts[a:b], capacity)
 
-    return df.select("doc_id", "text").mapInPandas(run, PIECES)
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 
 
 def _cut_all(enc, keys, texts, capacity):
     ids, counts = enc.encode(texts)
     rows, at = [], 0
-    for key, n in zip(keys, counts.tolist(), strict=True):
+    for row, n in enumerate(counts.tolist()):
         own = np.empty(n + 1, "<u4")
         own[:n], own[n] = ids[at : at + n], END_ID
         at += n
         rows += [
-            (key, k, start, size, zlib.crc32(own[start : start + size]))
+            (row, k, start, size, zlib.crc32(own[start : start + size]))
             for k, (start, size) in enumerate(cut(n + 1, capacity))
         ]
-    return pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype(
-        {"doc_id": "Int64"}
+    row, *columns = (np.array(c, np.int64) for c in zip(*rows, strict=True))
+    columns[0] = columns[0].astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [keys.take(pa.array(row)), *map(pa.array, columns)], names=["doc_id", "piece", "start", "length", "ids_crc32"]
     )
 
 
@@ -119,12 +121,14 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
     return where, offset, capacity - np.array(used, np.int64)
 
 
-def pack_pool(rows: pd.DataFrame, pool: int, last: bool, capacity: int = CAPACITY) -> pd.DataFrame:
+def pack_pool(rows: pa.Table, pool: int, last: bool, capacity: int = CAPACITY) -> pa.Table:
     """Pack one pool; ``open`` marks pieces that go to the next round."""
-    rows = rows.sort_values(
-        ["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True]
-    )
-    lengths = rows["length"].to_numpy(np.int64)
+    ids = rows.column("doc_id")
+    by = [rows.column(c).to_numpy() for c in ("ids_crc32", "piece")]
+    none = ids.is_null().to_numpy()
+    order = np.lexsort((*by, ids.fill_null(0).to_numpy(), none, -rows.column("length").to_numpy()))
+    rows = rows.select(["doc_id", "piece", "start", "length", "ids_crc32"]).take(order)
+    lengths = rows.column("length").to_numpy()
     where, offset, left = best_fit(lengths, capacity)
     certified = len(left) == lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
     free = np.zeros(len(left), bool)
@@ -133,10 +137,8 @@ def pack_pool(rows: pd.DataFrame, pool: int, last: bool, capacity: int = CAPACIT
             free[np.argmax(left)] = left.max() > 0
         else:
             free = left > 0
-    rows = rows[["doc_id", "piece", "start", "length", "ids_crc32"]].copy()
-    rows["sequence_id"] = (pool << 24) + where
-    rows["offset"] = offset
-    rows["open"] = free[where]
+    for name, values in (("sequence_id", (pool << 24) + where), ("offset", offset), ("open", free[where])):
+        rows = rows.append_column(name, pa.array(values))
     return rows
 
 
@@ -165,7 +167,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, pool: int = POOL, rounds: i
         packed = materialize(
             left.select("*", number.alias("pool"))
             .groupBy("pool")
-            .applyInPandas(_packer(last, capacity), PACKED)
+            .applyInArrow(_packer(last, capacity), PACKED)
         )
         done.append(packed.where(~F.col("open")).select(columns))
         if last:
@@ -182,7 +184,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, pool: int = POOL, rounds: i
 
 def _packer(last: bool, capacity: int):
     def run(key, rows):
-        return pack_pool(rows, int(key[0]), last, capacity)
+        return pack_pool(rows, key[0].as_py(), last, capacity)
 
     return run
 

@@ -29,6 +29,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -306,17 +307,14 @@ def score(df: DataFrame, lexicon: dict[str, float], weights: list[float] | None)
     def run(batches):
         grammar, w = Grammar(lexicon), None if weights is None else np.array(weights)
         for b in batches:
-            x = np.array([grammar.features(t) for t in b["text"].fillna("")]).reshape(-1, 4)
+            x = np.array([grammar.features(t or "") for t in b.column("text").to_pylist()]).reshape(-1, 4)
             s = np.full(len(x), PRIOR) if w is None else 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
-            yield pd.DataFrame(
-                {
-                    "doc_id": b["doc_id"],
-                    "held_out": b["held_out"],
-                    "score": s,
-                    "predicted": (s >= THRESHOLD).astype(np.int32),
-                    "n_clauses": np.rint(np.expm1(x[:, 2])).astype(np.int64),
-                }
+            more = s, (s >= THRESHOLD).astype(np.int32), np.rint(np.expm1(x[:, 2])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("held_out"), *map(pa.array, more)],
+                names=["doc_id", "held_out", "score", "predicted", "n_clauses"],
             )
 
-    rows = df.select("doc_id", held_out().alias("held_out"), "text")
-    return rows.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int, n_clauses long")
+    # Arrow alone: pandas would turn a column of long ids with a null into doubles
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, n_clauses long")

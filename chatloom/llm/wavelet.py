@@ -28,6 +28,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +41,6 @@ SHARD_TOKENS = 1 << 21  # tokens of a shard, about
 PARTITION_ROWS = 4_000  # documents dealt to a task, about; it cuts shards by their tokens
 BLOCK = 512
 MAGIC = b"WVM1"
-NULL_ID = -(1 << 63)
 
 
 def _planes(codes: np.ndarray, levels: int) -> tuple[list[bytes], list[int]]:
@@ -58,8 +58,10 @@ def _planes(codes: np.ndarray, levels: int) -> tuple[list[bytes], list[int]]:
     return planes, zeros
 
 
-def build(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, name: tuple[int, int] = (0, 0)) -> bytes:
-    """The file of a shard."""
+def build(
+    ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, name: tuple[int, int] = (0, 0), nulls: int = 0
+) -> bytes:
+    """The file of a shard; the first ``nulls`` documents have a null id."""
     import zstandard
 
     seen = np.zeros(1 << 16, bool)
@@ -82,6 +84,7 @@ def build(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, name: tuple
             "seq": name[1],
             "tokens": len(ids),
             "docs": len(doc_ids),
+            "nulls": nulls,
             "zeros": zeros,
             "sizes": [len(s) for s in sections],
         }
@@ -228,13 +231,14 @@ def write_shards(df: DataFrame, vocabulary: str, folder: str) -> DataFrame:
 
         part, seq, held = TaskContext.get().partitionId(), 0, []
         enc, tokens = encoder(vocabulary, "words"), 0
-        for batch in batches:
-            keys = batch["doc_id"].astype("Int64").fillna(NULL_ID).to_numpy(np.int64)
-            texts = batch["text"].fillna("").tolist()
+        for batch in batches:  # Arrow alone: pandas would turn long ids with a null into doubles
+            none = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            keys = batch.column("doc_id").fill_null(0).to_numpy()
+            texts = batch.column("text").fill_null("").to_pylist()
             for a, b in slices(texts):
                 ids, counts = enc.encode(texts[a:b])
                 ids = np.insert(ids, np.cumsum(counts), END_ID)
-                held.append((ids, keys[a:b], counts + 1))
+                held.append((ids, keys[a:b], counts + 1, none[a:b]))
                 tokens += len(ids)
                 if tokens >= SHARD_TOKENS:
                     yield _shard(folder, part, seq, held)
@@ -242,13 +246,16 @@ def write_shards(df: DataFrame, vocabulary: str, folder: str) -> DataFrame:
         if held:
             yield _shard(folder, part, seq, held)
 
-    return written(rows.mapInPandas(run, "part int, seq int, tokens long, docs long"))
+    return written(rows.mapInArrow(run, "part int, seq int, tokens long, docs long"))
 
 
 def _shard(folder, part, seq, held):
-    ids, keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-    _put(f"{folder}/part-{part:06d}-{seq:06d}.wvm", build(ids, keys, counts, (part, seq)))
-    return pd.DataFrame({"part": [part], "seq": [seq], "tokens": [len(ids)], "docs": [len(keys)]})
+    ids, keys, counts, none = (np.concatenate(x) for x in zip(*held, strict=True))
+    _put(f"{folder}/part-{part:06d}-{seq:06d}.wvm", build(ids, keys, counts, (part, seq), int(none.sum())))
+    kinds = ("part", pa.int32()), ("seq", pa.int32()), ("tokens", pa.int64()), ("docs", pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([x], t) for x, (_, t) in zip((part, seq, len(ids), len(keys)), kinds, strict=True)], schema=pa.schema(kinds)
+    )
 
 
 def shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -263,24 +270,25 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for content in batch["content"]:
-                shard = WaveletMatrix(content)
+            for content in batch.column("content"):
+                shard = WaveletMatrix(content.as_py())
                 ids = shard.decode().astype("<u4")
                 ends = np.cumsum(shard.lengths, dtype=np.int64)
                 starts = ends - shard.lengths
                 crcs = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pd.DataFrame(
-                    {
-                        "part": np.int32(shard.header["part"]),
-                        "seq": np.int32(shard.header["seq"]),
-                        "doc_id": pd.array(shard.doc_ids, "Int64").copy(),
-                        "before": starts,
-                        "n_tokens": shard.lengths.astype(np.int64),
-                        "ids_crc32": crcs,
-                    }
-                ).assign(doc_id=lambda d: d["doc_id"].mask(d["doc_id"] == NULL_ID))
+                n = len(starts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(pa.array(np.full(n, shard.header[k], np.int32)) for k in ("part", "seq")),
+                        pa.array(shard.doc_ids, mask=np.arange(n) < shard.header["nulls"]),
+                        pa.array(starts),
+                        pa.array(shard.lengths.astype(np.int64)),
+                        pa.array(crcs, pa.int64()),
+                    ],
+                    names=["part", "seq", "doc_id", "before", "n_tokens", "ids_crc32"],
+                )
 
-    return shards(spark, folder).mapInPandas(
+    return shards(spark, folder).mapInArrow(
         run, "part int, seq int, doc_id long, before long, n_tokens long, ids_crc32 long"
     )
 

@@ -6,9 +6,10 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chatloom.llm import packing, wavelet
+from chatloom.llm import html_text, packing, toxicity, wavelet
 from chatloom.llm.tokens import Encoder, slices
 from chatloom.session import fresh_path
 
@@ -169,3 +170,19 @@ def test_packing_a_corpus(docs):
     hist = np.bincount([r.length for r in got], minlength=packing.CAPACITY + 1)
     assert len(sequences) <= packing.lower_bound(hist) + 1
     assert packing.best_fit_packing(docs([]), BYTES).count() == 0
+
+
+def test_large_ids_beside_a_null(spark, docs):
+    """Ids beyond 2^53 and the least and the largest long come back as they are, and null as null."""
+    ids = [None, -(1 << 63), (1 << 53) + 1, (1 << 53) + 3, (1 << 63) - 1]
+    rows = [(i, f"some text {k}") for k, i in enumerate(ids)]
+    table = docs(rows).coalesce(1)
+    key = lambda i: (i is not None, i or 0)
+    got = wavelet.encode_corpus(table, WORDS).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted(ids, key=key)
+    for made in (
+        packing.best_fit_packing(table, BYTES),
+        toxicity.score(table, {}, None),
+        html_text.main_text(table.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))).withColumnRenamed("page_id", "doc_id"),
+    ):
+        assert sorted((r.doc_id for r in made.collect()), key=key) == sorted(ids, key=key)
