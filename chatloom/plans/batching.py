@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from chatloom.operators import batching as B
 from chatloom.operators.groups import with_group_stats
 from chatloom.plans.common import query, r6, s_r6
+from chatloom.session import fresh_path
 from chatloom.sources import tables as D
+from chatloom.sources.epochs import open_epoch, store_epoch
 
 
 def s_order(epoch: int = 0, key: str = "doc_id", source: str = "documents") -> str:
@@ -139,3 +141,33 @@ def b10(spark, sf):
     plan = B.batch_plan(chats, "conv_id", size=8, world=4, skip=1, epoch=1)
     wide = with_group_stats(plan, ["rank", "batch"], {"padded_to": F.max("chars")})
     return wide.select("conv_id", "rank", "batch", "step", "chars", "padded_to")
+
+
+@query(
+    "b04_resume_epoch",
+    f"""WITH {s_order(2)}, n AS (SELECT count(*) AS n FROM documents), e AS (
+  SELECT doc_id, position FROM o UNION ALL
+  SELECT doc_id, position + n FROM o, n WHERE position + n < CAST(ceil(n / 3.0) AS BIGINT) * 3)
+SELECT doc_id, md5(text) AS text_md5, position, CAST(position % 3 AS INTEGER) AS rank, position // 3 AS shard_position,
+  position // 3 // 16 AS batch, position // 3 // 16 + 1 AS step
+FROM e JOIN documents USING (doc_id) WHERE position // 3 // 16 >= 5""",
+)
+def b04_resume(spark, sf):
+    """All workers of an epoch that is read from its files, from the sixth batch on."""
+    path = fresh_path(spark, "epoch")
+    store_epoch(D.table(spark, sf, "documents").select("doc_id", "text"), "doc_id", path, shards=8, epoch=2)
+    rows = open_epoch(spark, path).steps(16, world=3, skip=5, even=True)
+    return rows.select(
+        "doc_id", F.md5("text").alias("text_md5"), "position", "rank", "shard_position", "batch", "step"
+    )
+
+
+@query(
+    "b08_lr_table",
+    f"""WITH n AS (SELECT count(*) AS t FROM events), s AS (SELECT event_id FROM events UNION ALL SELECT t FROM n)
+SELECT event_id AS step, {s_r6(f'CAST(500 AS DOUBLE) * (CAST(0.1 AS DOUBLE) + CAST(0.45 AS DOUBLE) * {_WAVE})')} AS lr FROM s, n""",
+)
+def b08_table(spark, sf):
+    """The schedule of a run of as many steps as there are events."""
+    total = D.table(spark, sf, "events").count()
+    return B.lr_schedule(spark, total, 500.0).select("step", r6(F.col("lr")).alias("lr"))

@@ -9,6 +9,7 @@ from chatloom.operators.preference import preference_accuracy
 from chatloom.plans.common import S_TURNS, query, r6, s_frame, s_r6, s_u
 from chatloom.session import fresh_path
 from chatloom.sources import readers, tables as D
+from chatloom.sources.epochs import manifest, open_epoch, store_epoch
 from chatloom.sources.writers import write_epoch, write_samples
 
 
@@ -250,3 +251,21 @@ def samples_written(spark, sf):
     write_samples(ordered.select("doc_id", "position", "text"), path, shards=8)
     back = spark.read.parquet(path)
     return back.select("doc_id", "position", F.md5("text").alias("text_md5"))
+
+
+@query(
+    "s09_epoch_manifest",
+    """SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS "first", count(*) - 1 AS "last", TRUE AS gapless, 0::BIGINT AS damaged
+  FROM documents""",
+)
+def epoch_manifest(spark, sf):
+    """The manifest of a stored epoch: its files follow one another, and none is damaged."""
+    path = fresh_path(spark, "epoch")
+    store_epoch(D.table(spark, sf, "documents"), "doc_id", path, shards=8)
+    files = manifest(spark, path).where(F.col("file").isNotNull())
+    return files.agg(
+        F.sum("rows").alias("rows"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        (F.sum(F.col("last") - F.col("first") + 1) == F.max("last") + 1).alias("gapless"),
+    ).crossJoin(open_epoch(spark, path).damaged().agg(F.count(F.lit(1)).alias("damaged")))
