@@ -6,6 +6,7 @@ from chatloom.operators import logs as O
 from chatloom.plans.common import query, r6, s_r6
 from chatloom.session import fresh_path
 from chatloom.sources import tables as D
+from chatloom.streaming import latest
 from chatloom.streaming.logs import stream_log
 
 S_LINES = f"lines AS (SELECT event_id, 'run' || user_id AS run, ts AS arrived, {D.LOG_LINE.format(f='printf')} AS line FROM events)"
@@ -175,3 +176,30 @@ def l07(spark, sf):
         r6(F.col("avg_value")).alias("avg_value"),
         r6(F.col("max_value")).alias("max_value"),
     )
+
+
+# A resumed run reports every step again an hour later, with another loss.
+S_TWICE = f"""{S_LINES.replace('lines AS', 'firsts AS', 1)}, lines AS (SELECT * FROM firsts UNION ALL
+  SELECT event_id, run, arrived + INTERVAL 1 HOUR, replace(replace(line, 'loss:', 'loss:7'), 'loss:7 ', 'loss: 7') FROM firsts)"""
+
+
+@query(
+    "l07_latest_steps",
+    f"""WITH {S_TWICE}, {S_PARSED.replace('FROM (SELECT l.*', 'FROM (SELECT DISTINCT l.*')} SELECT run, epoch, step, arg_max(loss, arrived) AS loss,
+  arg_max(reward, arrived) AS reward, count(*) AS arrivals FROM parsed GROUP BY run, epoch, step""",
+)
+def l07_latest(spark, sf):
+    """Lines of a run and of its resumption in files, read as a stream of several batches: the later values stand."""
+    base = fresh_path(spark, "latest")
+    lines = D.log_lines(spark, sf)
+    again = F.replace(F.replace(F.col("line"), F.lit("loss:"), F.lit("loss:7")), F.lit("loss:7 "), F.lit("loss: 7"))
+    both = lines.select("arrived", "run", "line").unionByName(
+        lines.select((F.col("arrived") + F.make_interval(hours=F.lit(1))).alias("arrived"), "run", again.alias("line"))
+    )
+    stamped = F.concat_ws("\t", F.date_format("arrived", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), "run", "line")
+    day = F.to_date("arrived").alias("day")
+    both.select(stamped.alias("value"), day).repartition(4, "day").drop("day").write.text(f"{base}/in")
+    latest.stream_latest(
+        spark, f"{base}/in", f"{base}/out", f"{base}/state", files_per_trigger=2, fold=2, late="36500 days"
+    ).awaitTermination()
+    return latest.read_latest(spark, f"{base}/out").select("run", "epoch", "step", "loss", "reward", "arrivals")
