@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from chatloom.functions import chat as C
+from chatloom.functions.template import compile_template
 from chatloom.functions.text import BLANK, uniform
 from chatloom.operators import chats as O
 from chatloom.operators.samples import text_counts
@@ -140,6 +141,61 @@ def c07(spark, sf):
     )
 
 
+# Fixed value: the template text that is stored beside the reward scorer's vocabulary.
+REWARD_TEMPLATE = (
+    "{{ bos_token }}{% for message in messages %}{{'<|im_start|>' + message['role'] + '\\n' + message['content'] + "
+    "'<|im_end|>' + '\\n'}}{% endfor %}{% if add_generation_prompt %}{{ '<|im_start|>assistant\\n' }}{% endif %}{{ '<|reward|>' }}"
+)
+
+
+@query(
+    "c07_compiled_template",
+    f"SELECT conv_id, md5('<s>' || body || '<|reward|>') AS body_md5, md5('<s>' || body || '<|im_start|>assistant' || chr(10) || '<|reward|>') AS open_md5 FROM ({_PLAIN})",
+)
+def c07_compiled(spark, sf):
+    """The stored template, compiled."""
+    render, conv = compile_template(REWARD_TEMPLATE, bos_token="<s>"), F.col("conversations")
+    return D.chats(spark, sf).select(
+        "conv_id", F.md5(render(conv)).alias("body_md5"), F.md5(render(conv, generation_prompt=True)).alias("open_md5")
+    )
+
+
+TOOL_TEMPLATE = """
+{%- if messages[0].role == 'system' and messages[0].tools -%}
+# Tools: {{ messages[0].tools }}
+{% endif %}
+{%- for message in messages %}
+{%- if message.role == 'user' or (message.role == 'system' and not loop.first) %}
+{{- '<|im_start|>' ~ message.role ~ '\\n' ~ message.content | trim ~ '<|im_end|>' }}
+{%- elif message.role == 'assistant' %}
+<|im_start|>assistant
+{%- if message.reasoning_content is defined and loop.last %}
+<think>{{ message.reasoning_content }}</think>
+{%- endif %}
+{{- message.content }}{% if message.tool_calls %}<tool_call>{{ message.tool_calls }}</tool_call>{% endif %}<|im_end|>
+{%- endif %}
+{{ loop.index }};
+{%- endfor %}
+"""
+
+
+@query(
+    "c06_compiled_tool_template",
+    f"""WITH {S_TURNS}, p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k,
+  count(*) OVER (PARTITION BY conv_id) AS n FROM turns),
+m AS (SELECT conv_id, k, CASE WHEN k = 1 AND role = 'system' AND tools IS NOT NULL THEN '# Tools: ' || tools || chr(10) ELSE '' END AS head,
+  CASE WHEN role = 'user' OR (role = 'system' AND k > 1) THEN '<|im_start|>' || role || chr(10) || {s_strip('text')} || '<|im_end|>'
+  WHEN role = 'assistant' THEN '<|im_start|>assistant' ||
+    CASE WHEN reasoning_content IS NOT NULL AND k = n THEN '<think>' || reasoning_content || '</think>' ELSE '' END
+    || text || coalesce('<tool_call>' || tool_calls || '</tool_call>', '') || '<|im_end|>'
+  ELSE '' END || k || ';' AS body FROM p)
+SELECT conv_id, md5(string_agg(head, '' ORDER BY k) || string_agg(body, '' ORDER BY k)) AS body_md5 FROM m GROUP BY conv_id""",
+)
+def c06_compiled(spark, sf):
+    """A template with tools, reasoning, conditions and loop variables, compiled."""
+    return D.chats(spark, sf).select("conv_id", F.md5(compile_template(TOOL_TEMPLATE)(F.col("conversations"))).alias("body_md5"))
+
+
 @query(
     "c08_drop_last",
     """SELECT c.conv_id, count(*) FILTER (turn < last) AS messages,

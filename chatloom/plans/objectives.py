@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import logps as L
 from chatloom.functions.text import uniform
+from chatloom.operators import logged
 from chatloom.operators import objectives as O
 from chatloom.plans.common import query, r6, s_r6, s_u, s_wsum, wsum
 from chatloom.plans.tokens import S_ROLL
+from chatloom.session import fresh_path
 from chatloom.sources import tables as D
 
 
@@ -252,3 +254,36 @@ def a14(spark, sf):
         "rollouts",
         *[r6(F.col(c)).alias(c) for c in out.columns if c not in ("batch_id", "rollouts")],
     )
+
+
+@query(
+    "a09_joined_logps",
+    f"""WITH {S_ROLL}, j AS (SELECT *, CASE WHEN vec_id % 19 = 7 THEN 'no policy' WHEN vec_id % 11 = 3 THEN 'no old'
+  WHEN vec_id % 13 = 5 THEN 'length of old' WHEN vec_id % 17 = 6 THEN 'ids of ref' END AS mismatch FROM roll)
+SELECT prompt_id, gen_id, mismatch, CASE WHEN mismatch IS NULL THEN {s_wsum(_RATIO)} END AS ratio,
+  CASE WHEN mismatch IS NULL THEN {s_wsum(_KL)} END AS kl FROM j""",
+)
+def a09_joined(spark, sf):
+    """Log-probs of three jobs, stored apart and joined by bucket: some keys are missing, cut, or of other tokens."""
+    rows, vec = D.logged_rollouts(spark, sf), F.col("vec_id")
+    keys = ["prompt_id", "gen_id", "ids"]
+    cut = F.when(vec % 13 == 5, F.slice("old_logps", 1, F.size("old_logps") - 1)).otherwise(F.col("old_logps"))
+    other = F.when(vec % 17 == 6, F.reverse("ids")).otherwise(F.col("ids"))
+    tables = {
+        "policy": rows.where(vec % 19 != 7).select(*keys, F.col("new_logps").alias("logps")),
+        "old": rows.where(vec % 11 != 3).select(*keys, cut.alias("logps")),
+        "ref": rows.select("prompt_id", "gen_id", other.alias("ids"), F.col("ref_logps").alias("logps")),
+    }
+    base = fresh_path(spark, "logps")
+    for name, table in tables.items():
+        logged.store_logps(table, f"{base}/{name}", buckets=8)
+    policy, old, ref = (logged.open_logps(spark, f"{base}/{name}") for name in tables)
+    joined = logged.join_logps(policy, old=old, ref=ref)
+    fine = F.col("mismatch").isNull()
+    return joined.select(
+        "prompt_id",
+        "gen_id",
+        "mismatch",
+        F.when(fine, wsum(L.ratio(F.col("new_logps"), F.col("old_logps")))).alias("ratio"),
+        F.when(fine, wsum(L.token_kl(F.col("ref_logps"), F.col("new_logps")))).alias("kl"),
+    )
