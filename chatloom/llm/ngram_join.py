@@ -38,7 +38,7 @@ from chatloom.llm import shingles as sh
 from chatloom.llm.common import written
 from chatloom.session import materialize
 
-SLICE = 2_500_000  # signatures of a slice, about: some 100 MB in its task
+SLICE = 1_250_000  # signatures of a slice, about: some 50 MB in its task
 EMIT = 600_000  # signatures a task gathers before it hands them on
 BROADCAST_ROWS = 500_000  # ids of 8 bytes
 OVERLAP, OF = 75, 100

@@ -101,7 +101,7 @@ def digest(s: np.ndarray) -> tuple[int, int]:
     return int(both[0]), int(both[1])
 
 
-def batches_of(column, limit: int = 1 << 21):
+def batches_of(column, limit: int = 1 << 20):
     """(first row, data, edges) of runs of an Arrow string column, of about ``limit`` bytes;
     a null is empty."""
     import pyarrow as pa
