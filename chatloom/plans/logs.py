@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from chatloom.operators import logs as O
+from chatloom.operators import markers as M
 from chatloom.plans.common import query, r6, s_r6
 from chatloom.session import fresh_path
 from chatloom.sources import tables as D
 from chatloom.streaming import latest
+from chatloom.streaming import progress as P
 from chatloom.streaming.logs import stream_log
 
 S_LINES = f"lines AS (SELECT event_id, 'run' || user_id AS run, ts AS arrived, {D.LOG_LINE.format(f='printf')} AS line FROM events)"
@@ -203,3 +205,37 @@ def l07_latest(spark, sf):
         spark, f"{base}/in", f"{base}/out", f"{base}/state", files_per_trigger=2, fold=2, late="36500 days"
     ).awaitTermination()
     return latest.read_latest(spark, f"{base}/out").select("run", "epoch", "step", "loss", "reward", "arrivals")
+
+
+@query(
+    "l03_marker_table",
+    f"""WITH {S_LINES}, {S_ONE}, marks AS (SELECT DISTINCT substr(line, 1 + CAST(event_id % 40 AS BIGINT), 5 + CAST(event_id % 7 AS BIGINT)) AS marker FROM lines),
+n AS (SELECT max(o + length(line) + 1) AS size FROM one),
+hit AS (SELECT marker, max(o + length(line) - (strpos(reverse(line), reverse(marker)) + length(marker) - 1)) AS place
+  FROM one JOIN marks ON contains(line, marker) WHERE marker <> '' GROUP BY marker)
+SELECT 'all' AS run, marker, CAST(size - place AS BIGINT) AS from_end FROM hit, n""",
+)
+def l03_table(spark, sf):
+    """As many markers as the lines have different pieces, in one pass over the log."""
+    event = (F.col("offset") / 1000).cast("bigint")
+    piece = F.substring("line", (1 + event % 40).cast("int"), (5 + event % 7).cast("int"))
+    markers = D.log_lines(spark, sf).select(piece.alias("marker"))
+    return M.find_markers(D.one_log(spark, sf), markers)
+
+
+@query(
+    "l02_live_progress",
+    f"""WITH {S_LINES}, {S_PARSED}, r AS (SELECT l.run, max(step) AS max_step, count(step) AS step_lines, max(total_steps) AS total_steps,
+  bool_or(line LIKE '%Task has finished%') AS finished, (epoch_us(max(l.arrived)) - epoch_us(min(l.arrived))) // 1000000 AS spent
+  FROM lines l LEFT JOIN parsed p USING (event_id) GROUP BY l.run)
+SELECT run, max_step, step_lines, total_steps, finished, CASE WHEN NOT finished THEN
+  CAST(floor(spent / (max_step + 1) * total_steps / 60) - floor(spent / 60) AS BIGINT) END AS minutes_left FROM r""",
+)
+def l02_live(spark, sf):
+    """Progress and time left of each run, from a stream."""
+    base = fresh_path(spark, "progress")
+    stamped = F.concat_ws("\t", F.date_format("arrived", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), "run", "line")
+    D.log_lines(spark, sf).select(stamped.alias("value")).write.text(f"{base}/in")
+    P.stream_progress(spark, f"{base}/in", f"{base}/out", f"{base}/state").awaitTermination()
+    columns = ["run", "max_step", "step_lines", "total_steps", "finished", "minutes_left"]
+    return P.read_progress(spark, f"{base}/out").select(columns)

@@ -8,7 +8,7 @@ from chatloom.operators.chats import chat_pieces
 from chatloom.operators.preference import preference_accuracy
 from chatloom.plans.common import S_TURNS, query, r6, s_frame, s_r6, s_u
 from chatloom.session import fresh_path
-from chatloom.sources import readers, tables as D
+from chatloom.sources import quarantine, readers, tables as D
 from chatloom.sources.epochs import manifest, open_epoch, store_epoch
 from chatloom.sources.writers import write_epoch, write_samples
 
@@ -269,3 +269,40 @@ def epoch_manifest(spark, sf):
         F.max("last").alias("last"),
         (F.sum(F.col("last") - F.col("first") + 1) == F.max("last") + 1).alias("gapless"),
     ).crossJoin(open_epoch(spark, path).damaged().agg(F.count(F.lit(1)).alias("damaged")))
+
+
+# Lines of a corpus, some of them broken, by document.
+CORPUS_LINE = """CASE doc_id % 9 WHEN 1 THEN '{"text": "cut' WHEN 2 THEN '[1, 2]' WHEN 3 THEN '{"other": 1}' WHEN 4 THEN '{"text": " "}'
+  WHEN 5 THEN '  ' WHEN 6 THEN '{"text": null}' ELSE NULL END"""
+
+
+@query(
+    "s01_quarantine",
+    f"""WITH l AS (SELECT text, {CORPUS_LINE} AS broken, CASE doc_id % 9 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'no object' WHEN 3 THEN 'missing: text'
+  WHEN 4 THEN 'empty text' WHEN 5 THEN 'blank' WHEN 6 THEN 'missing: text' ELSE 'good' END AS reason FROM documents)
+SELECT reason, count(*) AS lines, md5(coalesce(broken, text)) AS content_md5 FROM l GROUP BY ALL""",
+)
+def quarantined(spark, sf):
+    """Every line of a corpus in one of two tables: the texts of good ones, the lines of bad ones."""
+    path, out = fresh_path(spark, "corpus"), fresh_path(spark, "quarantine")
+    docs = D.table(spark, sf, "documents")
+    line = F.coalesce(F.expr(CORPUS_LINE), F.to_json(F.struct("text")))
+    docs.select(line.alias("value")).write.text(path)
+    good, bad = quarantine.read_pretrain(spark, path, out)
+    both = good.select(F.lit("good").alias("reason"), F.col("text").alias("content")).unionByName(
+        bad.select("reason", F.col("line").alias("content"))
+    )
+    return both.groupBy("reason", F.md5("content").alias("content_md5")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query(
+    "s02_quarantine_chats",
+    """WITH c AS (SELECT conv_id, bool_or(role = 'assistant' AND (conv_id + turn) % 7 = 1) AS broken FROM conversations GROUP BY conv_id)
+SELECT CASE WHEN broken THEN 'bad tool calls' ELSE 'good' END AS reason, count(*) AS lines FROM c GROUP BY 1""",
+)
+def quarantined_chats(spark, sf):
+    """Chats some of whose tool calls are no JSON."""
+    path, out = fresh_path(spark, "chats"), fresh_path(spark, "quarantine")
+    D.chats(spark, sf, calls=D.BROKEN_CALLS).select("conversations").write.json(path)
+    quarantine.read_sft(spark, path, out)
+    return quarantine.counts_of(spark, out)

@@ -14,10 +14,26 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, extras: bool) ->
     nobody declared are not lost."""
     if not extras:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    parsed = spark.read.text(path).select(F.parse_json(F.trim("value")).alias("row"))
+    line = F.trim("value")
+    lines = spark.read.text(path).select(line.alias("_line"), one_value(line).alias("row"))
+    whole = F.when(F.col("row").isNotNull(), F.col("row")).otherwise(
+        F.raise_error(F.concat(F.lit("line is not JSON: "), F.left("_line", F.lit(200))))
+    )
+    parsed = lines.select(whole.alias("row"))
     return parsed.select(*[_declared(f) for f in schema], "row")
 
 
+def one_value(line: Column) -> Column:
+    """The JSON value that a line is, as a variant; null if it is none, or more than one.
+
+    The parser stops behind the first value. What follows one can close an array or an
+    object that is put around the line, but not both.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))
+    return F.when(named.isNotNull(), F.try_variant_get(listed, "$[0]", "variant"))
+
+
 def _declared(field: T.StructField) -> Column:
     """A field of the variant ``row``: null where the line has none, an error where the line is
     no object or its value isn't of the declared type."""

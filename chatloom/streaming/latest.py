@@ -44,7 +44,7 @@ def _schema(spark: SparkSession):
     return changes(lines).withColumn("batch", F.lit(0).cast("long")).schema
 
 
-def _folders(spark: SparkSession, out: str) -> tuple[int, list[int]]:
+def folders(spark: SparkSession, out: str) -> tuple[int, list[int]]:
     """Number of the newest merged table (-1 if none), and of the batches after it; names and no rows."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     path = hadoop.Path(out)
@@ -69,7 +69,7 @@ def _merged(rows: DataFrame) -> DataFrame:
 
 def _before(spark: SparkSession, out: str, number: int | None = None) -> DataFrame:
     """The rows of the newest merged table and the batches after it, of all batches before ``number``."""
-    merged, batches = _folders(spark, out)
+    merged, batches = folders(spark, out)
     if number is not None and merged >= number:  # a batch that is run again after it had merged
         raise RuntimeError(f"{out}: merged-{merged} is newer than batch {number}")
     names = [f"{out}/merged-{merged}"] * (merged >= 0) + [
@@ -87,7 +87,7 @@ def upsert(out: str, fold: int = FOLD):
         rows = rows.withColumn("batch", F.lit(number).cast("long"))
         rows.write.mode("overwrite").parquet(f"{out}/batch-{number}")
         if number % fold == fold - 1:
-            merged, _ = _folders(spark, out)
+            merged, _ = folders(spark, out)
             if merged < number:
                 _merged(_before(spark, out, number + 1)).write.mode("overwrite").parquet(f"{out}/merged-{number}")
 

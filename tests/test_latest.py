@@ -68,7 +68,7 @@ def test_merged_tables(spark, tmp_path):
         put(tmp_path / "in", f"{k}.txt", [line(10 * k, s, k + s / 10) for s in range(4)])
     got = run(spark, tmp_path, files_per_trigger=1, fold=3, late="1 day")
     assert got == [("r1", s, pytest.approx(6 + s / 10), 7) for s in range(4)]
-    merged, after = latest._folders(spark, f"{tmp_path}/out")
+    merged, after = latest.folders(spark, f"{tmp_path}/out")
     assert merged >= 5 and len(after) < 3
     for k in range(merged):
         shutil.rmtree(tmp_path / "out" / f"batch-{k}", ignore_errors=True)  # older batches aren't needed

@@ -136,3 +136,10 @@ def test_spread_only_when_splits_are_few(spark):
     assert session.spread(spark.range(10).coalesce(1), "id").rdd.getNumPartitions() == cores
     many = spark.range(0, 10, 1, cores + 3)
     assert session.spread(many, "id") is many
+
+
+@pytest.mark.parametrize("rest", [" x", ", {}", "] [", "} {"])
+def test_more_than_one_value_raises(spark, tmp_path, rest):
+    path = write(tmp_path, ['{"conversations": [], "gt": []}' + rest])
+    with pytest.raises(Exception, match="not JSON"):
+        readers.read_agent_tasks(spark, path).collect()
