@@ -36,9 +36,10 @@ from pyspark.sql import functions as F
 
 from chatloom.llm import shingles as sh
 from chatloom.llm.common import written
+from chatloom.llm.tokens import release
 from chatloom.session import materialize
 
-SLICE = 1_250_000  # signatures of a slice, about: some 50 MB in its task
+SLICE = 2_500_000  # signatures of a slice, about: some 100 MB in its task
 EMIT = 600_000  # signatures a task gathers before it hands them on
 BROADCAST_ROWS = 500_000  # ids of 8 bytes
 OVERLAP, OF = 75, 100
@@ -61,6 +62,7 @@ def classes(df: DataFrame) -> DataFrame:
     ``d2`` are that of its set, null for an empty one."""
 
     def run(batches):
+        release()
         for batch in batches:
             rows = [(len(s), *(sh.digest(s) if len(s) else (None, None))) for _, s in _sets_of(batch)]
             n, a, b = zip(*rows, strict=True) if rows else ((), (), ())

@@ -11,6 +11,7 @@ from itertools import chain
 import numpy as np
 
 CACHE = {"words": 1_000_000, "bytes": 500_000}  # chunks a Python worker keeps, 350 MB at most
+PIECES = 100_000  # words of the tokenizer's own that are kept beside them
 ASCII_SPACES = [a + " " for a in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]
 NOT_SPLIT_BY_TOKENIZER = "\x1c\x1d\x1e\x1f"  # white space to Python alone
 WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -125,6 +126,8 @@ class Encoder:
         if not cache.new:
             return
         match, piece, mark = PLAIN.fullmatch, self._piece, "Ġ" if before else ""
+        if len(self.pieces) > PIECES:
+            self.pieces.clear()
         known, lower = self.pieces, self.kind == "words"
         out, slow = [], []
         for chunk in cache.new:
@@ -213,6 +216,11 @@ def encoder(path: str, kind: str) -> Encoder:
     return _ENCODERS[path, kind]
 
 
+def release() -> None:
+    """Let the encoders of this Python worker go: for tasks of other work that it is kept on for."""
+    _ENCODERS.clear()
+
+
 def slices(texts: list[str], chars: int = 1 << 20):
     """(begin, end) of runs of about ``chars`` characters, so that work on a batch of very
     long texts stays bounded."""
