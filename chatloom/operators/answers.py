@@ -1,6 +1,8 @@
 """Rewards of whole rollouts: reasoning answers, tool-using answers, tool lookups."""
 
+import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -170,15 +172,45 @@ DEFAULT_TIME = "2025-03-07 14:30:00"
 DEFAULT_ZONE = "Asia/Shanghai"
 
 
+# What a lookup tool is asked by, and what it answers.
+_DIMS = {
+    "weather": (WEATHER, "location string, temp string, cond string"),
+    "time": (TIMES, "tz string, ts string"),
+    "rate": (RATES, "c_from string, c_to string, rate double"),
+    "translation": (TRANSLATIONS, "t_text string, t_lang string, t_out string"),
+    "unit": (UNITS, "pair string, factor double"),
+}
+_KEYS = {"weather": ["_loc"], "time": ["_tz"], "rate": ["_cf", "_ct"], "translation": ["_text", "_lang"], "unit": ["_pair"]}
+
+
 def tool_dims(spark) -> dict[str, DataFrame]:
-    make = spark.createDataFrame
-    return {
-        "weather": make(WEATHER, "location string, temp string, cond string"),
-        "time": make(TIMES, "tz string, ts string"),
-        "rate": make(RATES, "c_from string, c_to string, rate double"),
-        "translation": make(TRANSLATIONS, "t_text string, t_lang string, t_out string"),
-        "unit": make(UNITS, "pair string, factor double"),
-    }
+    return {name: spark.createDataFrame(rows, kind) for name, (rows, kind) in _DIMS.items()}
+
+
+def _entry(name: str) -> Column:
+    """The entry of a fixed table, of fifteen at most, that a call asks for: the table is a constant in the plan."""
+    entries, kind = _DIMS[name]
+    columns, keys = [c.split()[0] for c in kind.split(", ")], _KEYS[name]
+    table = {"\x00".join(e[: len(keys)]): dict(zip(columns, e, strict=True)) for e in entries}  # the sign is in no key
+    constant = F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), f"map<string,struct<{kind.replace(' ', ':')}>>".replace(",:", ","))
+    key = F.concat(*[x for k in keys for x in (F.lit("\x00"), F.col(k))][1:])  # null if a part is
+    return F.try_element_at(constant, key)
+
+
+def _looked_up(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """``rows`` with the columns of all lookup tables, null where a table has no entry.
+
+    Fixed tables are looked up, the user's own are joined; how is left to Spark, which knows
+    their bytes.
+    """
+    fixed = [name for name in _DIMS if name not in dims]
+    rows = rows.select("*", *[_entry(name).alias(f"_{name}") for name in fixed])
+    rows = rows.select("*", *[f"_{name}.*" for name in fixed])
+    for name, table in dims.items():
+        columns = [c.split()[0] for c in _DIMS[name][1].split(", ")]
+        same = [F.col(k) == F.col(c) for k, c in zip(_KEYS[name], columns, strict=False)]
+        rows = rows.join(table, reduce(lambda x, y: x & y, same), "left")
+    return rows
 
 
 def _quoted(text: Column) -> Column:
@@ -223,7 +255,9 @@ def _number(x: Column) -> Column:
         plain = (x == 0) | ((F.abs(x) >= 1e-4) & (F.abs(x) < 1e16))
         return F.when(plain, shifted(p)).otherwise(scientific(p))
 
-    return let(parts(x.cast("string")), text)
+    # most numbers are printed plainly as they are
+    as_is = (x == 0) | ((F.abs(x) >= 1e-3) & (F.abs(x) < 1e7))
+    return F.when(x.isNotNull(), F.when(as_is, x.cast("string")).otherwise(let(parts(x.cast("string")), text)))
 
 
 def tool_lookup(
@@ -232,18 +266,9 @@ def tool_lookup(
     """Resolve lookup calls ``(name, call)``, with the call as a variant, to
     ``result`` JSON.
 
-    Left joins with defaults for what is not listed. Unknown tools give null. The
-    fixed tables are broadcast; how one of the user's own is joined is left to Spark,
-    which knows its bytes.
+    Lookups with defaults for what is not listed. Unknown tools give null. ``dims`` replaces
+    fixed tables by the user's own.
     """
-    fixed = tool_dims(calls.sparkSession)
-    dims = dims or {}
-
-    def side(name):
-        if name not in dims:
-            return F.broadcast(fixed[name])
-        return dims[name]
-
     arg = F.col("_args")
 
     def text(field):
@@ -267,14 +292,7 @@ def tool_lookup(
             F.lower(F.coalesce(text("to_unit"), F.lit(""))),
         ).alias("_pair"),
     )
-    w, t, r, s, u = (side(k) for k in ("weather", "time", "rate", "translation", "unit"))
-    rows = (
-        rows.join(w, F.col("_loc") == F.col("location"), "left")
-        .join(t, F.col("_tz") == F.col("tz"), "left")
-        .join(r, (F.col("_cf") == F.col("c_from")) & (F.col("_ct") == F.col("c_to")), "left")
-        .join(s, (F.col("_text") == F.col("t_text")) & (F.col("_lang") == F.col("t_lang")), "left")
-        .join(u, F.col("_pair") == F.col("pair"), "left")
-    )
+    rows = _looked_up(rows, dims or {})
 
     def obj(*fields):
         parts = []
@@ -284,6 +302,9 @@ def tool_lookup(
 
     converted = F.round(F.col("_value") * F.coalesce("factor", F.lit(1.0)), 4)
     name = F.col("name")
+    number = F.when(name == "get_exchange_rate", F.coalesce("rate", F.lit(1.0))).when(name == "unit_converter", converted)
+    # one number to a call, printed in one place: the plan stays small
+    rows = rows.withColumn("_num", number).withColumn("_num", _number(F.col("_num")))
     result = (
         F.when(
             name == "get_current_weather",
@@ -306,13 +327,13 @@ def tool_lookup(
             obj(
                 ("from", _quoted(F.col("_cf"))),
                 ("to", _quoted(F.col("_ct"))),
-                ("rate", _number(F.coalesce("rate", F.lit(1.0)))),
+                ("rate", F.col("_num")),
             ),
         )
         .when(
             name == "translate_text",
             obj(("translated_text", _quoted(F.coalesce("t_out", "_text", F.lit(""))))),
         )
-        .when(name == "unit_converter", obj(("result", _number(converted))))
+        .when(name == "unit_converter", obj(("result", F.col("_num"))))
     )
     return rows.select(*calls.columns, result.alias("result"))
