@@ -13,8 +13,6 @@ rarest one. Rarity is counted over all documents.
 3. Documents with a candidate are read again, and the words at its place are compared
    with the window's, as text.
 
-The work is linear in the length of a text.
-
 Defined results: null and empty texts have no words and no hits; items without words
 have no windows; null item ids count as no item; repeated documents get equal results,
 repeated items count once; other columns stay out of the way.
