@@ -10,7 +10,7 @@ from itertools import chain
 
 import numpy as np
 
-CACHE = {"words": 1_000_000, "bytes": 500_000}  # chunks a Python worker keeps, 350 MB at most
+CACHE = {"words": 1_000_000, "bytes": 350_000}  # chunks a Python worker keeps, 350 MB at most
 PIECES = 100_000  # words of the tokenizer's own that are kept beside them
 ASCII_SPACES = [a + " " for a in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]
 NOT_SPLIT_BY_TOKENIZER = "\x1c\x1d\x1e\x1f"  # white space to Python alone
