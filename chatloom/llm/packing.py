@@ -43,11 +43,11 @@ def cut(n_ids: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(starts, [*starts[1:], n_ids], strict=True)]
 
 
-def pieces(df: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, cache: int | None = None) -> DataFrame:
     """``PIECES`` of (``doc_id``, ``text``), tokenized in tasks, batch by batch."""
 
     def run(batches):
-        enc = encoder(path, "bytes")
+        enc = encoder(path, "bytes", cache)
         for batch in batches:  # Arrow alone: pandas would turn long ids with a null into doubles
             texts = batch.column("text").fill_null("").to_pylist()
             for a, b in slices(texts):
@@ -197,5 +197,6 @@ def certificate(packed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
     return packed.where("offset = 0").count(), lower_bound(hist, capacity)
 
 
-def best_fit_packing(df: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    return pack(pieces(df, path, capacity), capacity)
+def best_fit_packing(df: DataFrame, path: str, capacity: int = CAPACITY, cache: int | None = None) -> DataFrame:
+    """``cache`` is the number of chunks that a worker's encoder keeps; the result doesn't depend on it."""
+    return pack(pieces(df, path, capacity, cache), capacity)

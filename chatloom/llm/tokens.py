@@ -10,8 +10,7 @@ from itertools import chain
 
 import numpy as np
 
-CACHE = {"words": 1_000_000, "bytes": 350_000}  # chunks a Python worker keeps, 350 MB at most
-PIECES = 100_000  # words of the tokenizer's own that are kept beside them
+CACHE = {"words": 1_000_000, "bytes": 500_000}  # chunks a Python worker keeps, 350 MB at most
 ASCII_SPACES = [a + " " for a in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]
 NOT_SPLIT_BY_TOKENIZER = "\x1c\x1d\x1e\x1f"  # white space to Python alone
 WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -60,6 +59,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        self.limit = CACHE[kind]  # chunks; half as many of the tokenizer's own words are kept beside them
         self.pieces: dict[str, list[int]] = {}
         self._reset()
 
@@ -70,7 +70,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (uint16), and the number of ids of each text."""
-        if len(self.cache) > CACHE[self.kind]:
+        if len(self.cache) > self.limit:
             self._reset()
         chunks: list[str] = []
         counts = np.empty(len(texts), np.int64)
@@ -126,7 +126,7 @@ class Encoder:
         if not cache.new:
             return
         match, piece, mark = PLAIN.fullmatch, self._piece, "Ġ" if before else ""
-        if len(self.pieces) > PIECES:
+        if 2 * len(self.pieces) > self.limit:
             self.pieces.clear()
         known, lower = self.pieces, self.kind == "words"
         out, slow = [], []
@@ -209,10 +209,11 @@ def _room(a: np.ndarray, n: int) -> np.ndarray:
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
-def encoder(path: str, kind: str) -> Encoder:
-    """The encoder of this Python worker."""
+def encoder(path: str, kind: str, limit: int | None = None) -> Encoder:
+    """The encoder of this Python worker, which keeps ``limit`` chunks."""
     if (path, kind) not in _ENCODERS:
         _ENCODERS[path, kind] = Encoder(path, kind)
+    _ENCODERS[path, kind].limit = limit or CACHE[kind]
     return _ENCODERS[path, kind]
 
 

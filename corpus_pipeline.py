@@ -11,6 +11,8 @@ from chatloom.llm import common, decontaminate, ngram_join, packing, quality, se
 from chatloom.llm.queries import vocabulary
 from chatloom.session import materialize
 
+ENCODER_CACHE = 250_000  # chunks: workers that other stages use, too, keep fewer of them
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the learned list reject go."""
@@ -46,7 +48,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces and their places in sequences."""
-    return packing.best_fit_packing(docs, vocabulary("byte_bpe_50k.json"))
+    return packing.best_fit_packing(docs, vocabulary("byte_bpe_50k.json"), cache=ENCODER_CACHE)
 
 
 STAGES = [
