@@ -8,6 +8,8 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,7 @@ REWARD_IDS = {
 REWARD_VOCAB = 92544
 MAX_LOOKUP = 100_000  # entries a plan may carry; larger tables are joined
 BUCKETS = 8192
+GROUP = 500  # texts that are looked up together by a join
 
 
 def tokens(text: Column) -> Column:
@@ -137,41 +140,58 @@ def encode(
     ``how="lookup"`` carries the table in the plan, ``how="join"`` joins tables of any size;
     both give the same ids, whatever ``key`` says of the rows.
     """
-    toks = tokens(F.col(text))
-    if max_len is not None:
-        toks = F.slice(toks, 1, max_len)  # cut first: no lookups for dropped tokens
+
+    def cut(t):  # cut first: no lookups for dropped tokens
+        return tokens(t) if max_len is None else F.slice(tokens(t), 1, max_len)
+
     if _way(how):
-        return _by_join(df, toks, vocab.select(F.col("token").alias("_x"), F.col("id").alias("_y")), out, F.lit(UNK))
+        table = vocab.select(F.col("token").alias("_x"), F.col("id").alias("_y"))
+        return _by_join(df, text, cut, table, out, UNK)
     lookup = token_lookup(vocab) if isinstance(vocab, DataFrame) else vocab
-    return df.withColumn(out, F.transform(toks, lookup))
+    return df.withColumn(out, F.transform(cut(F.col(text)), lookup))
 
 
-def _by_join(df: DataFrame, items: Column, table: DataFrame, out: str, default: Column) -> DataFrame:
-    """``items``, an array, with each item ``_x`` replaced by its ``_y`` of ``table``, or the default.
+def _by_join(df: DataFrame, source: str, items: Callable[[Column], Column], table: DataFrame, out: str, default, done=None) -> DataFrame:
+    """The array ``items(source)`` with each item ``_x`` replaced by its ``_y`` of ``table``, or the default.
 
-    Equal arrays are looked up once, and an item once for each array. Rows meet their
-    result by the array's digest, so keys of rows play no part and a null stays null.
+    Equal sources are looked up once, in groups of some ``GROUP`` of them: the different
+    items of a group meet the table, so what is joined are few of the items and none of
+    their places, and each group takes its own small table along. Rows meet their result,
+    or what ``done`` makes of it, by the source's digest, so keys of rows play no part and a
+    null stays null.
     """
-    digest = F.sha2(F.to_json(F.struct(F.col("_items"))), 256)
-    rows = df.withColumn("_items", items).withColumn("_d", F.when(F.col("_items").isNotNull(), digest))
-    uses = (
-        rows.where(F.col("_d").isNotNull())
-        .groupBy("_d")
-        .agg(F.any_value("_items").alias("_items"))
-        .select("_d", F.posexplode("_items").alias("_at", "_x"))
-        .groupBy("_d", "_x")
-        .agg(F.collect_list("_at").alias("_places"))
+    text = F.col(source).cast("string")
+    rows = df.withColumn("_d", F.unhex(F.sha2(text, 256)))  # null for a null
+    groups = max(1, -(-df.count() // GROUP))
+    unlike = rows.where(F.col("_d").isNotNull()).groupBy("_d").agg(F.any_value(source).alias("_s"))
+    placed = unlike.withColumn("_g", F.pmod(F.xxhash64("_d"), F.lit(groups))).repartition("_g")
+    uses = placed.select("_g", F.explode(items(F.col("_s"))).alias("_x")).where(F.col("_x").isNotNull()).distinct()
+    known = uses.join(table, "_x").select(F.col("_g").alias("_k"), "_x", "_y")
+    kinds = dict(known.dtypes)
+    found = (
+        placed.select("_g", "_d", items(F.col("_s")).alias("_items"))
+        .groupBy("_g")
+        .cogroup(known.groupBy("_k"))
+        .applyInArrow(_replaced(default), f"_d binary, _found array<{kinds['_y']}>")
     )
-    named = uses.join(table, "_x", "left").select(
-        "_d", F.explode("_places").alias("_at"), F.coalesce("_y", default).alias("_y")
+    if done is not None:
+        found = found.select("_d", done(F.col("_found")).alias("_found"))
+    return rows.join(found, "_d", "left").select(
+        *[c for c in df.columns if c != out], F.col("_found").alias(out)
     )
-    found = named.groupBy("_d").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("_at", "_y"))), lambda e: e["_y"]).alias("_found")
-    )
-    kind = found.schema["_found"].dataType
-    whole = F.when(F.col("_items").isNotNull(), F.coalesce("_found", F.array().cast(kind)))
-    joined = rows.join(found, "_d", "left").withColumn("_out", whole)
-    return joined.select(*[c for c in df.columns if c != out], F.col("_out").alias(out))
+
+
+def _replaced(default):
+    def run(group: pa.Table, known: pa.Table) -> pa.Table:
+        arrays = group["_items"].combine_chunks()
+        at = pc.index_in(arrays.values, known["_x"].combine_chunks())
+        new = known["_y"].combine_chunks().take(at)
+        if default is not None:
+            new = pc.fill_null(new, default)
+        found = pa.ListArray.from_arrays(arrays.offsets, new)
+        return pa.table({"_d": group["_d"], "_found": found})
+
+    return run
 
 
 def decode(
@@ -190,11 +210,8 @@ def decode(
         table = vocab.where(~F.col("token").isin(*skipped, "")).select(
             F.col("id").alias("_x"), F.col("token").alias("_y")
         )
-        named = _by_join(df, F.col(ids), table, "_texts", F.lit(None).cast("string"))
         # array_join leaves nulls out
-        return named.withColumn(out, F.array_join("_texts", "")).select(
-            *[c for c in df.columns if c != out], out
-        )
+        return _by_join(df, ids, lambda i: i, table, out, None, lambda texts: F.array_join(texts, ""))
     table = [{} for _ in range(BUCKETS)]
     for r in _rows(vocab, ["token", "id"]):
         if r["token"] not in skipped:

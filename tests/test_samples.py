@@ -225,3 +225,20 @@ def test_generations_and_audit(spark):
     rows = spark.createDataFrame([(1, [5, 99, 2, -1])], "doc_id long, ids array<int>")
     got = [(r.position, r.id) for r in V.audit_token_range(rows, vocab_size=10).collect()]
     assert got == [(1, 99), (3, -1)]
+
+
+def test_joined_vocabulary_neither_sorts_places_nor_holds_all_texts(spark, docs, monkeypatch):
+    """Items of a group meet the table once; texts that repeat and groups of one give the same ids."""
+    counted = V.build_vocab(docs)
+    vocab = spark.createDataFrame(counted.collect(), counted.schema)
+    rows = docs.unionByName(docs).select("doc_id", "text")
+    want = sorted(map(tuple, V.encode(rows, vocab).select("doc_id", "ids").collect()))
+    for group in (1, 500):
+        monkeypatch.setattr(V, "GROUP", group)
+        got = V.encode(rows, vocab, how="join")
+        assert sorted(map(tuple, got.select("doc_id", "ids").collect())) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "ObjectHashAggregate" not in plan and "posexplode" not in plan
+    back = V.decode(got, vocab, skip_special=False, how="join")
+    assert "collect_list" not in back._jdf.queryExecution().executedPlan().toString()
+    assert {r.decoded for r in back.collect()} == {t for _, t in TEXTS}
