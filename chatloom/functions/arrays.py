@@ -235,5 +235,33 @@ def padded_labels(
     return pad_to_ignored(out, pad) if mask_padding else out
 
 
+def padded_mask(ids: Column, width: int, bos_seq: list[int], eos_seq: list[int]) -> Column:
+    """``label_mask`` of ``padded_labels``, laid out span by span: no place of a row is looked at."""
+    off, on = (F.lit(v).cast("tinyint") for v in (0, 1))
+
+    def mask(spans):
+        parts = F.transform(
+            spans,
+            lambda sp, k: F.concat(
+                _repeat(off, sp["lo"] - F.when(k == 0, F.lit(0)).otherwise(F.get(spans, k - 1)["hi"])),
+                _repeat(on, sp["hi"] - sp["lo"]),
+            ),
+        )
+        last = F.try_element_at(spans, F.lit(-1))
+        filling = F.when(F.coalesce(last["open"], F.lit(False)), on).otherwise(off)
+        return F.concat(
+            F.flatten(parts),
+            _repeat(off, F.size(ids) - F.coalesce(last["hi"], F.lit(0))),
+            _repeat(filling, F.lit(width) - F.size(ids)),
+        )
+
+    return let(assistant_spans(ids, bos_seq, eos_seq), mask)
+
+
+def ones(mask: Column) -> Column:
+    """Ones of a mask of zeros and ones without nulls."""
+    return F.size(F.array_remove(mask, F.lit(0).cast("tinyint")))
+
+
 def label_mask(labels: Column) -> Column:
     return F.transform(labels, lambda x: (x != IGNORED).cast("tinyint"))

@@ -109,7 +109,8 @@ def preference_samples(
     columns = [F.col(key)]
     for side in ("chosen", "rejected"):
         padded = chat_columns(F.col(f"_{side}"), max_len)
-        moved = A.shift(padded["input_ids"], A.label_mask(padded["labels"]))
+        mask = A.padded_mask(F.col(f"_{side}"), max_len, V.ASSISTANT_OPEN, V.ASSISTANT_CLOSE)
+        moved = A.shift(padded["input_ids"], mask)
         columns += [
             moved["x"].alias(f"x_{side}"),
             moved["y"].alias(f"y_{side}"),
@@ -122,8 +123,8 @@ def preference_samples(
 def stack_sides(samples: DataFrame, key: str = "pair_id") -> DataFrame:
     """Preference samples in long form: a row per side, as one batch holds them."""
     fields = ["x", "y", "mask", "attention_mask"]
-    sides = [
-        F.struct(F.lit(side).alias("side"), *[F.col(f"{f}_{side}").alias(f) for f in fields])
-        for side in ("chosen", "rejected")
-    ]
-    return samples.select(key, F.inline(F.array(*sides)))
+    side = F.explode(F.array(F.lit("chosen"), F.lit("rejected"))).alias("side")
+    chosen = F.col("side") == "chosen"  # fields that nobody reads are not made
+    return samples.select("*", side).select(
+        key, "side", *[F.when(chosen, F.col(f"{f}_chosen")).otherwise(F.col(f"{f}_rejected")).alias(f) for f in fields]
+    )

@@ -560,12 +560,12 @@ def t11(spark, sf):
         "pair_id",
         digest("x_chosen").alias("x_chosen_md5"),
         digest("y_chosen").alias("y_chosen_md5"),
-        A.mask_sum(F.col("mask_chosen")).cast("bigint").alias("loss_chosen"),
+        A.ones(F.col("mask_chosen")).cast("bigint").alias("loss_chosen"),
         digest("y_rejected").alias("y_rejected_md5"),
-        A.mask_sum(F.col("mask_rejected")).cast("bigint").alias("loss_rejected"),
+        A.ones(F.col("mask_rejected")).cast("bigint").alias("loss_rejected"),
         digest("x_rejected").alias("x_rejected_md5"),
-        A.mask_sum(F.col("attention_mask_chosen")).cast("bigint").alias("real_chosen"),
-        A.mask_sum(F.col("attention_mask_rejected")).cast("bigint").alias("real_rejected"),
+        A.ones(F.col("attention_mask_chosen")).cast("bigint").alias("real_chosen"),
+        A.ones(F.col("attention_mask_rejected")).cast("bigint").alias("real_rejected"),
     )
 
 
@@ -582,7 +582,7 @@ def t11_stacked(spark, sf):
         "pair_id",
         "side",
         digest("y").alias("y_md5"),
-        A.mask_sum(F.col("mask")).cast("bigint").alias("loss_tokens"),
+        A.ones(F.col("mask")).cast("bigint").alias("loss_tokens"),
     )
 
 

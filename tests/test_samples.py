@@ -242,3 +242,19 @@ def test_joined_vocabulary_neither_sorts_places_nor_holds_all_texts(spark, docs,
     back = V.decode(got, vocab, skip_special=False, how="join")
     assert "collect_list" not in back._jdf.queryExecution().executedPlan().toString()
     assert {r.decoded for r in back.collect()} == {t for _, t in TEXTS}
+
+
+def test_preference_masks_are_laid_out_by_span(spark):
+    """Equal to the labels' mask for no, closed, open and several spans; no place of a row is looked at."""
+    o, c = V.ASSISTANT_OPEN, V.ASSISTANT_CLOSE
+    rows = [[], [5, 6], [*o], [*o, 8, 9], [*o, 8, *c], [7, *o, 8, *c, 7, *o, 9, 9, *c, 7], [*o, *c, *o, 7], None]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "k int, ids array<int>")
+    ids = F.col("ids")
+    mask = A.padded_mask(ids, 24, o, c)
+    for r in df.select(A.label_mask(A.padded_labels(ids, 24, V.PAD, o, c)).alias("a"), mask.alias("b"), A.ones(mask).alias("n")).collect():
+        assert r.a == r.b and (r.a is None or r.n == sum(r.a))
+    conv = [("user", "q", None, None, None), ("assistant", "a", None, None, None)]
+    pairs = spark.createDataFrame([(1, conv, conv)], f"pair_id long, chosen {CONV}, rejected {CONV}")
+    vocab = V.token_lookup(V.build_vocab(spark.createDataFrame([("good bad",)], "text string")))
+    plan = S.preference_samples(pairs, vocab, max_len=24)._jdf.queryExecution().optimizedPlan().toString()
+    assert f" = {A.IGNORED}" not in plan
