@@ -2,7 +2,8 @@
 
 ``logs.log_markers`` tests each line against each marker of a short list. Here the markers are a
 table; tasks build an automaton of it once per Python worker and read each line once,
-whatever their number. Of a marker a line gives its last place alone, and a task hands on
+whatever their number. Lines of a batch are read in the order of the log, so a later
+place of a marker takes the place of an earlier one without a look at it; a task hands on
 the last place of each (run, marker) it has seen, so what is shuffled doesn't grow with
 the lines. A table of more than ``BLOCK`` characters is dealt into several automata, and
 lines are read once for each.
@@ -10,7 +11,9 @@ lines are read once for each.
 
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +30,9 @@ def _automaton(name: str, markers: list[str]):
 
     if name not in _AUTOMATA:
         _AUTOMATA.clear()
-        made = ahocorasick.Automaton()
+        made = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for k, m in enumerate(markers):
-            made.add_word(m, (k, len(m)))
+            made.add_word(m, k)
         made.make_automaton()
         _AUTOMATA[name] = made
     return _AUTOMATA[name]
@@ -41,7 +44,7 @@ def _blocks(markers: DataFrame, block: int) -> Iterator[list[str]]:
     size = rows.agg(F.coalesce(F.sum(F.length("marker")), F.lit(0)).alias("n")).first().n
     parts = max(1, -(-size // block))
     for k in range(parts):
-        yield [r.marker for r in rows.where(F.pmod(F.xxhash64("marker"), F.lit(parts)) == k).collect()]
+        yield rows.where(F.pmod(F.xxhash64("marker"), F.lit(parts)) == k).toArrow()["marker"].to_pylist()
 
 
 def find_markers(lines: DataFrame, markers: DataFrame, by: str = "run", block: int = BLOCK) -> DataFrame:
@@ -63,7 +66,8 @@ def find_markers(lines: DataFrame, markers: DataFrame, by: str = "run", block: i
         table = spark.sparkContext.broadcast(words)
         part = rows.mapInArrow(_searched(uuid.uuid4().hex, table), f"key {kind}, number int, at long")
         part = part.groupBy("key", "number").agg(F.max("at").alias("at"))
-        names = spark.createDataFrame(list(enumerate(words)), "number int, marker string")
+        numbers = pa.array(range(len(words)), pa.int32())
+        names = spark.createDataFrame(pa.table({"number": numbers, "marker": pa.array(words, pa.string())}))
         part = part.join(F.broadcast(names), "number").select("key", "marker", "at")
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -78,29 +82,47 @@ def find_markers(lines: DataFrame, markers: DataFrame, by: str = "run", block: i
 def _searched(name, table):
     def run(batches):
         automaton = _automaton(name, table.value)
-        last: dict[tuple, int] = {}
+        sizes = np.fromiter(map(len, table.value), np.int64, len(table.value))
+        last: dict[object, dict[int, int]] = {}
         kind = None
         for batch in batches:
             kind = batch.schema.field("key").type
             keys, offsets, texts = (batch.column(c).to_pylist() for c in ("key", "offset", "line"))
-            for key, offset, text in zip(keys, offsets, texts, strict=True):
-                if offset is None:
-                    continue
-                for end, (number, size) in automaton.iter(text):
-                    at = offset + end - size + 1
-                    if last.get((key, number), -1) < at:
-                        last[key, number] = at
-            if len(last) > HELD:
-                yield _handed(last, kind)
+            ends: dict[object, dict[int, int]] = {}
+            reach: dict[object, int] = {}
+            for i in sorted((i for i, o in enumerate(offsets) if o is not None), key=offsets.__getitem__):
+                key, offset, text = keys[i], offsets[i], texts[i]
+                if offset < reach.get(key, offset):  # lines that overlap: places don't follow one another
+                    _merge(last, key, ends.pop(key))
+                seen = ends.get(key)
+                if seen is None:
+                    seen = ends[key] = {}
+                reach[key] = max(reach.get(key, 0), offset + len(text))
+                for end, number in automaton.iter(text):
+                    seen[number] = offset + end
+            for key, seen in ends.items():
+                _merge(last, key, seen)
+            if sum(map(len, last.values())) > HELD:
+                yield _handed(last, kind, sizes)
                 last = {}
-        if last:
-            yield _handed(last, kind)
+        if any(last.values()):
+            yield _handed(last, kind, sizes)
 
     return run
 
 
-def _handed(last, kind):
-    keys, numbers = zip(*last, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys, kind), pa.array(numbers, pa.int32()), pa.array(last.values(), pa.int64())], names=["key", "number", "at"]
-    )
+def _merge(last, key, seen):
+    have = last.setdefault(key, seen)
+    if have is not seen:
+        for number, end in seen.items():
+            if have.get(number, -1) < end:
+                have[number] = end
+
+
+def _handed(last, kind, sizes):
+    counts = np.fromiter(map(len, last.values()), np.int64, len(last))
+    numbers = np.fromiter(chain.from_iterable(last.values()), np.int32, counts.sum())
+    ends = np.fromiter(chain.from_iterable(d.values() for d in last.values()), np.int64, counts.sum())
+    keys = pa.array(list(last), kind).take(pa.array(np.repeat(np.arange(len(last)), counts)))
+    at = ends - sizes[numbers] + 1
+    return pa.RecordBatch.from_arrays([keys, pa.array(numbers), pa.array(at)], names=["key", "number", "at"])

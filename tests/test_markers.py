@@ -67,3 +67,37 @@ def test_no_markers_no_lines(spark):
     lines, _ = log(spark)
     assert find_markers(lines, table(spark, [None, ""])).count() == 0
     assert find_markers(lines.limit(0), table(spark, ["a"])).count() == 0
+
+
+def test_lines_in_any_order_overlapping_and_without_offset(spark):
+    """The greatest place stands, also of lines that overlap or share an offset."""
+    rows = [("r", 9, "xx"), ("r", 0, "ab........ab"), ("r", 5, "ab"), ("r", 5, "..ab"), ("r", None, "ab"), ("s", 4, "ab"), ("s", 0, "ab")]
+    lines = spark.createDataFrame(rows, "run string, offset long, line string").coalesce(1)
+    got = {(r.run, r.marker): r.from_end for r in find_markers(lines, table(spark, ["ab", "b", "xx"])).collect()}
+    # logs end behind 13 and 7 characters
+    assert got == {("r", "ab"): 3, ("r", "b"): 2, ("r", "xx"): 4, ("s", "ab"): 3, ("s", "b"): 2}
+
+
+def test_a_hit_costs_no_look_at_earlier_ones():
+    """A thousand hits of a marker in a task are compared once for each batch."""
+    import pyarrow as pa
+
+    from chatloom.operators import markers as M
+
+    class Table:
+        value = ["a"]
+
+    compared = []
+
+    def merge(last, key, seen, real=M._merge):
+        compared.append(len(seen))
+        real(last, key, seen)
+
+    batch = pa.RecordBatch.from_pydict({"key": ["r"] * 100, "offset": list(range(0, 1100, 11)), "line": ["a" * 10] * 100})
+    whole, M._merge = M._merge, merge
+    try:
+        out = list(M._searched("hits", Table)([batch, batch]))
+    finally:
+        M._merge = whole
+    assert [r.to_pydict() for r in out] == [{"key": ["r"], "number": [0], "at": [1098]}]
+    assert compared == [1, 1]
