@@ -5,9 +5,10 @@ single blanks. Joining the tokens of a text gives the text back.
 """
 
 import json
+from array import array
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -226,17 +227,34 @@ def decode(
 
 def tokenizer_udf(load: Callable[[], Callable[[str], list[int]]]):
     """A tokenizer of the user's own: ``load()`` runs once per Python worker and
-    returns ``text -> ids``; rows reach it in Arrow batches."""
+    returns ``text -> ids``; rows reach it in Arrow batches.
 
-    @F.pandas_udf("array<int>")
-    def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    A text's ids are packed into 32-bit integers before the next text is read, and go
+    back as an Arrow array: a batch's ids never stand as Python numbers, or in pandas.
+    """
+
+    @F.arrow_udf("array<int>")
+    def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenize = load()
         for texts in batches:
-            yield texts.map(lambda t: None if t is None else list(tokenize(t)))
+            ids, ends, nulls = array("i"), np.zeros(len(texts) + 1, np.int64), np.zeros(len(texts), bool)
+            for k, text in enumerate(texts):
+                t = text.as_py()
+                if t is None:
+                    nulls[k] = True
+                else:
+                    ids.extend(tokenize(t))
+                ends[k + 1] = len(ids)
+            yield _lists(ids, ends, nulls)
 
     return encode_batches
 
 
+def _lists(ids: array, ends: np.ndarray, nulls: np.ndarray) -> pa.Array:
+    flat = pa.array(np.asarray(ids, np.int32))
+    return pa.ListArray.from_arrays(pa.array(ends).cast(pa.int32()), flat, mask=pa.array(nulls))  # or raises
+
+
 def vocab_checks(vocab: DataFrame, size: int = SIZE) -> DataFrame:
     """Size, id range, gaps and repeats of a vocabulary table."""
     return vocab.agg(

@@ -258,3 +258,22 @@ def test_preference_masks_are_laid_out_by_span(spark):
     vocab = V.token_lookup(V.build_vocab(spark.createDataFrame([("good bad",)], "text string")))
     plan = S.preference_samples(pairs, vocab, max_len=24)._jdf.queryExecution().optimizedPlan().toString()
     assert f" = {A.IGNORED}" not in plan
+
+
+def test_own_tokenizer_packs_its_ids(spark):
+    """Null and empty texts, and at most some 4 bytes an id beside the text itself, with no id held as a Python number."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rows = spark.createDataFrame([(0, "ab"), (1, None), (2, ""), (3, "\U0001f600é")], "k int, text string")
+    run = V.tokenizer_udf(lambda: lambda text: (ord(c) for c in text))
+    got = {r.k: r.ids for r in rows.select("k", run("text").alias("ids")).collect()}
+    assert got == {0: [97, 98], 1: None, 2: [], 3: [0x1F600, 0xE9]}
+    assert rows.limit(0).select(run("text")).collect() == []
+    texts = pa.array(["一" * 1000] * 1000)
+    tracemalloc.start()
+    out = next(run.func(iter([texts])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 1000 and len(out.values) == 1_000_000 and peak < 12_000_000
