@@ -28,13 +28,14 @@ def changes(lines: DataFrame, width: str = "1 hour", late: str = "30 minutes") -
     """A stream of (``window``, run, epoch, step, values, ``arrivals``), for update mode.
 
     Of two lines of one moment the one with the greater values stands, so the result
-    doesn't depend on the order of arrival.
+    doesn't depend on the order of arrival. The values are the order as well: state and
+    shuffle hold them once.
     """
     parsed = parse_log(lines).withWatermark("arrived", late)
     value = F.struct(*REST)
     return (
         parsed.groupBy(F.window("arrived", width).alias("w"), *KEYS)
-        .agg(F.max_by(value, value).alias("r"), F.count(F.lit(1)).alias("arrivals"))
+        .agg(F.max(value).alias("r"), F.count(F.lit(1)).alias("arrivals"))
         .select(F.col("w.start").alias("window"), *KEYS, "r.*", "arrivals")
     )
 
@@ -59,17 +60,17 @@ def folders(spark: SparkSession, out: str) -> tuple[int, list[int]]:
 
 def _merged(rows: DataFrame) -> DataFrame:
     """The newest row of each (window, run, epoch, step)."""
-    rest = [*REST, "arrivals"]
+    newest = F.max(F.struct("batch", "arrivals", *REST)).alias("r")
     return (
         rows.groupBy("window", *KEYS)
-        .agg(F.max_by(F.struct(*rest), F.struct("batch", "arrivals")).alias("r"), F.max("batch").alias("batch"))
-        .select("window", *KEYS, "r.*", "batch")
+        .agg(newest)
+        .select("window", *KEYS, *[F.col(f"r.{c}") for c in (*REST, "arrivals", "batch")])
     )
 
 
-def _before(spark: SparkSession, out: str, number: int | None = None) -> DataFrame:
+def _before(spark: SparkSession, out: str, number: int | None = None, found=None) -> DataFrame:
     """The rows of the newest merged table and the batches after it, of all batches before ``number``."""
-    merged, batches = folders(spark, out)
+    merged, batches = found or folders(spark, out)
     if number is not None and merged >= number:  # a batch that is run again after it had merged
         raise RuntimeError(f"{out}: merged-{merged} is newer than batch {number}")
     names = [f"{out}/merged-{merged}"] * (merged >= 0) + [
@@ -97,10 +98,12 @@ def upsert(out: str, fold: int = FOLD):
 def read_latest(spark: SparkSession, out: str) -> DataFrame:
     """One row for each (run, epoch, step): the values of its latest line, and ``arrivals``, its lines."""
     value = F.struct(*REST)
+    found = folders(spark, out)
+    rows = _before(spark, out, found=found)
     return (
-        _merged(_before(spark, out))
+        (_merged(rows) if found[1] else rows)  # a merged table alone has the newest rows only
         .groupBy(*KEYS)
-        .agg(F.max_by(value, value).alias("r"), F.sum("arrivals").alias("arrivals"))
+        .agg(F.max(value).alias("r"), F.sum("arrivals").alias("arrivals"))
         .select(*KEYS, "r.*", "arrivals")
     )
 

@@ -85,3 +85,21 @@ def test_windows_follow_the_latest_line(spark, tmp_path):
 
 def test_nothing_yet(spark, tmp_path):
     assert latest.read_latest(spark, f"{tmp_path}/out").count() == 0
+
+
+def test_state_and_shuffle_hold_a_row_s_values_once(spark):
+    lines = spark.createDataFrame([], "arrived timestamp, run string, line string")
+    rows = latest.changes(lines)
+    for made in (rows, latest._merged(rows.withColumn("batch", F.lit(0).cast("long")))):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "max(struct(" in plan and "max_by(" not in plan
+
+
+def test_a_merged_table_alone_is_not_merged_again(spark, tmp_path):
+    put(tmp_path / "in", "a", [line(0, 1, 0.5), line(1, 2, 0.4), line(70, 1, 0.3)])
+    out = str(tmp_path / "out")
+    latest.stream_latest(spark, str(tmp_path / "in"), out, str(tmp_path / "state"), fold=1).awaitTermination()
+    assert latest.folders(spark, out)[1] == []
+    got = latest.read_latest(spark, out)
+    assert sorted((r.step, r.loss, r.arrivals) for r in got.collect()) == [(1, 0.3, 2), (2, 0.4, 1)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
