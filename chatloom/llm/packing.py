@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import written
-from chatloom.llm.tokens import encoder, slices
+from chatloom.llm.tokens import encoder, runs
 from chatloom.session import materialize
 
 CAPACITY = 2048
@@ -48,29 +48,26 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, cache: int | None
 
     def run(batches):
         enc = encoder(path, "bytes", cache)
-        for batch in batches:  # Arrow alone: pandas would turn long ids with a null into doubles
-            texts = batch.column("text").fill_null("").to_pylist()
-            for a, b in slices(texts):
-                yield _cut_all(enc, batch.column("doc_id").slice(a, b - a), texts[a:b], capacity)
+        for batch in runs(batches):  # Arrow alone: pandas would turn long ids with a null into doubles
+            yield _cut_all(enc, batch, capacity)
 
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 
 
-def _cut_all(enc, keys, texts, capacity):
-    ids, counts = enc.encode(texts)
+def _cut_all(enc, batch, capacity):
+    ids, counts = enc.encode_column(batch.column("text"))
+    ids = np.insert(ids, np.cumsum(counts), END_ID).astype("<u4")
     rows, at = [], 0
-    for row, n in enumerate(counts.tolist()):
-        own = np.empty(n + 1, "<u4")
-        own[:n], own[n] = ids[at : at + n], END_ID
-        at += n
+    for row, n in enumerate((counts + 1).tolist()):
         rows += [
-            (row, k, start, size, zlib.crc32(own[start : start + size]))
-            for k, (start, size) in enumerate(cut(n + 1, capacity))
+            (row, k, start, size, zlib.crc32(ids[at + start : at + start + size]))
+            for k, (start, size) in enumerate(cut(n, capacity))
         ]
+        at += n
     row, *columns = (np.array(c, np.int64) for c in zip(*rows, strict=True))
     columns[0] = columns[0].astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [keys.take(pa.array(row)), *map(pa.array, columns)], names=["doc_id", "piece", "start", "length", "ids_crc32"]
+        [batch.column("doc_id").take(pa.array(row)), *map(pa.array, columns)], names=["doc_id", "piece", "start", "length", "ids_crc32"]
     )
 
 

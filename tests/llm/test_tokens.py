@@ -5,12 +5,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chatloom.llm import html_text, packing, toxicity, wavelet
-from chatloom.llm.tokens import Encoder, slices
+from chatloom.llm.tokens import RUN_ROWS, Encoder, runs, slices
 from chatloom.session import fresh_path
 
 WORDS, BYTES = (public_tokenizers.path(f) for f in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -54,6 +55,51 @@ def test_encoder_is_the_tokenizer(path, kind):
         assert at == len(texts)
 
 
+FOREIGN = [
+    "a", "B", "foo", "À", "ß", "Þ", "×", "÷", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u1680",
+    "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\u200b", "'s", "'", "’", "…", "«", "²", "½", "42", "٣", ".", ",", "|", "_",
+    "<|endoftext|>", "<|", "<", "<|ENDOFTEXT|>", "你好", "Σ", "İ", "\u212a", "\u0301", "e\u0301", "да", "😀", "\x00", "\x7f", "한",
+]
+
+
+@pytest.mark.parametrize(("path", "kind"), [(WORDS, "words"), (BYTES, "bytes")])
+def test_encoder_on_any_script(path, kind):
+    rng = random.Random(7)
+    enc, tokenizer = Encoder(path, kind), Tokenizer.from_file(path)
+    for k in range(40):
+        signs = FOREIGN if k % 2 else [*rng.sample(FOREIGN, 8), " ", "\n", "a"]
+        texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(rng.choice([1, 300]))]
+        want = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids, counts = enc.encode_column(pa.array(["before", *texts, "after"]).slice(1, len(texts)))
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == want, texts
+
+
+@pytest.mark.parametrize(("path", "kind"), [(WORDS, "words"), (BYTES, "bytes")])
+def test_words_are_asked_once_whatever_marks_follow(path, kind):
+    """What is asked of the tokenizer and kept grows with words and marks, not with their combinations."""
+    words = [a + b for a in ("ba", "lo", "mi", "né") for b in ("ra", "ß", "tu", "ko")]
+    marks = ["", ",", ".", "!!", " |", ".\nAnd", ";\n" + words[0]]
+    text = " ".join(w + m for w in words for m in marks)
+    enc = Encoder(path, kind)
+    enc.encode([text, text])
+    assert len(enc.cache) <= len(words) + 12
+
+
+def test_runs_of_texts():
+    texts = ["x" * 10, None, "", "é" * 5, "y" * 100, "z", None, "end"]
+    table = pa.table({"doc_id": list(range(8)), "text": texts})
+    for size in (1, 10, 25, 1000):
+        got = list(runs(table.to_batches(max_chunksize=3), size))
+        rows = [r for b in got for r in b.to_pylist()]
+        assert [r["doc_id"] for r in rows] == list(range(8))
+        assert [r["text"] for r in rows] == [t or "" for t in texts]
+        for b in got:  # no more than its last text goes beyond the size
+            assert sum(len(t.encode()) for t in b.column("text").to_pylist()[:-1]) < size
+    assert len(list(runs(table.to_batches(max_chunksize=3), 1000))) == 1
+    assert len(list(runs(iter([pa.record_batch({"text": [""] * (RUN_ROWS + 5)})] * 3)))) > 1
+
+
 def test_wavelet_matrix_answers():
     rng = np.random.default_rng(2)
     for n, top in ((1, 1), (7, 3), (1000, 50), (5000, 49407), (1300, 2)):
