@@ -33,12 +33,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import written
-from chatloom.llm.tokens import encoder, slices
+from chatloom.llm.tokens import encoder, runs
 from chatloom.session import fresh_path
 
 END_ID = 1
 SHARD_TOKENS = 1 << 21  # tokens of a shard, about
 PARTITION_ROWS = 4_000  # documents dealt to a task, about; it cuts shards by their tokens
+RUN = 1 << 21  # bytes of texts encoded at once, about: well below a shard
 BLOCK = 512
 MAGIC = b"WVM1"
 
@@ -231,18 +232,16 @@ def write_shards(df: DataFrame, vocabulary: str, folder: str) -> DataFrame:
 
         part, seq, held = TaskContext.get().partitionId(), 0, []
         enc, tokens = encoder(vocabulary, "words"), 0
-        for batch in batches:  # Arrow alone: pandas would turn long ids with a null into doubles
+        for batch in runs(batches, RUN):  # Arrow alone: pandas would turn long ids with a null into doubles
             none = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
             keys = batch.column("doc_id").fill_null(0).to_numpy()
-            texts = batch.column("text").fill_null("").to_pylist()
-            for a, b in slices(texts):
-                ids, counts = enc.encode(texts[a:b])
-                ids = np.insert(ids, np.cumsum(counts), END_ID)
-                held.append((ids, keys[a:b], counts + 1, none[a:b]))
-                tokens += len(ids)
-                if tokens >= SHARD_TOKENS:
-                    yield _shard(folder, part, seq, held)
-                    seq, tokens, held = seq + 1, 0, []
+            ids, counts = enc.encode_column(batch.column("text"))
+            ids = np.insert(ids, np.cumsum(counts), END_ID)
+            held.append((ids, keys, counts + 1, none))
+            tokens += len(ids)
+            if tokens >= SHARD_TOKENS:
+                yield _shard(folder, part, seq, held)
+                seq, tokens, held = seq + 1, 0, []
         if held:
             yield _shard(folder, part, seq, held)
 
