@@ -45,17 +45,15 @@ MAGIC = b"WVM1"
 
 
 def _planes(codes: np.ndarray, levels: int) -> tuple[list[bytes], list[int]]:
-    planes, zeros = [], []
+    planes, zeros, n = [], [], len(codes)
     for level in range(levels - 1, -1, -1):
-        bits = (codes & np.uint16(1 << level)) != 0
-        planes.append(np.packbits(bits, bitorder="little").tobytes())
-        ones = codes[bits]
-        zeros.append(len(codes) - len(ones))
-        if level:
-            below = np.empty_like(codes)
-            below[: zeros[-1]] = codes[~bits]
-            below[zeros[-1] :] = ones
-            codes = below
+        plane = np.packbits((codes & np.uint16(1 << level)) != 0, bitorder="little")
+        planes.append(plane.tobytes())
+        zeros.append(n - int(np.bitwise_count(plane).sum()))
+        if level:  # a plane is a mask of Arrow's as it is
+            ones, none = (pa.BooleanArray.from_buffers(pa.bool_(), n, [None, pa.py_buffer(x)]) for x in (plane, ~plane))
+            parts = pa.array(codes)
+            codes = np.concatenate([parts.filter(none).to_numpy(), parts.filter(ones).to_numpy()])
     return planes, zeros
 
 
