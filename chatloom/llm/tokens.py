@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE = {"words": 1_000_000, "bytes": 500_000}  # pieces a Python worker keeps
-IDS_OF_A_PIECE = 8  # times the limit of pieces: ids kept, so that scripts without spaces stay bounded
+CACHE = {"words": 1_000_000, "bytes": 500_000}  # pieces a Python worker keeps, 200 and 130 MB when full
+IDS_OF_A_PIECE = 8  # on average, before a cache counts as full: pieces of scripts without spaces are long
 RUN, RUN_ROWS = 1 << 22, 1 << 16  # bytes of texts, and texts, that are encoded at once, about
 ASCII_SPACES = [a + " " for a in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]
 BEFORE_SPACE = re.compile(r"\s ")
