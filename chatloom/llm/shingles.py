@@ -10,6 +10,7 @@ from functools import cache
 import numpy as np
 
 SHINGLE = 5
+RUN = 1 << 19  # bytes of texts that are hashed at once, about: some 50 bytes of arrays for each
 _M = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -101,7 +102,7 @@ def digest(s: np.ndarray) -> tuple[int, int]:
     return int(both[0]), int(both[1])
 
 
-def batches_of(column, limit: int = 1 << 21):
+def batches_of(column, limit: int = RUN):
     """(first row, data, edges) of runs of an Arrow string column, of about ``limit`` bytes;
     a null is empty."""
     import pyarrow as pa

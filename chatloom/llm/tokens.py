@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 CACHE = {"words": 1_000_000, "bytes": 500_000}  # pieces a Python worker keeps, 200 and 130 MB when full
 IDS_OF_A_PIECE = 8  # on average, before a cache counts as full: pieces of scripts without spaces are long
-RUN, RUN_ROWS = 1 << 22, 1 << 16  # bytes of texts, and texts, that are encoded at once, about
+RUN, RUN_ROWS = 1 << 20, 1 << 16  # bytes of texts, and texts, that are encoded at once, about: 60 bytes of arrays for each
 ASCII_SPACES = [a + " " for a in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"]
 BEFORE_SPACE = re.compile(r"\s ")
 CUT = re.compile(r"(?<=\S)(?= )")
@@ -240,8 +240,10 @@ def encoder(path: str, kind: str, limit: int | None = None) -> Encoder:
 
 
 def release() -> None:
-    """Let the encoders of this Python worker go: for tasks of other work that it is kept on for."""
+    """Let the encoders of this Python worker go, and what Arrow keeps of freed batches: for tasks of
+    other work that it is kept on for."""
     _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def runs(batches, size: int = RUN):
