@@ -11,10 +11,11 @@ its pattern, B since no piece of it has a space after another sign, which is che
 passages between such cuts are aligned once each and kept in a bounded cache, many new ones
 in one coalescing; a text is a row of passages.
 
-An id pair's count is the number of documents that hold it linked. Tasks count pairs
-before the shuffle. The counts come back to the documents as sorted arrays, broadcast in
-blocks of at most ``TABLE`` pairs; if there are several blocks, documents are read once for
-each and their partial sums are added by (id, digest of the text).
+Texts are aligned once: a written table holds each one's sums, groups and distinct id pairs.
+An id pair's count is the number of documents that hold it linked. Tasks count the pairs of
+that table before the shuffle. The counts come back to its rows as sorted arrays, broadcast in
+blocks of at most ``TABLE`` pairs; if there are several blocks, the table is read once for
+each and partial sums are added by (id, digest of the text).
 
 Defined results: texts that are null or empty, or whose bytes a tokenizer doesn't give
 back, have no tokens, no groups and no links; special tokens' strings inside a text are
@@ -28,6 +29,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,7 @@ SPACE = "▁"  # B's sign for a space
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 SUMS = ("n_a", "n_b", "n_groups", "n_links")
+SCORES = ("n_best", "count_sum")
 
 
 class _Grown:
@@ -85,7 +88,7 @@ def coalesce(start_a, end_a, start_b, end_b) -> tuple[np.ndarray, np.ndarray]:
 
 def distinct(group: np.ndarray, ids: np.ndarray, base: int):
     """(group, id, times) of the distinct ids of each group, sorted by group."""
-    both, times = np.unique(group * base + ids, return_counts=True)
+    both, times = counted(group * base + ids)
     return both // base, both % base, times
 
 
@@ -141,7 +144,6 @@ class Aligner:
         self.text: list[bytes] = []
         self.key, self.times = _Grown(np.int64), _Grown(np.int64)  # distinct pairs, passage by passage
         self.first, self.count = _Grown(np.int64), _Grown(np.int64)
-        self.table, self.scored = None, None
 
     @staticmethod
     def passages(text: str) -> list[str]:
@@ -275,56 +277,51 @@ class Aligner:
         both, times = _summed(*map(np.concatenate, zip(*parts, strict=True)))
         return both // span, both % span, times
 
-    def held(self, texts: list[str | None]) -> np.ndarray:
-        """The pairs that each text holds linked, text after text, each once in a text."""
+    def aligned(self, texts: list[str | None]):
+        """The sums and groups of each text; and how many distinct pairs it holds linked, these text after
+        text, sorted in each, and the links of each."""
         flat, edge = self.encode(texts)
-        if not len(flat):
-            return np.empty(0, np.int64)
-        doc = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
-        once = np.unique(doc * (self.known + 1) + flat)
+        out = {}
+        for name, values in self.sums.items():
+            run = np.concatenate([[0], np.cumsum(values()[flat])])
+            out[name] = run[edge[1:]] - run[edge[:-1]]
+        codes = flat.tolist()
+        text = self.group_texts().__getitem__
+        joined = (b"".join(map(text, codes[i:j])) for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
+        out["groups_sha256"] = [hashlib.sha256(x[:-1]).hexdigest() if x else "" for x in joined]
+        doc = np.repeat(np.arange(len(texts)), np.diff(edge))
+        once, often = counted(doc * (self.known + 1) + flat)
         doc, code = once // (self.known + 1), once % (self.known + 1)
         size = self.count()[code]
-        key = self.key()[ragged(self.first()[code], size)]
+        at = ragged(self.first()[code], size)
         span = len(self.bytes_a) * self.base
-        return np.unique(np.repeat(doc, size) * span + key) % span
+        key, links = _summed(np.repeat(doc, size) * span + self.key()[at], self.times()[at] * np.repeat(often, size))
+        return out, np.bincount(key // span, minlength=len(texts)), key % span, links
 
     def totals(self, texts: list[str | None], table) -> dict[str, np.ndarray]:
         """Sums of each text, and those of the counts in ``table`` (sorted pairs, counts, whether
         highest)."""
-        flat, edge = self.encode(texts)
-        if self.table is not table:
-            self.table, self.scored = table, [_Grown(np.int64), _Grown(np.int64)]
-        self._score(table)
-        columns = {k: v() for k, v in self.sums.items()}
-        columns |= dict(zip(("n_best", "count_sum"), (s() for s in self.scored), strict=True))
-        out = {}
-        for name, values in columns.items():
-            run = np.concatenate([[0], np.cumsum(values[flat])])
-            out[name] = run[edge[1:]] - run[edge[:-1]]
-        codes = flat.tolist()
-        text = self.group_texts().__getitem__
-        joined = (b"".join(map(text, codes[i:j])) for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
-        out["groups_sha256"] = [hashlib.sha256(x[:-1]).hexdigest() if x else "" for x in joined]
-        return out
+        out, *pairs = self.aligned(texts)
+        return out | dict(zip(SCORES, scores(*pairs, table), strict=True))
+
+
+def scores(held: np.ndarray, key: np.ndarray, links: np.ndarray, table) -> tuple[np.ndarray, np.ndarray]:
+    """``SCORES`` of texts that hold so many distinct pairs each, by the counts in ``table``."""
+    keys, counts, best = table
+    if not len(keys):
+        return (np.zeros(len(held), np.int64),) * 2
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    links = np.where(keys[at] == key, links, 0)
+    edge = np.concatenate([[0], np.cumsum(held)])
+    runs = (np.concatenate([[0], np.cumsum(x)]) for x in (links * best[at], links * counts[at]))
+    return tuple(run[edge[1:]] - run[edge[:-1]] for run in runs)
+
 
-    def _score(self, table):
-        """The sums of passages that are new since the last call."""
-        keys, counts, best = table
-        done = self.scored[0].n
-        count, first = self.count()[done:], self.first()[done:]
-        if not len(count):
-            return
-        begin = int(first[0])
-        key, times = self.key()[begin:], self.times()[begin:]
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            there = keys[at] == key
-            each = (np.where(there & best[at], times, 0), np.where(there, times * counts[at], 0))
-        else:
-            each = (np.zeros(len(key), np.int64),) * 2
-        for grown, values in zip(self.scored, each, strict=True):
-            run = np.concatenate([[0], np.cumsum(values)])
-            grown.add(run[first - begin + count] - run[first - begin])
+def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values, and how often each is there."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, np.int64)
+    return values[first], np.diff(first, append=len(values))
 
 
 def _joined(rows: list[list[int]]) -> np.ndarray:
@@ -335,7 +332,7 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Sorted distinct keys, and the sum of each one's values."""
     if not len(keys):
         return keys, values
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(values[order], first)
@@ -357,32 +354,86 @@ def _texts_of(batch):
         yield a, b, texts[a:b]
 
 
-def pair_counts(df: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(``a``, ``b``, ``count``, ``best``) of each linked id pair: the documents that hold it, and whether no
+def _blobs(sizes: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Rows of ``sizes`` numbers each as bytes: a table's arrays would go through Spark number by number."""
+    edges = 8 * np.concatenate([[0], np.cumsum(sizes)])
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(values.astype("<i8"))]
+    ).cast(pa.binary())
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """The numbers of all rows of ``_blobs``."""
+    column = column.cast(pa.large_binary())
+    _, edges, data = column.buffers()
+    edges = np.frombuffer(edges, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, "<i8", (edges[-1] - edges[0]) // 8, edges[0]) if data is not None else np.empty(0, "<i8")
+
+
+def _held(batches):
+    """Parts of batches of ``ALIGNED`` of about ``EXPAND`` pairs, with how many pairs each row has."""
+    for batch in batches:
+        held = pc.binary_length(batch.column("pairs")).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+        ends, i = np.cumsum(held), 0
+        while i < len(batch):
+            done = ends[i - 1] if i else 0
+            j = max(i + 1, int(np.searchsorted(ends, done + EXPAND, "right")))
+            yield batch.slice(i, j - i), held[i:j]
+            i = j
+
+
+ALIGNED = f"doc_id long, h long, {', '.join(f'{k} long' for k in SUMS)}, groups_sha256 string, pairs binary, links binary"
+
+
+def aligned(df: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """``ALIGNED`` of each row of ``df``: ``h`` is a digest of the text, ``pairs`` its distinct id pairs, sorted, and
+    ``links`` how often each is linked, as bytes."""
+
+    def run(batches):
+        own = aligner(path_a, path_b)
+        for batch in batches:
+            for a, b, texts in _texts_of(batch):
+                got, held, key, links = own.aligned(texts)
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        part.column("h"),
+                        *(pa.array(got[k]) for k in SUMS),
+                        pa.array(got["groups_sha256"], pa.string()),
+                        _blobs(held, key),
+                        _blobs(held, links),
+                    ],
+                    names=["doc_id", "h", *SUMS, "groups_sha256", "pairs", "links"],
+                )
+
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+    return rows.mapInArrow(run, ALIGNED)
+
+
+def pair_counts(found: DataFrame, base: int) -> DataFrame:
+    """(``a``, ``b``, ``count``, ``best``) of each id pair in ``ALIGNED``: the documents that hold it, and whether no
     pair of this ``a`` has more. A written table."""
 
     def hand_on(keys, counts):
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "count"])
 
     def run(batches):
-        own = aligner(path_a, path_b)
         parts, n = [], 0
-        for batch in batches:
-            for _, _, texts in _texts_of(batch):
-                keys, counts = np.unique(own.held(texts), return_counts=True)
-                parts.append((keys, counts.astype(np.int64)))
-                n += len(keys)
-                if n > 2 * HELD:
-                    parts = [_summed(*map(np.concatenate, zip(*parts, strict=True)))]
-                    n = len(parts[0][0])
-                    if n > HELD:
-                        yield hand_on(*parts[0])
-                        parts, n = [], 0
+        for part, _ in _held(batches):
+            keys, counts = counted(_numbers(part.column("pairs")))
+            parts.append((keys, counts.astype(np.int64)))
+            n += len(keys)
+            if n > 2 * HELD:
+                parts = [_summed(*map(np.concatenate, zip(*parts, strict=True)))]
+                n = len(parts[0][0])
+                if n > HELD:
+                    yield hand_on(*parts[0])
+                    parts, n = [], 0
         if parts:
             yield hand_on(*_summed(*map(np.concatenate, zip(*parts, strict=True))))
 
-    base = aligner(path_a, path_b).base
-    counts = df.select("text").mapInArrow(run, "pair long, count long").groupBy("pair").agg(F.sum("count").alias("count"))
+    counts = found.select("pairs").mapInArrow(run, "pair long, count long").groupBy("pair").agg(F.sum("count").alias("count"))
     ids = F.expr(f"pair div {base}").alias("a"), F.expr(f"pair % {base}").alias("b")
     pairs = materialize(counts.select(*ids, "count"))
     most = F.broadcast(materialize(pairs.groupBy("a").agg(F.max("count").alias("most"))))  # a row for each id of A
@@ -397,43 +448,39 @@ def _arrays(pairs: DataFrame, base: int):
     return pair[order], count[order], best[order].astype(bool)
 
 
-OUT = ["doc_id", *SUMS, "n_best", "count_sum", "groups_sha256"]
+OUT = ["doc_id", *SUMS, *SCORES, "groups_sha256"]
 
 
-def _scored(df: DataFrame, path_a: str, path_b: str, table) -> DataFrame:
-    """``OUT`` and ``h``, the digest of the text, by the counts of one broadcast block."""
+def _scored(found: DataFrame, table) -> DataFrame:
+    """``OUT`` and ``h`` of ``ALIGNED``, by the counts of one broadcast block."""
+    kept = ["doc_id", "h", *SUMS, "groups_sha256"]
 
     def run(batches):
-        own = aligner(path_a, path_b)
-        for batch in batches:
-            for a, b, texts in _texts_of(batch):
-                got = own.totals(texts, table.value)
-                sums = [pa.array(got[k]) for k in OUT[1:-1]]
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("h"), *sums, pa.array(got[OUT[-1]], pa.string())],
-                    names=["doc_id", "h", *OUT[1:]],
-                )
+        for part, held in _held(batches):
+            sums = scores(held, *(_numbers(part.column(c)) for c in ("pairs", "links")), table.value)
+            yield pa.RecordBatch.from_arrays(
+                [*map(part.column, kept), *map(pa.array, sums)], names=[*kept, *SCORES]
+            )
 
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    kinds = ", ".join(f"{k} long" for k in ("doc_id", "h", *OUT[1:-1]))
-    return rows.mapInArrow(run, f"{kinds}, groups_sha256 string")
+    kinds = ", ".join(f"{k} {'string' if k == 'groups_sha256' else 'long'}" for k in (*kept, *SCORES))
+    return found.mapInArrow(run, kinds)
 
 
 def alignment(df: DataFrame, path_a: str, path_b: str, table: int = TABLE) -> DataFrame:
     """``OUT`` of each row of ``df`` (``doc_id``, ``text``)."""
     spark = df.sparkSession
     base = aligner(path_a, path_b).base
-    pairs = pair_counts(df, path_a, path_b)
+    found = written(aligned(df, path_a, path_b))
+    pairs = pair_counts(found, base)
     blocks = max(1, -(-pairs.count() // table))
     parts = []
     for k in range(blocks):
         own = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(blocks)) == k)
-        parts.append(_scored(df, path_a, path_b, spark.sparkContext.broadcast(_arrays(own, base))))
+        parts.append(_scored(found, spark.sparkContext.broadcast(_arrays(own, base))))
     if blocks == 1:
         return parts[0].select(OUT)
     # every block has every document; a block's sums are equal in repeated rows
-    sums = ("n_best", "count_sum")
+    sums = SCORES
     tables = [written(p.withColumn("block", F.lit(k))) for k, p in enumerate(parts)]
     rest = tables[1].select("doc_id", "h", "block", *sums)
     for t in tables[2:]:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from chatloom.llm import align
@@ -134,3 +135,32 @@ def test_long_text(paths):
 def test_empty_table(spark, docs, paths):
     assert align.alignment(docs([]), *paths).collect() == []
     assert [r.groups for r in align.groups(docs([(1, None)]), *paths).collect()] == [[]]
+
+
+def test_texts_are_aligned_once(spark, docs, paths):
+    """Counts and scores come from the written table of aligned texts: neither reads texts again."""
+    found = align.aligned(docs([(1, "some words, and some words"), (2, None)]), *paths)
+    assert "text" not in found.columns
+    rows = {r.doc_id: r for r in found.collect()}
+    links = np.frombuffer(rows[1].links, "<i8")
+    assert len(links) * 8 == len(rows[1].pairs) and links.sum() == rows[1].n_links and rows[2].pairs == b""
+    base = align.aligner(*paths).base
+    counts = {r.a * base + r.b: r["count"] for r in align.pair_counts(found, base).collect()}
+    assert counts == dict.fromkeys(np.frombuffer(rows[1].pairs, "<i8").tolist(), 1)
+
+
+@pytest.mark.parametrize("expand", [1, 3, 10, 1000])
+def test_parts_of_a_batch(monkeypatch, expand):
+    rng = np.random.default_rng(5)
+    sizes = np.array([0, 4, 0, 0, 1, 20, 2, 0, 3, 0])
+    values = rng.integers(0, 1 << 40, sizes.sum())
+    blobs = align._blobs(sizes, values)
+    assert [len(x) for x in blobs.to_pylist()] == (8 * sizes).tolist()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sizes))), blobs], names=["doc_id", "pairs"])
+    monkeypatch.setattr(align, "EXPAND", expand)
+    parts = [(p.column("doc_id").to_pylist(), held.tolist(), align._numbers(p.column("pairs")).tolist()) for p, held in align._held([batch.slice(1), batch.slice(0, 0)])]
+    assert sum((ids for ids, _, _ in parts), []) == list(range(1, len(sizes)))
+    assert sum((held for _, held, _ in parts), []) == sizes[1:].tolist()
+    assert sum((n for _, _, n in parts), []) == values.tolist()
+    assert all(sum(held) == len(n) for _, held, n in parts)
+    assert all(sum(held) <= expand or len(held) == 1 for _, held, _ in parts)
