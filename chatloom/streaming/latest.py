@@ -1,18 +1,21 @@
 """Latest step wins, on the stream: a resumed run's lines replace those it repeats.
 
-State holds one row for (run, epoch, step) and window of arrival: the values of the latest
-line, and the number of lines. It runs in update mode, so a change comes out at once, and
-the watermark frees windows that can't change any more. Each batch's changes are written
-to a folder named by the batch's number; a batch that is run again after a failure
-overwrites its own folder, which makes the upsert idempotent. Every ``fold`` batches, the
-batch writes the merged table of all so far instead, so a reader opens the newest merged
-table and the few batches after it, however long the stream has run.
+What is known stands in tables, and no executor keeps it: each batch reduces its own lines to
+one row for (run, epoch, step) and window of arrival, the values of the latest line and
+the number of lines, and writes them at once to a folder named by the batch's number; a
+batch that is run again after a failure overwrites its own folder, which makes the upsert
+idempotent. Every ``fold`` batches, the batch also writes the merged table of all so far, so a
+reader opens the newest merged table and the few batches after it, however long the
+stream has run. Lines of windows that the watermark has passed are left out, as a stateful
+aggregation would; memory grows with a task's rows, never with the steps there are.
 
 ``read_latest`` is the table at any time: for each (run, epoch, step) the values of the latest
 line, whenever it came. It equals ``operators.logs.latest_steps`` over the lines that have
 arrived. ``window_metrics`` of it puts each step into the window of its latest line.
 """
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,13 +34,18 @@ def changes(lines: DataFrame, width: str = "1 hour", late: str = "30 minutes") -
     doesn't depend on the order of arrival. The values are the order as well: state and
     shuffle hold them once.
     """
-    parsed = parse_log(lines).withWatermark("arrived", late)
+    return _reduced(parse_log(lines).withWatermark("arrived", late), width)
+
+
+def _reduced(parsed: DataFrame, width: str, passed: int | None = None) -> DataFrame:
+    """One row for each (window, run, epoch, step), without windows that end by ``passed`` (milliseconds)."""
     value = F.struct(*REST)
-    return (
-        parsed.groupBy(F.window("arrived", width).alias("w"), *KEYS)
-        .agg(F.max(value).alias("r"), F.count(F.lit(1)).alias("arrivals"))
-        .select(F.col("w.start").alias("window"), *KEYS, "r.*", "arrivals")
+    rows = parsed.groupBy(F.window("arrived", width).alias("w"), *KEYS).agg(
+        F.max(value).alias("r"), F.count(F.lit(1)).alias("arrivals")
     )
+    if passed is not None:
+        rows = rows.where(F.col("w.end") > F.timestamp_millis(F.lit(passed)))
+    return rows.select(F.col("w.start").alias("window"), *KEYS, "r.*", "arrivals")
 
 
 def _schema(spark: SparkSession):
@@ -59,18 +67,18 @@ def folders(spark: SparkSession, out: str) -> tuple[int, list[int]]:
 
 
 def _merged(rows: DataFrame) -> DataFrame:
-    """The newest row of each (window, run, epoch, step)."""
-    newest = F.max(F.struct("batch", "arrivals", *REST)).alias("r")
+    """The rows of several batches as one of each (window, run, epoch, step)."""
+    value = F.struct(*REST)
     return (
         rows.groupBy("window", *KEYS)
-        .agg(newest)
-        .select("window", *KEYS, *[F.col(f"r.{c}") for c in (*REST, "arrivals", "batch")])
+        .agg(F.max(value).alias("r"), F.sum("arrivals").alias("arrivals"), F.max("batch").alias("batch"))
+        .select("window", *KEYS, "r.*", "arrivals", "batch")
     )
 
 
-def _before(spark: SparkSession, out: str, number: int | None = None, found=None) -> DataFrame:
+def _before(spark: SparkSession, out: str, number: int | None = None) -> DataFrame:
     """The rows of the newest merged table and the batches after it, of all batches before ``number``."""
-    merged, batches = found or folders(spark, out)
+    merged, batches = folders(spark, out)
     if number is not None and merged >= number:  # a batch that is run again after it had merged
         raise RuntimeError(f"{out}: merged-{merged} is newer than batch {number}")
     names = [f"{out}/merged-{merged}"] * (merged >= 0) + [
@@ -81,7 +89,7 @@ def _before(spark: SparkSession, out: str, number: int | None = None, found=None
 
 
 def upsert(out: str, fold: int = FOLD):
-    """The sink: writes the changes of batch ``number``, and overwrites them if it comes again."""
+    """The sink: writes the rows that batch ``number`` adds, and overwrites them if it comes again."""
 
     def write(rows: DataFrame, number: int):
         spark = rows.sparkSession
@@ -98,10 +106,8 @@ def upsert(out: str, fold: int = FOLD):
 def read_latest(spark: SparkSession, out: str) -> DataFrame:
     """One row for each (run, epoch, step): the values of its latest line, and ``arrivals``, its lines."""
     value = F.struct(*REST)
-    found = folders(spark, out)
-    rows = _before(spark, out, found=found)
     return (
-        (_merged(rows) if found[1] else rows)  # a merged table alone has the newest rows only
+        _before(spark, out)
         .groupBy(*KEYS)
         .agg(F.max(value).alias("r"), F.sum("arrivals").alias("arrivals"))
         .select(*KEYS, "r.*", "arrivals")
@@ -122,6 +128,24 @@ def window_metrics(latest: DataFrame, width: str = "10 minutes", metric: str = "
     )
 
 
+def _passed(spark: SparkSession, checkpoint: str, number: int) -> int:
+    """The watermark of batch ``number`` in milliseconds, as Spark has noted it before the batch began."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/offsets/{number}")
+    file = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        lines = spark._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8").splitlines()
+    finally:
+        file.close()
+    return json.loads(lines[1])["batchWatermarkMs"]
+
+
+def _refuse_older(spark: SparkSession, checkpoint: str) -> None:
+    """Stateful versions wrote counts of all lines so far; added up, they would be too high."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/state")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        raise RuntimeError(f"{checkpoint}: written by a version that kept state; start the stream anew")
+
+
 def stream_latest(
     spark: SparkSession,
     path: str,
@@ -130,13 +154,21 @@ def stream_latest(
     available_now: bool = True,
     fold: int = FOLD,
     files_per_trigger: int | None = None,
-    **options,
+    width: str = "1 hour",
+    late: str = "30 minutes",
 ):
     """Start the query: keep the latest values of each step at ``out``."""
+    _refuse_older(spark, checkpoint)
+    sink = upsert(out, fold)
+
+    def write(parsed: DataFrame, number: int):
+        sink(_reduced(parsed, width, _passed(spark, checkpoint, number)), number)
+
     writer = (
-        changes(read_log_stream(spark, path, files_per_trigger), **options)
+        parse_log(read_log_stream(spark, path, files_per_trigger))
+        .withWatermark("arrived", late)
         .writeStream.outputMode("update")
-        .foreachBatch(upsert(out, fold))
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
     )
     if available_now:

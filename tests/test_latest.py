@@ -103,3 +103,36 @@ def test_a_merged_table_alone_is_not_merged_again(spark, tmp_path):
     got = latest.read_latest(spark, out)
     assert sorted((r.step, r.loss, r.arrivals) for r in got.collect()) == [(1, 0.3, 2), (2, 0.4, 1)]
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+
+
+def test_no_state_is_kept_for_the_steps(spark, tmp_path):
+    """What executors hold doesn't grow with the steps: no state store, and a batch writes its own lines' rows alone."""
+    put(tmp_path / "in", "a.txt", [line(k, k, 5.0) for k in range(3)])
+    put(tmp_path / "in", "b.txt", [line(2, 2, 4.0), line(3, 3, 1.0)])
+    assert run(spark, tmp_path, files_per_trigger=1, late="1 day") == [
+        ("r1", 0, 5.0, 1), ("r1", 1, 5.0, 1), ("r1", 2, 5.0, 2), ("r1", 3, 1.0, 1)
+    ]
+    assert not (tmp_path / "state" / "state").exists()
+    rows = [spark.read.parquet(f"{tmp_path}/out/batch-{k}").groupBy().sum("arrivals").first()[0] for k in range(2)]
+    assert sorted(rows) == [2, 3]
+    (tmp_path / "state" / "state").mkdir()  # as an earlier version left it, with running counts beside it
+    with pytest.raises(RuntimeError, match="anew"):
+        run(spark, tmp_path, late="1 day")
+
+
+def test_late_lines_are_left_out_as_with_state(spark, tmp_path):
+    """A line of a window that the watermark has passed, one of the window it stands in, one of before 1970."""
+    old = (dt.datetime(1969, 12, 31), *line(0, 9, 9.0)[1:])
+    parts = [[line(10, 1, 5.0), old], [line(200, 2, 4.0)], [line(100, 3, 3.0), line(140, 4, 2.0), line(169, 5, 1.0)], [line(500, 6, 0.5)]]
+    for k, part in enumerate(parts):
+        put(tmp_path / "in", f"{k}.txt", part)
+        got = run(spark, tmp_path, late="30 minutes", fold=3)
+        rows = latest.changes(latest.read_log_stream(spark, f"{tmp_path}/in"), late="30 minutes")
+        query = (
+            rows.writeStream.outputMode("update").foreachBatch(
+                lambda df, n: df.write.mode("overwrite").parquet(f"{tmp_path}/kept/{n}")
+            ).option("checkpointLocation", f"{tmp_path}/kept_state").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    kept = spark.read.parquet(*[str(p) for p in (tmp_path / "kept").iterdir()])
+    assert sorted({r.step for r in kept.collect()}) == [r[1] for r in got] == [1, 2, 4, 5, 6]
