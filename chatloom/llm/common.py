@@ -65,6 +65,11 @@ def words(text: Column, separator: str = BLANK) -> Column:
     return F.filter(F.split(text, separator), lambda w: w != "")
 
 
+def once(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed once."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def running(pieces: Column) -> Column:
     """``array<struct<gap, s>>`` to places: each ``s`` begins ``gap`` code points after
     the end of the one before.
@@ -72,22 +77,16 @@ def running(pieces: Column) -> Column:
     The fold goes over chunks, so a text of very many matches doesn't copy its
     array for each of them.
     """
-    size = F.size(pieces)
     length = lambda x: (x["gap"] + F.char_length(x["s"])).cast("long")
-    chunks = F.when(size == 0, F.array().cast("array<array<struct<gap:int,s:string>>>")).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), F.floor((size - 1) / CHUNK).cast("int")),
-            lambda c: F.slice(pieces, c * CHUNK + 1, F.lit(CHUNK)),
+
+    def chunked(pieces):
+        size = F.size(pieces)
+        return F.when(size == 0, F.array().cast("array<array<struct<gap:int,s:string>>>")).otherwise(
+            F.transform(
+                F.sequence(F.lit(0), F.floor((size - 1) / CHUNK).cast("int")),
+                lambda c: F.slice(pieces, c * CHUNK + 1, F.lit(CHUNK)),
+            )
         )
-    )
-    totals = F.transform(
-        chunks, lambda ch: F.aggregate(ch, F.lit(0).cast("long"), lambda a, x: a + length(x))
-    )
-    offsets = F.aggregate(
-        totals,
-        F.array(F.lit(0).cast("long")),
-        lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)),
-    )
 
     def step(acc, x):
         at, end = acc["end"] + x["gap"], acc["end"] + length(x)
@@ -98,9 +97,18 @@ def running(pieces: Column) -> Column:
         zero = F.struct(offset.alias("end"), empty(FOUND).alias("out"))
         return F.aggregate(chunk, zero, step, lambda acc: acc["out"])
 
-    return F.flatten(
-        F.zip_with(chunks, F.slice(offsets, F.lit(1), F.size(chunks)), inner)
-    )
+    def placed(chunks):
+        totals = F.transform(
+            chunks, lambda ch: F.aggregate(ch, F.lit(0).cast("long"), lambda a, x: a + length(x))
+        )
+        offsets = F.aggregate(
+            totals,
+            F.array(F.lit(0).cast("long")),
+            lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)),
+        )
+        return F.flatten(F.zip_with(chunks, F.slice(offsets, F.lit(1), F.size(chunks)), inner))
+
+    return once(once(pieces, chunked), placed)
 
 
 def matches(text: Column, pattern: str, guard: str) -> Column:
@@ -109,14 +117,17 @@ def matches(text: Column, pattern: str, guard: str) -> Column:
 
     ``split`` and ``regexp_extract_all`` walk over the same matches, so the pieces
     between them give the places. Only texts in which ``guard`` is found are looked
-    through. ``pattern`` must not match the empty string.
+    through, once by each. ``pattern`` must not match the empty string.
     """
+
+    def pieces(found):
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        return F.zip_with(
+            gaps, found, lambda g, s: F.struct(F.char_length(g).alias("gap"), s.alias("s"))
+        )
+
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    pieces = F.zip_with(
-        gaps, found, lambda g, s: F.struct(F.char_length(g).alias("gap"), s.alias("s"))
-    )
-    return F.when(text.rlike(guard), running(pieces)).otherwise(empty(FOUND))
+    return F.when(text.rlike(guard), running(once(found, pieces))).otherwise(empty(FOUND))
 
 
 def as_spans(found: Column, kind: str, rank: int) -> Column:

@@ -10,18 +10,22 @@ touch make one span. What the allow list matches in a run (runs of letters alone
 digits alone as a whole) and what base spans cover is blanked out first; a window holds
 no blank, so the rest of the run is still scanned.
 
-All of it happens in the row of the text, in expressions; nothing is shuffled.
+All of it happens in the row of the text, in expressions; nothing is shuffled. Most texts
+hold neither a run nor a name of an assignment: each is looked for once, by what is cheap.
 
 Defined results: null and empty texts have no spans; equal starts are ordered by kind;
 repeated rows give repeated results; other columns stay.
 """
 
 import math
+import string
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import SPAN, as_spans, empty, joined, matches, whole
+from chatloom.llm.common import SPAN, as_spans, empty, joined, matches, once, whole
 
 ASSIGN = (
     r"(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
@@ -29,13 +33,19 @@ ASSIGN = (
     r"[\x22']?\x20*[:=]\x20*[\x22']?"
 )
 ASSIGN_VALUE = r"[A-Za-z0-9+/_.=-]+"
-ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
+#: one of them is in whatever ``ASSIGN`` matches, put in lower case
+ASSIGN_WORDS = ["password", "passwd", "secret", "token", "key"]
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"[0-9a-f]{24,}"
 KINDS = ["assign", "access", "hex", "entropy"]
 
 SCALE = 1 << 20
 WINDOW = 20
-RUN = r"[A-Za-z0-9+/_-]{20,}"  # as long as the window
+#: token characters, one by one: Java's regex looks a list of signs up in a table, and tries ranges in turn
+SIGN = string.ascii_letters + string.digits + "+/_-"
+RUN = f"[{SIGN}]{{20,}}"  # as long as the window
+#: whether a text holds a run, in one pass: shorter ones are stepped over, not tried again at each character
+HAS_RUN = f"^(?:[{SIGN}]{{0,19}}+[^{SIGN}]++)*+[{SIGN}]{{20}}"
 #: least bits of a window, by class: hex digits, letters and digits, and with marks
 BITS = {"hex": 2.9, "alnum": 3.6, "marked": 3.9}
 #: runs that look random and aren't secret
@@ -68,15 +78,17 @@ def base(text: Column) -> dict[str, Column]:
         "assign": F.filter(
             assign, lambda x: F.char_length(F.regexp_replace(x["s"], "^" + ASSIGN, "")) >= 6
         ),
-        "access": F.filter(
-            matches(text, ACCESS, r"AKIA[A-Z0-9]{16}"), lambda x: F.char_length(x["s"]) >= 20
-        ),
-        "hex": F.filter(
-            matches(text, HEX, r"[0-9a-f]{24}"), lambda x: F.char_length(x["s"]) >= 24
-        ),
+        "access": matches(text, ACCESS, r"AKIA[A-Z0-9]{16}"),
+        "hex": matches(text, HEX, r"[0-9a-f]{24}"),
     }
 
 
+def names_assigned(text: Column) -> Column:
+    """Whether a word of an assignment is in the text; no assignment is without."""
+    low = F.lower(text)
+    return reduce(or_, [F.contains(low, F.lit(w)) for w in ASSIGN_WORDS])
+
+
 def most_of(bits: float) -> int:
     """Most ``sum(c * log2(c))`` of a window with so many bits, in 2**-20 bits."""
     return int((math.log2(WINDOW) - bits) * WINDOW * SCALE)
@@ -97,7 +109,7 @@ def entropy_windows(s: Column, most: Column, window: int = WINDOW, own: Column |
         kinds = F.transform(chars, lambda c: F.lit(OTHER))
     else:
         kinds = F.transform(F.filter(F.split(own, ""), lambda c: c != ""), lambda c: F.get(signs, F.ascii(c)))
-    steps = _then(
+    steps = once(
         F.struct(chars.alias("c"), kinds.alias("k")),
         lambda all_: F.transform(
             all_["c"],
@@ -176,12 +188,7 @@ def entropy_windows(s: Column, most: Column, window: int = WINDOW, own: Column |
             F.array(F.struct(acc["from"].alias("start"), acc["to"].alias("end"))),
         ),
     ).otherwise(acc["out"])
-    return F.aggregate(steps, zero, lambda acc, x: _then(step(acc, x), note), last)
-
-
-def _then(value: Column, fn) -> Column:
-    """``fn(value)`` with the value computed once."""
-    return F.transform(F.array(value), fn)[0]
+    return F.aggregate(steps, zero, lambda acc, x: once(step(acc, x), note), last)
 
 
 def blanked(s: Column, spans: Column) -> Column:
@@ -248,17 +255,19 @@ def scan(df: DataFrame, text: str = "text", allow: list[str] | None = None) -> D
     ``array<struct<start, rank, end, kind>>``."""
     t = whole(text)
     found = {k: as_spans(c, k, i) for i, (k, c) in enumerate(base(t).items())}
-    guard = t.rlike(RUN) | t.rlike(ASSIGN) | t.rlike("AKIA[A-Z0-9]{16}")
+    # what access and hex match is a run, or in one
+    guards = {"assign": names_assigned(t), "access": F.col("_run"), "hex": F.col("_run")}
     none = empty(SPAN)
     return (
-        df.withColumns({f"_{k}": F.when(guard, c).otherwise(none) for k, c in found.items()})
+        df.withColumn("_run", t.rlike(HAS_RUN))
+        .withColumns({f"_{k}": F.when(guards[k], c).otherwise(none) for k, c in found.items()})
         .withColumn("base", F.concat(*[F.col(f"_{k}") for k in found]))
         .withColumn(
             "all",
-            F.concat("base", F.when(t.rlike(RUN), entropy_spans(t, F.col("base"), allow)).otherwise(none)),
+            F.concat("base", F.when(F.col("_run"), entropy_spans(t, F.col("base"), allow)).otherwise(none)),
         )
         .withColumns({f"n_{k}": F.size(f"_{k}").cast("long") for k in found})
-        .drop(*[f"_{k}" for k in found])
+        .drop("_run", *[f"_{k}" for k in found])
     )
 
 

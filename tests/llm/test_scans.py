@@ -85,6 +85,40 @@ def test_secret_base(docs):
         assert r.base_sha256 == sha(want)
 
 
+def test_secret_base_at_the_ends_of_its_guards(docs):
+    """Lengths about the least ones, repeated and null rows, names in any case, long texts."""
+    texts = [a + "".join(("0f7a9c3e5b1d" * 3)[:n]) + b for n in (0, 5, 6, 19, 20, 23, 24, 25) for a in ("", "é", "AKIA", "g", "tOKen:") for b in ("", ".", "G", "\n")]
+    texts += ["AKIA" + "AKIA7" * n + c for n in (1, 3, 4) for c in ("", "a", "-")]
+    texts += [x + y for x in ("API_KEY", "aPiKey", "PASSWD", "É pAssWord", "to\u212aen", "key") for y in ("=abcdef", "' : \"abcdef", "   =abcde", ":")]
+    texts += ["secret=token:abcdefgh", "secret=ab token=abcdef", "token==abcdef", "", None, "token=abcdef", "token=abcdef"]
+    texts += ["word-or/two 12 " * 40_000 + end for end in ("", "token=abcdef", "0f7a9c3e5b1d" * 2)] + ["é ." * 100_000, "a" * 300_000]
+    rows = secrets.report(secrets.scan(docs(enumerate(texts)))).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = brute_secrets(texts[r.doc_id] or "")
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(w[1] == k for w in want) for k in range(3)], r.doc_id
+        assert r.base_sha256 == sha(want), (texts[r.doc_id] or "")[:80]
+
+
+def test_has_run(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("aZ9+/_-. é\n") * rng.choice([1, 7, 12]) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    texts += [x + "a" * n + y for n in (19, 20, 21) for x in ("", " ", "é", "a ", "b" * 19 + "\U0001f600") for y in ("", "\n", ".")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", F.col("t").rlike(secrets.HAS_RUN).alias("has")).collect()
+    assert all(r.has == bool(re.search("[A-Za-z0-9+/_-]{20}", r.t)) for r in got)
+    assert {r.has for r in got} == {True, False}
+
+
+def test_secret_patterns_go_over_a_text_once(docs):
+    found = secrets.report(secrets.scan(docs([(1, "token=abcdef")])))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    for p in (secrets.ASSIGN + secrets.ASSIGN_VALUE, secrets.ACCESS, secrets.HEX, secrets.RUN):
+        assert plan.count(f", ), {p}, 0)") == 1, p  # of regexp_extract_all
+        assert plan.count(f", ), {p}, -1)") == 1, p  # of split
+    assert plan.count(secrets.HAS_RUN) == 1
+
+
 def brute_windows(s, most):
     w, out = secrets.WINDOW, []
     for i in range(len(s) - w + 1):
